@@ -21,6 +21,7 @@ the reference's Arrow path loses it; ``"keep"`` (default) keeps every row.
 from __future__ import annotations
 
 from dataclasses import dataclass
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
