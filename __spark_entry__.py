@@ -57,7 +57,8 @@ def _assignment(spark, sf_dir, sharded, spec):
 
 def _bins(spark, sf_dir, sharded, spec, with_length=True):
     tokens = _tokens(spark, sf_dir, sharded)
-    bins = materialize_bins(assign_bins(tokens, spec, ["source_file"], "conv_id"), spec, ["source_file"])
+    bins = materialize_bins(assign_bins(tokens, spec, ["source_file"], "conv_id"), spec, ["source_file"],
+                            late_ids=CodePointTokenizer.ids)
     cols = [
         "source_file", "bin", "n_members",
         array_text("input_ids").alias("input_ids"),
@@ -371,7 +372,8 @@ def entry(spark: SparkSession) -> DataFrame:
     bins (4 files, 4096 tokens, over-long rows truncated), with arrays."""
     spec = PackSpec(4096, "truncate", "keep")
     tokens = _tokens(spark, SMOKE_DIR, True)
-    return materialize_bins(assign_bins(tokens, spec, ["source_file"], "conv_id"), spec, ["source_file"])
+    return materialize_bins(assign_bins(tokens, spec, ["source_file"], "conv_id"), spec, ["source_file"],
+                            late_ids=CodePointTokenizer.ids)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

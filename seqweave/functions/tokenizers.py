@@ -38,6 +38,12 @@ class CodePointTokenizer:
             F.transform(F.split(text, ""), lambda ch: F.ascii(ch))
         )
 
+    @staticmethod
+    def length(text: Column | str) -> Column:
+        """Token count without building the array (Spark counts code points)."""
+        text = F.col(text) if isinstance(text, str) else text
+        return F.length(text).cast("int")
+
     def tokenize(self, df: DataFrame, text_col: str = "prompt", out_col: str = "input_ids",
                  key_cols: list[str] | None = None) -> DataFrame:
         return df.withColumn(out_col, self.ids(text_col))
@@ -141,4 +147,7 @@ class PretrainedTokenizer:
 
     def tokenize(self, df: DataFrame, text_col: str = "prompt", out_col: str = "input_ids",
                  key_cols: list[str] | None = None) -> DataFrame:
+        from seqweave.session import ship_package
+
+        ship_package(df.sparkSession)
         return df.withColumn(out_col, self._udf()(F.col(text_col)))

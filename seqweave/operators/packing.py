@@ -31,6 +31,7 @@ from seqweave.functions.fields import labels_for, position_ids_for
 from seqweave.operators.ranking import DEFAULT_BROADCAST_ROWS, number_within
 from seqweave.plans.nfd import walk_frame
 from seqweave.plans.stage import stage_table
+from seqweave.session import ship_package
 
 _PLAN_COLS = ["_n", "_b0", "_k0", "_per", "_tail"]
 _GROUP = "_group"
@@ -69,6 +70,7 @@ def _groups(df: DataFrame, group_cols: list[str] | tuple[str, ...] | None):
 
 def pack_plan(rows: DataFrame, spec: PackSpec, group_cols: list[str]) -> DataFrame:
     """Histogram of clamped lengths per group, walked into a staged plan."""
+    ship_package(rows.sparkSession)
     hist = rows.groupBy(*group_cols, "_L").agg(F.count(F.lit(1)).alias("_n"))
     schema = T.StructType(
         hist.schema.fields
@@ -108,26 +110,34 @@ def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key
 
 
 def materialize_bins(assigned: DataFrame, spec: PackSpec, group_cols: list[str] | None,
-                     ids_col: str = "input_ids") -> DataFrame:
+                     ids_col: str = "input_ids", late_ids=None, text_col: str = "prompt") -> DataFrame:
     """One row per bin: members concatenated in pop order (longest first).
 
-    Only ``input_ids`` travels through the shuffle; labels and positions are
-    rebuilt per member after grouping.  Each member's first label is -100 and
-    its positions restart at 0, which marks the conversation boundaries.
+    Only one payload column travels through the shuffle: the token ids, or,
+    with ``late_ids`` (a text -> ids Column function such as the code-point
+    tokenizer), the text itself, tokenized per member after grouping; text is
+    the smaller of the two.  Labels and positions are rebuilt per member, so
+    each member's first label is -100 and its positions restart at 0, which
+    marks the conversation boundaries.
     """
     assigned, keys = _groups(assigned, group_cols)
-    member = F.struct((-F.col("_L")).alias("_o"), F.col("_r").alias("_r"), F.col(ids_col).alias("ids"))
+    payload = F.col(text_col) if late_ids is not None else F.col(ids_col)
+    member = F.struct((-F.col("_L")).alias("_o"), F.col("_r").alias("_r"), payload.alias("p"))
     grouped = assigned.groupBy(*keys, "bin").agg(F.array_sort(F.collect_list(member)).alias("_m"))
     m = int(spec.max_length)
+
+    def ids(x):
+        return late_ids(x["p"]) if late_ids is not None else x["p"]
+
     if spec.oversize == "truncate":
-        pieces = F.transform("_m", lambda x: F.slice(x["ids"], 1, m))
+        pieces = F.transform("_m", lambda x: F.slice(ids(x), 1, m))
     else:
-        pieces = F.transform("_m", lambda x: x["ids"])
-    out = grouped.select(
-        *keys, "bin",
-        F.size("_m").alias("n_members"),
-        F.flatten(pieces).alias("input_ids"),
-        F.flatten(F.transform(pieces, labels_for)).alias("labels"),
-        F.flatten(F.transform(pieces, position_ids_for)).alias("position_ids"),
+        pieces = F.transform("_m", ids)
+    out = grouped.select(*keys, "bin", F.size("_m").alias("n_members"), pieces.alias("_p"))
+    out = out.select(
+        *keys, "bin", "n_members",
+        F.flatten("_p").alias("input_ids"),
+        F.flatten(F.transform("_p", labels_for)).alias("labels"),
+        F.flatten(F.transform("_p", position_ids_for)).alias("position_ids"),
     ).withColumn("length", F.size("input_ids").cast("int"))
     return out.drop(_GROUP) if _GROUP in out.columns else out

@@ -29,7 +29,12 @@ def tokenize_conversations(conv: DataFrame, template: ChatTemplate, tokenizer=No
                            key_col: str = "row_key", group_cols: list[str] | None = None,
                            add_generation_prompt: bool = False,
                            zero_tokens: str = "fail") -> DataFrame:
-    """Render + tokenize: ``group_cols, key, length, input_ids``.
+    """Render + tokenize: ``group_cols, key, length, input_ids`` (+ ``prompt``).
+
+    Expression tokenizers (code points) also keep ``prompt`` and compute
+    ``length`` straight from the text, so passes that only need lengths never
+    build token arrays (Catalyst prunes ``input_ids``), and bins can be
+    tokenized after the shuffle (see ``materialize_bins(late_ids=...)``).
 
     A conversation that yields no token cannot be labelled (the reference
     indexes the first label); ``zero_tokens="fail"`` raises, ``"drop"``
@@ -39,21 +44,32 @@ def tokenize_conversations(conv: DataFrame, template: ChatTemplate, tokenizer=No
     group_cols = list(group_cols or [])
     rendered = conv.select(*group_cols, key_col,
                            template.render("messages", add_generation_prompt).alias("prompt"))
-    tok = tokenizer.tokenize(rendered, "prompt", "input_ids", key_cols=[key_col])
-    tok = tok.select(*group_cols, key_col, length_of("input_ids").alias("length"), "input_ids")
+    if hasattr(tokenizer, "ids") and hasattr(tokenizer, "length"):
+        tok = rendered.select(*group_cols, key_col, tokenizer.length("prompt").alias("length"),
+                              tokenizer.ids("prompt").alias("input_ids"), "prompt")
+    else:
+        tok = tokenizer.tokenize(rendered, "prompt", "input_ids", key_cols=[key_col])
+        tok = tok.select(*group_cols, key_col, length_of("input_ids").alias("length"), "input_ids")
     if zero_tokens == "fail":
-        ids = F.when(F.col("length") == 0, F.raise_error(F.concat(
+        checked = F.when(F.col("length") == 0, F.raise_error(F.concat(
             F.lit("conversation renders to no tokens: "), F.col(key_col).cast("string")))
-        ).otherwise(F.col("input_ids")).cast("array<int>")
-        return tok.withColumn("input_ids", ids)
+        ).otherwise(F.col("length")).cast("int")
+        return tok.withColumn("length", checked)
     return tok.filter(F.col("length") > 0)
 
 
 def pack_conversations(tokens: DataFrame, spec: PackSpec, group_cols: list[str] | None,
-                       key_col: str) -> DataFrame:
+                       key_col: str, tokenizer=None) -> DataFrame:
     """Tokenized rows -> one row per bin (``input_ids, labels, position_ids, length``)."""
     assigned = assign_bins(tokens, spec, group_cols, key_col)
-    return materialize_bins(assigned, spec, group_cols)
+    return materialize_bins(assigned, spec, group_cols, late_ids=_late_ids(tokens, tokenizer))
+
+
+def _late_ids(tokens: DataFrame, tokenizer):
+    tokenizer = tokenizer or CodePointTokenizer()
+    if "prompt" in tokens.columns and hasattr(tokenizer, "ids"):
+        return tokenizer.ids
+    return None
 
 
 def pack_report(assigned: DataFrame, spec: PackSpec, group_cols: list[str]) -> DataFrame:
@@ -107,9 +123,11 @@ def pack_job(spark: SparkSession, input_path: str, output_path: str,
         conv, rejected = conv
     groups = ["source_file", "file_stem"]
     tokens = tokenize_conversations(conv, template, tokenizer, "row_key", groups)
-    tokens = stage_table(tokens, "tokens")
+    late = _late_ids(tokens, tokenizer)
+    # stage once: text + length for expression tokenizers, ids otherwise
+    tokens = stage_table(tokens.drop("input_ids") if late else tokens, "tokens")
     assigned = assign_bins(tokens, spec, groups, "row_key")
-    bins = materialize_bins(assigned, spec, groups)
+    bins = materialize_bins(assigned, spec, groups, late_ids=late)
     write_bins(bins, output_path, fmt, layout=layout)
     if rejected is not None:
         rejected.write.mode("overwrite").json(output_path.rstrip("/") + "/_rejected")

@@ -28,6 +28,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # local runs work on small tables whose rows expand a lot after a
+        # shuffle (text -> token arrays): keep several tasks busy
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
+                os.environ.get("SEQWEAVE_MIN_PARTITION", "64k"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
@@ -58,3 +62,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf = tempfile.mkdtemp(prefix="seqweave-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``seqweave`` importable in Python workers (like ``--py-files``).
+
+    Steps that run Python on executors (the plan walk, the pretrained
+    tokenizer, the Arrow sink) call this first.  The package is zipped once
+    on the driver and distributed by Spark's file server; when the package
+    is already importable on the workers (installed), nothing is shipped.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    if spark.conf.get("spark.seqweave.shipPackage", "true") == "false":
+        _SHIPPED.add(app)
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="seqweave-pyfiles-"), "seqweave.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, dirnames, filenames in os.walk(pkg_dir):
+            dirnames[:] = [d for d in dirnames if d != "__pycache__"]
+            for name in filenames:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)

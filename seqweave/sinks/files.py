@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqweave.session import ship_package
 from seqweave.sinks.arrow_stream import ArrowStreamDataSource
 
 JSONL_COLUMNS = ["input_ids", "labels", "position_ids", "length"]
@@ -29,6 +30,7 @@ _registered: set[int] = set()
 def _register(spark) -> None:
     key = id(spark)
     if key not in _registered:
+        ship_package(spark)
         spark.dataSource.register(ArrowStreamDataSource)
         _registered.add(key)
 
