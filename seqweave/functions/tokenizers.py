@@ -65,12 +65,15 @@ class WordVocabulary:
         self.size = size
 
     @classmethod
-    def build(cls, df: DataFrame, text_col: str = "prompt", size: int = 32000) -> WordVocabulary:
+    def build(cls, df: DataFrame, text_col: str = "prompt", size: int = 32000,
+              stage: bool = True) -> WordVocabulary:
         """Count every word of every text and keep the ``size - 1`` most frequent.
 
         Counting is a partial+final hash aggregation; the top-N is a bounded
         ``TakeOrderedAndProject`` and numbering happens on those N rows only.
         Ties on count are broken by the word itself so ids are deterministic.
+        The vocabulary (at most ``size`` rows) is staged in the checkpoint
+        folder, so encoding does not recount the corpus.
         """
         counts = (
             df.select(F.explode(words(text_col)).alias("token"))
@@ -83,7 +86,27 @@ class WordVocabulary:
             "token", F.row_number().over(order).cast("int").alias("id"), "count"
         )
         unk = df.sparkSession.createDataFrame([(UNKNOWN_TOKEN, 0, 0)], "token string, id int, count bigint")
-        return cls(unk.unionByName(numbered), size)
+        vocab = unk.unionByName(numbered)
+        if stage:
+            from seqweave.plans.stage import stage_table
+
+            vocab = stage_table(vocab.coalesce(1), "vocabulary")
+        return cls(vocab, size)
+
+    def to_tokenizer_json(self) -> str:
+        """The vocabulary as a word-level ``tokenizer.json`` (whitespace split).
+
+        Collects at most ``size`` rows, the vocabulary's bound.
+        """
+        import json
+
+        vocab = {r["token"]: int(r["id"]) for r in self.vocab.select("token", "id").collect()}
+        return json.dumps({
+            "version": "1.0", "truncation": None, "padding": None, "added_tokens": [],
+            "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"},
+            "post_processor": None, "decoder": None,
+            "model": {"type": "WordLevel", "vocab": vocab, "unk_token": UNKNOWN_TOKEN},
+        })
 
     def tokenize(self, df: DataFrame, text_col: str = "prompt", out_col: str = "input_ids",
                  key_cols: list[str] | None = None) -> DataFrame:
