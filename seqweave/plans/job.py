@@ -107,8 +107,19 @@ def pack_job(spark: SparkSession, input_path: str, output_path: str,
     staged once in the checkpoint folder, so the histogram, numbering and
     materialization passes read a fixed table.
     """
+    from seqweave.sources.jsonl import read_lines
+
+    return pack_lines(read_lines(spark, input_path), output_path, template, tokenizer, max_length,
+                      fmt, tail, on_error, oversize, layout)
+
+
+def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None = None,
+               tokenizer=None, max_length: int = 8192, fmt: str = "arrow", tail: str = "keep",
+               on_error: str = "fail", oversize: str | None = None, layout: str = "parts",
+               part_prefix: str = "") -> dict:
+    """``pack_job`` on already listed lines (``source_file, file_stem, line``)."""
     from seqweave.sinks.files import write_bins
-    from seqweave.sources.jsonl import read_conversations
+    from seqweave.sources.jsonl import conversations_from_lines
 
     fmt = fmt.lower()
     if fmt not in ("arrow", "jsonl", "parquet"):
@@ -118,7 +129,7 @@ def pack_job(spark: SparkSession, input_path: str, output_path: str,
     spec = PackSpec(max_length, oversize, tail)
     template = template or ChatTemplate.sections()
     rejected = None
-    conv = read_conversations(spark, input_path, on_error)
+    conv = conversations_from_lines(lines, on_error)
     if on_error == "quarantine":
         conv, rejected = conv
     groups = ["source_file", "file_stem"]
@@ -128,7 +139,7 @@ def pack_job(spark: SparkSession, input_path: str, output_path: str,
     tokens = stage_table(tokens.drop("input_ids") if late else tokens, "tokens")
     assigned = assign_bins(tokens, spec, groups, "row_key")
     bins = materialize_bins(assigned, spec, groups, late_ids=late)
-    write_bins(bins, output_path, fmt, layout=layout)
+    write_bins(bins, output_path, fmt, layout=layout, part_prefix=part_prefix)
     if rejected is not None:
         rejected.write.mode("overwrite").json(output_path.rstrip("/") + "/_rejected")
     report = pack_report(assigned, spec, groups)

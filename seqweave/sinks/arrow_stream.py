@@ -58,11 +58,12 @@ class _ArrowStreamWriter(DataSourceArrowWriter):
         self.layout = options.get("layout", "parts")
         self.stem_col = options.get("stem_col", "file_stem")
         self.job = options.get("job_id") or uuid.uuid4().hex
+        self.prefix = options.get("prefix", "")
 
     def _final(self, stem: str, partition: int) -> str:
         if self.layout == "file":
             return posixpath.join(self.path, f"{stem}.arrow")
-        return posixpath.join(self.path, stem, f"part-{partition:05d}.arrow")
+        return posixpath.join(self.path, stem, f"{self.prefix}part-{partition:05d}.arrow")
 
     def write(self, iterator):
         import pyarrow as pa

@@ -43,8 +43,12 @@ def _cluster(bins: DataFrame, layout: str, bins_per_part: int) -> DataFrame:
 
 
 def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: str = "parts",
-               bins_per_part: int = 50_000) -> None:
-    """Write packed bins (must carry ``file_stem`` and ``bin``); overwrites."""
+               bins_per_part: int = 50_000, part_prefix: str = "") -> None:
+    """Write packed bins (must carry ``file_stem`` and ``bin``); overwrites.
+
+    ``part_prefix`` makes Arrow part names unique per writer run (streaming
+    micro-batches); a re-run of the same batch rewrites the same names.
+    """
     fmt = fmt.lower()
     if layout not in ("parts", "file"):
         raise ValueError("layout must be 'parts' or 'file'")
@@ -59,7 +63,7 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
         _register(bins.sparkSession)
         (clustered.select("file_stem", "input_ids", "labels", "position_ids")
          .write.format(ArrowStreamDataSource.name()).mode("append")
-         .option("path", output_path).option("layout", layout)
+         .option("path", output_path).option("layout", layout).option("prefix", part_prefix)
          .option("job_id", uuid.uuid4().hex).save())
     else:
         raise ValueError(f"format not supported: {fmt}")

@@ -103,8 +103,8 @@ def parse_conversations(lines: DataFrame) -> DataFrame:
                          error.alias("error"))
 
 
-def read_conversations(spark: SparkSession, path: str, on_error: str = "fail"):
-    """Conversations from a JSONL file or folder.
+def conversations_from_lines(lines: DataFrame, on_error: str = "fail"):
+    """Parsed conversations from ``source_file, file_stem, line`` rows.
 
     Returns ``source_file, file_stem, row_key, messages``.  ``on_error="fail"``
     makes the job fail on the first bad line (the reference stops too);
@@ -113,8 +113,7 @@ def read_conversations(spark: SparkSession, path: str, on_error: str = "fail"):
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError("on_error must be 'fail' or 'quarantine'")
-    rows = parse_conversations(read_lines(spark, path)).withColumn(
-        "row_key", F.monotonically_increasing_id())
+    rows = parse_conversations(lines).withColumn("row_key", F.monotonically_increasing_id())
     cols = ["source_file", "file_stem", "row_key", "messages"]
     if on_error == "fail":
         checked = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(
@@ -124,3 +123,14 @@ def read_conversations(spark: SparkSession, path: str, on_error: str = "fail"):
     good = rows.filter(F.col("error").isNull()).select(*cols)
     bad = rows.filter(F.col("error").isNotNull()).select("source_file", "file_stem", "row_key", "line", "error")
     return good, bad
+
+
+def read_conversations(spark: SparkSession, path: str, on_error: str = "fail"):
+    """Conversations from a JSONL file or folder (see ``conversations_from_lines``)."""
+    return conversations_from_lines(read_lines(spark, path), on_error)
+
+
+def line_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Lines per input file (the reference prints this per file)."""
+    return read_lines(spark, path).groupBy("source_file", "file_stem").agg(
+        F.count(F.lit(1)).alias("n_lines"))
