@@ -80,7 +80,13 @@ class WordVocabulary:
             .groupBy("token")
             .agg(F.count(F.lit(1)).alias("count"))
         )
-        top = counts.orderBy(F.col("count").desc(), F.col("token").asc()).limit(size - 1)
+        if stage:
+            # the corpus is scanned once; threshold and top-N read the word counts
+            from seqweave.plans.stage import stage_table
+
+            counts = stage_table(counts, "word-counts")
+        top = counts.filter(F.col("count") >= F.lit(cls._count_threshold(counts, size - 1)))
+        top = top.orderBy(F.col("count").desc(), F.col("token").asc()).limit(size - 1)
         order = Window.orderBy(F.col("count").desc(), F.col("token").asc())
         numbered = top.select(
             "token", F.row_number().over(order).cast("int").alias("id"), "count"
@@ -88,11 +94,23 @@ class WordVocabulary:
         unk = df.sparkSession.createDataFrame([(UNKNOWN_TOKEN, 0, 0)], "token string, id int, count bigint")
         vocab = unk.unionByName(numbered)
         if stage:
-            from seqweave.plans.stage import stage_table
-
             vocab = stage_table(vocab.coalesce(1), "vocabulary")
         return cls(vocab, size)
 
+    @staticmethod
+    def _count_threshold(counts: DataFrame, k: int) -> int:
+        """Smallest count a top-``k`` word can have (the k-th largest count).
+
+        Found from the histogram of counts (one row per distinct count value,
+        at most about sqrt(2 * words) rows), so the final ordered limit sees
+        about ``k`` candidates instead of ``k`` per partition.
+        """
+        hist = counts.groupBy("count").agg(F.count(F.lit(1)).alias("_words"))
+        running = Window.orderBy(F.col("count").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        hist = hist.withColumn("_cum", F.sum("_words").over(running))
+        row = hist.filter(F.col("_cum") >= k).agg(F.max("count").alias("c")).first()
+        return int(row["c"]) if row and row["c"] is not None else 0
+
     def to_tokenizer_json(self) -> str:
         """The vocabulary as a word-level ``tokenizer.json`` (whitespace split).
 
@@ -109,17 +127,19 @@ class WordVocabulary:
         })
 
     def tokenize(self, df: DataFrame, text_col: str = "prompt", out_col: str = "input_ids",
-                 key_cols: list[str] | None = None) -> DataFrame:
+                 key_cols: list[str] | None = None, keep_text: bool = False) -> DataFrame:
         """Encode by a broadcast join of the exploded words with the vocabulary.
 
         The words of a row are regrouped on ``key_cols`` (which must identify a
         row).  When the input is already hash-partitioned on those keys, as it
         is after assembling conversations from turns, the regrouping needs no
         shuffle because explode and the broadcast join keep the partitioning.
+        Other columns (and the text with ``keep_text``) are joined back on the
+        keys; with none, no join is planned.
         """
         if not key_cols:
             raise ValueError("key_cols must identify a row for the word tokenizer")
-        carry = [c for c in df.columns if c not in key_cols]
+        carry = [c for c in df.columns if c not in key_cols and (keep_text or c != text_col)]
         exploded = df.select(*key_cols, F.posexplode_outer(words(text_col)).alias("_pos", "_tok"))
         vocab = F.broadcast(self.vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id")))
         joined = exploded.join(vocab, "_tok", "left")

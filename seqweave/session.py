@@ -59,6 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             conf = None
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(staged tables and checkpoints must survive executor loss)")
         conf = tempfile.mkdtemp(prefix="seqweave-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

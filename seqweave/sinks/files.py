@@ -43,7 +43,7 @@ def _cluster(bins: DataFrame, layout: str, bins_per_part: int) -> DataFrame:
 
 
 def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: str = "parts",
-               bins_per_part: int = 50_000, part_prefix: str = "") -> None:
+               bins_per_part: int = 8192, part_prefix: str = "") -> None:
     """Write packed bins (must carry ``file_stem`` and ``bin``); overwrites.
 
     ``part_prefix`` makes Arrow part names unique per writer run (streaming
