@@ -110,7 +110,8 @@ def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key
 
 
 def materialize_bins(assigned: DataFrame, spec: PackSpec, group_cols: list[str] | None,
-                     ids_col: str = "input_ids", late_ids=None, text_col: str = "prompt") -> DataFrame:
+                     ids_col: str = "input_ids", late_ids=None, text_col: str = "prompt",
+                     bins_per_part: int | None = None) -> DataFrame:
     """One row per bin: members concatenated in pop order (longest first).
 
     Only one payload column travels through the shuffle: the token ids, or,
@@ -119,11 +120,22 @@ def materialize_bins(assigned: DataFrame, spec: PackSpec, group_cols: list[str]
     the smaller of the two.  Labels and positions are rebuilt per member, so
     each member's first label is -100 and its positions restart at 0, which
     marks the conversation boundaries.
+
+    ``bins_per_part`` clusters the output for writing: rows are shuffled on
+    (group, bin // bins_per_part) and grouped on (group, that bucket, bin),
+    which the same hash partitioning satisfies, so a sink can write each
+    partition as it is (one part per group and bucket) without a further
+    shuffle of the packed arrays.
     """
     assigned, keys = _groups(assigned, group_cols)
     payload = F.col(text_col) if late_ids is not None else F.col(ids_col)
     member = F.struct((-F.col("_L")).alias("_o"), F.col("_r").alias("_r"), payload.alias("p"))
-    grouped = assigned.groupBy(*keys, "bin").agg(F.array_sort(F.collect_list(member)).alias("_m"))
+    by = [*keys, "bin"]
+    if bins_per_part:
+        assigned = assigned.withColumn("_part", F.expr(f"bin div {int(bins_per_part)}"))
+        assigned = assigned.repartition(*keys, "_part")
+        by = [*keys, "_part", "bin"]
+    grouped = assigned.groupBy(*by).agg(F.array_sort(F.collect_list(member)).alias("_m"))
     m = int(spec.max_length)
 
     def ids(x):

@@ -43,9 +43,12 @@ def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], order: li
     n_groups, heaviest = int(stats["g"] or 0), int(stats["w"] or 0)
     salts = max(1, math.ceil(heaviest / max(1, per_task)))
     if salts == 1:
-        joined = rows.join(maybe_broadcast(groups, n_groups, broadcast_rows), keys)
+        # number first, then attach the group columns: the shuffle for the
+        # window carries no plan columns, and a shuffle join on the same keys
+        # reuses the window's partitioning
         w = Window.partitionBy(*keys).orderBy(*order)
-        return joined.withColumn("_r", (F.row_number().over(w) - 1).cast("long"))
+        numbered = rows.withColumn("_r", (F.row_number().over(w) - 1).cast("long"))
+        return numbered.join(maybe_broadcast(groups, n_groups, broadcast_rows), keys)
 
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_key)), F.lit(salts)).cast("int"))
     counts = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_sn"))
@@ -53,9 +56,10 @@ def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], order: li
     offsets = counts.select(*keys, "_salt", F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_off"))
     offsets = stage_table(offsets.join(groups, keys), "offsets")
     n_offsets = offsets.count()
-    joined = salted.join(maybe_broadcast(offsets, n_offsets, broadcast_rows), [*keys, "_salt"])
     w = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    return joined.withColumn("_r", (F.col("_off") + F.row_number().over(w) - 1).cast("long")).drop("_off")
+    numbered = salted.withColumn("_rn", F.row_number().over(w))
+    joined = numbered.join(maybe_broadcast(offsets, n_offsets, broadcast_rows), [*keys, "_salt"])
+    return joined.withColumn("_r", (F.col("_off") + F.col("_rn") - 1).cast("long")).drop("_off", "_rn", "_salt")
 
 
 def length_histogram(df: DataFrame, group_cols: list[str], length_col: str = "length") -> DataFrame:

@@ -118,7 +118,7 @@ def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None
                on_error: str = "fail", oversize: str | None = None, layout: str = "parts",
                part_prefix: str = "") -> dict:
     """``pack_job`` on already listed lines (``source_file, file_stem, line``)."""
-    from seqweave.sinks.files import write_bins
+    from seqweave.sinks.files import BINS_PER_PART, ONE_PART, write_bins
     from seqweave.sources.jsonl import conversations_from_lines
 
     fmt = fmt.lower()
@@ -138,8 +138,9 @@ def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None
     # stage once: text + length for expression tokenizers, ids otherwise
     tokens = stage_table(tokens.drop("input_ids") if late else tokens, "tokens")
     assigned = assign_bins(tokens, spec, groups, "row_key")
-    bins = materialize_bins(assigned, spec, groups, late_ids=late)
-    write_bins(bins, output_path, fmt, layout=layout, part_prefix=part_prefix)
+    per_part = ONE_PART if layout == "file" else BINS_PER_PART
+    bins = materialize_bins(assigned, spec, groups, late_ids=late, bins_per_part=per_part)
+    write_bins(bins, output_path, fmt, layout=layout, part_prefix=part_prefix, clustered=True)
     if rejected is not None:
         rejected.write.mode("overwrite").json(output_path.rstrip("/") + "/_rejected")
     report = pack_report(assigned, spec, groups)

@@ -23,6 +23,9 @@ from seqweave.session import ship_package
 from seqweave.sinks.arrow_stream import ArrowStreamDataSource
 
 JSONL_COLUMNS = ["input_ids", "labels", "position_ids", "length"]
+BINS_PER_PART = 8192
+# "file" layout: every bin of an input file in one writer task
+ONE_PART = 1 << 62
 
 _registered: set[int] = set()
 
@@ -43,16 +46,23 @@ def _cluster(bins: DataFrame, layout: str, bins_per_part: int) -> DataFrame:
 
 
 def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: str = "parts",
-               bins_per_part: int = 8192, part_prefix: str = "") -> None:
+               bins_per_part: int = BINS_PER_PART, part_prefix: str = "",
+               clustered: bool = False) -> None:
     """Write packed bins (must carry ``file_stem`` and ``bin``); overwrites.
 
-    ``part_prefix`` makes Arrow part names unique per writer run (streaming
-    micro-batches); a re-run of the same batch rewrites the same names.
+    ``clustered=True`` says the bins are already partitioned for writing
+    (``materialize_bins(bins_per_part=...)``), so only a local sort by bin
+    happens here.  ``part_prefix`` makes Arrow part names unique per writer
+    run (streaming micro-batches); a re-run of the same batch rewrites the
+    same names.
     """
     fmt = fmt.lower()
     if layout not in ("parts", "file"):
         raise ValueError("layout must be 'parts' or 'file'")
-    clustered = _cluster(bins, layout, bins_per_part)
+    if clustered:
+        clustered = bins.sortWithinPartitions("file_stem", "bin")
+    else:
+        clustered = _cluster(bins, layout, bins_per_part)
     if fmt == "parquet":
         (clustered.select("file_stem", *JSONL_COLUMNS)
          .write.mode("overwrite").partitionBy("file_stem").parquet(output_path))
