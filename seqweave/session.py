@@ -41,28 +41,47 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
+def _is_local_master(spark: SparkSession, sc) -> bool:
+    if sc is not None:
+        return sc.master.startswith("local")
+    try:
+        return str(spark.conf.get("spark.master", "local")).startswith("local")
+    except Exception:  # noqa: BLE001
+        return True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    The cluster's setting always wins.  Only when nothing is configured (local
-    tests) a private folder is created and registered, so that ``checkpoint()``
-    and staged tables work the same way everywhere.
+    The cluster's setting always wins.  Only when nothing is configured and
+    the master is local (tests) a private folder is created and registered,
+    so that ``checkpoint()`` and staged tables work the same way everywhere.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    conf = sc.getConf().get("spark.checkpoint.dir", None)
+    conf = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not conf:
         try:
             conf = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             conf = None
     if not conf:
-        if not sc.master.startswith("local"):
+        if not _is_local_master(spark, sc):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
                              "(staged tables and checkpoints must survive executor loss)")
         conf = tempfile.mkdtemp(prefix="seqweave-ckpt-")
+    if sc is None:
+        return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
@@ -75,16 +94,17 @@ def ship_package(spark: SparkSession) -> None:
 
     Steps that run Python on executors (the plan walk, the pretrained
     tokenizer, the Arrow sink) call this first.  The package is zipped once
-    on the driver and distributed by Spark's file server; when the package
-    is already importable on the workers (installed), nothing is shipped.
+    on the driver and distributed by Spark (``addPyFile``, or artifacts for a
+    Spark Connect session).  Set ``spark.seqweave.shipPackage=false`` when
+    the package is installed on the workers.
     """
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
-    if spark.conf.get("spark.seqweave.shipPackage", "true") == "false":
+    if str(spark.conf.get("spark.seqweave.shipPackage", "true")).lower() == "false":
         _SHIPPED.add(app)
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -97,5 +117,8 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(dirpath, name)
                     zf.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(app)
