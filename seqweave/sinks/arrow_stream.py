@@ -49,11 +49,12 @@ class ArrowStreamDataSource(DataSource):
         return "seqweave_arrow"
 
     def writer(self, schema, overwrite):
-        return _ArrowStreamWriter(self.options)
+        return _ArrowStreamWriter(self.options, overwrite)
 
 
 class _ArrowStreamWriter(DataSourceArrowWriter):
-    def __init__(self, options):
+    def __init__(self, options, overwrite=False):
+        self.overwrite = bool(overwrite)
         self.path = options["path"].rstrip("/")
         self.layout = options.get("layout", "parts")
         self.stem_col = options.get("stem_col", "file_stem")
@@ -100,11 +101,23 @@ class _ArrowStreamWriter(DataSourceArrowWriter):
         return _Written(moves)
 
     def commit(self, messages):
+        """Driver side, after every task succeeded: publish the staged files.
+
+        With overwrite, the previous output of each written input file (its
+        ``<stem>.arrow``, or its ``<stem>/`` folder of parts) is replaced, so
+        a re-run never mixes old and new parts.
+        """
+        import pyarrow.fs as pafs
+
         fs, root = _fs(self.path)
-        for msg in messages:
-            for tmp, final in msg.moves:
-                fs.create_dir(posixpath.dirname(final), recursive=True)
-                fs.move(tmp, final)
+        moves = [m for msg in messages for m in msg.moves]
+        if self.overwrite and self.layout == "parts":
+            for stem_dir in sorted({posixpath.dirname(final) for _, final in moves}):
+                if fs.get_file_info(stem_dir).type == pafs.FileType.Directory:
+                    fs.delete_dir(stem_dir)
+        for tmp, final in moves:
+            fs.create_dir(posixpath.dirname(final), recursive=True)
+            fs.move(tmp, final)
         fs.delete_dir(posixpath.join(root, "_temporary", self.job))
 
     def abort(self, messages):

@@ -72,7 +72,7 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
     elif fmt == "arrow":
         _register(bins.sparkSession)
         (clustered.select("file_stem", "input_ids", "labels", "position_ids")
-         .write.format(ArrowStreamDataSource.name()).mode("append")
+         .write.format(ArrowStreamDataSource.name()).mode("overwrite")
          .option("path", output_path).option("layout", layout).option("prefix", part_prefix)
          .option("job_id", uuid.uuid4().hex).save())
     else:

@@ -103,3 +103,19 @@ def test_quarantine_job(spark, tmp_dir):
     pack_job(spark, src, out, max_length=40, fmt="parquet", on_error="quarantine")
     bad = spark.read.json(f"{out}/_rejected").collect()
     assert len(bad) == 1 and "string role and content" in bad[0]["error"]
+
+
+def test_arrow_rerun_replaces_parts(spark, tmp_dir):
+    from seqweave.sinks.files import write_bins
+
+    src = make_input(tmp_dir, FILES)
+    out = f"{tmp_dir}/out"
+    pack_job(spark, src, out, max_length=40, fmt="arrow")
+    stale = f"{out}/alpha/part-99999.arrow"
+    with open(stale, "wb") as fh:
+        fh.write(b"old")
+    pack_job(spark, src, out, max_length=40, fmt="arrow")
+    assert not os.path.exists(stale)
+    rows = [r for f in glob.glob(f"{out}/alpha/*.arrow") for r in read_arrow_stream(f).to_pylist()]
+    assert sorted(_segments(r) for r in rows) == sorted(expected_lengths(FILES["alpha"], 40, "truncate", "keep"))
+    assert write_bins is not None
