@@ -22,7 +22,7 @@ from seqweave.functions.fields import (
     truncate_ids,
 )
 from seqweave.functions.template import ChatTemplate
-from seqweave.functions.tokenizers import CodePointTokenizer, WordVocabulary
+from seqweave.functions.tokenizers import CodePointTokenizer, PretrainedTokenizer, WordVocabulary
 from seqweave.operators.packing import PackSpec, assign_bins, materialize_bins
 from seqweave.operators.ranking import length_histogram, rank_by_length
 from seqweave.plans.job import pack_report, tokenize_conversations
@@ -138,6 +138,25 @@ def q_tokenize_vocab(spark, sf_dir):
     return enc.select("conv_id", length_of("input_ids").alias("length"), array_text("input_ids").alias("input_ids"))
 
 
+def q_tokenize_pretrained(spark, sf_dir):
+    """K4: the vocabulary job's result exported as a word-level tokenizer.json
+    (at most VOCAB_SIZE entries) and applied by the tokenizers library."""
+    prompts, vocab = _vocab(spark, sf_dir)
+    tok = PretrainedTokenizer(json_text=vocab.to_tokenizer_json())
+    enc = tok.tokenize(prompts.select("conv_id", "prompt"), "prompt", "input_ids")
+    return enc.select("conv_id", length_of("input_ids").alias("length"), array_text("input_ids").alias("input_ids"))
+
+
+def q_pack_words(spark, sf_dir):
+    """Packing on word-vocabulary token counts (ties exercise the tie-break)."""
+    conv = _conversations(spark, sf_dir, False)
+    prompts = conv.select("conv_id", "source_file", SECTIONS.render("messages").alias("prompt"))
+    vocab = WordVocabulary.build(prompts, "prompt", VOCAB_SIZE)
+    tokens = tokenize_conversations(conv, SECTIONS, vocab, "conv_id", ["source_file"])
+    spec = PackSpec(512, "truncate", "keep")
+    return assign_bins(tokens, spec, ["source_file"], "conv_id").select("source_file", "conv_id", "length", "bin")
+
+
 def q_train_fields(spark, sf_dir):
     tok = _tokens(spark, sf_dir, False)
     return tok.select("conv_id", "length", array_text(labels_for("input_ids")).alias("labels"),
@@ -186,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokenize_codepoint": q_tokenize_codepoint,
     "vocab_build": q_vocab_build,
     "tokenize_vocab": q_tokenize_vocab,
+    "tokenize_pretrained": q_tokenize_pretrained,
     "train_fields": q_train_fields,
     "truncate_rows": q_truncate_rows,
     "oversize_rows": q_oversize_rows,
@@ -198,6 +218,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "packed_arrow": lambda s, d: _bins(s, d, True, PackSpec(4096, "truncate", "drop"), with_length=False),
     "packed_jsonl": lambda s, d: _bins(s, d, True, PackSpec(4096, "own_bin", "keep")),
     "pack_report": q_pack_report,
+    "pack_words": q_pack_words,
 }
 
 
@@ -248,10 +269,17 @@ SELECT conv_id, {_shard_sql(sharded)} AS source_file, CAST(length(prompt) AS INT
 FROM ({_sections_sql()}) r"""
 
 
-def _walk_sql(sharded: bool, m: int) -> str:
+def _word_tokens_sql(sharded: bool) -> str:
+    return f"""
+SELECT conv_id, {_shard_sql(sharded)} AS source_file,
+       CAST(len(list_filter(regexp_split_to_array(prompt, '[ \\t\\n\\f\\r]+'), lambda x: x <> '')) AS INTEGER) AS length
+FROM ({_sections_sql()}) r"""
+
+
+def _walk_sql(sharded: bool, m: int, tokens_sql: str | None = None) -> str:
     """Literal next-fit-decreasing as a recursive CTE; yields (source_file, conv_id, n, l, i, b)."""
     return f"""
-tok AS ({_tokens_sql(sharded)}),
+tok AS ({tokens_sql or _tokens_sql(sharded)}),
 o AS (
   SELECT source_file, conv_id, length AS n, least(length, {m}) AS l,
          row_number() OVER (PARTITION BY source_file ORDER BY least(length, {m}) DESC, length DESC, conv_id) AS i
@@ -270,9 +298,9 @@ kept AS (
   WHERE __KEEP__)"""
 
 
-def _assign_sql(sharded: bool, m: int, drop: bool) -> str:
+def _assign_sql(sharded: bool, m: int, drop: bool, tokens_sql: str | None = None) -> str:
     keep = "t.tail IS NULL OR w.b <> t.tail" if drop else "TRUE"
-    return ("WITH RECURSIVE " + _walk_sql(sharded, m).replace("__KEEP__", keep) +
+    return ("WITH RECURSIVE " + _walk_sql(sharded, m, tokens_sql).replace("__KEEP__", keep) +
             "\nSELECT source_file, conv_id, CAST(n AS INTEGER) AS length, b AS bin FROM kept")
 
 
@@ -332,6 +360,13 @@ e AS (
   FROM (SELECT conv_id, list_filter(regexp_split_to_array(prompt, '[ \\t\\n\\f\\r]+'), lambda x: x <> '') AS l FROM p) s)
 SELECT e.conv_id, CAST(count(*) AS INTEGER) AS length,
        string_agg(CAST(coalesce(v.id, 0) AS VARCHAR), ',' ORDER BY e.pos) AS input_ids
+FROM e LEFT JOIN v USING (token) GROUP BY e.conv_id""",
+    "tokenize_pretrained": _vocab_sql() + """,
+e AS (
+  SELECT conv_id, unnest(l) AS token, generate_subscripts(l, 1) AS pos
+  FROM (SELECT conv_id, list_filter(regexp_split_to_array(prompt, '[ \\t\\n\\f\\r]+'), lambda x: x <> '') AS l FROM p) s)
+SELECT e.conv_id, CAST(count(*) AS INTEGER) AS length,
+       string_agg(CAST(coalesce(v.id, 0) AS VARCHAR), ',' ORDER BY e.pos) AS input_ids
 FROM e LEFT JOIN v USING (token) GROUP BY e.conv_id""",
     "train_fields": f"""
 SELECT conv_id, length, array_to_string([-100] || ids[2:], ',') AS labels,
@@ -363,6 +398,7 @@ SELECT source_file, CAST(sum(r) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS
        CAST(sum(inp) - sum(tk) AS BIGINT) AS truncated_tokens,
        CAST((sum(tk) * 1000000) // (count(*) * 4096) AS BIGINT) AS fill_ppm
 FROM per_bin GROUP BY source_file""",
+    "pack_words": _assign_sql(False, 512, False, _word_tokens_sql(False)),
 }
 
 
