@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqweave.functions.fields import labels_for, position_ids_for
-from seqweave.operators.ranking import DEFAULT_BROADCAST_ROWS, number_within
+from seqweave.operators.ranking import DEFAULT_BROADCAST_ROWS, group_stats, number_within
 from seqweave.plans.nfd import walk_frame
 from seqweave.plans.stage import stage_table
 from seqweave.session import ship_package
@@ -68,8 +68,15 @@ def _groups(df: DataFrame, group_cols: list[str] | tuple[str, ...] | None):
     return df.withColumn(_GROUP, F.lit("")), [_GROUP]
 
 
-def pack_plan(rows: DataFrame, spec: PackSpec, group_cols: list[str]) -> DataFrame:
-    """Histogram of clamped lengths per group, walked into a staged plan."""
+def _weight():
+    return F.col("_n") * F.col("_L")
+
+
+def pack_plan(rows: DataFrame, spec: PackSpec, group_cols: list[str]):
+    """Histogram of clamped lengths per group, walked into a staged plan.
+
+    Returns ``(plan, stats)``; the stats (plan rows, heaviest group in
+    tokens) are observed while the plan is written."""
     ship_package(rows.sparkSession)
     hist = rows.groupBy(*group_cols, "_L").agg(F.count(F.lit(1)).alias("_n"))
     schema = T.StructType(
@@ -82,7 +89,7 @@ def pack_plan(rows: DataFrame, spec: PackSpec, group_cols: list[str]) -> DataFra
         return walk_frame(pdf, max_length)
 
     plan = hist.groupBy(*group_cols).applyInPandas(plan_one_group, schema)
-    return stage_table(plan, "pack-plan")
+    return stage_table(plan, "pack-plan", group_stats(_weight()))
 
 
 def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key_col: str,
@@ -96,10 +103,10 @@ def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key
     df, keys = _groups(df, group_cols)
     m = int(spec.max_length)
     rows = df.withColumn("_L", F.least(F.col(length_col), F.lit(m)).cast("int"))
-    plan = pack_plan(rows, spec, keys)
+    plan, stats = pack_plan(rows, spec, keys)
     numbered = number_within(
         rows, plan, [*keys, "_L"], [F.col(length_col).desc(), F.col(key_col).asc()], key_col,
-        F.col("_n") * F.col("_L"), spec.tokens_per_task, spec.broadcast_rows)
+        _weight(), spec.tokens_per_task, spec.broadcast_rows, stats)
     fresh = F.col("_b0") + 1 + F.expr("(_r - _k0) div _per")
     out = numbered.withColumn(
         "bin", F.when(F.col("_r") < F.col("_k0"), F.col("_b0")).otherwise(fresh).cast("long"))

@@ -34,12 +34,22 @@ def maybe_broadcast(df: DataFrame, rows: int, limit: int = DEFAULT_BROADCAST_ROW
     return F.broadcast(df) if rows <= limit else df
 
 
+def group_stats(weight: Column) -> dict:
+    """Metrics to observe while staging a group table (see ``stage_table``)."""
+    return {"g": F.count(F.lit(1)), "w": F.max(weight)}
+
+
 def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], order: list[Column],
                   salt_key: str, weight: Column, per_task: int,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS, stats: dict | None = None) -> DataFrame:
     """Join ``groups`` (one staged row per key, with its columns) onto ``rows``
-    and add ``_r``, the 0-based index of each row inside its group."""
-    stats = groups.agg(F.count(F.lit(1)).alias("g"), F.max(weight).alias("w")).first()
+    and add ``_r``, the 0-based index of each row inside its group.
+
+    ``stats`` (``g``: groups, ``w``: heaviest weight) may come from observing
+    the staging write; otherwise they are computed from ``groups``.
+    """
+    if stats is None:
+        stats = groups.agg(*[c.alias(k) for k, c in group_stats(weight).items()]).first().asDict()
     n_groups, heaviest = int(stats["g"] or 0), int(stats["w"] or 0)
     salts = max(1, math.ceil(heaviest / max(1, per_task)))
     if salts == 1:
@@ -54,8 +64,8 @@ def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], order: li
     counts = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_sn"))
     before = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_salt", F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_off"))
-    offsets = stage_table(offsets.join(groups, keys), "offsets")
-    n_offsets = offsets.count()
+    offsets, seen = stage_table(offsets.join(groups, keys), "offsets", {"n": F.count(F.lit(1))})
+    n_offsets = int(seen["n"] or 0)
     w = Window.partitionBy(*keys, "_salt").orderBy(*order)
     numbered = salted.withColumn("_rn", F.row_number().over(w))
     joined = numbered.join(maybe_broadcast(offsets, n_offsets, broadcast_rows), [*keys, "_salt"])
@@ -81,8 +91,8 @@ def rank_by_length(df: DataFrame, group_cols: list[str], key_col: str, length_co
     longer = Window.partitionBy(*group_cols).orderBy(F.col(length_col).desc()).rowsBetween(
         Window.unboundedPreceding, -1)
     hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(longer), F.lit(0)))
-    hist = stage_table(hist, "length-offsets")
+    hist, stats = stage_table(hist, "length-offsets", group_stats(F.col("_n")))
     numbered = number_within(df, hist, [*group_cols, length_col], [F.col(key_col).asc()],
-                             key_col, F.col("_n"), rows_per_task, broadcast_rows)
+                             key_col, F.col("_n"), rows_per_task, broadcast_rows, stats)
     return numbered.withColumn("rank", (F.col("_before") + F.col("_r") + 1).cast("long")).drop(
         "_n", "_before", "_r")

@@ -16,9 +16,24 @@ from pyspark.sql import DataFrame
 from seqweave.session import checkpoint_dir
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, metrics: dict | None = None):
+    """Write ``df`` under the checkpoint folder and read it back.
+
+    ``metrics`` (name -> aggregate Column) are observed while the table is
+    written (``DataFrame.observe``), so small facts about it, such as its row
+    count, come without another job; then ``(table, values)`` is returned.
+    """
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/seqweave-stage/{name}-{uuid.uuid4().hex}"
+    observation = None
+    if metrics:
+        from pyspark.sql import Observation
+
+        observation = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        df = df.observe(observation, *[c.alias(k) for k, c in metrics.items()])
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if observation is None:
+        return table
+    return table, dict(observation.get)
