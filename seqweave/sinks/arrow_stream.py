@@ -118,12 +118,23 @@ class _ArrowStreamWriter(DataSourceArrowWriter):
         for tmp, final in moves:
             fs.create_dir(posixpath.dirname(final), recursive=True)
             fs.move(tmp, final)
-        fs.delete_dir(posixpath.join(root, "_temporary", self.job))
+        self._drop_temporary(fs, root)
+
+    def _drop_temporary(self, fs, root):
+        import pyarrow.fs as pafs
+
+        tmp = posixpath.join(root, "_temporary", self.job)
+        if fs.get_file_info(tmp).type == pafs.FileType.Directory:
+            fs.delete_dir(tmp)
+        parent = posixpath.join(root, "_temporary")
+        info = fs.get_file_info(pafs.FileSelector(parent, allow_not_found=True))
+        if not info and fs.get_file_info(parent).type == pafs.FileType.Directory:
+            fs.delete_dir(parent)
 
     def abort(self, messages):
         fs, root = _fs(self.path)
         try:
-            fs.delete_dir(posixpath.join(root, "_temporary", self.job))
+            self._drop_temporary(fs, root)
         except OSError:
             pass
 

@@ -119,3 +119,13 @@ def test_arrow_rerun_replaces_parts(spark, tmp_dir):
     rows = [r for f in glob.glob(f"{out}/alpha/*.arrow") for r in read_arrow_stream(f).to_pylist()]
     assert sorted(_segments(r) for r in rows) == sorted(expected_lengths(FILES["alpha"], 40, "truncate", "keep"))
     assert write_bins is not None
+
+
+def test_empty_folder_writes_nothing(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    for fmt in ("arrow", "jsonl", "parquet"):
+        out = f"{tmp_dir}/out-{fmt}"
+        res = pack_job(spark, src, out, max_length=40, fmt=fmt)
+        assert res["report"].count() == 0
+        assert not glob.glob(f"{out}/**/*.arrow", recursive=True)
