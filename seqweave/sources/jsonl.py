@@ -36,12 +36,18 @@ def _local(path: str) -> str:
 
 def is_file(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is a single file (local paths checked directly,
-    other file systems through the Hadoop FileSystem of the session)."""
+    other file systems through the Hadoop FileSystem of the session).
+    A missing path raises ``FileNotFoundError``, as the reference stops."""
     if _is_local(path):
-        return os.path.isfile(_local(path))
+        local = _local(path)
+        if not os.path.exists(local):
+            raise FileNotFoundError(path)
+        return os.path.isfile(local)
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        raise FileNotFoundError(path)
     return fs.getFileStatus(hpath).isFile()
 
 

@@ -92,3 +92,8 @@ def test_parse_from_derived_lines(spark):
     df = spark.createDataFrame([(GOOD[1],)], "line string")
     r = parse_conversations(df).first()
     assert r["error"] is None and r["messages"][0]["role"] == "user"
+
+
+def test_missing_input_raises(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        read_lines(spark, f"{tmp_dir}/nope")
