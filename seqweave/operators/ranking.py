@@ -3,14 +3,15 @@
 ``number_within`` gives every row an index ``_r`` in ``0..n-1`` inside its
 group (ordered by the given columns).  A plain window partitioned by the group
 would put a hot group, e.g. one file holding a third of all rows, into one
-task.  Instead the group sizes (already known from a histogram) decide a
-global salt count ``S``:
+task.  Instead the group weights (already known from a histogram) decide:
 
-* ``S == 1``: every group fits one task; a window over the group does it.
-* ``S > 1``: rows get ``salt = pmod(xxhash64(key), S)``; a narrow aggregation
-  counts rows per (group, salt), a window over those counts (at most ``S``
-  rows per group) turns them into offsets, and the final window runs per
-  (group, salt).  The index is ``offset + row_number - 1``.
+* every group fits one task: a window over the group does it;
+* otherwise each heavy group is split into ``S_g = ceil(weight / per_task)``
+  salts, ``salt = pmod(xxhash64(key), S_g)`` (light groups keep salt 0); a
+  narrow aggregation counts the heavy groups' rows per (group, salt), a
+  window over those counts (``S_g`` rows per group) turns them into offsets,
+  and the final window runs per (group, salt).  The index is
+  ``offset + row_number - 1``.  Light groups keep the exact key order.
 
 The group table is joined with a broadcast only when its row count, checked
 first, is under ``broadcast_rows``; otherwise it is a shuffle join on the
@@ -51,8 +52,8 @@ def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], order: li
     if stats is None:
         stats = groups.agg(*[c.alias(k) for k, c in group_stats(weight).items()]).first().asDict()
     n_groups, heaviest = int(stats["g"] or 0), int(stats["w"] or 0)
-    salts = max(1, math.ceil(heaviest / max(1, per_task)))
-    if salts == 1:
+    per_task = max(1, int(per_task))
+    if heaviest <= per_task:
         # number first, then attach the group columns: the shuffle for the
         # window carries no plan columns, and a shuffle join on the same keys
         # reuses the window's partitioning
@@ -60,16 +61,26 @@ def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], order: li
         numbered = rows.withColumn("_r", (F.row_number().over(w) - 1).cast("long"))
         return numbered.join(maybe_broadcast(groups, n_groups, broadcast_rows), keys)
 
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_key)), F.lit(salts)).cast("int"))
-    counts = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_sn"))
+    # some group is too heavy for one task: split only those groups, each
+    # into ceil(weight / per_task) salts; light groups keep salt 0
+    ns = F.greatest(F.lit(1), F.ceil(weight / F.lit(per_task))).cast("int")
+    sized = groups.withColumn("_ns", ns)
+    salted = rows.join(maybe_broadcast(sized, n_groups, broadcast_rows), keys).withColumn(
+        "_salt", F.when(F.col("_ns") > 1, F.pmod(F.xxhash64(F.col(salt_key)), F.col("_ns")))
+        .otherwise(F.lit(0)).cast("int"))
+    # offsets of the salts of heavy groups: one row per (group, salt), so at
+    # most total weight / per_task + number of heavy groups rows
+    counts = salted.filter(F.col("_ns") > 1).groupBy(*keys, "_salt").agg(
+        F.count(F.lit(1)).alias("_sn"))
     before = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_salt", F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_off"))
-    offsets, seen = stage_table(offsets.join(groups, keys), "offsets", {"n": F.count(F.lit(1))})
-    n_offsets = int(seen["n"] or 0)
+    offsets, seen = stage_table(offsets, "offsets", {"n": F.count(F.lit(1))})
     w = Window.partitionBy(*keys, "_salt").orderBy(*order)
     numbered = salted.withColumn("_rn", F.row_number().over(w))
-    joined = numbered.join(maybe_broadcast(offsets, n_offsets, broadcast_rows), [*keys, "_salt"])
-    return joined.withColumn("_r", (F.col("_off") + F.col("_rn") - 1).cast("long")).drop("_off", "_rn", "_salt")
+    joined = numbered.join(maybe_broadcast(offsets, int(seen["n"] or 0), broadcast_rows),
+                           [*keys, "_salt"], "left")
+    r = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn") - 1
+    return joined.withColumn("_r", r.cast("long")).drop("_off", "_rn", "_salt", "_ns")
 
 
 def length_histogram(df: DataFrame, group_cols: list[str], length_col: str = "length") -> DataFrame:

@@ -132,3 +132,15 @@ def test_invalid_spec():
     with pytest.raises(ValueError):
         PackSpec(10, "cut")
     assert F is not None
+
+
+def test_only_heavy_groups_are_salted(spark):
+    rnd = random.Random(9)
+    groups = {0: [rnd.randint(1, 9) for _ in range(600)], 1: [3] * 10, 2: [rnd.randint(1, 9) for _ in range(8)]}
+    spec = PackSpec(16, tokens_per_task=100)
+    got = _spark_bins(spark, groups, spec)
+    for g in (1, 2):  # light: exact membership, as without salting
+        assert got[g] == next_fit_decreasing(groups[g], 16)
+    lengths = groups[0]
+    expect = next_fit_decreasing(lengths, 16)
+    assert [sorted(lengths[i] for i in b) for b in got[0]] == [sorted(lengths[i] for i in b) for b in expect]
