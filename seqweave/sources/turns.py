@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqweave.sources.validate import check_messages
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -12,7 +14,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def conversations_from_turns(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                              role: str = "role", text: str = "text",
-                             source_file: Column | None = None) -> DataFrame:
+                             source_file: Column | None = None, on_error: str = "fail"):
     """Group turns into ``messages: array<struct<role, content>>`` per conversation.
 
     One hash aggregation on the conversation key; the messages are ordered by
@@ -20,6 +22,8 @@ def conversations_from_turns(turns: DataFrame, key: str = "conv_id", order: str
     JSONL line, so the group is bounded by one conversation).  The result stays
     hash-partitioned by ``key``, which later per-conversation regroupings reuse.
     ``source_file`` optionally tags each conversation with the file it belongs to.
+    Messages with a NULL role or text fail the job (``on_error="fail"``) or,
+    with ``"quarantine"``, are returned apart as ``(good, bad)``.
     """
     member = F.struct(F.col(order).alias("o"), F.col(role).alias("role"), F.col(text).alias("content"))
     grouped = turns.groupBy(key).agg(F.array_sort(F.collect_list(member)).alias("_m"))
@@ -27,7 +31,7 @@ def conversations_from_turns(turns: DataFrame, key: str = "conv_id", order: str
     cols = [F.col(key), messages.alias("messages")]
     if source_file is not None:
         cols.insert(1, source_file.alias("source_file"))
-    return grouped.select(*cols)
+    return check_messages(grouped.select(*cols), key, on_error)
 
 
 def shard_of(key: str = "conv_id", shards: int = 4) -> Column:

@@ -97,3 +97,17 @@ def test_parse_from_derived_lines(spark):
 def test_missing_input_raises(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         read_lines(spark, f"{tmp_dir}/nope")
+
+
+def test_turns_with_null_text_fail_or_quarantine(spark):
+    from seqweave.sources.turns import conversations_from_turns
+
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", None), (3, 1, "user", "b"), (3, 0, "system", "a")],
+        "conv_id long, turn long, role string, text string")
+    good, bad = conversations_from_turns(turns, on_error="quarantine")
+    assert sorted(r["conv_id"] for r in good.collect()) == [1, 3]
+    assert [m["role"] for m in good.filter("conv_id = 3").first()["messages"]] == ["system", "user"]
+    assert [(r["conv_id"], r["error"]) for r in bad.collect()] == [(2, "message without string role and content")]
+    with pytest.raises(Exception, match="invalid conversation 2"):
+        conversations_from_turns(turns).collect()
