@@ -140,7 +140,8 @@ def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None
     assigned = assign_bins(tokens, spec, groups, "row_key")
     per_part = ONE_PART if layout == "file" else BINS_PER_PART
     bins = materialize_bins(assigned, spec, groups, late_ids=late, bins_per_part=per_part)
-    write_bins(bins, output_path, fmt, layout=layout, part_prefix=part_prefix, clustered=True)
+    write_bins(bins, output_path, fmt, layout=layout, part_prefix=part_prefix, clustered=True,
+               bins_per_part=per_part)
     if rejected is not None:
         rejected.write.mode("overwrite").json(output_path.rstrip("/") + "/_rejected")
     report = pack_report(assigned, spec, groups)

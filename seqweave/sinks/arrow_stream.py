@@ -7,9 +7,11 @@ temporary name; the driver's ``commit`` renames the files of successful
 attempts, and ``abort`` removes them, so retried or speculative tasks never
 leave partial output.
 
-Layouts: ``parts`` writes ``<out>/<stem>/part-<partition>.arrow`` (many
-tasks per input file); ``file`` writes ``<out>/<stem>.arrow`` and expects all
-bins of a stem in one partition (the reference's one-file-per-input naming).
+Layouts: ``parts`` writes ``<out>/<stem>/part-<bucket>.arrow`` where bucket
+= bin // bins_per_part (many tasks per input file; each bucket is written by
+one task, and reading parts in name order gives the bins in creation order);
+``file`` writes ``<out>/<stem>.arrow`` and expects all bins of a stem in one
+partition (the reference's one-file-per-input naming).
 """
 
 from __future__ import annotations
@@ -60,11 +62,12 @@ class _ArrowStreamWriter(DataSourceArrowWriter):
         self.stem_col = options.get("stem_col", "file_stem")
         self.job = options.get("job_id") or uuid.uuid4().hex
         self.prefix = options.get("prefix", "")
+        self.bins_per_part = int(options.get("bins_per_part", "8192"))
 
-    def _final(self, stem: str, partition: int) -> str:
+    def _final(self, stem: str, bucket: int) -> str:
         if self.layout == "file":
             return posixpath.join(self.path, f"{stem}.arrow")
-        return posixpath.join(self.path, stem, f"{self.prefix}part-{partition:05d}.arrow")
+        return posixpath.join(self.path, stem, f"{self.prefix}part-{bucket:05d}.arrow")
 
     def write(self, iterator):
         import pyarrow as pa
@@ -82,18 +85,24 @@ class _ArrowStreamWriter(DataSourceArrowWriter):
         try:
             for batch in iterator:
                 stems = batch.column(self.stem_col)
-                for stem in pc.unique(stems).to_pylist():
-                    part = batch.filter(pc.equal(stems, stem))
-                    if stem not in writers:
-                        final = self._final(stem, partition)
+                if self.layout == "file":
+                    buckets = pa.nulls(batch.num_rows, pa.int64()).fill_null(0)
+                else:
+                    buckets = pc.divide(batch.column("bin"), self.bins_per_part)
+                pairs = pa.table({"s": stems, "b": buckets}).group_by(["s", "b"]).aggregate([])
+                for key in pairs.to_pylist():
+                    stem, bucket = key["s"], int(key["b"])
+                    part = batch.filter(pc.and_(pc.equal(stems, stem), pc.equal(buckets, bucket)))
+                    if (stem, bucket) not in writers:
+                        final = self._final(stem, bucket)
                         tmp = posixpath.join(root, "_temporary", self.job,
                                              f"{partition:05d}-{attempt}-{len(writers)}.arrow")
                         fs.create_dir(posixpath.dirname(tmp), recursive=True)
                         sink = fs.open_output_stream(tmp)
-                        writers[stem] = (sink, ipc.new_stream(sink, schema))
+                        writers[(stem, bucket)] = (sink, ipc.new_stream(sink, schema))
                         moves.append((tmp, final))
                     cols = [part.column(c).cast(schema.field(c).type) for c in ARROW_COLUMNS]
-                    writers[stem][1].write_batch(pa.record_batch(cols, schema=schema))
+                    writers[(stem, bucket)][1].write_batch(pa.record_batch(cols, schema=schema))
         finally:
             for sink, writer in writers.values():
                 writer.close()

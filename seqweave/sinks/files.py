@@ -71,9 +71,10 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
          .write.mode("overwrite").partitionBy("file_stem").json(output_path))
     elif fmt == "arrow":
         _register(bins.sparkSession)
-        (clustered.select("file_stem", "input_ids", "labels", "position_ids")
+        (clustered.select("file_stem", "bin", "input_ids", "labels", "position_ids")
          .write.format(ArrowStreamDataSource.name()).mode("overwrite")
          .option("path", output_path).option("layout", layout).option("prefix", part_prefix)
+         .option("bins_per_part", str(bins_per_part))
          .option("job_id", uuid.uuid4().hex).save())
     else:
         raise ValueError(f"format not supported: {fmt}")

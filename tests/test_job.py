@@ -129,3 +129,27 @@ def test_empty_folder_writes_nothing(spark, tmp_dir):
         res = pack_job(spark, src, out, max_length=40, fmt=fmt)
         assert res["report"].count() == 0
         assert not glob.glob(f"{out}/**/*.arrow", recursive=True)
+
+
+def test_arrow_parts_named_by_bin_bucket_keep_creation_order(spark, tmp_dir):
+    from seqweave.operators.packing import PackSpec, assign_bins, materialize_bins
+    from seqweave.plans.job import tokenize_conversations
+    from seqweave.sinks.files import write_bins
+    from seqweave.functions.template import ChatTemplate
+    from seqweave.sources.jsonl import read_conversations
+
+    convs = {"big": ["x" * (i % 17 + 1) for i in range(60)]}
+    src = make_input(tmp_dir, convs)
+    conv = read_conversations(spark, src)
+    tokens = tokenize_conversations(conv, ChatTemplate.sections(), None, "row_key", ["source_file", "file_stem"])
+    spec = PackSpec(30)
+    bins = materialize_bins(assign_bins(tokens, spec, ["source_file", "file_stem"], "row_key"), spec,
+                            ["source_file", "file_stem"], bins_per_part=4)
+    out = f"{tmp_dir}/out"
+    write_bins(bins, out, "arrow", bins_per_part=4, clustered=True)
+    names = sorted(os.listdir(f"{out}/big"))
+    assert names[0] == "part-00000.arrow" and len(names) > 2
+    rows = [r for n in names for r in read_arrow_stream(f"{out}/big/{n}").to_pylist()]
+    lengths = [12 + len(c) for c in convs["big"]]
+    expect = next_fit_decreasing(lengths, 30)
+    assert [_segments(r) for r in rows] == [sorted(lengths[i] for i in b) for b in expect]
