@@ -50,12 +50,15 @@ def tokenize_conversations(conv: DataFrame, template: ChatTemplate, tokenizer=No
     else:
         tok = tokenizer.tokenize(rendered, "prompt", "input_ids", key_cols=[key_col])
         tok = tok.select(*group_cols, key_col, length_of("input_ids").alias("length"), "input_ids")
+    # ``length`` is declared non-null (coalesce): otherwise Catalyst infers
+    # isnotnull(length) for later joins and evaluates the rendering twice
+    n = F.coalesce(F.col("length"), F.lit(0))
     if zero_tokens == "fail":
-        checked = F.when(F.col("length") == 0, F.raise_error(F.concat(
+        checked = F.when(n == 0, F.raise_error(F.concat(
             F.lit("conversation renders to no tokens: "), F.col(key_col).cast("string")))
-        ).otherwise(F.col("length")).cast("int")
-        return tok.withColumn("length", checked)
-    return tok.filter(F.col("length") > 0)
+        ).otherwise(n)
+        return tok.withColumn("length", F.coalesce(checked, F.lit(0)).cast("int"))
+    return tok.withColumn("length", n.cast("int")).filter(F.col("length") > 0)
 
 
 def pack_conversations(tokens: DataFrame, spec: PackSpec, group_cols: list[str] | None,

@@ -46,3 +46,17 @@ def test_codepoint_tokenizer(spark):
     rows = df.select(CodePointTokenizer.ids("p").alias("i"), CodePointTokenizer.length("p").alias("n")).collect()
     assert rows[0]["i"] == [97, 0x1F600, 98, 0xE9, 10] and rows[0]["n"] == 5
     assert rows[1]["i"] == [] and rows[1]["n"] == 0
+
+
+def test_zero_token_conversation_fails_or_drops(spark):
+    import pytest
+
+    from seqweave.functions.template import ChatTemplate
+    from seqweave.plans.job import tokenize_conversations
+
+    conv = spark.createDataFrame([(1, [("user", "hi")]), (2, [("system", "")])],
+                                 "k long, messages array<struct<role:string,content:string>>")
+    with pytest.raises(Exception, match="no tokens: 2"):
+        tokenize_conversations(conv, ChatTemplate.sections(), None, "k").collect()
+    kept = tokenize_conversations(conv, ChatTemplate.sections(), None, "k", zero_tokens="drop").collect()
+    assert [(r["k"], r["length"]) for r in kept] == [(1, 14)]
