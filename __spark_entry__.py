@@ -23,7 +23,7 @@ from seqweave.functions.fields import (
 )
 from seqweave.functions.template import ChatTemplate
 from seqweave.functions.tokenizers import CodePointTokenizer, PretrainedTokenizer, WordVocabulary
-from seqweave.operators.packing import PackSpec, assign_bins, materialize_bins
+from seqweave.operators.packing import PackSpec, assign_bins, clip_payload, materialize_bins
 from seqweave.operators.ranking import length_histogram, rank_by_length
 from seqweave.plans.job import pack_report, tokenize_conversations
 from seqweave.sources.jsonl import parse_conversations
@@ -56,7 +56,7 @@ def _assignment(spark, sf_dir, sharded, spec):
 
 
 def _bins(spark, sf_dir, sharded, spec, with_length=True):
-    tokens = _tokens(spark, sf_dir, sharded)
+    tokens = clip_payload(_tokens(spark, sf_dir, sharded).drop("input_ids"), spec, head=CodePointTokenizer.head)
     bins = materialize_bins(assign_bins(tokens, spec, ["source_file"], "conv_id"), spec, ["source_file"],
                             late_ids=CodePointTokenizer.ids)
     cols = [
@@ -407,7 +407,7 @@ def entry(spark: SparkSession) -> DataFrame:
     """Flagship: conversations -> sections template -> code points -> packed
     bins (4 files, 4096 tokens, over-long rows truncated), with arrays."""
     spec = PackSpec(4096, "truncate", "keep")
-    tokens = _tokens(spark, SMOKE_DIR, True)
+    tokens = clip_payload(_tokens(spark, SMOKE_DIR, True).drop("input_ids"), spec, head=CodePointTokenizer.head)
     return materialize_bins(assign_bins(tokens, spec, ["source_file"], "conv_id"), spec, ["source_file"],
                             late_ids=CodePointTokenizer.ids)
 

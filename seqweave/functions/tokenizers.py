@@ -44,6 +44,12 @@ class CodePointTokenizer:
         text = F.col(text) if isinstance(text, str) else text
         return F.length(text).cast("int")
 
+    @staticmethod
+    def head(text: Column | str, n: int) -> Column:
+        """Text whose tokens are the first ``n`` tokens of ``text``."""
+        text = F.col(text) if isinstance(text, str) else text
+        return F.substring(text, 1, n)
+
     def tokenize(self, df: DataFrame, text_col: str = "prompt", out_col: str = "input_ids",
                  key_cols: list[str] | None = None) -> DataFrame:
         return df.withColumn(out_col, self.ids(text_col))

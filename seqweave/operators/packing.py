@@ -116,6 +116,23 @@ def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key
     return out.drop(_GROUP) if _GROUP in out.columns else out
 
 
+def clip_payload(tokens: DataFrame, spec: PackSpec, ids_col: str = "input_ids",
+                 text_col: str = "prompt", head=None) -> DataFrame:
+    """In truncate mode, cut each row's payload to ``max_length`` tokens before
+    any shuffle: ids are sliced; text is cut with ``head`` (a prefix-stable
+    tokenizer's ``head(text, n)``) when given.  ``length`` keeps the true
+    count, which orders over-long rows and feeds the report."""
+    if spec.oversize != "truncate":
+        return tokens
+    m = int(spec.max_length)
+    out = tokens
+    if ids_col in out.columns:
+        out = out.withColumn(ids_col, F.slice(F.col(ids_col), 1, m))
+    if head is not None and text_col in out.columns:
+        out = out.withColumn(text_col, head(F.col(text_col), m))
+    return out
+
+
 def materialize_bins(assigned: DataFrame, spec: PackSpec, group_cols: list[str] | None,
                      ids_col: str = "input_ids", late_ids=None, text_col: str = "prompt",
                      bins_per_part: int | None = None) -> DataFrame:

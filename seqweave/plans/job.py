@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from seqweave.functions.fields import length_of
 from seqweave.functions.template import ChatTemplate
 from seqweave.functions.tokenizers import CodePointTokenizer
-from seqweave.operators.packing import PackSpec, assign_bins, materialize_bins
+from seqweave.operators.packing import PackSpec, assign_bins, clip_payload, materialize_bins
 from seqweave.plans.stage import stage_table
 
 
@@ -64,8 +64,11 @@ def tokenize_conversations(conv: DataFrame, template: ChatTemplate, tokenizer=No
 def pack_conversations(tokens: DataFrame, spec: PackSpec, group_cols: list[str] | None,
                        key_col: str, tokenizer=None) -> DataFrame:
     """Tokenized rows -> one row per bin (``input_ids, labels, position_ids, length``)."""
+    late = _late_ids(tokens, tokenizer)
+    head = getattr(tokenizer or CodePointTokenizer(), "head", None) if late else None
+    tokens = clip_payload(tokens.drop("input_ids") if late else tokens, spec, head=head)
     assigned = assign_bins(tokens, spec, group_cols, key_col)
-    return materialize_bins(assigned, spec, group_cols, late_ids=_late_ids(tokens, tokenizer))
+    return materialize_bins(assigned, spec, group_cols, late_ids=late)
 
 
 def _late_ids(tokens: DataFrame, tokenizer):
@@ -138,8 +141,11 @@ def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None
     groups = ["source_file", "file_stem"]
     tokens = tokenize_conversations(conv, template, tokenizer, "row_key", groups)
     late = _late_ids(tokens, tokenizer)
-    # stage once: text + length for expression tokenizers, ids otherwise
-    tokens = stage_table(tokens.drop("input_ids") if late else tokens, "tokens")
+    # stage once: text + length for expression tokenizers, ids otherwise,
+    # cut to max_length in truncate mode
+    tokens = tokens.drop("input_ids") if late else tokens
+    tokens = clip_payload(tokens, spec, head=getattr(tokenizer or CodePointTokenizer(), "head", None))
+    tokens = stage_table(tokens, "tokens")
     assigned = assign_bins(tokens, spec, groups, "row_key")
     per_part = ONE_PART if layout == "file" else BINS_PER_PART
     bins = materialize_bins(assigned, spec, groups, late_ids=late, bins_per_part=per_part)
