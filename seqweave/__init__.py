@@ -19,12 +19,20 @@ from seqweave.functions.tokenizers import (
     PretrainedTokenizer,
     WordVocabulary,
 )
-from seqweave.operators.packing import PackSpec, assign_bins, materialize_bins
+from seqweave.operators.packing import PackSpec, assign_bins, clip_payload, materialize_bins
 from seqweave.operators.ranking import length_histogram, rank_by_length
-from seqweave.plans.job import pack_conversations, pack_job, pack_report
+from seqweave.plans.job import (
+    pack_conversations,
+    pack_job,
+    pack_lines,
+    pack_report,
+    tokenize_conversations,
+)
 from seqweave.session import checkpoint_dir, get_session
-from seqweave.sources.jsonl import read_conversations
+from seqweave.sources.jsonl import line_counts, read_conversations
 from seqweave.sources.turns import conversations_from_turns
+from seqweave.sources.validate import check_messages
+from seqweave.streaming.continuous import start_continuous_pack
 
 __all__ = [
     "ChatTemplate",
@@ -35,17 +43,23 @@ __all__ = [
     "SystemBlock",
     "WordVocabulary",
     "assign_bins",
+    "check_messages",
     "checkpoint_dir",
+    "clip_payload",
     "conversations_from_turns",
     "get_session",
     "labels_for",
     "length_histogram",
+    "line_counts",
     "materialize_bins",
     "pack_conversations",
     "pack_job",
+    "pack_lines",
     "pack_report",
     "position_ids_for",
     "rank_by_length",
     "read_conversations",
+    "start_continuous_pack",
+    "tokenize_conversations",
     "truncate_ids",
 ]
