@@ -186,12 +186,12 @@ def q_length_rank(spark, sf_dir):
 
 
 def q_pack_report(spark, sf_dir):
-    spec = PackSpec(4096, "truncate", "keep")
-    assigned = assign_bins(_tokens(spark, sf_dir, True), spec, ["source_file"], "conv_id")
+    spec = PackSpec(4096, "truncate", "drop")
+    assigned = assign_bins(_tokens(spark, sf_dir, True), spec, ["source_file"], "conv_id", mark_dropped=True)
     rep = pack_report(assigned, spec, ["source_file"])
     fill = F.expr(f"(packed_tokens * 1000000) div (bins * {spec.max_length})")
     return rep.select("source_file", "rows", "bins", "input_tokens", "packed_tokens",
-                      "truncated_tokens", fill.alias("fill_ppm"))
+                      "truncated_tokens", "dropped_tokens", fill.alias("fill_ppm"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -391,12 +391,19 @@ FROM ({_tokens_sql(True)}) x""",
     "packed_arrow": _bins_sql(True, 4096, truncate=True, drop=True, with_length=False),
     "packed_jsonl": _bins_sql(True, 4096, truncate=False, drop=False, with_length=True),
     "pack_report": "WITH RECURSIVE " + _walk_sql(True, 4096).replace("__KEEP__", "TRUE") + """,
+tails AS (SELECT source_file, max(b) AS tail FROM w WHERE n < 4096 GROUP BY source_file),
 per_bin AS (
-  SELECT source_file, b, count(*) AS r, sum(least(n, 4096)) AS tk, sum(n) AS inp FROM kept GROUP BY source_file, b)
-SELECT source_file, CAST(sum(r) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS bins,
-       CAST(sum(inp) AS BIGINT) AS input_tokens, CAST(sum(tk) AS BIGINT) AS packed_tokens,
+  SELECT k.source_file, k.b, count(*) AS r, sum(least(k.n, 4096)) AS tk, sum(k.n) AS inp,
+         bool_or(k.b = t.tail) AS lost
+  FROM kept k LEFT JOIN tails t USING (source_file) GROUP BY k.source_file, k.b)
+SELECT source_file, CAST(sum(r) AS BIGINT) AS rows,
+       CAST(sum(CASE WHEN lost THEN 0 ELSE 1 END) AS BIGINT) AS bins,
+       CAST(sum(inp) AS BIGINT) AS input_tokens,
+       CAST(sum(CASE WHEN lost THEN 0 ELSE tk END) AS BIGINT) AS packed_tokens,
        CAST(sum(inp) - sum(tk) AS BIGINT) AS truncated_tokens,
-       CAST((sum(tk) * 1000000) // (count(*) * 4096) AS BIGINT) AS fill_ppm
+       CAST(sum(CASE WHEN lost THEN tk ELSE 0 END) AS BIGINT) AS dropped_tokens,
+       CAST((sum(CASE WHEN lost THEN 0 ELSE tk END) * 1000000)
+            // (sum(CASE WHEN lost THEN 0 ELSE 1 END) * 4096) AS BIGINT) AS fill_ppm
 FROM per_bin GROUP BY source_file""",
     "pack_words": _assign_sql(False, 512, False, _word_tokens_sql(False)),
 }

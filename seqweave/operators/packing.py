@@ -93,12 +93,14 @@ def pack_plan(rows: DataFrame, spec: PackSpec, group_cols: list[str]):
 
 
 def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key_col: str,
-                length_col: str = "length") -> DataFrame:
+                length_col: str = "length", mark_dropped: bool = False) -> DataFrame:
     """Add ``bin`` (0-based, in creation order inside the group) to every row.
 
     Also keeps ``_L`` (clamped length) and ``_r`` (index among equal ``_L``),
     which ``materialize_bins`` uses to order the members of a bin.  With
-    ``tail="drop"`` the rows of each group's last short-row bin are removed.
+    ``tail="drop"`` the rows of each group's last short-row bin are removed,
+    or, with ``mark_dropped``, kept and flagged in a boolean ``dropped``
+    column (so a report can count them).
     """
     df, keys = _groups(df, group_cols)
     m = int(spec.max_length)
@@ -111,7 +113,8 @@ def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key
     out = numbered.withColumn(
         "bin", F.when(F.col("_r") < F.col("_k0"), F.col("_b0")).otherwise(fresh).cast("long"))
     if spec.tail == "drop":
-        out = out.filter(F.col("_tail").isNull() | (F.col("bin") != F.col("_tail")))
+        lost = F.coalesce(F.col("bin") == F.col("_tail"), F.lit(False))
+        out = out.withColumn("dropped", lost) if mark_dropped else out.filter(~lost)
     out = out.drop(*_PLAN_COLS)
     return out.drop(_GROUP) if _GROUP in out.columns else out
 

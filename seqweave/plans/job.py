@@ -79,25 +79,33 @@ def _late_ids(tokens: DataFrame, tokenizer):
 
 
 def pack_report(assigned: DataFrame, spec: PackSpec, group_cols: list[str]) -> DataFrame:
-    """Per group: rows, bins, tokens in and out, truncated tokens, fill rate.
+    """Per group: rows, bins, tokens in and out, truncated and dropped tokens,
+    fill rate.
 
     Built from the bin assignment only (no arrays); a two-level aggregation
-    (per bin, then per group) avoids a distinct count over rows.
+    (per bin, then per group) avoids a distinct count over rows.  Rows flagged
+    ``dropped`` (``assign_bins(mark_dropped=True)``) count as dropped tokens
+    and are left out of bins and packed tokens.
     """
     m = int(spec.max_length)
     kept = F.least(F.col("length"), F.lit(m)) if spec.oversize == "truncate" else F.col("length")
+    lost = F.col("dropped") if "dropped" in assigned.columns else F.lit(False)
     per_bin = assigned.groupBy(*group_cols, "bin").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum(kept).alias("_tokens"),
         F.sum("length").alias("_input"),
+        F.max(lost).alias("_lost"),
     )
+    out_tokens = F.sum(F.when(~F.col("_lost"), F.col("_tokens")).otherwise(F.lit(0)))
+    out_bins = F.sum(F.when(~F.col("_lost"), F.lit(1)).otherwise(F.lit(0)))
     return per_bin.groupBy(*group_cols).agg(
         F.sum("_rows").cast("long").alias("rows"),
-        F.count(F.lit(1)).cast("long").alias("bins"),
+        out_bins.cast("long").alias("bins"),
         F.sum("_input").cast("long").alias("input_tokens"),
-        F.sum("_tokens").cast("long").alias("packed_tokens"),
+        out_tokens.cast("long").alias("packed_tokens"),
         (F.sum("_input") - F.sum("_tokens")).cast("long").alias("truncated_tokens"),
-        F.round(F.sum("_tokens") / (F.count(F.lit(1)) * F.lit(m)), 6).alias("fill_rate"),
+        F.sum(F.when(F.col("_lost"), F.col("_tokens")).otherwise(F.lit(0))).cast("long").alias("dropped_tokens"),
+        F.round(out_tokens / (out_bins * F.lit(m)), 6).alias("fill_rate"),
     )
 
 
@@ -146,9 +154,10 @@ def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None
     tokens = tokens.drop("input_ids") if late else tokens
     tokens = clip_payload(tokens, spec, head=getattr(tokenizer or CodePointTokenizer(), "head", None))
     tokens = stage_table(tokens, "tokens")
-    assigned = assign_bins(tokens, spec, groups, "row_key")
+    assigned = assign_bins(tokens, spec, groups, "row_key", mark_dropped=True)
+    kept = assigned.filter(~F.col("dropped")) if "dropped" in assigned.columns else assigned
     per_part = ONE_PART if layout == "file" else BINS_PER_PART
-    bins = materialize_bins(assigned, spec, groups, late_ids=late, bins_per_part=per_part)
+    bins = materialize_bins(kept, spec, groups, late_ids=late, bins_per_part=per_part)
     write_bins(bins, output_path, fmt, layout=layout, part_prefix=part_prefix, clustered=True,
                bins_per_part=per_part)
     if rejected is not None:

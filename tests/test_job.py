@@ -57,7 +57,9 @@ def test_arrow_job_parts_layout(spark, tmp_dir):
 def test_arrow_job_file_layout_and_parity_tail(spark, tmp_dir):
     src = make_input(tmp_dir, FILES)
     out = f"{tmp_dir}/out"
-    pack_job(spark, src, out, max_length=40, fmt="arrow", tail="drop", layout="file")
+    res = pack_job(spark, src, out, max_length=40, fmt="arrow", tail="drop", layout="file")
+    rep = {r["file_stem"]: r for r in res["report"].collect()}
+    assert (rep["beta"]["bins"], rep["beta"]["packed_tokens"], rep["beta"]["dropped_tokens"]) == (1, 22, 22)
     assert sorted(f for f in os.listdir(out) if f.endswith(".arrow")) == ["alpha.arrow", "beta.arrow"]
     alpha = read_arrow_stream(f"{out}/alpha.arrow").to_pylist()
     assert sorted(_segments(r) for r in alpha) == sorted(expected_lengths(FILES["alpha"], 40, "truncate", "drop"))
