@@ -12,13 +12,11 @@ Row ``r`` (0-based among the rows of that length) then lands in
 most ``max_length`` histogram rows per file, so it is a small bounded step
 between two distributed passes over the data.
 
-``next_fit_decreasing`` is the plain sequential loop, kept as the test oracle.
+The plain sequential loop lives in the tests as the oracle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 import numpy as np
 import pandas as pd
 
@@ -64,36 +62,3 @@ def walk_frame(pdf: pd.DataFrame, max_length: int, length_col: str = "_L",
     pdf["_per"] = per
     pdf["_tail"] = pd.array([tail] * len(pdf), dtype="Int64")
     return pdf
-
-
-def next_fit_decreasing(lengths: Iterable[int], max_length: int, oversize: str = "truncate",
-                        tail: str = "keep") -> list[list[int]]:
-    """Literal sequential packer (test oracle).  Returns member indices per bin.
-
-    Rows are taken longest first (ties by index).  ``oversize="truncate"``:
-    a row with ``length >= max_length`` is emitted alone and does not touch
-    the open bin; ``"own_bin"``: such a row simply fails to fit and opens a bin.
-    ``tail="drop"`` discards the last open bin, as the reference's Arrow path does.
-    """
-    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
-    lengths = list(lengths)
-    bins: list[list[int]] = []
-    alone: list[list[int]] = []
-    cur_bin: list[int] = []
-    cur = 0
-    for i in order:
-        n = lengths[i]
-        if oversize == "truncate" and n >= max_length:
-            alone.append([i])
-            continue
-        if cur == 0:
-            cur_bin, cur = [i], n
-        elif cur + n <= max_length:
-            cur_bin.append(i)
-            cur += n
-        else:
-            bins.append(cur_bin)
-            cur_bin, cur = [i], n
-    if cur_bin and tail == "keep":
-        bins.append(cur_bin)
-    return alone + bins

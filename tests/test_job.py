@@ -7,7 +7,7 @@ import os
 import pytest
 
 from seqweave.plans.job import pack_job
-from seqweave.plans.nfd import next_fit_decreasing
+from nfd_oracle import next_fit_decreasing
 from seqweave.sinks.arrow_stream import read_arrow_stream
 
 

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from seqweave.operators.packing import PackSpec, assign_bins, materialize_bins
-from seqweave.plans.nfd import next_fit_decreasing, walk
+from nfd_oracle import next_fit_decreasing
+from seqweave.plans.nfd import walk
 
 
 def plan_bins(lengths, max_length, tail="keep"):

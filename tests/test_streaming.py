@@ -4,7 +4,7 @@ import glob
 import json
 import os
 
-from seqweave.plans.nfd import next_fit_decreasing
+from nfd_oracle import next_fit_decreasing
 from seqweave.sinks.arrow_stream import read_arrow_stream
 from seqweave.streaming.continuous import start_continuous_pack
 
