@@ -20,8 +20,6 @@ same keys the window partitions by, so the window adds no second exchange.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

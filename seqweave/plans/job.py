@@ -7,8 +7,6 @@ command line (input, output, template, tokenizer, max_length, format).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +17,6 @@ from seqweave.operators.packing import PackSpec, assign_bins, clip_payload, mate
 from seqweave.plans.stage import stage_table
 
 
-@dataclass
-class Tokenized:
-    rows: DataFrame  # group, key, length, input_ids
-    rejected: DataFrame | None
-
-
 def tokenize_conversations(conv: DataFrame, template: ChatTemplate, tokenizer=None,
                            key_col: str = "row_key", group_cols: list[str] | None = None,
                            add_generation_prompt: bool = False,
