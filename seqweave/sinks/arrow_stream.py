@@ -1,16 +1,20 @@
-"""Arrow IPC stream sink as a Python Data Source writer.
+"""Per-input-file sink (Arrow IPC stream or JSONL) as a Python Data Source writer.
 
-Bins are written as Arrow *stream* files with the training schema
-``input_ids, labels, position_ids: large_list<int32>`` (not null).  Each task
-writes one stream per input file stem it holds, to an attempt-unique
-temporary name; the driver's ``commit`` renames the files of successful
-attempts, and ``abort`` removes them, so retried or speculative tasks never
-leave partial output.
+``format=arrow``: Arrow *stream* files with the training schema
+``input_ids, labels, position_ids: large_list<int32>`` (not null).
+``format=jsonl``: one bin per line; the lines arrive already serialized by
+Spark (``to_json``, keys ``input_ids, labels, position_ids, length``), the
+task only writes bytes.
 
-Layouts: ``parts`` writes ``<out>/<stem>/part-<bucket>.arrow`` where bucket
+Each task writes one file per (input file stem, bin bucket) it holds, to an
+attempt-unique temporary name; the driver's ``commit`` renames the files of
+successful attempts, and ``abort`` removes them, so retried or speculative
+tasks never leave partial output.
+
+Layouts: ``parts`` writes ``<out>/<stem>/part-<bucket>.<ext>`` where bucket
 = bin // bins_per_part (many tasks per input file; each bucket is written by
 one task, and reading parts in name order gives the bins in creation order);
-``file`` writes ``<out>/<stem>.arrow`` and expects all bins of a stem in one
+``file`` writes ``<out>/<stem>.<ext>`` and expects all bins of a stem in one
 partition (the reference's one-file-per-input naming).
 """
 
@@ -45,16 +49,16 @@ class _Written(WriterCommitMessage):
     moves: list
 
 
-class ArrowStreamDataSource(DataSource):
+class BinFilesDataSource(DataSource):
     @classmethod
     def name(cls):
-        return "seqweave_arrow"
+        return "seqweave_bins"
 
     def writer(self, schema, overwrite):
-        return _ArrowStreamWriter(self.options, overwrite)
+        return _BinFilesWriter(self.options, overwrite)
 
 
-class _ArrowStreamWriter(DataSourceArrowWriter):
+class _BinFilesWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite=False):
         self.overwrite = bool(overwrite)
         self.path = options["path"].rstrip("/")
@@ -63,11 +67,14 @@ class _ArrowStreamWriter(DataSourceArrowWriter):
         self.job = options.get("job_id") or uuid.uuid4().hex
         self.prefix = options.get("prefix", "")
         self.bins_per_part = int(options.get("bins_per_part", "8192"))
+        self.format = options.get("format", "arrow")
+        if self.format not in ("arrow", "jsonl"):
+            raise ValueError(f"format not supported: {self.format}")
 
     def _final(self, stem: str, bucket: int) -> str:
         if self.layout == "file":
-            return posixpath.join(self.path, f"{stem}.arrow")
-        return posixpath.join(self.path, stem, f"{self.prefix}part-{bucket:05d}.arrow")
+            return posixpath.join(self.path, f"{stem}.{self.format}")
+        return posixpath.join(self.path, stem, f"{self.prefix}part-{bucket:05d}.{self.format}")
 
     def write(self, iterator):
         import pyarrow as pa
@@ -96,16 +103,22 @@ class _ArrowStreamWriter(DataSourceArrowWriter):
                     if (stem, bucket) not in writers:
                         final = self._final(stem, bucket)
                         tmp = posixpath.join(root, "_temporary", self.job,
-                                             f"{partition:05d}-{attempt}-{len(writers)}.arrow")
+                                             f"{partition:05d}-{attempt}-{len(writers)}.{self.format}")
                         fs.create_dir(posixpath.dirname(tmp), recursive=True)
                         sink = fs.open_output_stream(tmp)
-                        writers[(stem, bucket)] = (sink, ipc.new_stream(sink, schema))
+                        stream = ipc.new_stream(sink, schema) if self.format == "arrow" else None
+                        writers[(stem, bucket)] = (sink, stream)
                         moves.append((tmp, final))
-                    cols = [part.column(c).cast(schema.field(c).type) for c in ARROW_COLUMNS]
-                    writers[(stem, bucket)][1].write_batch(pa.record_batch(cols, schema=schema))
+                    sink, stream = writers[(stem, bucket)]
+                    if stream is None:
+                        sink.write(("\n".join(part.column("line").to_pylist()) + "\n").encode("utf-8"))
+                    else:
+                        cols = [part.column(c).cast(schema.field(c).type) for c in ARROW_COLUMNS]
+                        stream.write_batch(pa.record_batch(cols, schema=schema))
         finally:
-            for sink, writer in writers.values():
-                writer.close()
+            for sink, stream in writers.values():
+                if stream is not None:
+                    stream.close()
                 sink.close()
         return _Written(moves)
 
@@ -113,7 +126,7 @@ class _ArrowStreamWriter(DataSourceArrowWriter):
         """Driver side, after every task succeeded: publish the staged files.
 
         With overwrite, the previous output of each written input file (its
-        ``<stem>.arrow``, or its ``<stem>/`` folder of parts) is replaced, so
+        ``<stem>.<ext>``, or its ``<stem>/`` folder of parts) is replaced, so
         a re-run never mixes old and new parts.
         """
         import pyarrow.fs as pafs

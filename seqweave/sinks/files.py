@@ -1,9 +1,11 @@
 """Sinks for packed bins and the format dispatch.
 
 * ``parquet``: Spark's writer, ``partitionBy(file_stem)``.
-* ``jsonl``: Spark's JSON writer, one bin per line with keys in the order
-  ``input_ids, labels, position_ids, length``, ``partitionBy(file_stem)``.
-* ``arrow``: the Arrow IPC stream data source (``sinks.arrow_stream``).
+* ``jsonl``: one bin per line, keys in the order ``input_ids, labels,
+  position_ids, length``; lines serialized by ``to_json`` in the JVM and
+  written per input file by the bin-files data source (``sinks.arrow_stream``),
+  so names follow the input: ``<stem>.jsonl`` or ``<stem>/part-<k>.jsonl``.
+* ``arrow``: Arrow IPC streams by the same data source.
 
 Rows are clustered by ``(file_stem, bin bucket)`` so that many tasks can
 write one large input file's bins in parallel, and sorted by bin inside each
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqweave.session import ship_package
-from seqweave.sinks.arrow_stream import ArrowStreamDataSource
+from seqweave.sinks.arrow_stream import BinFilesDataSource
 
 JSONL_COLUMNS = ["input_ids", "labels", "position_ids", "length"]
 BINS_PER_PART = 8192
@@ -34,7 +36,7 @@ def _register(spark) -> None:
     key = id(spark)
     if key not in _registered:
         ship_package(spark)
-        spark.dataSource.register(ArrowStreamDataSource)
+        spark.dataSource.register(BinFilesDataSource)
         _registered.add(key)
 
 
@@ -66,15 +68,16 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
     if fmt == "parquet":
         (clustered.select("file_stem", *JSONL_COLUMNS)
          .write.mode("overwrite").partitionBy("file_stem").parquet(output_path))
-    elif fmt == "jsonl":
-        (clustered.select("file_stem", *JSONL_COLUMNS)
-         .write.mode("overwrite").partitionBy("file_stem").json(output_path))
-    elif fmt == "arrow":
+    elif fmt in ("jsonl", "arrow"):
         _register(bins.sparkSession)
-        (clustered.select("file_stem", "bin", "input_ids", "labels", "position_ids")
-         .write.format(ArrowStreamDataSource.name()).mode("overwrite")
+        if fmt == "jsonl":
+            line = F.to_json(F.struct(*JSONL_COLUMNS))
+            payload = clustered.select("file_stem", "bin", line.alias("line"))
+        else:
+            payload = clustered.select("file_stem", "bin", "input_ids", "labels", "position_ids")
+        (payload.write.format(BinFilesDataSource.name()).mode("overwrite")
          .option("path", output_path).option("layout", layout).option("prefix", part_prefix)
-         .option("bins_per_part", str(bins_per_part))
+         .option("bins_per_part", str(bins_per_part)).option("format", fmt)
          .option("job_id", uuid.uuid4().hex).save())
     else:
         raise ValueError(f"format not supported: {fmt}")

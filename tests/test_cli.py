@@ -23,7 +23,7 @@ def test_cli_runs_a_jsonl_job(spark, tmp_dir, capsys):
     main(["-i", src, "-o", f"{tmp_dir}/out", "-m", "64", "-f", "JSONL", "--template", "headers"])
     report = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
     assert report and report[0]["rows"] == 2 and report[0]["bins"] == 2
-    rows = [json.loads(line) for f in glob.glob(f"{tmp_dir}/out/file_stem=a/*.json") for line in open(f)]
+    rows = [json.loads(line) for f in glob.glob(f"{tmp_dir}/out/a/*.jsonl") for line in open(f)]
     head = ("<|begin_of_text|><|start_header_id|>system<|end_header_id|>\n\nCutting Knowledge Date: "
             "December 2023\nToday Date: 26 Jul 2024\n\n<|eot_id|><|start_header_id|>user<|end_header_id|>\n\n")
     expect = sorted(len(head) + len(c) + len("<|eot_id|>") for c in ("hello there", "x"))

@@ -74,7 +74,7 @@ def test_jsonl_job_keeps_long_rows_whole(spark, tmp_dir):
     out = f"{tmp_dir}/out"
     pack_job(spark, src, out, max_length=40, fmt="jsonl")
     rows = []
-    for f in glob.glob(f"{out}/file_stem=alpha/*.json"):
+    for f in glob.glob(f"{out}/alpha/*.jsonl"):
         with open(f, encoding="utf-8") as fh:
             rows += [json.loads(line) for line in fh]
     assert list(rows[0]) == ["input_ids", "labels", "position_ids", "length"]
@@ -155,3 +155,16 @@ def test_arrow_parts_named_by_bin_bucket_keep_creation_order(spark, tmp_dir):
     lengths = [12 + len(c) for c in convs["big"]]
     expect = next_fit_decreasing(lengths, 30)
     assert [_segments(r) for r in rows] == [sorted(lengths[i] for i in b) for b in expect]
+
+
+def test_jsonl_file_layout_names_follow_input(spark, tmp_dir):
+    src = make_input(tmp_dir, FILES)
+    out = f"{tmp_dir}/out"
+    pack_job(spark, src, out, max_length=40, fmt="jsonl", layout="file")
+    assert sorted(f for f in os.listdir(out) if not f.startswith("_")) == ["alpha.jsonl", "beta.jsonl"]
+    with open(f"{out}/alpha.jsonl", encoding="utf-8") as fh:
+        text = fh.read()
+    lines = text.splitlines()
+    assert text.endswith("\n") and lines[0].startswith('{"input_ids":[')
+    rows = [json.loads(x) for x in lines]
+    assert [r["length"] for r in rows] == [62, 40, 20 + 15]  # creation order, own bins for long rows
