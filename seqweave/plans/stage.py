@@ -4,7 +4,10 @@ A staged table is written as Parquet under ``spark.checkpoint.dir`` and read
 back.  That cuts the lineage (a lost executor does not force a rescan of the
 whole input), and later passes that need only a few columns read just those
 columns.  Small plan tables go the same way so that the histogram behind them
-is computed exactly once.
+is computed exactly once.  Tables of one application share the folder
+``<checkpoint dir>/seqweave-stage/<application id>``; nothing is deleted by
+the library, so that folder can be removed once the application's outputs
+are written.
 """
 
 from __future__ import annotations
@@ -16,6 +19,16 @@ from pyspark.sql import DataFrame
 from seqweave.session import checkpoint_dir
 
 
+def stage_root(spark) -> str:
+    """Folder of this application's staged tables (one place to remove after a run)."""
+    base = checkpoint_dir(spark).rstrip("/")
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        app = "connect"
+    return f"{base}/seqweave-stage/{app}"
+
+
 def stage_table(df: DataFrame, name: str, metrics: dict | None = None):
     """Write ``df`` under the checkpoint folder and read it back.
 
@@ -24,8 +37,7 @@ def stage_table(df: DataFrame, name: str, metrics: dict | None = None):
     count, come without another job; then ``(table, values)`` is returned.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/seqweave-stage/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
     observation = None
     if metrics:
         from pyspark.sql import Observation
