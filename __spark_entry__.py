@@ -34,7 +34,13 @@ from seqweave.operators.packing import PackSpec, assign_bins, clip_payload, mate
 from seqweave.operators.ranking import length_histogram, rank_by_length
 from seqweave.plans.job import pack_report, tokenize_conversations
 from seqweave.sources.jsonl import parse_conversations
-from seqweave.sources.turns import conversations_from_turns, read_table, shard_of, single_file
+from seqweave.sources.turns import (
+    TURNS_SCHEMA,
+    conversations_from_turns,
+    read_table,
+    shard_of,
+    single_file,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SHARDS = 4
@@ -46,7 +52,7 @@ HEADERS = ChatTemplate.headers()
 
 # --------------------------------------------------------------------- helpers
 def _conversations(spark: SparkSession, sf_dir: str, sharded: bool) -> DataFrame:
-    turns = read_table(spark, sf_dir, "conversations")
+    turns = read_table(spark, sf_dir, "conversations", TURNS_SCHEMA)
     tag = shard_of("conv_id", SHARDS) if sharded else single_file()
     return conversations_from_turns(turns, source_file=tag)
 

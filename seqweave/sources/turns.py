@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from seqweave.sources.validate import check_messages
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Fixed value: schema of a turns table (one row per message).
+TURNS_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """A Parquet table; with a known ``schema`` no inference job is run."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def conversations_from_turns(turns: DataFrame, key: str = "conv_id", order: str = "turn",
