@@ -14,7 +14,7 @@ Two presets reproduce the templates used by the reference tests:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -149,12 +149,16 @@ class ChatTemplate:
     def _text(self, s: str) -> str:
         return s.replace("{bos_token}", self.bos_token or "").replace("{eos_token}", self.eos_token or "")
 
+    def _rule(self, rule: RoleRule) -> RoleRule:
+        return replace(rule, prefix=self._text(rule.prefix), suffix=self._text(rule.suffix))
+
     def _message(self, m: Column) -> Column:
         expr = None
         for role, rule in self.rules:
             cond = m["role"] == F.lit(role)
-            expr = F.when(cond, rule.render(m)) if expr is None else expr.when(cond, rule.render(m))
-        fallback = self.default.render(m) if self.default is not None else F.lit("")
+            text = self._rule(rule).render(m)
+            expr = F.when(cond, text) if expr is None else expr.when(cond, text)
+        fallback = self._rule(self.default).render(m) if self.default is not None else F.lit("")
         return fallback if expr is None else expr.otherwise(fallback)
 
     def render(self, messages: Column | str, add_generation_prompt: bool = False) -> Column:

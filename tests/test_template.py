@@ -86,3 +86,9 @@ def test_render_is_a_jvm_expression(spark):
     plan = df.select(ChatTemplate.sections().render("m").alias("p"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
     assert F is not None
+
+
+def test_special_tokens_in_role_rules(spark):
+    t = ChatTemplate(rules=(("assistant", RoleRule(prefix="A: ", suffix="{eos_token}")),),
+                     default=RoleRule(prefix="{bos_token}U: "), bos_token="<s>", eos_token="</s>")
+    assert render(spark, [("user", "q"), ("assistant", "a")], t) == "<s>U: qA: a</s>"
