@@ -4,8 +4,8 @@ A template is declared as data: an optional preamble, an optional system
 block that lifts a leading system message out of the list, one rule per role
 and an optional generation prompt.  ``ChatTemplate.render`` turns that into a
 single expression over an ``array<struct<role, content>>`` column built from
-``transform``/``array_join``/``concat``, so rendering stays inside whole-stage
-codegen and never leaves the JVM.
+``transform``/``array_join``/``concat``: rendering is a built-in expression
+evaluated in the JVM, with no Python and no template interpreter.
 
 Two presets reproduce the templates used by the reference tests:
 ``ChatTemplate.sections()`` ("### User:" style) and ``ChatTemplate.headers()``
