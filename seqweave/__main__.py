@@ -32,6 +32,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--tail", default="keep", choices=["keep", "drop"])
     p.add_argument("--on-error", default="fail", choices=["fail", "quarantine"])
     p.add_argument("--layout", default="parts", choices=["parts", "file"])
+    p.add_argument("--generation-prompt", action="store_true",
+                   help="append the template's generation prompt (off in the reference pipeline)")
     p.add_argument("--master", default=None, help="only for local runs; spark-submit sets it")
     return p
 
@@ -46,7 +48,8 @@ def main(argv=None) -> None:
         template = ChatTemplate.sections(args.bos, args.eos)
     tokenizer = CodePointTokenizer() if args.tokenizer == "codepoint" else PretrainedTokenizer(args.tokenizer)
     res = pack_job(spark, args.input, args.output, template, tokenizer, args.max_length,
-                   args.format, args.tail, args.on_error, layout=args.layout)
+                   args.format, args.tail, args.on_error, layout=args.layout,
+                   add_generation_prompt=args.generation_prompt)
     for row in res["report"].collect():
         print(json.dumps(row.asDict()))
 

@@ -104,7 +104,8 @@ def pack_report(assigned: DataFrame, spec: PackSpec, group_cols: list[str]) -> D
 def pack_job(spark: SparkSession, input_path: str, output_path: str,
              template: ChatTemplate | None = None, tokenizer=None, max_length: int = 8192,
              fmt: str = "arrow", tail: str = "keep", on_error: str = "fail",
-             oversize: str | None = None, layout: str = "parts") -> dict:
+             oversize: str | None = None, layout: str = "parts",
+             add_generation_prompt: bool = False) -> dict:
     """Folder (or file) of JSONL conversations -> packed bins per input file.
 
     ``fmt`` is ``arrow`` (default; truncates over-long rows), ``jsonl``
@@ -116,13 +117,14 @@ def pack_job(spark: SparkSession, input_path: str, output_path: str,
     from seqweave.sources.jsonl import read_lines
 
     return pack_lines(read_lines(spark, input_path), output_path, template, tokenizer, max_length,
-                      fmt, tail, on_error, oversize, layout)
+                      fmt, tail, on_error, oversize, layout,
+                      add_generation_prompt=add_generation_prompt)
 
 
 def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None = None,
                tokenizer=None, max_length: int = 8192, fmt: str = "arrow", tail: str = "keep",
                on_error: str = "fail", oversize: str | None = None, layout: str = "parts",
-               part_prefix: str = "") -> dict:
+               part_prefix: str = "", add_generation_prompt: bool = False) -> dict:
     """``pack_job`` on already listed lines (``source_file, file_stem, line``)."""
     from seqweave.sinks.files import BINS_PER_PART, ONE_PART, write_bins
     from seqweave.sources.jsonl import conversations_from_lines
@@ -139,7 +141,7 @@ def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None
     if on_error == "quarantine":
         conv, rejected = conv
     groups = ["source_file", "file_stem"]
-    tokens = tokenize_conversations(conv, template, tokenizer, "row_key", groups)
+    tokens = tokenize_conversations(conv, template, tokenizer, "row_key", groups, add_generation_prompt)
     late = _late_ids(tokens, tokenizer)
     # stage once: text + length for expression tokenizers, ids otherwise,
     # cut to max_length in truncate mode
