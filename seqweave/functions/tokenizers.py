@@ -181,6 +181,7 @@ class PretrainedTokenizer:
 
         @F.pandas_udf(T.ArrayType(T.IntegerType()))
         def encode(texts):
+            import numpy as np
             import pandas as pd
 
             tok = _WORKER_CACHE.get(digest)
@@ -190,7 +191,7 @@ class PretrainedTokenizer:
                 tok = Tokenizer.from_str(json_text)
                 _WORKER_CACHE[digest] = tok
             batch = tok.encode_batch(texts.tolist(), add_special_tokens=False)
-            return pd.Series([e.ids for e in batch])
+            return pd.Series([np.asarray(e.ids, dtype=np.int32) for e in batch])
 
         return encode
 
