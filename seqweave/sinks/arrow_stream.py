@@ -133,6 +133,13 @@ class _BinFilesWriter(DataSourceArrowWriter):
 
         fs, root = _fs(self.path)
         moves = [m for msg in messages for m in msg.moves]
+        finals = [final for _, final in moves]
+        if len(finals) != len(set(finals)):
+            # two tasks wrote the same (file, bucket): the input was not
+            # clustered the way the layout needs; never drop either silently
+            self._drop_temporary(fs, root)
+            raise RuntimeError("several tasks wrote the same output file; cluster the bins by "
+                               "(file_stem, bin // bins_per_part) or use clustered=False")
         if self.overwrite and self.layout == "parts":
             for stem_dir in sorted({posixpath.dirname(final) for _, final in moves}):
                 if fs.get_file_info(stem_dir).type == pafs.FileType.Directory:

@@ -168,3 +168,15 @@ def test_jsonl_file_layout_names_follow_input(spark, tmp_dir):
     assert text.endswith("\n") and lines[0].startswith('{"input_ids":[')
     rows = [json.loads(x) for x in lines]
     assert [r["length"] for r in rows] == [62, 40, 20 + 15]  # creation order, own bins for long rows
+
+
+def test_unclustered_input_with_clustered_flag_is_refused(spark, tmp_dir):
+    from seqweave.sinks.files import write_bins
+
+    rows = [("s", b, [1, 2], [-100, 2], [0, 1], 2) for b in range(40)]
+    bins = spark.createDataFrame(rows, "file_stem string, bin long, input_ids array<int>, labels array<int>, "
+                                 "position_ids array<int>, length int").repartition(4)
+    with pytest.raises(Exception, match="same output file"):
+        write_bins(bins, f"{tmp_dir}/out", "arrow", layout="file", clustered=True)
+    write_bins(bins, f"{tmp_dir}/ok", "arrow", layout="file")
+    assert read_arrow_stream(f"{tmp_dir}/ok/s.arrow").num_rows == 40
