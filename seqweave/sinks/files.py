@@ -81,3 +81,20 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
          .option("job_id", uuid.uuid4().hex).save())
     else:
         raise ValueError(f"format not supported: {fmt}")
+
+
+def write_lines(df: DataFrame, output_path: str, stem_col: str = "file_stem", line_col: str = "line",
+                order_col: str | None = None) -> None:
+    """Write text lines as one ``<stem>.jsonl`` file per stem (overwrites those files).
+
+    Rows are clustered by stem (one writer task per file, like the
+    reference's one file per input) and sorted by ``order_col`` if given.
+    """
+    _register(df.sparkSession)
+    order = F.col(order_col) if order_col else F.lit(0)
+    payload = df.select(F.col(stem_col).alias("file_stem"), order.cast("long").alias("bin"),
+                        F.col(line_col).alias("line"))
+    payload = payload.repartition("file_stem").sortWithinPartitions("file_stem", "bin")
+    (payload.write.format(BinFilesDataSource.name()).mode("overwrite")
+     .option("path", output_path).option("layout", "file").option("format", "jsonl")
+     .option("job_id", uuid.uuid4().hex).save())

@@ -180,3 +180,17 @@ def test_unclustered_input_with_clustered_flag_is_refused(spark, tmp_dir):
         write_bins(bins, f"{tmp_dir}/out", "arrow", layout="file", clustered=True)
     write_bins(bins, f"{tmp_dir}/ok", "arrow", layout="file")
     assert read_arrow_stream(f"{tmp_dir}/ok/s.arrow").num_rows == 40
+
+
+def test_write_lines_then_pack_roundtrip(spark, tmp_dir):
+    import __spark_entry__ as entry
+    from seqweave.sinks.files import write_lines
+    from seqweave.sources.jsonl import line_counts
+
+    src = f"{tmp_dir}/src"
+    write_lines(entry._json_lines(spark, "/root/testdata/sf0.001"), src, stem_col="source_file", order_col="conv_id")
+    assert sorted(os.listdir(src)) == [f"shard-{k}.jsonl" for k in range(4)]
+    counts = {r["file_stem"]: r["n_lines"] for r in line_counts(spark, src).collect()}
+    assert sum(counts.values()) == 20
+    res = pack_job(spark, src, f"{tmp_dir}/out", max_length=4096, fmt="parquet")
+    assert sum(r["rows"] for r in res["report"].collect()) == 20
