@@ -27,6 +27,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("-m", "--max-length", type=int, default=8192)
     p.add_argument("-f", "--format", default="arrow", help="arrow | jsonl | parquet")
     p.add_argument("--template", default="sections", choices=["sections", "headers"])
+    p.add_argument("--config", default=None,
+                   help="local tokenizer_config.json providing bos_token and eos_token")
     p.add_argument("--bos", default=None)
     p.add_argument("--eos", default=None)
     p.add_argument("--tail", default="keep", choices=["keep", "drop"])
@@ -41,6 +43,12 @@ def build_parser() -> argparse.ArgumentParser:
 def main(argv=None) -> None:
     args = build_parser().parse_args(argv)
     spark = get_session(args.master)
+    if args.config:
+        from seqweave.functions.config import read_tokenizer_config
+
+        cfg = read_tokenizer_config(args.config)
+        args.bos = args.bos if args.bos is not None else cfg.bos_token
+        args.eos = args.eos if args.eos is not None else cfg.eos_token
     if args.template == "headers":
         kw = {k: v for k, v in (("bos_token", args.bos), ("eos_token", args.eos)) if v is not None}
         template = ChatTemplate.headers(**kw)

@@ -35,3 +35,17 @@ def test_cli_rejects_unknown_format(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/in")
     with pytest.raises(ValueError):
         main(["-i", f"{tmp_dir}/in", "-o", f"{tmp_dir}/out", "-f", "msgpack"])
+
+
+def test_tokenizer_config(tmp_dir):
+    from seqweave.functions.config import read_tokenizer_config
+
+    path = f"{tmp_dir}/tokenizer_config.json"
+    with open(path, "w", encoding="utf-8") as fh:
+        json.dump({"bos_token": "[BOS]", "eos_token": {"content": "[EOS]"}, "chat_template": "Test template"}, fh)
+    cfg = read_tokenizer_config(path)
+    assert (cfg.bos_token, cfg.eos_token, cfg.chat_template) == ("[BOS]", "[EOS]", "Test template")
+    with open(path, "w", encoding="utf-8") as fh:
+        json.dump({"bos_token": "[BOS]"}, fh)
+    with pytest.raises(ValueError, match="eos_token, chat_template"):
+        read_tokenizer_config(path)
