@@ -43,7 +43,7 @@ def _register(spark) -> None:
 def _cluster(bins: DataFrame, layout: str, bins_per_part: int) -> DataFrame:
     if layout == "file":
         return bins.repartition("file_stem").sortWithinPartitions("file_stem", "bin")
-    bucket = F.floor(F.col("bin") / F.lit(bins_per_part))
+    bucket = F.expr(f"bin div {int(bins_per_part)}")  # the writer names parts by this bucket
     return bins.repartition("file_stem", bucket).sortWithinPartitions("file_stem", "bin")
 
 
@@ -62,19 +62,19 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
     if layout not in ("parts", "file"):
         raise ValueError("layout must be 'parts' or 'file'")
     if clustered:
-        clustered = bins.sortWithinPartitions("file_stem", "bin")
+        ready = bins.sortWithinPartitions("file_stem", "bin")
     else:
-        clustered = _cluster(bins, layout, bins_per_part)
+        ready = _cluster(bins, layout, bins_per_part)
     if fmt == "parquet":
-        (clustered.select("file_stem", *JSONL_COLUMNS)
+        (ready.select("file_stem", *JSONL_COLUMNS)
          .write.mode("overwrite").partitionBy("file_stem").parquet(output_path))
     elif fmt in ("jsonl", "arrow"):
         _register(bins.sparkSession)
         if fmt == "jsonl":
             line = F.to_json(F.struct(*JSONL_COLUMNS))
-            payload = clustered.select("file_stem", "bin", line.alias("line"))
+            payload = ready.select("file_stem", "bin", line.alias("line"))
         else:
-            payload = clustered.select("file_stem", "bin", "input_ids", "labels", "position_ids")
+            payload = ready.select("file_stem", "bin", "input_ids", "labels", "position_ids")
         (payload.write.format(BinFilesDataSource.name()).mode("overwrite")
          .option("path", output_path).option("layout", layout).option("prefix", part_prefix)
          .option("bins_per_part", str(bins_per_part)).option("format", fmt)
