@@ -58,7 +58,8 @@ def main(argv=None) -> None:
     res = pack_job(spark, args.input, args.output, template, tokenizer, args.max_length,
                    args.format, args.tail, args.on_error, layout=args.layout,
                    add_generation_prompt=args.generation_prompt)
-    for row in res["report"].collect():
+    # one line per input file, streamed partition by partition (not collected)
+    for row in res["report"].toLocalIterator():
         print(json.dumps(row.asDict()))
 
 
