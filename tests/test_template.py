@@ -92,3 +92,14 @@ def test_special_tokens_in_role_rules(spark):
     t = ChatTemplate(rules=(("assistant", RoleRule(prefix="A: ", suffix="{eos_token}")),),
                      default=RoleRule(prefix="{bos_token}U: "), bos_token="<s>", eos_token="</s>")
     assert render(spark, [("user", "q"), ("assistant", "a")], t) == "<s>U: qA: a</s>"
+
+
+def test_headers_late_system_message_is_an_ordinary_block(spark):
+    out = render(spark, [("user", "u"), ("system", " s ")], ChatTemplate.headers())
+    assert "Today Date: 26 Jul 2024\n\n<|eot_id|>" in out  # empty system block
+    assert out.endswith("<|start_header_id|>system<|end_header_id|>\n\ns<|eot_id|>")
+
+
+def test_sections_empty_user_and_assistant_content_still_render(spark):
+    out = render(spark, [("user", ""), ("assistant", "")], ChatTemplate.sections())
+    assert out == "### User:\n\n\n### Assistant:\n"
