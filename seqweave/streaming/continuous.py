@@ -12,6 +12,8 @@ rewrites the same files instead of duplicating them.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +43,9 @@ def start_continuous_pack(spark: SparkSession, input_dir: str, output_path: str,
                           processing_time: str | None = None):
     """Start the streaming query; returns the ``StreamingQuery``."""
     out = output_path.rstrip("/")
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/seqweave-stream"
+    # one streaming checkpoint per (input, output) pair unless given
+    tag = hashlib.sha1(f"{input_dir}|{out}".encode()).hexdigest()[:16]
+    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/seqweave-stream-{tag}"
 
     def pack_batch(batch: DataFrame, batch_id: int) -> None:
         pack_lines(batch, f"{out}/batch={batch_id}", template, tokenizer, max_length, fmt, tail,
