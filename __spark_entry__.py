@@ -422,6 +422,21 @@ FROM per_bin GROUP BY source_file""",
 }
 
 
+# ------------------------------------------------- training-data queries, if present
+try:
+    import corpus_pipeline
+    from seqweave.llm import queries as _llm
+except ModuleNotFoundError as exc:  # the folder may have been removed; anything else is an error
+    if not (exc.name or "").startswith(("corpus_pipeline", "seqweave.llm")):
+        raise
+else:
+    QUERIES.update(_llm.QUERIES)
+    QUERIES["pipeline"] = corpus_pipeline.run
+    ORACLE.update(_llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 # ---------------------------------------------------------------- contract API
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: conversations -> sections template -> code points -> packed
