@@ -33,7 +33,7 @@ from seqweave.plans.stage import stage_table
 from seqweave.session import ship_package
 
 GRAM = 16  # bytes hashed at a place
-SEGMENT = 8_000_000  # a longer text is scanned in overlapping segments
+SEGMENT = 1_000_000  # bytes scanned at a time; a longer text is scanned in overlapping segments
 _LOW = (1 << 24) - 1
 
 
@@ -175,7 +175,7 @@ def _segments(texts: list[bytes], length: int) -> list[tuple[int, int, bytes]]:
 
 
 def _joined(keys: list, texts: list[str], length: int, met: set):
-    """Groups of (key, offset, bytes) of about 4 MB, texts met before in this task left out."""
+    """Groups of (key, offset, bytes) of about ``SEGMENT`` bytes, texts met before in this task left out."""
     batch, size = [], 0
     for key, text in zip(keys, texts, strict=True):
         if key in met:
@@ -184,7 +184,7 @@ def _joined(keys: list, texts: list[str], length: int, met: set):
         for _, s, piece in _segments([text.encode()], length):
             batch.append((key, s, piece))
             size += len(piece)
-            if size > 4_000_000:
+            if size > SEGMENT:
                 yield batch
                 batch, size = [], 0
     if batch:
@@ -307,6 +307,16 @@ def _decide(step: int, shard_symbols: int):
             pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
             pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.int64())], names=["h1", "h2", "left", "right", "mask"])
 
+    def settle(core_rows, shard, masks) -> int:
+        """A core with one record has nothing to be compared with: its count of places decides."""
+        if len(core_rows) > 1:
+            shard += core_rows
+            return sum(len(left) + len(right) + 2 for _, left, right, _ in core_rows)
+        for core, left, right, many in core_rows:
+            if many:
+                masks.append((*core, left, right, (1 << (len(left) + len(right) + 2 - step)) - 1))
+        return 0
+
     def run(batches):
         shard, core_rows, last, symbols = [], [], None, 0
         for b in batches:
@@ -314,16 +324,16 @@ def _decide(step: int, shard_symbols: int):
             for h1, h2, left, right, many in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 core = (h1, h2)
                 if core != last:
-                    shard += core_rows
+                    symbols += settle(core_rows, shard, masks)
                     core_rows, last = [], core
                     if symbols > shard_symbols:
                         solve(shard, masks)
                         shard, symbols = [], 0
                 core_rows.append((core, left, right, many))
-                symbols += len(left) + len(right) + 2
             yield out(masks)
         masks = []
-        solve(shard + core_rows, masks)
+        settle(core_rows, shard, masks)
+        solve(shard, masks)
         yield out(masks)
     return run
 
