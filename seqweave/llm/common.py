@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 _RADIX = 0x9E3779B97F4A7C15 | 1
-_SPACES = np.zeros(256, bool)
-_SPACES[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+SPACES = np.zeros(256, bool)
+SPACES[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -104,13 +104,13 @@ class SpanHasher:
 
 def words_of(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end offsets of the runs of non-space bytes."""
-    inside = np.concatenate(([False], ~_SPACES[buf], [False]))
+    inside = np.concatenate(([False], ~SPACES[buf], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
 
 
 def lower_bytes(text: str) -> np.ndarray:
-    return _LOWER[np.frombuffer(text.encode(), np.uint8)]
+    return LOWER[np.frombuffer(text.encode(), np.uint8)]
 
 
 def shingles(text: str, size: int = 5) -> np.ndarray:

@@ -18,19 +18,18 @@ Counts and probabilities are Spark joins and aggregations, nothing is sampled, p
 3. Code lengths go back to the blocks that asked for them, and every text is scored beside its
    block's own tables.  A block is bounded by ``block_bytes`` of text, or by one longer text.
 
-The text a model scores is its word sequence, A-Z lower-cased, words joined by one blank, and the end.
+Words are named by 64-bit hashes.  The text a model scores is its word sequence, A-Z lower-cased, words joined by one blank, and the end.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqweave.llm.common import U64, lower_bytes, words_of
+from seqweave.llm.common import LOWER, SPACES, U64, SpanHasher, chunks
 from seqweave.plans.stage import stage_table
 from seqweave.session import ship_package
 
@@ -38,97 +37,77 @@ START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
 SYMBOLS = 255  # 254 bytes and the end
 
 
-def normal_bytes(text: str) -> tuple[bytes, list[bytes]]:
-    """The word sequence joined by blanks, and the words."""
-    buf = lower_bytes(text)
-    words = bytes(buf).split()
-    return b" ".join(words), words
-
-
-def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Packed grams of ``order`` + 1 bytes, one per symbol of each text with its end, and the texts' offsets."""
-    pad = bytes([START]) * order
-    joined = np.frombuffer(b"".join(pad + t + bytes([END]) for t in texts), np.uint8)
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    starts = np.concatenate(([0], np.cumsum(sizes + order)))[:-1]
-    key = np.zeros(max(len(joined) - order, 0), U64)
-    for i in range(order + 1):
-        key <<= U64(8)
-        key |= joined[i:len(joined) - order + i]
-    # the windows that run over into the next text's padding are not its symbols
-    own = np.ones(len(key), bool)
-    for o in range(1, order + 1):
-        ends = (starts[1:] - o)
-        own[ends] = False
-    return key[own], np.concatenate(([0], np.cumsum(sizes)))
-
-
-_VOCAB = pa.schema([("block", pa.int64()), ("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
-SUB = 4_000_000  # bytes scored at a time
-
-
-def _slices(texts: list[str]):
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > SUB:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+SUB = 1_000_000  # characters worked on at a time
+
+
+class Symbols:
+    """The symbols and words of some texts: ``grams`` (packed, one per symbol) with the texts' ``offsets``,
+    ``words`` (64-bit hashes) with the index of their text in ``of``."""
+
+    def __init__(self, texts: list[str], order: int):
+        end = bytes([END])
+        buf = LOWER[np.frombuffer(b"".join(t.encode() + end for t in texts), np.uint8)]
+        ends = np.flatnonzero(buf == END)
+        inside = ~SPACES[buf]
+        inside[ends] = False
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
+        first, last = edge[::2], edge[1::2]
+        self.of = np.searchsorted(ends, first)
+        self.words = SpanHasher(buf).spans(first, last)
+        # one blank between two words of a text
+        gap = last[:-1][self.of[1:] == self.of[:-1]]
+        buf[gap] = 32
+        inside[gap] = inside[ends] = True
+        kept = np.flatnonzero(inside)
+        text = np.searchsorted(ends, kept)
+        place = np.arange(len(kept)) + order * (text + 1)
+        padded = np.full(len(kept) + order * len(texts), START, np.uint8)
+        padded[place] = buf[kept]
+        self.grams = np.zeros(len(kept), U64)
+        for i in range(order + 1):
+            self.grams <<= U64(8)
+            self.grams |= padded[place - order + i]
+        self.offsets = np.searchsorted(text, np.arange(len(texts)))
+
+
+GRAM, WORD = 0, 1
+END_WORD = 1  # the name of the end among the word hashes
+_VOCAB = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
 
 
 def _merge(parts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Sum the counts of equal grams of several (grams, counts)."""
-    grams = np.concatenate([g for g, _ in parts])
-    counts = np.concatenate([n for _, n in parts])
-    uniq, inverse = np.unique(grams, return_inverse=True)
-    return uniq, np.bincount(inverse, counts, len(uniq)).astype(np.int64)
+    """Sum the counts of equal keys of several (keys, counts)."""
+    keys = np.concatenate([g for g, _ in parts])
+    uniq, inverse = np.unique(keys, return_inverse=True)
+    return uniq, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(uniq)).astype(np.int64)
 
 
 def _vocabulary(order: int):
-    """Group function: a block's texts -> its distinct grams and words with training counts."""
+    """Partition function: a block's texts -> its distinct grams and words with training counts."""
     def run(batches):
-        pending: dict[int, list] = {}
-        words: dict[int, Counter] = {}
+        pending: dict[tuple[int, int], list] = {}
         for b in batches:
-            blocks = b.column(0).to_numpy()
-            train = b.column(1).to_pylist()
-            texts = b.column(2).to_pylist()
-            for i, j in _slices(texts):
-                for block in np.unique(blocks[i:j]).tolist():
-                    parts = pending.setdefault(block, [])
-                    seen = words.setdefault(block, Counter())
-                    for wanted in (True, False):
-                        some = [normal_bytes(texts[k]) for k in range(i, j) if blocks[k] == block and train[k] == wanted]
-                        if not some:
-                            continue
-                        grams, n = np.unique(grams_of([t for t, _ in some], order)[0], return_counts=True)
-                        parts.append((grams, n if wanted else np.zeros(len(n), np.int64)))
-                        for _, ws in some:
-                            if wanted:
-                                seen.update(ws)
-                            else:
-                                for w in ws:
-                                    seen.setdefault(w, 0)
-                        if wanted:
-                            seen[b""] += len(some)  # the end, a token too
-                        else:
-                            seen.setdefault(b"", 0)
-                    pending[block] = [_merge(parts)] if len(parts) > 8 else parts
-        for block, parts in pending.items():
-            grams, n = _merge(parts) if parts else (np.empty(0, U64), np.empty(0, np.int64))
-            for s in range(0, len(grams), 100_000):
-                g = grams[s:s + 100_000]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(g), block)), pa.array(g.astype(np.int64)), pa.nulls(len(g), pa.binary()),
-                    pa.array(n[s:s + 100_000])], schema=_VOCAB)
-            items = list(words[block].items())
-            for s in range(0, len(items), 100_000):
-                part = items[s:s + 100_000]
+            blocks, train = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
+            texts = b.column(2)
+            for block in np.unique(blocks).tolist():
+                for wanted in (True, False):
+                    rows = texts.take(pa.array(np.flatnonzero((blocks == block) & (train == wanted)))).to_pylist()
+                    for i, j in chunks(rows, SUB):
+                        s = Symbols(rows[i:j], order)
+                        ends = np.full(j - i, END_WORD, U64)
+                        for kind, keys in ((GRAM, s.grams), (WORD, np.concatenate((s.words, ends)))):
+                            uniq, n = np.unique(keys, return_counts=True)
+                            parts = pending.setdefault((block, kind), [])
+                            parts.append((uniq, n if wanted else np.zeros(len(n), np.int64)))
+                            if len(parts) > 8:
+                                pending[block, kind] = [_merge(parts)]
+        for (block, kind), parts in pending.items():
+            keys, n = _merge(parts)
+            for s in range(0, len(keys), 100_000):
+                k = keys[s:s + 100_000]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(part), block)), pa.nulls(len(part), pa.int64()),
-                    pa.array([w for w, _ in part], pa.binary()), pa.array([c for _, c in part], pa.int64())], schema=_VOCAB)
+                    pa.array(np.full(len(k), block)), pa.array(np.full(len(k), kind, np.int32)),
+                    pa.array(k.view(np.int64)), pa.array(n[s:s + 100_000])], schema=_VOCAB)
     return run
 
 
@@ -185,31 +164,35 @@ _SCORES = pa.schema([("_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known",
                      ("log_counts", pa.float64()), ("score", pa.float64())])
 
 
+def _sorted(model: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    part = model.filter(pa.compute.equal(model.column("kind"), kind))
+    key = part.column("key").to_numpy().view(U64)
+    order = np.argsort(key)
+    return key[order], part.column("value").to_numpy()[order]
+
+
 def _score(order: int, out: pa.Schema):
     """Cogroup function: a block's texts and its tables -> scores."""
     def run(texts: pa.Table, model: pa.Table) -> pa.Table:
-        is_gram = model.column("gram").is_valid()
-        grams = model.filter(is_gram)
-        key = grams.column("gram").to_numpy().astype(U64)
-        sort = np.argsort(key)
-        key, value = key[sort], grams.column("value").to_numpy()[sort]
-        words = model.filter(model.column("word").is_valid())
-        count = dict(zip(words.column("word").to_pylist(), words.column("value").to_numpy().astype(np.int64).tolist(), strict=True))
-        rows = texts.column("_text").to_pylist()
-        n_tokens, n_known, logs, scores = [], [], [], []
-        for i, j in _slices(rows):
-            normal = [normal_bytes(t) for t in rows[i:j]]
-            g, at = grams_of([t for t, _ in normal], order)
-            scores.append(np.add.reduceat(value[np.searchsorted(key, g)], at[:-1]))
-            for _, ws in normal:
-                c = np.fromiter(map(count.__getitem__, ws), np.int64, len(ws))
-                c = np.append(c, count[b""])
-                n_tokens.append(len(c))
-                n_known.append(int((c > 0).sum()))
-                logs.append(float(np.log10(c + 0.5).sum()))
-        return pa.table([texts.column("_id"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                         pa.array(logs, pa.float64()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
-                        schema=out) if rows else out.empty_table()
+        if not texts.num_rows:
+            return out.empty_table()
+        gram, bits = _sorted(model, GRAM)
+        word, count = _sorted(model, WORD)
+        del model
+        at_end = count[np.searchsorted(word, U64(END_WORD))]
+        parts = []
+        for b in texts.select(["_text"]).to_batches(max_chunksize=2000):
+            rows = b.column(0).to_pylist()
+            for i, j in chunks(rows, SUB):
+                s = Symbols(rows[i:j], order)
+                c = count[np.searchsorted(word, s.words)]
+                n = np.bincount(s.of, minlength=j - i) + 1
+                known = np.bincount(s.of, c > 0, j - i) + (at_end > 0)
+                logs = np.bincount(s.of, np.log10(c + 0.5), j - i) + np.log10(at_end + 0.5)
+                score = np.add.reduceat(bits[np.searchsorted(gram, s.grams)], s.offsets)
+                parts.append((n, known.astype(np.int64), logs, score))
+        columns = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
+        return pa.Table.from_arrays([texts.column("_id"), *columns], schema=out)
     return run
 
 
@@ -229,20 +212,15 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     src = docs.select(F.pmod(F.xxhash64(F.col(id_col).cast("string"), text), F.lit(blocks)).alias("block"),
                       F.coalesce(train, F.lit(False)).alias("_train"), F.col(id_col).alias("_id"), text.alias("_text"))
     dealt = src.select("block", "_train", "_text").repartitionByRange(blocks, "block")
-    vocab = dealt.mapInArrow(_vocabulary(order), "block long, gram long, word binary, n long")
-    vocab = stage_table(vocab, "ppm-vocabulary")
-    grams = vocab.filter(F.col("gram").isNotNull())
-    words = vocab.filter(F.col("word").isNotNull())
-    totals = stage_table(grams.groupBy("gram").agg(F.sum("n").alias("c")), "ppm-grams")
-    lengths = stage_table(code_lengths(totals, order), "ppm-lengths")
-    counts, seen = stage_table(words.groupBy("word").agg(F.sum("n").alias("c")), "ppm-words", {
-        "n": F.sum("c"), "v": F.sum((F.col("c") > 0).cast("long"))})
+    vocab = stage_table(dealt.mapInArrow(_vocabulary(order), "block long, kind int, key long, n long"), "ppm-vocabulary")
+    totals, seen = stage_table(vocab.groupBy("kind", "key").agg(F.sum("n").alias("c")), "ppm-totals", {
+        "n": F.sum(F.when(F.col("kind") == WORD, F.col("c"))),
+        "v": F.sum(((F.col("kind") == WORD) & (F.col("c") > 0)).cast("long"))})
     n, v = int(seen["n"] or 0), int(seen["v"] or 0)
-    none = F.lit(None)
-    model = grams.join(lengths, "gram").select(
-        "block", "gram", none.cast("binary").alias("word"), F.col("bits10").alias("value")).unionByName(
-        words.join(counts, "word").select("block", none.cast("long").alias("gram"), "word",
-                                          F.col("c").cast("double").alias("value")))
+    lengths = code_lengths(totals.filter(F.col("kind") == GRAM).select(F.col("key").alias("gram"), "c"), order)
+    values = lengths.select(F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), F.col("bits10").alias("value")).unionByName(
+        totals.filter(F.col("kind") == WORD).select("kind", "key", F.col("c").cast("double").alias("value")))
+    model = vocab.select("block", "kind", "key").join(stage_table(values, "ppm-values"), ["kind", "key"])
     kind = dict(src.dtypes)["_id"]
     from pyspark.sql.pandas.types import to_arrow_type
 
