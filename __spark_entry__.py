@@ -122,12 +122,27 @@ def q_conv_alias(spark, sf_dir):
         chars.alias("content_chars"))
 
 
+#: kinds of lines by conv_id mod 9: how the line is spoilt (SQL on ``line``) and the reason expected
+SPOILT = [
+    ("line", None),
+    ("concat(line, ' x')", "malformed JSON"),
+    ("concat(line, line)", "malformed JSON"),
+    ("'  '", "blank line"),
+    ("'{\"conversation\":5}'", "conversation is not a list"),
+    ("'{\"other\":[]}'", "missing conversation"),
+    ("concat('{\"conversation\":[],', substr(to_json(named_struct('conversations', array(line))), 2))",
+     "both conversation and conversations"),
+    ("'{\"conversations\":[]}'", "empty conversation"),
+    ("'{\"conversation\":[{\"role\":\"user\",\"content\":5}]}'", "message without string role and content"),
+]
+
+
 def q_validate_rows(spark, sf_dir):
-    parsed = parse_conversations(_json_lines(spark, sf_dir))
-    return parsed.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.when(F.col("error").isNull(), 1).otherwise(0)).cast("long").alias("n_valid"),
-        F.sum(F.when(F.col("error").isNotNull(), 1).otherwise(0)).cast("long").alias("n_invalid"))
+    kind = "pmod(conv_id, 9)"
+    line = "CASE " + " ".join(f"WHEN {kind} = {k} THEN {sql}" for k, (sql, _) in enumerate(SPOILT)) + " END"
+    parsed = parse_conversations(_json_lines(spark, sf_dir).withColumn("line", F.expr(line)))
+    return parsed.groupBy("source_file", F.coalesce("error", F.lit("valid")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_tokenize_codepoint(spark, sf_dir):
@@ -198,11 +213,17 @@ def q_length_rank(spark, sf_dir):
     return rank_by_length(tok, ["source_file"], "conv_id").select("source_file", "conv_id", "length", "rank")
 
 
+def q_length_rank_ranges(spark, sf_dir):
+    tok = _tokens(spark, sf_dir, True).select("source_file", "conv_id", "length")
+    ranked = rank_by_length(tok, ["source_file"], "conv_id", rows_per_task=1)
+    return ranked.select("source_file", "conv_id", "length", "rank")
+
+
 def q_pack_report(spark, sf_dir):
     spec = PackSpec(4096, "truncate", "drop")
     assigned = assign_bins(_tokens(spark, sf_dir, True), spec, ["source_file"], "conv_id", mark_dropped=True)
     rep = pack_report(assigned, spec, ["source_file"])
-    fill = F.expr(f"(packed_tokens * 1000000) div (bins * {spec.max_length})")
+    fill = F.expr(f"(packed_tokens * 1000000) div nullif(bins * {spec.max_length}, 0)")
     return rep.select("source_file", "rows", "bins", "input_tokens", "packed_tokens",
                       "truncated_tokens", "dropped_tokens", fill.alias("fill_ppm"))
 
@@ -212,6 +233,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conv_assemble": q_conv_assemble,
     "conv_alias": q_conv_alias,
     "validate_rows": q_validate_rows,
+    "length_rank_ranges": q_length_rank_ranges,
+    "pack_whole_ranges": lambda s, d: _assignment(s, d, False, PackSpec(4096, "own_bin", tokens_per_task=20_000)),
     "render_sections": _render(SECTIONS),
     "render_sections_gen": _render(SECTIONS, True),
     "render_headers": _render(HEADERS),
@@ -358,9 +381,10 @@ SELECT conv_id, CASE WHEN conv_id % 2 = 0 THEN 'conversation' ELSE 'conversation
        CAST(sum(length(text)) AS BIGINT) AS content_chars
 FROM conversations GROUP BY conv_id""",
     "validate_rows": f"""
-SELECT {_shard_sql(True)} AS source_file, count(DISTINCT conv_id) AS n_rows,
-       count(DISTINCT conv_id) AS n_valid, CAST(0 AS BIGINT) AS n_invalid
-FROM conversations GROUP BY 1""",
+SELECT {_shard_sql(True)} AS source_file, CASE """ + " ".join(
+        f"WHEN conv_id % 9 = {k} THEN '{reason or 'valid'}'" for k, (_, reason) in enumerate(SPOILT)) + """ END AS reason,
+       count(DISTINCT conv_id) AS n_rows
+FROM conversations GROUP BY 1, 2""",
     "render_sections": _sections_sql(),
     "render_sections_gen": _sections_sql(gen=True),
     "render_headers": _headers_sql(),
@@ -416,12 +440,17 @@ SELECT source_file, CAST(sum(r) AS BIGINT) AS rows,
        CAST(sum(inp) - sum(tk) AS BIGINT) AS truncated_tokens,
        CAST(sum(CASE WHEN lost THEN tk ELSE 0 END) AS BIGINT) AS dropped_tokens,
        CAST((sum(CASE WHEN lost THEN 0 ELSE tk END) * 1000000)
-            // (sum(CASE WHEN lost THEN 0 ELSE 1 END) * 4096) AS BIGINT) AS fill_ppm
+            // nullif(sum(CASE WHEN lost THEN 0 ELSE 1 END) * 4096, 0) AS BIGINT) AS fill_ppm
 FROM per_bin GROUP BY source_file""",
     "pack_words": _assign_sql(False, 512, False, _word_tokens_sql(False)),
 }
 
 
+# the same results whatever the size at which groups are cut
+ORACLE["length_rank_ranges"] = ORACLE["length_rank"]
+ORACLE["pack_whole_ranges"] = ORACLE["pack_whole"]
+
+
 # ------------------------------------------------- training-data queries, if present
 try:
     import corpus_pipeline

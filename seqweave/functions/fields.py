@@ -21,7 +21,9 @@ def _col(c: Column | str) -> Column:
 
 def labels_for(ids: Column | str) -> Column:
     """Copy of the ids with position 0 replaced by -100."""
-    return F.transform(_col(ids), lambda x, i: F.when(i == 0, F.lit(IGNORE_INDEX)).otherwise(x))
+    ids = _col(ids)
+    masked = F.concat(F.array(F.lit(IGNORE_INDEX)), F.slice(ids, F.lit(2), F.size(ids)))
+    return F.when(F.size(ids) > 0, masked).otherwise(ids)
 
 
 def position_ids_for(ids: Column | str) -> Column:

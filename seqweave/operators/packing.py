@@ -6,7 +6,7 @@
    ``max_length`` rows per group) -> ``(_b0, _k0, _per, _tail)`` per length.
    The plan is staged in the checkpoint folder so the histogram runs once.
 3. Every row gets its index ``_r`` among rows of equal ``_L`` in its group
-   (``number_within``: salted when a group is too heavy for one task) and
+   (``number_within``: in ordered ranges when a group is too heavy for one task) and
    then its bin by arithmetic.  Over-long rows need no branch: clamped to
    ``max_length`` they fill a bin each.
 4. ``materialize_bins`` concatenates the members of each bin; a bin holds at
@@ -107,7 +107,7 @@ def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key
     rows = df.withColumn("_L", F.least(F.col(length_col), F.lit(m)).cast("int"))
     plan, stats = pack_plan(rows, spec, keys)
     numbered = number_within(
-        rows, plan, [*keys, "_L"], [F.col(length_col).desc(), F.col(key_col).asc()], key_col,
+        rows, plan, [*keys, "_L"], F.struct(-F.col(length_col), F.col(key_col)), key_col,
         _weight(), spec.tokens_per_task, spec.broadcast_rows, stats)
     fresh = F.col("_b0") + 1 + F.expr("(_r - _k0) div _per")
     out = numbered.withColumn(

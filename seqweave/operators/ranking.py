@@ -1,17 +1,21 @@
 """Dense numbering of rows inside groups, without one task per hot group.
 
 ``number_within`` gives every row an index ``_r`` in ``0..n-1`` inside its
-group (ordered by the given columns).  A plain window partitioned by the group
-would put a hot group, e.g. one file holding a third of all rows, into one
+group, in ascending order of one sort key.  A plain window partitioned by the
+group would put a hot group, e.g. one file holding a third of all rows, into one
 task.  Instead the group weights (already known from a histogram) decide:
 
 * every group fits one task: a window over the group does it;
-* otherwise each heavy group is split into ``S_g = ceil(weight / per_task)``
-  salts, ``salt = pmod(xxhash64(key), S_g)`` (light groups keep salt 0); a
-  narrow aggregation counts the heavy groups' rows per (group, salt), a
-  window over those counts (``S_g`` rows per group) turns them into offsets,
-  and the final window runs per (group, salt).  The index is
-  ``offset + row_number - 1``.  Light groups keep the exact key order.
+* otherwise each heavy group is cut into ordered ranges of the sort key.  The
+  cut points come from the group's own rows: spread over ``ceil(weight /
+  per_task)`` hash salts, every salt names its quantiles.  A narrow aggregation
+  counts the rows per (group, range), a window over those counts turns them
+  into offsets, and the final window runs per (group, range).  The index is
+  ``offset + row_number - 1``.
+
+Ranges follow the order, so the index does not depend on the threshold: it is
+the index one window over the whole group would give.  NULL group keys are
+groups like any other (all joins are null-safe).
 
 The group table is joined with a broadcast only when its row count, checked
 first, is under ``broadcast_rows``; otherwise it is a shuffle join on the
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 from seqweave.plans.stage import stage_table
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+QUANTILES = 16  # cut point candidates per salt of a heavy group
 
 
 def maybe_broadcast(df: DataFrame, rows: int, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -38,11 +43,19 @@ def group_stats(weight: Column) -> dict:
     return {"g": F.count(F.lit(1)), "w": F.max(weight)}
 
 
-def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], order: list[Column],
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal ``keys``, NULL equal to NULL; the keys of ``left`` are kept."""
+    other = right.select(*[F.col(c).alias(f"_rk_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = [left[k].eqNullSafe(other[f"_rk_{k}"]) for k in keys]
+    return left.join(other, on, how).drop(*[f"_rk_{k}" for k in keys])
+
+
+def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], sort_key: Column,
                   salt_key: str, weight: Column, per_task: int,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS, stats: dict | None = None) -> DataFrame:
     """Join ``groups`` (one staged row per key, with its columns) onto ``rows``
-    and add ``_r``, the 0-based index of each row inside its group.
+    and add ``_r``, the 0-based index of each row inside its group by ascending
+    ``sort_key`` (one value, or a struct of several).
 
     ``stats`` (``g``: groups, ``w``: heaviest weight) may come from observing
     the staging write; otherwise they are computed from ``groups``.
@@ -51,34 +64,39 @@ def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], order: li
         stats = groups.agg(*[c.alias(k) for k, c in group_stats(weight).items()]).first().asDict()
     n_groups, heaviest = int(stats["g"] or 0), int(stats["w"] or 0)
     per_task = max(1, int(per_task))
+    rows = rows.withColumn("_ord", sort_key)
     if heaviest <= per_task:
-        # number first, then attach the group columns: the shuffle for the
-        # window carries no plan columns, and a shuffle join on the same keys
-        # reuses the window's partitioning
-        w = Window.partitionBy(*keys).orderBy(*order)
-        numbered = rows.withColumn("_r", (F.row_number().over(w) - 1).cast("long"))
-        return numbered.join(maybe_broadcast(groups, n_groups, broadcast_rows), keys)
-
-    # some group is too heavy for one task: split only those groups, each
-    # into ceil(weight / per_task) salts; light groups keep salt 0
-    ns = F.greatest(F.lit(1), F.ceil(weight / F.lit(per_task))).cast("int")
-    sized = groups.withColumn("_ns", ns)
-    salted = rows.join(maybe_broadcast(sized, n_groups, broadcast_rows), keys).withColumn(
-        "_salt", F.when(F.col("_ns") > 1, F.pmod(F.xxhash64(F.col(salt_key)), F.col("_ns")))
-        .otherwise(F.lit(0)).cast("int"))
-    # offsets of the salts of heavy groups: one row per (group, salt), so at
-    # most total weight / per_task + number of heavy groups rows
-    counts = salted.filter(F.col("_ns") > 1).groupBy(*keys, "_salt").agg(
-        F.count(F.lit(1)).alias("_sn"))
-    before = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_salt", F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_off"))
+        w = Window.partitionBy(*keys).orderBy("_ord")
+        numbered = rows.withColumn("_r", (F.row_number().over(w) - 1).cast("long")).drop("_ord")
+        return join_null_safe(numbered, maybe_broadcast(groups, n_groups, broadcast_rows), keys)
+
+    sized = groups.withColumn("_ns", F.greatest(F.lit(1), F.ceil(weight / F.lit(per_task))).cast("int"))
+    joined = join_null_safe(rows, maybe_broadcast(sized, n_groups, broadcast_rows), keys)
+    # quantiles of every salt of the heavy groups: about QUANTILES cut points per salt
+    salt = F.pmod(F.xxhash64(F.col(salt_key)), F.col("_ns"))
+    heavy = joined.filter(F.col("_ns") > 1).select(*keys, "_ord", salt.alias("_salt"))
+    in_salt = Window.partitionBy(*keys, "_salt")
+    ranked = heavy.withColumn("_rn", F.row_number().over(in_salt.orderBy("_ord"))).withColumn(
+        "_sn", F.count(F.lit(1)).over(in_salt))
+    every = F.greatest(F.lit(1), F.floor(F.col("_sn") / QUANTILES))
+    cuts = ranked.filter(F.pmod(F.col("_rn"), every) == 0).groupBy(*keys).agg(
+        F.sort_array(F.collect_list("_ord")).alias("_all"), F.count(F.lit(1)).alias("_k"))
+    # the pooled quantiles, thinned to about two ranges per task
+    thin = F.filter("_all", lambda x, i: F.pmod(i, F.lit(QUANTILES // 2)) == QUANTILES // 4)
+    cuts, seen = stage_table(cuts.select(*keys, thin.alias("_cuts")), "cuts", {"n": F.count(F.lit(1))})
+    ranged = join_null_safe(joined, maybe_broadcast(cuts, int(seen["n"] or 0), broadcast_rows), keys, "left")
+    ranged = ranged.withColumn("_range", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("_cuts", lambda c: c <= F.col("_ord"))))).drop("_cuts")
+    counts = ranged.filter(F.col("_ns") > 1).groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_sn"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_range", F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_off"))
     offsets, seen = stage_table(offsets, "offsets", {"n": F.count(F.lit(1))})
-    w = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    numbered = salted.withColumn("_rn", F.row_number().over(w))
-    joined = numbered.join(maybe_broadcast(offsets, int(seen["n"] or 0), broadcast_rows),
-                           [*keys, "_salt"], "left")
+    w = Window.partitionBy(*keys, "_range").orderBy("_ord")
+    numbered = ranged.withColumn("_rn", F.row_number().over(w))
+    out = join_null_safe(numbered, maybe_broadcast(offsets, int(seen["n"] or 0), broadcast_rows),
+                         [*keys, "_range"], "left")
     r = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn") - 1
-    return joined.withColumn("_r", r.cast("long")).drop("_off", "_rn", "_salt", "_ns")
+    return out.withColumn("_r", r.cast("long")).drop("_off", "_rn", "_range", "_ns", "_ord")
 
 
 def length_histogram(df: DataFrame, group_cols: list[str], length_col: str = "length") -> DataFrame:
@@ -101,7 +119,7 @@ def rank_by_length(df: DataFrame, group_cols: list[str], key_col: str, length_co
         Window.unboundedPreceding, -1)
     hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(longer), F.lit(0)))
     hist, stats = stage_table(hist, "length-offsets", group_stats(F.col("_n")))
-    numbered = number_within(df, hist, [*group_cols, length_col], [F.col(key_col).asc()],
+    numbered = number_within(df, hist, [*group_cols, length_col], F.col(key_col),
                              key_col, F.col("_n"), rows_per_task, broadcast_rows, stats)
     return numbered.withColumn("rank", (F.col("_before") + F.col("_r") + 1).cast("long")).drop(
         "_n", "_before", "_r")

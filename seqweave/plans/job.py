@@ -97,7 +97,7 @@ def pack_report(assigned: DataFrame, spec: PackSpec, group_cols: list[str]) -> D
         out_tokens.cast("long").alias("packed_tokens"),
         (F.sum("_input") - F.sum("_tokens")).cast("long").alias("truncated_tokens"),
         F.sum(F.when(F.col("_lost"), F.col("_tokens")).otherwise(F.lit(0))).cast("long").alias("dropped_tokens"),
-        F.round(out_tokens / (out_bins * F.lit(m)), 6).alias("fill_rate"),
+        F.round(F.try_divide(out_tokens, out_bins * F.lit(m)), 6).alias("fill_rate"),
     )
 
 

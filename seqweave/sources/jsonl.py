@@ -16,63 +16,56 @@
 
 from __future__ import annotations
 
-import os
-from urllib.parse import urlparse
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SENTINEL = "end of line 5f0c1b"
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 
 
-def _is_local(path: str) -> bool:
-    scheme = urlparse(path).scheme
-    return scheme in ("", "file")
-
-
-def _local(path: str) -> str:
-    return urlparse(path).path if path.startswith("file:") else path
+def _listing(spark: SparkSession, path: str) -> list[str] | None:
+    """Names of the ``*.jsonl`` files of a folder, or None for a file.
 
-
-def is_file(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` is a single file (local paths checked directly,
-    other file systems through the Hadoop FileSystem of the session).
-    A missing path raises ``FileNotFoundError``, as the reference stops."""
-    if _is_local(path):
-        local = _local(path)
-        if not os.path.exists(local):
-            raise FileNotFoundError(path)
-        return os.path.isfile(local)
+    The path is resolved as Spark resolves it (default file system included).
+    A missing path raises ``FileNotFoundError``; a name that starts with ``_``
+    or ``.``, which Spark's readers skip, raises ``ValueError``.
+    """
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         raise FileNotFoundError(path)
-    return fs.getFileStatus(hpath).isFile()
+    if fs.getFileStatus(hpath).isFile():
+        return None
+    files = [f.getPath().getName() for f in fs.listStatus(hpath) if f.isFile()]
+    names = [n for n in files if n.endswith(".jsonl")]
+    hidden = [n for n in names if n[0] in "_."]
+    if hidden:
+        raise ValueError(f"files that Spark does not read, rename them: {', '.join(sorted(hidden))}")
+    return names
 
 
 def file_stem(name: Column) -> Column:
-    """File name without its last extension; a leading dot is not a separator."""
-    return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
+    """File name (as ``_metadata`` gives it, percent-encoded) without its last extension; a leading dot
+    is not a separator."""
+    plain = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, r"(?<=.)\.[^.]*$", "")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines with provenance: ``source_file, file_stem, line_no_key, line``."""
-    if is_file(spark, path):
-        target = path
-    else:
-        target = path.rstrip("/") + "/*.jsonl"
-    empty = spark.createDataFrame([], "source_file string, file_stem string, line string")
-    try:
-        raw = spark.read.format("text").load(target)
-    except Exception as exc:  # noqa: BLE001 - an empty folder has nothing to match
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return empty
-        raise
+    names = _listing(spark, path)
+    if names == []:
+        return spark.createDataFrame([], "source_file string, file_stem string, line string")
+    # lines end at LF (a CR before it is dropped); brackets and stars in a path are ordinary characters
+    reader = spark.read.format("text").option("lineSep", "\n").option("__globPaths__", "false")
+    if names:
+        reader = reader.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "false")
+    raw = reader.load(path)
     return raw.select(
         F.col("_metadata.file_path").alias("source_file"),
         file_stem(F.col("_metadata.file_name")).alias("file_stem"),
-        F.col("value").alias("line"),
+        F.regexp_replace("value", "\r$", "").alias("line"),
     )
 
 
@@ -83,7 +76,10 @@ def _string_field(m: Column, name: str) -> Column:
 
 def parse_conversations(lines: DataFrame) -> DataFrame:
     """Add ``messages`` and ``error`` (NULL when the line is valid)."""
-    v = F.try_parse_json(F.col("line"))
+    # a line is one document: behind it, inside a list, only the sentinel may follow
+    pair = F.try_parse_json(F.concat(F.lit("["), F.col("line"), F.lit(f',"{SENTINEL}"]')))
+    whole = (F.try_variant_get(pair, "$[1]", "string") == SENTINEL) & F.try_variant_get(pair, "$[2]", "variant").isNull()
+    v = F.when(F.coalesce(whole, F.lit(False)), F.try_variant_get(pair, "$[0]", "variant"))
     one = F.try_variant_get(v, "$.conversation", "variant")
     many = F.try_variant_get(v, "$.conversations", "variant")
     arr = F.coalesce(F.try_variant_get(v, "$.conversation", "array<variant>"),

@@ -12,26 +12,26 @@ rewrites the same files instead of duplicating them.
 
 from __future__ import annotations
 
-import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqweave.functions.template import ChatTemplate
 from seqweave.plans.job import pack_lines
-from seqweave.session import checkpoint_dir
 from seqweave.sources.jsonl import file_stem
 
 
 def stream_lines(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.format("text").option("pathGlobFilter", "*.jsonl")
+    # the default forgets files older than a week and would never pack them
+    reader = reader.option("maxFileAge", "36500d").option("lineSep", "\n")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(input_dir)
     return raw.select(
         F.col("_metadata.file_path").alias("source_file"),
         file_stem(F.col("_metadata.file_name")).alias("file_stem"),
-        F.col("value").alias("line"),
+        F.regexp_replace("value", "\r$", "").alias("line"),
     )
 
 
@@ -43,9 +43,8 @@ def start_continuous_pack(spark: SparkSession, input_dir: str, output_path: str,
                           processing_time: str | None = None):
     """Start the streaming query; returns the ``StreamingQuery``."""
     out = output_path.rstrip("/")
-    # one streaming checkpoint per (input, output) pair unless given
-    tag = hashlib.sha1(f"{input_dir}|{out}".encode()).hexdigest()[:16]
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/seqweave-stream-{tag}"
+    # beside the output, so a restarted application finds it again
+    location = checkpoint_location or f"{out}/_checkpoint"
 
     def pack_batch(batch: DataFrame, batch_id: int) -> None:
         pack_lines(batch, f"{out}/batch={batch_id}", template, tokenizer, max_length, fmt, tail,

@@ -1,38 +1,25 @@
-"""The literal sequential packer, used as the test oracle for the plan."""
+"""Packing worked out from prefix sums, as an independent check of the plan."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from bisect import bisect_right
+from itertools import accumulate
 
 
-def next_fit_decreasing(lengths: Iterable[int], max_length: int, oversize: str = "truncate",
-                        tail: str = "keep") -> list[list[int]]:
-    """Literal sequential packer (test oracle).  Returns member indices per bin.
+def next_fit_decreasing(lengths, max_length: int, oversize: str = "truncate", tail: str = "keep") -> list[list[int]]:
+    """Row numbers per bin, rows longest first (ties by number).
 
-    Rows are taken longest first (ties by index).  ``oversize="truncate"``:
-    a row with ``length >= max_length`` is emitted alone and does not touch
-    the open bin; ``"own_bin"``: such a row simply fails to fit and opens a bin.
-    ``tail="drop"`` discards the last open bin, as the reference's Arrow path does.
+    A bin ends at the furthest place whose prefix sum is within ``max_length`` of the bin's start, but
+    holds one row at least.  In truncate mode rows of ``max_length`` or more are bins of their own in
+    front; ``tail="drop"`` leaves out the last bin of the others.
     """
-    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
-    lengths = list(lengths)
-    bins: list[list[int]] = []
-    alone: list[list[int]] = []
-    cur_bin: list[int] = []
-    cur = 0
-    for i in order:
-        n = lengths[i]
-        if oversize == "truncate" and n >= max_length:
-            alone.append([i])
-            continue
-        if cur == 0:
-            cur_bin, cur = [i], n
-        elif cur + n <= max_length:
-            cur_bin.append(i)
-            cur += n
-        else:
-            bins.append(cur_bin)
-            cur_bin, cur = [i], n
-    if cur_bin and tail == "keep":
-        bins.append(cur_bin)
-    return alone + bins
+    order = [i for _, i in sorted((-n, i) for i, n in enumerate(lengths))]
+    full = sum(n >= max_length for n in lengths) if oversize == "truncate" else 0
+    rest = order[full:]
+    upto = [0, *accumulate(lengths[i] for i in rest)]
+    cuts = [0]
+    while cuts[-1] < len(rest):
+        start = cuts[-1]
+        cuts.append(max(start + 1, bisect_right(upto, upto[start] + max_length) - 1))
+    bins = [rest[a:b] for a, b in zip(cuts, cuts[1:])]
+    return [[i] for i in order[:full]] + (bins[:-1] if tail == "drop" else bins)

@@ -1,4 +1,4 @@
-"""Length rank and histogram, including the salted path for hot groups."""
+"""Length rank and histogram, in one window and in ordered ranges of hot groups."""
 
 import random
 
@@ -9,17 +9,19 @@ def test_rank_matches_sort(spark):
     rnd = random.Random(1)
     rows = [(g, k, rnd.randint(1, 20)) for g in range(3) for k in range(60)]
     df = spark.createDataFrame(rows, "g int, k long, length int")
-    for per_task in (10**9, 7):  # plain window, then forced salting
+    for per_task in (10**9, 7):  # one window, then ordered ranges
         got = {(r["g"], r["k"]): r["rank"] for r in rank_by_length(df, ["g"], "k", rows_per_task=per_task).collect()}
         for g in range(3):
             members = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1]))
             ranks = [got[(g, r[1])] for r in members]
-            if per_task > 1000:
-                assert ranks == list(range(1, len(members) + 1))
-            else:  # ties may be ordered differently, lengths may not
-                by_rank = sorted(members, key=lambda r: got[(g, r[1])])
-                assert [r[2] for r in by_rank] == [r[2] for r in members]
-                assert sorted(ranks) == list(range(1, len(members) + 1))
+            assert ranks == list(range(1, len(members) + 1))
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(None, 1, 5), (None, 2, 9), (0, 3, 5)], "g int, k long, length int")
+    for per_task in (10**9, 1):
+        got = {r["k"]: r["rank"] for r in rank_by_length(df, ["g"], "k", rows_per_task=per_task).collect()}
+        assert got == {1: 2, 2: 1, 3: 1}
 
 
 def test_histogram(spark):

@@ -73,12 +73,36 @@ def test_empty_folder(spark, tmp_dir):
     assert read_lines(spark, tmp_dir).count() == 0
 
 
-def test_stems(spark, tmp_dir):
-    for name in ("a.b.jsonl", ".hidden.jsonl"):
+def test_names_are_taken_literally(spark, tmp_dir):
+    import os
+
+    for name in ("a{1}.jsonl", "b.tar.jsonl", "c[2]*.jsonl"):
         write(f"{tmp_dir}/{name}", GOOD[:1])
-    # Spark skips files whose name starts with '.', like hidden files
     stems = {r["file_stem"] for r in read_lines(spark, tmp_dir).collect()}
-    assert stems == {"a.b"}
+    assert stems == {"a{1}", "b.tar", "c[2]*"}
+    assert read_lines(spark, f"{tmp_dir}/a{{1}}.jsonl").count() == 1
+    folder = f"{tmp_dir}/conv[1]"
+    os.makedirs(folder)
+    write(f"{folder}/x.jsonl", GOOD[:1])
+    assert read_lines(spark, folder).count() == 1
+    write(f"{folder}/_y.jsonl", GOOD[:1])
+    with pytest.raises(ValueError, match="_y.jsonl"):
+        read_lines(spark, folder)
+
+
+def test_one_document_per_line(spark, tmp_dir):
+    ok = '{"conversation":[{"role":"user","content":"a"}]}'
+    bad = [ok + " x", ok + "}", ok + ok, ok + "," + ok, ok + "],[1", "[" + ok + "]", ok[:-1]]
+    with open(f"{tmp_dir}/f.jsonl", "wb") as fh:
+        fh.write("\n".join([ok, *bad, " " + ok + " "]).encode() + b"\r\n" + ok.replace('"a"', '"b"').encode() + b"\r")
+    got = parse_conversations(read_lines(spark, f"{tmp_dir}/f.jsonl")).collect()
+    assert len(got) == len(bad) + 3
+    errors = [r["error"] for r in got]
+    assert errors.count(None) == 3 and all(e for e in errors[1:-2])
+    bare = '{"conversation":[{"role":"user",\r"content":"a"}]}'
+    with open(f"{tmp_dir}/g.jsonl", "wb") as fh:
+        fh.write(bare.encode())
+    assert [r["error"] for r in parse_conversations(read_lines(spark, f"{tmp_dir}/g.jsonl")).collect()] == [None]
 
 
 def test_unicode_content_survives(spark, tmp_dir):
