@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 # the package sits next to this file; make it importable however this file is loaded
@@ -32,8 +33,11 @@ from seqweave.functions.template import ChatTemplate
 from seqweave.functions.tokenizers import CodePointTokenizer, PretrainedTokenizer, WordVocabulary
 from seqweave.operators.packing import PackSpec, assign_bins, clip_payload, materialize_bins
 from seqweave.operators.ranking import length_histogram, rank_by_length
-from seqweave.plans.job import pack_report, tokenize_conversations
-from seqweave.sources.jsonl import parse_conversations
+from seqweave.plans.job import pack_job, pack_report, tokenize_conversations
+from seqweave.plans.stage import stage_root
+from seqweave.sinks.arrow_stream import read_bins
+from seqweave.sinks.files import bins_per_part_for, write_lines
+from seqweave.sources.jsonl import line_counts, parse_conversations, read_conversations
 from seqweave.sources.turns import (
     TURNS_SCHEMA,
     conversations_from_turns,
@@ -41,6 +45,7 @@ from seqweave.sources.turns import (
     shard_of,
     single_file,
 )
+from seqweave.streaming.continuous import start_continuous_pack
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SHARDS = 4
@@ -90,6 +95,15 @@ def _render(template, gen=False):
     return q
 
 
+def q_render_headers_odd(spark, sf_dir):
+    """Padded texts (trim), every third message a tool's (JSON quoting), generation prompt."""
+    conv = _conversations(spark, sf_dir, False)
+    odd = F.transform("messages", lambda m, i: F.struct(
+        F.when(i % 3 == 2, F.lit("tool")).otherwise(m["role"]).alias("role"),
+        F.concat(F.lit(" \t\n"), m["content"], F.lit("<&'\"\n ")).alias("content")))
+    return conv.select("conv_id", HEADERS.render(odd, True).alias("prompt"))
+
+
 # --------------------------------------------------------------------- queries
 def q_file_row_counts(spark, sf_dir):
     conv = _conversations(spark, sf_dir, True)
@@ -219,6 +233,52 @@ def q_length_rank_ranges(spark, sf_dir):
     return ranked.select("source_file", "conv_id", "length", "rank")
 
 
+# ------------------------------------------------------------ through files
+def _written(spark, sf_dir) -> str:
+    """The conversations as one JSONL file per shard in the staging folder."""
+    src = f"{stage_root(spark)}/lines-{uuid.uuid4().hex}"
+    write_lines(_json_lines(spark, sf_dir), src, stem_col="source_file", order_col="conv_id")
+    return src
+
+
+def _array_texts(bins, *more):
+    members = F.size(F.filter("position_ids", lambda p: p == 0)).alias("n_members")
+    return bins.select(F.col("file_stem").alias("source_file"), "bin", members,
+                       *[array_text(c).alias(c) for c in ("input_ids", "labels", "position_ids")], *more)
+
+
+def _sink(fmt: str, tail: str):
+    """Lines -> job -> files of the sink -> rows read back, bins numbered by their place in the files."""
+    def q(spark, sf_dir):
+        out = f"{stage_root(spark)}/bins-{uuid.uuid4().hex}"
+        pack_job(spark, _written(spark, sf_dir), out, SECTIONS, max_length=4096, fmt=fmt, tail=tail)
+        if fmt == "parquet":
+            return _array_texts(spark.read.parquet(out))
+        bins = read_bins(spark, out, bins_per_part_for(4096), fmt)
+        return _array_texts(bins, F.size("input_ids").alias("length")) if fmt == "jsonl" else _array_texts(bins)
+    return q
+
+
+def q_read_jsonl(spark, sf_dir):
+    conv = read_conversations(spark, _written(spark, sf_dir))
+    flat = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\u0001")
+    return conv.select(F.col("file_stem").alias("source_file"), F.size("messages").alias("n_messages"),
+                       flat.alias("messages_text"))
+
+
+def q_line_counts(spark, sf_dir):
+    return line_counts(spark, _written(spark, sf_dir)).select(F.col("file_stem").alias("source_file"), "n_lines")
+
+
+def q_stream_pack(spark, sf_dir):
+    """Two files a micro-batch; every file's bins are those of the batch job."""
+    out = f"{stage_root(spark)}/stream-{uuid.uuid4().hex}"
+    query = start_continuous_pack(spark, _written(spark, sf_dir), out, SECTIONS, max_length=4096, fmt="parquet",
+                                  tail="drop", max_files_per_trigger=2, available_now=True)
+    query.awaitTermination()
+    return _array_texts(spark.read.option("basePath", out).parquet(f"{out}/batch=*"))
+
+
 def q_pack_report(spark, sf_dir):
     spec = PackSpec(4096, "truncate", "drop")
     assigned = assign_bins(_tokens(spark, sf_dir, True), spec, ["source_file"], "conv_id", mark_dropped=True)
@@ -238,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "render_sections": _render(SECTIONS),
     "render_sections_gen": _render(SECTIONS, True),
     "render_headers": _render(HEADERS),
+    "render_headers_odd": q_render_headers_odd,
     "tokenize_codepoint": q_tokenize_codepoint,
     "vocab_build": q_vocab_build,
     "tokenize_vocab": q_tokenize_vocab,
@@ -255,6 +316,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "packed_jsonl": lambda s, d: _bins(s, d, True, PackSpec(4096, "own_bin", "keep")),
     "pack_report": q_pack_report,
     "pack_words": q_pack_words,
+    "read_jsonl": q_read_jsonl,
+    "line_counts": q_line_counts,
+    "sink_arrow": _sink("arrow", "drop"),
+    "sink_jsonl": _sink("jsonl", "keep"),
+    "sink_parquet": _sink("parquet", "drop"),
+    "stream_pack": q_stream_pack,
 }
 
 
@@ -280,24 +347,37 @@ def _sections_sql(gen: bool = False) -> str:
     return f"SELECT conv_id, {body} AS prompt FROM conversations GROUP BY conv_id"
 
 
-def _headers_sql() -> str:
+def _headers_sql(turns: str = "conversations", gen: bool = False) -> str:
     trim = "regexp_replace(text, '^\\s+|\\s+$', '', 'g')"
     system = ("'<|start_header_id|>system<|end_header_id|>" + NL + NL +
               "Cutting Knowledge Date: December 2023" + NL + "Today Date: 26 Jul 2024" + NL + NL + "'")
+    quoted = "CAST(to_json(text) AS VARCHAR)"
+    for char in "<>&'":
+        quoted = f"replace({quoted}, chr({ord(char)}), '\\u{ord(char):04x}')"
+    tail = f" || '<|start_header_id|>assistant<|end_header_id|>{NL}{NL}'" if gen else ""
     return f"""
 WITH t AS (
   SELECT *, first_value(role) OVER (PARTITION BY conv_id ORDER BY turn) AS first_role,
          min(turn) OVER (PARTITION BY conv_id) AS t0
-  FROM conversations)
+  FROM {turns})
 SELECT conv_id,
   '<|begin_of_text|>' || {system}
   || coalesce(max(CASE WHEN turn = t0 AND role = 'system' THEN {trim} END), '') || '<|eot_id|>'
-  || coalesce(string_agg(CASE WHEN NOT (turn = t0 AND role = 'system')
+  || coalesce(string_agg(CASE WHEN role = 'tool'
+       THEN '<|start_header_id|>ipython<|end_header_id|>{NL}{NL}' || {quoted} || '<|eot_id|>'
+       WHEN NOT (turn = t0 AND role = 'system')
        THEN '<|start_header_id|>' || role || '<|end_header_id|>{NL}{NL}' || {trim} || '<|eot_id|>' END,
-       '' ORDER BY turn), '') AS prompt
+       '' ORDER BY turn), ''){tail} AS prompt
 FROM t GROUP BY conv_id"""
 
 
+#: the turns of ``render_headers_odd``
+ODD_TURNS = """(
+  SELECT conv_id, turn, CASE WHEN (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) % 3 = 2 THEN 'tool'
+         ELSE role END AS role, ' ' || chr(9) || chr(10) || text || '<&''"' || chr(10) || ' ' AS text
+  FROM conversations)"""
+
+
 def _tokens_sql(sharded: bool) -> str:
     return f"""
 SELECT conv_id, {_shard_sql(sharded)} AS source_file, CAST(length(prompt) AS INTEGER) AS length,
@@ -449,6 +529,16 @@ FROM per_bin GROUP BY source_file""",
 # the same results whatever the size at which groups are cut
 ORACLE["length_rank_ranges"] = ORACLE["length_rank"]
 ORACLE["pack_whole_ranges"] = ORACLE["pack_whole"]
+# the same bins through files as in memory
+for _name in ("sink_arrow", "sink_parquet", "stream_pack"):
+    ORACLE[_name] = ORACLE["packed_arrow"]
+ORACLE["sink_jsonl"] = ORACLE["packed_jsonl"]
+ORACLE["render_headers_odd"] = _headers_sql(ODD_TURNS, gen=True)
+ORACLE["line_counts"] = ORACLE["file_row_counts"]
+ORACLE["read_jsonl"] = f"""
+SELECT {_shard_sql(True)} AS source_file, CAST(count(*) AS INTEGER) AS n_messages,
+       string_agg(role || ':' || text, chr(1) ORDER BY turn) AS messages_text
+FROM conversations GROUP BY conv_id"""
 
 
 # ------------------------------------------------- training-data queries, if present

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import argparse
 import json
+from dataclasses import replace
 
+from seqweave.functions.config import read_tokenizer_config
 from seqweave.functions.template import ChatTemplate
 from seqweave.functions.tokenizers import CodePointTokenizer, PretrainedTokenizer
 from seqweave.plans.job import pack_job
@@ -26,9 +28,11 @@ def build_parser() -> argparse.ArgumentParser:
                    help="'codepoint' or a path to a tokenizer.json file")
     p.add_argument("-m", "--max-length", type=int, default=8192)
     p.add_argument("-f", "--format", default="arrow", help="arrow | jsonl | parquet")
-    p.add_argument("--template", default="sections", choices=["sections", "headers"])
+    p.add_argument("--template", default=None,
+                   help="'sections' (default without --config), 'headers' or a rules file (*.json)")
     p.add_argument("--config", default=None,
-                   help="local tokenizer_config.json providing bos_token and eos_token")
+                   help="local tokenizer_config.json providing bos_token and eos_token; its template text is "
+                        "not interpreted, so --template must be given with it")
     p.add_argument("--bos", default=None)
     p.add_argument("--eos", default=None)
     p.add_argument("--tail", default="keep", choices=["keep", "drop"])
@@ -40,20 +44,27 @@ def build_parser() -> argparse.ArgumentParser:
     return p
 
 
-def main(argv=None) -> None:
-    args = build_parser().parse_args(argv)
-    spark = get_session(args.master)
+def build_template(args) -> ChatTemplate:
     if args.config:
-        from seqweave.functions.config import read_tokenizer_config
-
+        if not args.template:
+            raise ValueError("--config holds a chat_template that is not interpreted: name one with --template")
         cfg = read_tokenizer_config(args.config)
         args.bos = args.bos if args.bos is not None else cfg.bos_token
         args.eos = args.eos if args.eos is not None else cfg.eos_token
-    if args.template == "headers":
-        kw = {k: v for k, v in (("bos_token", args.bos), ("eos_token", args.eos)) if v is not None}
-        template = ChatTemplate.headers(**kw)
-    else:
-        template = ChatTemplate.sections(args.bos, args.eos)
+    tokens = {k: v for k, v in (("bos_token", args.bos), ("eos_token", args.eos)) if v is not None}
+    name = args.template or "sections"
+    if name in ("sections", "headers"):
+        return getattr(ChatTemplate, name)(**tokens)
+    if not name.endswith(".json"):
+        raise ValueError(f"unknown template: {name}")
+    with open(name, encoding="utf-8") as fh:
+        return replace(ChatTemplate.from_rules(json.load(fh)), **tokens)
+
+
+def main(argv=None) -> None:
+    args = build_parser().parse_args(argv)
+    template = build_template(args)
+    spark = get_session(args.master)
     tokenizer = CodePointTokenizer() if args.tokenizer == "codepoint" else PretrainedTokenizer(args.tokenizer)
     res = pack_job(spark, args.input, args.output, template, tokenizer, args.max_length,
                    args.format, args.tail, args.on_error, layout=args.layout,

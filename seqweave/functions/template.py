@@ -145,6 +145,21 @@ class ChatTemplate:
             name="headers",
         )
 
+    @staticmethod
+    def from_rules(raw: dict) -> ChatTemplate:
+        """Template from a rules document (the fields of this class; see README).
+
+        ``roles`` maps a role to a rule, ``default`` is the rule of other
+        roles (absent: they render nothing); unknown keys are refused.
+        """
+        raw = dict(raw)
+        roles = raw.pop("roles", {})
+        default, block = raw.pop("default", None), raw.pop("system_block", None)
+        return ChatTemplate(
+            rules=tuple((role, RoleRule(**rule)) for role, rule in roles.items()),
+            default=RoleRule(**default) if default is not None else None,
+            system_block=SystemBlock(**block) if block is not None else None, **raw)
+
     # ------------------------------------------------------------------ compile
     def _text(self, s: str) -> str:
         return s.replace("{bos_token}", self.bos_token or "").replace("{eos_token}", self.eos_token or "")

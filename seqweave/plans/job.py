@@ -14,7 +14,10 @@ from seqweave.functions.fields import length_of
 from seqweave.functions.template import ChatTemplate
 from seqweave.functions.tokenizers import CodePointTokenizer
 from seqweave.operators.packing import PackSpec, assign_bins, clip_payload, materialize_bins
-from seqweave.plans.stage import stage_table
+from seqweave.plans.stage import stage_table, stages_removed
+from seqweave.sinks.arrow_stream import check_scheme, qualified
+from seqweave.sinks.files import ONE_PART, bins_per_part_for, write_bins
+from seqweave.sources.jsonl import conversations_from_lines
 
 
 def tokenize_conversations(conv: DataFrame, template: ChatTemplate, tokenizer=None,
@@ -114,47 +117,68 @@ def pack_job(spark: SparkSession, input_path: str, output_path: str,
     staged once in the checkpoint folder, so the histogram, numbering and
     materialization passes read a fixed table.
     """
-    from seqweave.sources.jsonl import read_lines
+    from seqweave.sources.jsonl import folder_stems, read_lines
 
     return pack_lines(read_lines(spark, input_path), output_path, template, tokenizer, max_length,
                       fmt, tail, on_error, oversize, layout,
-                      add_generation_prompt=add_generation_prompt)
+                      add_generation_prompt=add_generation_prompt, stems=folder_stems(spark, input_path))
 
 
 def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None = None,
                tokenizer=None, max_length: int = 8192, fmt: str = "arrow", tail: str = "keep",
                on_error: str = "fail", oversize: str | None = None, layout: str = "parts",
-               part_prefix: str = "", add_generation_prompt: bool = False) -> dict:
-    """``pack_job`` on already listed lines (``source_file, file_stem, line``)."""
-    from seqweave.sinks.files import BINS_PER_PART, ONE_PART, write_bins
-    from seqweave.sources.jsonl import conversations_from_lines
+               part_prefix: str = "", add_generation_prompt: bool = False,
+               stems: DataFrame | None = None) -> dict:
+    """``pack_job`` on already listed lines (``source_file, file_stem, line``).
 
+    ``stems`` (``file_stem``) names all input files, so that files without
+    lines get an output too.  Tables staged on the way are removed at the
+    end; the report is a small staged table that stays.
+    """
     fmt = fmt.lower()
     if fmt not in ("arrow", "jsonl", "parquet"):
         raise ValueError(f"format not supported: {fmt}")
     if oversize is None:
         oversize = "own_bin" if fmt == "jsonl" else "truncate"
     spec = PackSpec(max_length, oversize, tail)
-    template = template or ChatTemplate.sections()
-    rejected = None
+    if fmt != "parquet":
+        check_scheme(qualified(lines.sparkSession, output_path))
+    with stages_removed(lines.sparkSession):
+        report = _pack_staged(lines, output_path, template or ChatTemplate.sections(),
+                              tokenizer or CodePointTokenizer(), spec, fmt, on_error, layout, part_prefix,
+                              add_generation_prompt, stems)
+    return {"report": report, "spec": spec}
+
+
+def _pack_staged(lines, output_path, template, tokenizer, spec, fmt, on_error, layout, part_prefix,
+                 add_generation_prompt, stems) -> DataFrame:
     conv = conversations_from_lines(lines, on_error)
+    rejected = None
     if on_error == "quarantine":
         conv, rejected = conv
+    elif not hasattr(tokenizer, "ids"):
+        # a tokenizer job reads the rows more than once: fix their keys first
+        conv = stage_table(conv, "conversations")
     groups = ["source_file", "file_stem"]
     tokens = tokenize_conversations(conv, template, tokenizer, "row_key", groups, add_generation_prompt)
     late = _late_ids(tokens, tokenizer)
     # stage once: text + length for expression tokenizers, ids otherwise,
     # cut to max_length in truncate mode
     tokens = tokens.drop("input_ids") if late else tokens
-    tokens = clip_payload(tokens, spec, head=getattr(tokenizer or CodePointTokenizer(), "head", None))
+    tokens = clip_payload(tokens, spec, head=getattr(tokenizer, "head", None))
     tokens = stage_table(tokens, "tokens")
     assigned = assign_bins(tokens, spec, groups, "row_key", mark_dropped=True)
+    report = stage_table(pack_report(assigned, spec, groups), "report", keep=True)
+    empty = report.filter("bins = 0").select("file_stem") if spec.tail == "drop" else None
+    if stems is not None:
+        # input files without a (good) conversation
+        unread = stems.join(report.select("file_stem"), "file_stem", "left_anti")
+        empty = unread if empty is None else empty.unionByName(unread)
     kept = assigned.filter(~F.col("dropped")) if "dropped" in assigned.columns else assigned
-    per_part = ONE_PART if layout == "file" else BINS_PER_PART
+    per_part = ONE_PART if layout == "file" else bins_per_part_for(spec.max_length)
     bins = materialize_bins(kept, spec, groups, late_ids=late, bins_per_part=per_part)
     write_bins(bins, output_path, fmt, layout=layout, part_prefix=part_prefix, clustered=True,
-               bins_per_part=per_part)
+               bins_per_part=per_part, empty=empty)
     if rejected is not None:
         rejected.write.mode("overwrite").json(output_path.rstrip("/") + "/_rejected")
-    report = pack_report(assigned, spec, groups)
-    return {"report": report, "spec": spec}
+    return report

@@ -5,14 +5,16 @@ back.  That cuts the lineage (a lost executor does not force a rescan of the
 whole input), and later passes that need only a few columns read just those
 columns.  Small plan tables go the same way so that the histogram behind them
 is computed exactly once.  Tables of one application share the folder
-``<checkpoint dir>/seqweave-stage/<application id>``; nothing is deleted by
-the library, so that folder can be removed once the application's outputs
-are written.
+``<checkpoint dir>/seqweave-stage/<application id>``.  Tables staged inside
+``stages_removed`` go when its block ends (jobs and micro-batches use it);
+others stay until that folder is removed after the application's run.
 """
 
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame
 
@@ -29,7 +31,26 @@ def stage_root(spark) -> str:
     return f"{base}/seqweave-stage/{app}"
 
 
-def stage_table(df: DataFrame, name: str, metrics: dict | None = None):
+#: paths staged in the current block, innermost block last
+_open: ContextVar[tuple] = ContextVar("seqweave_open_stages", default=())
+
+
+@contextmanager
+def stages_removed(spark):
+    """Remove the tables staged in the block when it ends (``keep=True`` ones go to the block around it)."""
+    paths: list[str] = []
+    token = _open.set((*_open.get(), paths))
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        sc = spark.sparkContext
+        for path in paths:
+            hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def stage_table(df: DataFrame, name: str, metrics: dict | None = None, keep: bool = False):
     """Write ``df`` under the checkpoint folder and read it back.
 
     ``metrics`` (name -> aggregate Column) are observed while the table is
@@ -38,6 +59,9 @@ def stage_table(df: DataFrame, name: str, metrics: dict | None = None):
     """
     spark = df.sparkSession
     path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    blocks = _open.get()[:-1] if keep else _open.get()
+    if blocks:
+        blocks[-1].append(path)
     observation = None
     if metrics:
         from pyspark.sql import Observation

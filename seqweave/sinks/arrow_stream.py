@@ -6,10 +6,15 @@
 Spark (``to_json``, keys ``input_ids, labels, position_ids, length``), the
 task only writes bytes.
 
-Each task writes one file per (input file stem, bin bucket) it holds, to an
-attempt-unique temporary name; the driver's ``commit`` renames the files of
-successful attempts, and ``abort`` removes them, so retried or speculative
-tasks never leave partial output.
+A task's rows come sorted by (file stem, bin), so it holds one open file at a
+time, under a name of its own in ``<out>/_temporary/<job>``; the driver's
+``commit`` moves the files of successful tasks (several at a time) and
+``abort`` removes them, so retried, speculative or late tasks never leave
+partial output.  A row whose bin is NULL makes an empty file for its stem.
+
+Paths: the caller passes a path qualified by Spark's file systems
+(``qualified``); ``file:``, ``hdfs:``, ``s3(a|n):``, ``gs:`` and ``abfs(s):``
+can be written, any other scheme is refused before the job starts.
 
 Layouts: ``parts`` writes ``<out>/<stem>/part-<bucket>.<ext>`` where bucket
 = bin // bins_per_part (many tasks per input file; each bucket is written by
@@ -22,19 +27,47 @@ from __future__ import annotations
 
 import posixpath
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import groupby
+from urllib.parse import urlsplit
 
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 # Fixed output schema of the Arrow sink.
 ARROW_COLUMNS = ("input_ids", "labels", "position_ids")
+FORMATS = ("arrow", "jsonl")
+# Spark's scheme -> the library's, where they differ
+_SCHEMES = {"hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+COMMIT_THREADS = 16
+
+
+def qualified(spark, path: str) -> str:
+    """The path with scheme and authority as Spark resolves it (default file system included)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(hpath).toString()
+
+
+def check_scheme(path: str) -> None:
+    scheme = urlsplit(path).scheme
+    if scheme not in ("", "file", *_SCHEMES):
+        raise ValueError(f"arrow and jsonl output cannot be written to {scheme}: paths; use fmt='parquet'")
 
 
-def _fs(path: str):
+def file_system(path: str):
+    """(file system, path inside it) of a plain path or URI; the one place where paths are resolved."""
     import pyarrow.fs as pafs
 
-    fs, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-    return fs, root
+    check_scheme(path)
+    scheme, sep, rest = path.partition(":")
+    if not sep or scheme not in ("file", *_SCHEMES):
+        return pafs.LocalFileSystem(), path
+    authority, slash, inside = rest[2:].partition("/") if rest.startswith("//") else ("", "/", rest.lstrip("/"))
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + inside
+    fs, base = pafs.FileSystem.from_uri(f"{_SCHEMES[scheme]}://{authority}/")
+    return fs, posixpath.join(base or "/", inside)
 
 
 def arrow_schema():
@@ -68,100 +101,109 @@ class _BinFilesWriter(DataSourceArrowWriter):
         self.prefix = options.get("prefix", "")
         self.bins_per_part = int(options.get("bins_per_part", "8192"))
         self.format = options.get("format", "arrow")
-        if self.format not in ("arrow", "jsonl"):
+        if self.format not in FORMATS:
             raise ValueError(f"format not supported: {self.format}")
+        check_scheme(self.path)
 
-    def _final(self, stem: str, bucket: int) -> str:
+    def _final(self, root: str, stem: str, bucket: int) -> str:
         if self.layout == "file":
-            return posixpath.join(self.path, f"{stem}.{self.format}")
-        return posixpath.join(self.path, stem, f"{self.prefix}part-{bucket:05d}.{self.format}")
+            return posixpath.join(root, f"{stem}.{self.format}")
+        return posixpath.join(root, stem, f"{self.prefix}part-{bucket:05d}.{self.format}")
+
+    def _temporary(self, root: str) -> str:
+        return posixpath.join(root, "_temporary", self.job)
 
     def write(self, iterator):
         import pyarrow as pa
-        import pyarrow.compute as pc
         import pyarrow.ipc as ipc
-        from pyspark import TaskContext
 
-        ctx = TaskContext.get()
-        partition = ctx.partitionId() if ctx else 0
-        attempt = ctx.attemptNumber() if ctx else 0
-        fs, root = _fs(self.path)
+        fs, root = file_system(self.path)
+        fs.create_dir(self._temporary(root), recursive=True)
         schema = arrow_schema()
-        writers: dict[str, tuple] = {}
-        moves = []
+        moves, sink, stream, current = [], None, None, None
+
+        def close():
+            if stream is not None:
+                stream.close()
+            if sink is not None:
+                sink.close()
+
         try:
             for batch in iterator:
-                stems = batch.column(self.stem_col)
-                if self.layout == "file":
-                    buckets = pa.nulls(batch.num_rows, pa.int64()).fill_null(0)
-                else:
-                    buckets = pc.divide(batch.column("bin"), self.bins_per_part)
-                pairs = pa.table({"s": stems, "b": buckets}).group_by(["s", "b"]).aggregate([])
-                for key in pairs.to_pylist():
-                    stem, bucket = key["s"], int(key["b"])
-                    part = batch.filter(pc.and_(pc.equal(stems, stem), pc.equal(buckets, bucket)))
-                    if (stem, bucket) not in writers:
-                        final = self._final(stem, bucket)
-                        tmp = posixpath.join(root, "_temporary", self.job,
-                                             f"{partition:05d}-{attempt}-{len(writers)}.{self.format}")
-                        fs.create_dir(posixpath.dirname(tmp), recursive=True)
+                bins = batch.column("bin").to_pylist()
+                stems = batch.column(self.stem_col).to_pylist()
+                per_part = self.bins_per_part if self.layout == "parts" else None
+                keys = [(s, (b or 0) // per_part if per_part else 0) for s, b in zip(stems, bins)]
+                for key, run in groupby(range(batch.num_rows), key=keys.__getitem__):
+                    rows = [i for i in run]
+                    if key != current:
+                        close()
+                        sink = stream = None
+                        # a fresh name per open file: no two attempts share one
+                        tmp = posixpath.join(self._temporary(root), f"{uuid.uuid4().hex}.{self.format}")
                         sink = fs.open_output_stream(tmp)
                         stream = ipc.new_stream(sink, schema) if self.format == "arrow" else None
-                        writers[(stem, bucket)] = (sink, stream)
-                        moves.append((tmp, final))
-                    sink, stream = writers[(stem, bucket)]
+                        moves.append((tmp, key[0], self._final(root, *key)))
+                        current = key
+                    if bins[rows[0]] is None:
+                        continue
+                    part = batch.slice(rows[0], len(rows))
                     if stream is None:
                         sink.write(("\n".join(part.column("line").to_pylist()) + "\n").encode("utf-8"))
                     else:
                         cols = [part.column(c).cast(schema.field(c).type) for c in ARROW_COLUMNS]
                         stream.write_batch(pa.record_batch(cols, schema=schema))
         finally:
-            for sink, stream in writers.values():
-                if stream is not None:
-                    stream.close()
-                sink.close()
+            close()
         return _Written(moves)
 
     def commit(self, messages):
         """Driver side, after every task succeeded: publish the staged files.
 
-        With overwrite, the previous output of each written input file (its
-        ``<stem>.<ext>``, or its ``<stem>/`` folder of parts) is replaced, so
-        a re-run never mixes old and new parts.
+        With overwrite, the earlier output of each written input file in this
+        format, in either layout, is replaced; other formats and other input
+        files are left alone.
         """
-        import pyarrow.fs as pafs
-
-        fs, root = _fs(self.path)
-        moves = [m for msg in messages for m in msg.moves]
-        finals = [final for _, final in moves]
-        if len(finals) != len(set(finals)):
+        fs, root = file_system(self.path)
+        moves = [m for msg in messages if msg is not None for m in msg.moves]
+        finals = {final for _, _, final in moves}
+        if len(finals) != len(moves):
             # two tasks wrote the same (file, bucket): the input was not
             # clustered the way the layout needs; never drop either silently
             self._drop_temporary(fs, root)
             raise RuntimeError("several tasks wrote the same output file; cluster the bins by "
                                "(file_stem, bin // bins_per_part) or use clustered=False")
-        if self.overwrite and self.layout == "parts":
-            for stem_dir in sorted({posixpath.dirname(final) for _, final in moves}):
-                if fs.get_file_info(stem_dir).type == pafs.FileType.Directory:
-                    fs.delete_dir(stem_dir)
-        for tmp, final in moves:
-            fs.create_dir(posixpath.dirname(final), recursive=True)
-            fs.move(tmp, final)
+        with ThreadPoolExecutor(COMMIT_THREADS) as pool:
+            stems = sorted({stem for _, stem, _ in moves})
+            for folder in {posixpath.dirname(final) for final in finals}:
+                fs.create_dir(folder, recursive=True)
+            list(pool.map(lambda m: fs.move(m[0], m[2]), moves))
+            if self.overwrite:
+                list(pool.map(lambda stem: self._drop_earlier(fs, root, stem, finals), stems))
         self._drop_temporary(fs, root)
 
+    def _drop_earlier(self, fs, root, stem, finals):
+        import pyarrow.fs as pafs
+
+        parts = pafs.FileSelector(posixpath.join(root, stem), allow_not_found=True)
+        found = [*fs.get_file_info(parts), fs.get_file_info(posixpath.join(root, f"{stem}.{self.format}"))]
+        for info in found:
+            if info.type == pafs.FileType.File and info.path.endswith(f".{self.format}") and info.path not in finals:
+                fs.delete_file(info.path)
+
     def _drop_temporary(self, fs, root):
         import pyarrow.fs as pafs
 
-        tmp = posixpath.join(root, "_temporary", self.job)
+        tmp = self._temporary(root)
         if fs.get_file_info(tmp).type == pafs.FileType.Directory:
             fs.delete_dir(tmp)
-        parent = posixpath.join(root, "_temporary")
+        parent = posixpath.dirname(tmp)
         info = fs.get_file_info(pafs.FileSelector(parent, allow_not_found=True))
         if not info and fs.get_file_info(parent).type == pafs.FileType.Directory:
             fs.delete_dir(parent)
 
     def abort(self, messages):
-        fs, root = _fs(self.path)
+        fs, root = file_system(self.path)
         try:
             self._drop_temporary(fs, root)
         except OSError:
@@ -172,6 +214,43 @@ def read_arrow_stream(path: str):
     """Read one stream file back as a pyarrow Table (tests and tooling)."""
     import pyarrow.ipc as ipc
 
-    fs, _ = _fs(path)
-    with fs.open_input_stream(path) as fh:
+    fs, inside = file_system(path)
+    with fs.open_input_stream(inside) as fh:
         return ipc.open_stream(fh).read_all()
+
+
+def read_bins(spark, path: str, bins_per_part: int, fmt: str = "arrow"):
+    """Written parts as one row per bin: ``file_stem, bin, input_ids, labels, position_ids``.
+
+    ``path`` is the output folder of the ``parts`` layout; the bin number
+    comes from the part's name and the place in the part.
+    """
+    from pyspark.sql import functions as F
+
+    arrays = "input_ids array<int>, labels array<int>, position_ids array<int>"
+    glob = f"{path.rstrip('/')}/*/*.{fmt}"
+    if fmt == "jsonl":
+        lines = spark.read.format("text").option("wholetext", "true").load(glob).select(
+            F.col("_metadata.file_path").alias("path"), F.posexplode(F.split(F.rtrim("value"), "\n")).alias("at", "line"))
+        rows = lines.filter("line <> ''").select("path", "at", F.from_json("line", arrays).alias("r")).select("path", "at", "r.*")
+    else:
+        def decode(batches):
+            import pyarrow as pa
+            import pyarrow.ipc as ipc
+
+            small = pa.list_(pa.int32())
+            for batch in batches:
+                for path, content in zip(batch.column("path"), batch.column("content")):
+                    at = 0
+                    for part in ipc.open_stream(content.as_buffer()):
+                        cols = [part.column(c).cast(small) for c in ARROW_COLUMNS]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([path.as_py()] * len(part)), pa.array(range(at, at + len(part)), pa.int32()), *cols],
+                            names=["path", "at", *ARROW_COLUMNS])
+                        at += len(part)
+
+        files = spark.read.format("binaryFile").load(glob).select("path", "content")
+        rows = files.mapInArrow(decode, f"path string, at int, {arrays}")
+    part = F.regexp_extract("path", r"part-(\d+)\.[^/]*$", 1).cast("long")
+    stem = F.url_decode(F.replace(F.regexp_extract("path", r"([^/]*)/[^/]*$", 1), F.lit("+"), F.lit("%2B")))
+    return rows.select(stem.alias("file_stem"), (part * bins_per_part + F.col("at")).alias("bin"), *ARROW_COLUMNS)

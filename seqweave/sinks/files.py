@@ -1,6 +1,7 @@
 """Sinks for packed bins and the format dispatch.
 
-* ``parquet``: Spark's writer, ``partitionBy(file_stem)``.
+* ``parquet``: Spark's writer, ``partitionBy(file_stem)`` with dynamic
+  overwrite; the column ``bin`` keeps the creation order.
 * ``jsonl``: one bin per line, keys in the order ``input_ids, labels,
   position_ids, length``; lines serialized by ``to_json`` in the JVM and
   written per input file by the bin-files data source (``sinks.arrow_stream``),
@@ -22,16 +23,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqweave.session import ship_package
-from seqweave.sinks.arrow_stream import BinFilesDataSource
+from seqweave.sinks.arrow_stream import BinFilesDataSource, qualified
 
 JSONL_COLUMNS = ["input_ids", "labels", "position_ids", "length"]
 BINS_PER_PART = 8192
+TOKENS_PER_PART = 1 << 26
 # "file" layout: every bin of an input file in one writer task
 ONE_PART = 1 << 62
 
 _registered: set[int] = set()
 
 
+def bins_per_part_for(max_length: int) -> int:
+    """Bins of one output part: at most 8192, and at most about 64M tokens whatever the bin size."""
+    return max(1, min(BINS_PER_PART, TOKENS_PER_PART // int(max_length)))
+
+
 def _register(spark) -> None:
     key = id(spark)
     if key not in _registered:
@@ -49,8 +56,13 @@ def _cluster(bins: DataFrame, layout: str, bins_per_part: int) -> DataFrame:
 
 def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: str = "parts",
                bins_per_part: int = BINS_PER_PART, part_prefix: str = "",
-               clustered: bool = False) -> None:
-    """Write packed bins (must carry ``file_stem`` and ``bin``); overwrites.
+               clustered: bool = False, empty: DataFrame | None = None) -> None:
+    """Write packed bins (must carry ``file_stem`` and ``bin``).
+
+    The earlier output of the same input files in the same format is
+    replaced; other files and formats in the folder stay.  ``empty`` lists
+    input files without bins (``file_stem``): Arrow and JSONL get an empty
+    file for each, Parquet loses the folder an earlier run may have left.
 
     ``clustered=True`` says the bins are already partitioned for writing
     (``materialize_bins(bins_per_part=...)``), so only a local sort by bin
@@ -66,8 +78,11 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
     else:
         ready = _cluster(bins, layout, bins_per_part)
     if fmt == "parquet":
-        (ready.select("file_stem", *JSONL_COLUMNS)
-         .write.mode("overwrite").partitionBy("file_stem").parquet(output_path))
+        (ready.select("file_stem", "bin", *JSONL_COLUMNS)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("file_stem").parquet(output_path))
+        if empty is not None:
+            _drop_partitions(empty, output_path)
     elif fmt in ("jsonl", "arrow"):
         _register(bins.sparkSession)
         if fmt == "jsonl":
@@ -75,14 +90,26 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
             payload = ready.select("file_stem", "bin", line.alias("line"))
         else:
             payload = ready.select("file_stem", "bin", "input_ids", "labels", "position_ids")
+        if empty is not None:
+            payload = payload.unionByName(empty.select("file_stem"), allowMissingColumns=True)
         (payload.write.format(BinFilesDataSource.name()).mode("overwrite")
-         .option("path", output_path).option("layout", layout).option("prefix", part_prefix)
+         .option("path", qualified(bins.sparkSession, output_path)).option("layout", layout).option("prefix", part_prefix)
          .option("bins_per_part", str(bins_per_part)).option("format", fmt)
          .option("job_id", uuid.uuid4().hex).save())
     else:
         raise ValueError(f"format not supported: {fmt}")
 
 
+def _drop_partitions(stems: DataFrame, output_path: str) -> None:
+    """Remove the ``file_stem=`` folders of input files that now have no bins."""
+    sc = stems.sparkSession.sparkContext
+    catalog = sc._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in stems.select("file_stem").toLocalIterator():
+        folder = f"{output_path.rstrip('/')}/file_stem={catalog.escapePathName(row[0])}"
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def write_lines(df: DataFrame, output_path: str, stem_col: str = "file_stem", line_col: str = "line",
                 order_col: str | None = None) -> None:
     """Write text lines as one ``<stem>.jsonl`` file per stem (overwrites those files).
@@ -96,5 +123,5 @@ def write_lines(df: DataFrame, output_path: str, stem_col: str = "file_stem", li
                         F.col(line_col).alias("line"))
     payload = payload.repartition("file_stem").sortWithinPartitions("file_stem", "bin")
     (payload.write.format(BinFilesDataSource.name()).mode("overwrite")
-     .option("path", output_path).option("layout", "file").option("format", "jsonl")
+     .option("path", qualified(df.sparkSession, output_path)).option("layout", "file").option("format", "jsonl")
      .option("job_id", uuid.uuid4().hex).save())

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqweave.plans.stage import stage_table
+
 SENTINEL = "end of line 5f0c1b"
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 
@@ -69,6 +71,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def folder_stems(spark: SparkSession, path: str) -> DataFrame:
+    """``file_stem`` of every input file, those without lines included."""
+    names = _listing(spark, path)
+    if names is None:
+        names = [path.rstrip("/").rsplit("/", 1)[-1]]
+    plain = spark.createDataFrame([(n,) for n in names], "name string")
+    return plain.select(F.regexp_replace("name", r"(?<=.)\.[^.]*$", "").alias("file_stem"))
+
+
 def _string_field(m: Column, name: str) -> Column:
     return F.coalesce(F.schema_of_variant(F.try_variant_get(m, f"$.{name}", "variant")) == "STRING",
                       F.lit(False))
@@ -116,6 +127,8 @@ def conversations_from_lines(lines: DataFrame, on_error: str = "fail"):
     if on_error not in ("fail", "quarantine"):
         raise ValueError("on_error must be 'fail' or 'quarantine'")
     rows = parse_conversations(lines).withColumn("row_key", F.monotonically_increasing_id())
+    if on_error == "quarantine":
+        rows = stage_table(rows, "parsed")  # read and parsed once for both results
     cols = ["source_file", "file_stem", "row_key", "messages"]
     if on_error == "fail":
         checked = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from seqweave.functions.template import ChatTemplate
 from seqweave.plans.job import pack_lines
+from seqweave.plans.stage import stages_removed
 from seqweave.sources.jsonl import file_stem
 
 
@@ -47,8 +48,9 @@ def start_continuous_pack(spark: SparkSession, input_dir: str, output_path: str,
     location = checkpoint_location or f"{out}/_checkpoint"
 
     def pack_batch(batch: DataFrame, batch_id: int) -> None:
-        pack_lines(batch, f"{out}/batch={batch_id}", template, tokenizer, max_length, fmt, tail,
-                   on_error, part_prefix=f"b{batch_id}-")
+        with stages_removed(spark):  # nothing of a batch stays in the staging folder
+            pack_lines(batch, f"{out}/batch={batch_id}", template, tokenizer, max_length, fmt, tail,
+                       on_error, part_prefix=f"b{batch_id}-")
 
     writer = stream_lines(spark, input_dir, max_files_per_trigger).writeStream.foreachBatch(pack_batch)
     writer = writer.option("checkpointLocation", location)

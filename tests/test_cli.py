@@ -11,7 +11,7 @@ from seqweave.__main__ import build_parser, main
 
 def test_parser_defaults():
     args = build_parser().parse_args(["-i", "in", "-o", "out"])
-    assert (args.max_length, args.format, args.tokenizer, args.template) == (8192, "arrow", "codepoint", "sections")
+    assert (args.max_length, args.format, args.tokenizer, args.template) == (8192, "arrow", "codepoint", None)
 
 
 def test_cli_runs_a_jsonl_job(spark, tmp_dir, capsys):
@@ -49,3 +49,28 @@ def test_tokenizer_config(tmp_dir):
         json.dump({"bos_token": "[BOS]"}, fh)
     with pytest.raises(ValueError, match="eos_token, chat_template"):
         read_tokenizer_config(path)
+
+
+def test_config_needs_a_named_template_and_rules_files_work(spark, tmp_dir):
+    from seqweave.__main__ import build_template
+
+    config, rules = f"{tmp_dir}/tokenizer_config.json", f"{tmp_dir}/rules.json"
+    with open(config, "w", encoding="utf-8") as fh:
+        json.dump({"bos_token": "<s>", "eos_token": "</s>", "chat_template": "any text"}, fh)
+    with open(rules, "w", encoding="utf-8") as fh:
+        json.dump({"preamble": "{bos_token}", "roles": {"user": {"prefix": "U:", "suffix": "{eos_token}"}},
+                   "default": {"prefix": "{role}:", "trim": True}, "generation_prompt": "A:"}, fh)
+
+    def template(*args):
+        return build_template(build_parser().parse_args(["-i", "in", "-o", "out", *args]))
+
+    with pytest.raises(ValueError, match="--template"):
+        template("--config", config)
+    with pytest.raises(ValueError, match="unknown template"):
+        template("--template", "other")
+    assert template("--config", config, "--template", "headers").eos_token == "</s>"
+    t = template("--config", config, "--template", rules)
+    df = spark.createDataFrame([([("user", " x "), ("bot", " y ")],)], "messages array<struct<role:string,content:string>>")
+    assert df.select(t.render("messages", True)).first()[0] == "<s>U: x </s>bot:yA:"
+    with pytest.raises(TypeError):
+        type(t).from_rules({"chat_template": "x"})

@@ -108,8 +108,6 @@ def test_quarantine_job(spark, tmp_dir):
 
 
 def test_arrow_rerun_replaces_parts(spark, tmp_dir):
-    from seqweave.sinks.files import write_bins
-
     src = make_input(tmp_dir, FILES)
     out = f"{tmp_dir}/out"
     pack_job(spark, src, out, max_length=40, fmt="arrow")
@@ -120,7 +118,6 @@ def test_arrow_rerun_replaces_parts(spark, tmp_dir):
     assert not os.path.exists(stale)
     rows = [r for f in glob.glob(f"{out}/alpha/*.arrow") for r in read_arrow_stream(f).to_pylist()]
     assert sorted(_segments(r) for r in rows) == sorted(expected_lengths(FILES["alpha"], 40, "truncate", "keep"))
-    assert write_bins is not None
 
 
 def test_empty_folder_writes_nothing(spark, tmp_dir):
@@ -194,3 +191,71 @@ def test_write_lines_then_pack_roundtrip(spark, tmp_dir):
     assert sum(counts.values()) == 20
     res = pack_job(spark, src, f"{tmp_dir}/out", max_length=4096, fmt="parquet")
     assert sum(r["rows"] for r in res["report"].collect()) == 20
+
+
+def _arrow_rows(out, stem):
+    return [r for f in sorted(glob.glob(f"{out}/{stem}/*.arrow")) for r in read_arrow_stream(f).to_pylist()]
+
+
+@pytest.mark.parametrize("fmt", ["arrow", "jsonl", "parquet"])
+def test_uri_output(spark, tmp_dir, fmt):
+    src = make_input(tmp_dir, FILES)
+    pack_job(spark, f"file://{src}", f"file://{tmp_dir}/out", max_length=40, fmt=fmt)
+    assert glob.glob(f"{tmp_dir}/out/*alpha/*.{fmt}")
+
+
+def test_other_schemes_are_refused_before_the_job(spark, tmp_dir):
+    from seqweave.sinks.arrow_stream import check_scheme, file_system
+
+    with pytest.raises(ValueError, match="ftp"):
+        check_scheme("ftp://host/out")
+    assert file_system("file:/a b/c")[1] == file_system("file:///a b/c")[1] == file_system("/a b/c")[1] == "/a b/c"
+
+
+def test_formats_side_by_side_and_layout_change(spark, tmp_dir):
+    src = make_input(tmp_dir, FILES)
+    out = f"{tmp_dir}/out"
+    for fmt in ("arrow", "jsonl", "parquet"):
+        pack_job(spark, src, out, max_length=40, fmt=fmt)
+    assert glob.glob(f"{out}/alpha/*.arrow") and glob.glob(f"{out}/alpha/*.jsonl") and glob.glob(f"{out}/file_stem=alpha/*")
+    pack_job(spark, src, out, max_length=40, fmt="arrow", layout="file")
+    assert os.path.exists(f"{out}/alpha.arrow") and not glob.glob(f"{out}/alpha/*.arrow")
+    assert glob.glob(f"{out}/alpha/*.jsonl")
+    pack_job(spark, src, out, max_length=40, fmt="arrow")
+    assert not os.path.exists(f"{out}/alpha.arrow") and len(_arrow_rows(out, "alpha")) == 3
+
+
+@pytest.mark.parametrize("fmt", ["arrow", "jsonl", "parquet"])
+def test_files_without_bins_replace_their_earlier_output(spark, tmp_dir, fmt):
+    src = make_input(tmp_dir, {"alpha": ["a" * 8, "b" * 28], "one": ["c"]})
+    open(f"{src}/none.jsonl", "w").close()
+    out = f"{tmp_dir}/out"
+    pack_job(spark, src, out, max_length=100, fmt=fmt, tail="keep")
+    rep = {r["file_stem"]: r for r in pack_job(spark, src, out, max_length=100, fmt=fmt, tail="drop")["report"].collect()}
+    # 20 + 40 and 13 tokens fit one bin each, which tail="drop" loses
+    assert (rep["alpha"]["bins"], rep["one"]["bins"], rep["one"]["fill_rate"]) == (0, 0, None)
+    for stem in ("alpha", "one", "none"):
+        if fmt == "arrow":
+            assert os.path.exists(f"{out}/{stem}/part-00000.arrow") and _arrow_rows(out, stem) == []
+        elif fmt == "jsonl":
+            assert os.path.getsize(f"{out}/{stem}/part-00000.jsonl") == 0
+        else:
+            assert not os.path.exists(f"{out}/file_stem={stem}")
+
+
+def test_part_bound_by_tokens():
+    from seqweave.sinks.files import bins_per_part_for
+
+    assert [bins_per_part_for(m) for m in (40, 8192, 131072, 1 << 30)] == [8192, 8192, 512, 1]
+
+
+def test_staged_tables_are_removed(spark, tmp_dir):
+    from urllib.parse import urlsplit
+
+    from seqweave.plans.stage import stage_root
+
+    root = urlsplit(stage_root(spark)).path
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    res = pack_job(spark, make_input(tmp_dir, FILES), f"{tmp_dir}/out", max_length=40, on_error="quarantine")
+    assert all(n.startswith("report-") for n in set(os.listdir(root)) - before)
+    assert res["report"].count() == 2

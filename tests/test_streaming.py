@@ -36,3 +36,31 @@ def test_stream_packs_each_file(spark, tmp_dir):
         assert got == sorted(sum(min(lengths[i], 40) for i in b) for b in expect), stem
     assert len(glob.glob(f"{out}/batch=*")) >= 2
     assert not glob.glob(f"{out}/batch=*/skip")
+
+
+def test_restart_and_old_files(spark, tmp_dir):
+    """A second query on the same folders goes on where the first stopped; a ten-day-old file counts."""
+    from urllib.parse import urlsplit
+
+    from seqweave.plans.stage import stage_root
+
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    os.makedirs(src)
+    root = urlsplit(stage_root(spark)).path
+
+    def run():
+        q = start_continuous_pack(spark, src, out, max_length=40, available_now=True)
+        q.awaitTermination(300)
+        assert q.exception() is None
+
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    _write(f"{src}/f1.jsonl", ["a", "b" * 30])
+    run()
+    _write(f"{src}/f2.jsonl", ["c"])
+    old = os.path.getmtime(f"{src}/f1.jsonl") - 10 * 86400
+    os.utime(f"{src}/f2.jsonl", (old, old))
+    run()
+    run()
+    rows = [r for p in glob.glob(f"{out}/batch=*/*/*.arrow") for r in read_arrow_stream(p).to_pylist()]
+    assert sorted(len(r["input_ids"]) for r in rows) == [13, 13, 40]
+    assert set(os.listdir(root)) == before

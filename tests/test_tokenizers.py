@@ -1,7 +1,5 @@
 """Word vocabulary (build + encode) and the pretrained-file tokenizer."""
 
-from pyspark.sql import functions as F
-
 from seqweave.functions.tokenizers import PretrainedTokenizer, WordVocabulary
 
 TEXTS = [(1, "the cat sat on the mat"), (2, "the dog\tsat\n\non  a log"), (3, "zebra")]
@@ -37,4 +35,3 @@ def test_pretrained_file_agrees_with_vocab_job(spark, tmp_dir):
     got = {r["k"]: r["ids"] for r in tok.tokenize(df, "prompt", "ids").collect()}
     want = {r["k"]: r["ids"] for r in voc.tokenize(df, "prompt", "ids", ["k"]).collect()}
     assert got == want
-    assert F is not None
