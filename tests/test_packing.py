@@ -5,7 +5,6 @@ import random
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from seqweave.operators.packing import PackSpec, assign_bins, materialize_bins
 from nfd_oracle import next_fit_decreasing

@@ -1,6 +1,5 @@
 """Chat template presets against the reference's expected strings (FIXTURES §5-6)."""
 
-from pyspark.sql import functions as F
 
 from seqweave.functions.template import ChatTemplate, RoleRule
 
