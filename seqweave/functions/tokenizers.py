@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seqweave.operators.ranking import maybe_broadcast
+
 # Fixed value: ASCII whitespace class used to split words.
 WORD_SPLIT = r"[ \t\n\f\r]+"
 UNKNOWN_TOKEN = "<unk>"
@@ -134,25 +136,26 @@ class WordVocabulary:
 
     def tokenize(self, df: DataFrame, text_col: str = "prompt", out_col: str = "input_ids",
                  key_cols: list[str] | None = None, keep_text: bool = False) -> DataFrame:
-        """Encode by a broadcast join of the exploded words with the vocabulary.
+        """Encode by a join of the exploded words with the vocabulary (broadcast up to a million words).
 
         The words of a row are regrouped on ``key_cols`` (which must identify a
         row).  When the input is already hash-partitioned on those keys, as it
         is after assembling conversations from turns, the regrouping needs no
         shuffle because explode and the broadcast join keep the partitioning.
-        Other columns (and the text with ``keep_text``) are joined back on the
-        keys; with none, no join is planned.
+        Other columns go along as aggregates; only the text, with
+        ``keep_text``, is joined back on the keys.
         """
         if not key_cols:
             raise ValueError("key_cols must identify a row for the word tokenizer")
-        carry = [c for c in df.columns if c not in key_cols and (keep_text or c != text_col)]
-        exploded = df.select(*key_cols, F.posexplode_outer(words(text_col)).alias("_pos", "_tok"))
-        vocab = F.broadcast(self.vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id")))
-        joined = exploded.join(vocab, "_tok", "left")
+        carry = [c for c in df.columns if c not in key_cols and c != text_col]
+        exploded = df.select(*key_cols, *carry, F.posexplode_outer(words(text_col)).alias("_pos", "_tok"))
+        vocab = self.vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
+        joined = exploded.join(maybe_broadcast(vocab, self.size), "_tok", "left")
         piece = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(0)).alias("_id")))
-        encoded = joined.groupBy(*key_cols).agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
-        encoded = encoded.select(*key_cols, F.transform("_pieces", lambda p: p["_id"]).alias(out_col))
-        return df.select(*key_cols, *carry).join(encoded, key_cols) if carry else encoded
+        encoded = joined.groupBy(*key_cols).agg(F.array_sort(F.collect_list(piece)).alias("_pieces"),
+                                                *[F.first(c).alias(c) for c in carry])
+        encoded = encoded.select(*key_cols, *carry, F.transform("_pieces", lambda p: p["_id"]).alias(out_col))
+        return df.select(*key_cols, text_col).join(encoded, key_cols) if keep_text else encoded
 
 
 _WORKER_CACHE: dict[str, object] = {}
