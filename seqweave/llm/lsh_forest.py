@@ -12,7 +12,7 @@
   1e-5 (one at 0.9 with 3e-10).
 * Only nodes with two or more texts go on.  Their members' texts are read again
   and meet, as shingle sets, in one group per node, where every pair is verified
-  by its exact Jaccard similarity; a pair that meets in several trees counts in the first only, so
+  by its exact Jaccard similarity; a pair that meets in several trees is verified in the first only, so
   pairs are never written out or shuffled: a group returns its members' numbers
   of links and a spanning forest of the links.
 * A node with more than ``block`` texts is dealt in blocks: each pair of blocks
@@ -106,19 +106,33 @@ def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "_key string, shingles binary")
 
 
-def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Matrix of the sizes of the intersections of the sets in ``a`` with those in ``b``."""
-    all_b = np.concatenate(b)
-    owner = np.repeat(np.arange(len(b)), [len(x) for x in b])
-    order = np.argsort(all_b, kind="stable")
-    all_b, owner = all_b[order], owner[order]
-    out = np.zeros((len(a), len(b)), np.int32)
-    for i, x in enumerate(a):
-        lo, hi = np.searchsorted(all_b, x, "left"), np.searchsorted(all_b, x, "right")
+class _Overlaps:
+    """Sizes of the intersections of a set with each of ``sets`` (the shared index is built when first needed)."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets = sets
+        self.index = None
+
+    def sizes(self, x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Per set the size of its intersection with ``x``; sets that are not ``wanted`` may be left at 0."""
+        few = np.flatnonzero(wanted)
+        out = np.zeros(len(self.sets), np.int64)
+        if 4 * len(few) <= len(self.sets):
+            for c in few.tolist():
+                small, large = sorted((x, self.sets[c]), key=len)
+                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                out[c] = np.count_nonzero(large[at] == small)
+            return out
+        if self.index is None:
+            every = np.concatenate(self.sets)
+            order = np.argsort(every, kind="stable")
+            owner = np.repeat(np.arange(len(self.sets)), [len(y) for y in self.sets])
+            self.index = every[order], owner[order]
+        every, owner = self.index
+        lo, hi = np.searchsorted(every, x, "left"), np.searchsorted(every, x, "right")
         n = hi - lo
         at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        out[i] = np.bincount(owner[at], minlength=len(b))
-    return out
+        return np.bincount(owner[at], minlength=len(self.sets))
 
 
 _FOUND = pa.schema([("_key", pa.string()), ("links", pa.int64()), ("other", pa.string())])
@@ -147,15 +161,18 @@ def _verify(threshold: float):
                 x = root[x]
             return x
 
+        overlaps = _Overlaps([sets[c] for c in cols])
         for s in range(0, len(rows) if len(cols) else 0, 64):
             part = rows[s:s + 64]
-            inter = _overlaps([sets[r] for r in part], [sets[c] for c in cols])
-            union = size[part][:, None] + size[cols][None, :] - inter
-            ok = inter >= threshold * union - 1e-9
-            for t in range(tree):  # an earlier tree in which the labels agree has counted the pair
+            a, b = size[part][:, None], size[cols][None, :]
+            ok = np.minimum(a, b) >= threshold * np.maximum(a, b) - 1e-9  # no pair beyond this ratio can reach it
+            for t in range(tree):  # an earlier tree in which the labels agree has verified the pair
                 ok &= labels[part, t][:, None] != labels[cols, t][None, :]
             if not lone:
                 ok &= part[:, None] < cols[None, :]
+            for i in np.flatnonzero(ok.any(axis=1)).tolist():
+                inter = overlaps.sizes(sets[part[i]], ok[i])
+                ok[i] &= inter >= threshold * (a[i] + b[0] - inter) - 1e-9
             for r, c in zip(*np.nonzero(ok), strict=True):
                 x, y = int(part[r]), int(cols[c])
                 links[x] += 1
