@@ -2,9 +2,10 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,30 @@ def test_jaccard_classes(spark, block):
         (str(i), *want[t or ""]) for i, t, _ in rows)
 
 
+@pytest.mark.parametrize("lone", [False, True])
+@pytest.mark.parametrize("tree", [0, 3])
+def test_verify_counts_each_pair_once(lone, tree):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    sets = []
+    for n in range(60):
+        x = base[:rng.integers(30, 41)].copy()
+        x[:rng.integers(0, 5)] += np.uint64(n + 1)
+        sets.append(np.unique(x))
+    labels = np.array([lsh_forest.labels_of(x, 16, 6, 3).view(np.int64) for x in sets])
+    side = [i % 2 if lone else 0 for i in range(60)]
+    got = lsh_forest._verify(0.8)(pa.table({
+        "tree": pa.array([tree] * 60), "lone": pa.array([lone] * 60), "side": pa.array(side),
+        "_key": pa.array([str(i) for i in range(60)]), "labels": pa.array(labels.tolist(), pa.list_(pa.int64())),
+        "shingles": pa.array([x.tobytes() for x in sets], pa.binary())})).to_pylist()
+    pairs = [(i, j) for i in range(60) for j in range(i) if not (lone and side[i] == side[j])
+             and not (labels[i, :tree] == labels[j, :tree]).any()
+             and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+    want = Counter(str(i) for p in pairs for i in p)
+    assert pairs and {r["_key"]: r["links"] for r in got if r["other"] is None} == want
+    assert {frozenset((int(r["_key"]), int(r["other"]))) for r in got if r["other"]} <= set(map(frozenset, pairs))
+
+
 def test_keep_one(spark):
     rows = _near_rows()
     docs = frame(spark, rows)
