@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from seqweave.plans.stage import stage_table
 
 SENTINEL = "end of line 5f0c1b"
+VARIANT_BYTES = 16 * 1024 * 1024  # a shorter line fits a variant value (Spark 4.1 allows 128 MB)
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 
 
@@ -100,6 +101,8 @@ def parse_conversations(lines: DataFrame) -> DataFrame:
     all_typed = F.forall("_arr", lambda m: _string_field(m, "role") & _string_field(m, "content"))
     error = (
         F.when(F.length(F.trim(F.col("line"))) == 0, F.lit("blank line"))
+        .when(F.col("_v").isNull() & (F.octet_length("line") > VARIANT_BYTES),
+              F.lit("malformed JSON or a line beyond the variant size limit"))
         .when(F.col("_v").isNull(), F.lit("malformed JSON"))
         .when(F.col("_one") & F.col("_many"), F.lit("both conversation and conversations"))
         .when(~(F.col("_one") | F.col("_many")), F.lit("missing conversation"))

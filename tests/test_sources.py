@@ -47,6 +47,16 @@ def test_each_bad_line_is_rejected_with_reason(spark, tmp_dir):
         assert fragment in reasons[line], (line, reasons[line])
 
 
+def test_long_lines_are_read_and_named(spark, tmp_dir):
+    body = "x" * (17 << 20)
+    line = json.dumps({"conversation": [{"role": "user", "content": body}]})
+    write(f"{tmp_dir}/d.jsonl", [line, line[:-2]])
+    good, bad = read_conversations(spark, tmp_dir, on_error="quarantine")
+    assert [len(r["messages"][0]["content"]) for r in good.collect()] == [len(body)]
+    assert [r["error"] for r in bad.select("error").collect()] == [
+        "malformed JSON or a line beyond the variant size limit"]
+
+
 def test_fail_mode_raises(spark, tmp_dir):
     write(f"{tmp_dir}/c.jsonl", GOOD + ['{"conversation":[{"role":"user","content":5}]}'])
     with pytest.raises(Exception, match="invalid conversation"):
