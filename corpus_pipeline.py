@@ -41,8 +41,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines spread over ten or more sources go."""
-    return _counted(line_spread.remove_boilerplate(docs), docs.columns)
+    """Lines spread over ten or more sources and ten or more distinct texts go, whatever their share."""
+    return _counted(line_spread.remove_boilerplate(docs, max_share=None, min_texts=10), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,9 +9,13 @@
    least twice ``min_sites`` (under half of it) settles the line; the lines
    between get an exact distinct count.
 4. Lines on ``min_sites`` or more sites are boilerplate and are removed from
-   every document, except where boilerplate makes up more than ``max_share``
-   of a document's characters: such a document is a copy of another document,
-   not one with boilerplate, and is left whole for near-duplicate removal.
+   every document.
+
+Two rules keep copies for near-duplicate removal.  With ``min_texts`` a line
+must also be in that many distinct texts, so the lines of one text that stands
+on many sites are not boilerplate.  With ``max_share`` a document with a larger
+share of boilerplate characters is left whole, whether it is a copy or not
+(the rule of the registered query's SQL); None removes whatever the share.
 
 Lines are compared without leading and trailing blanks; blank lines are never
 boilerplate.  A NULL site counts as one site of its own.
@@ -39,8 +43,8 @@ def line_table(docs: DataFrame, site_col: str, id_col: str = "doc_id", text_col:
                       F.when(line != "", F.xxhash64(line)).alias("_hash"))
 
 
-def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
-    """``_hash, n_sites_about, exact``: the lines on at least ``min_sites`` sites."""
+def spread_lines(lines: DataFrame, min_sites: int, min_texts: int = 1) -> DataFrame:
+    """``_hash, n_sites_about, exact``: the lines on at least ``min_sites`` sites, in ``min_texts`` texts."""
     known = lines.filter(F.col("_hash").isNotNull())
     seen = known.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"), F.min("_site").alias("_lo"),
                                       F.max("_site").alias("_hi"))
@@ -53,15 +57,20 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     # distinct (line, site) pairs first, so a very common line is reduced before it is counted
     pairs = known.join(near, "_hash", "left_semi").select("_hash", "_site").distinct()
     counts = pairs.groupBy("_hash").agg(F.count(F.lit(1)).alias("exact")).filter(F.col("exact") >= min_sites)
-    return sure.unionByName(near.join(counts, "_hash"))
+    spread = sure.unionByName(near.join(counts, "_hash"))
+    if min_texts <= 1:
+        return spread
+    texts = known.join(spread, "_hash", "left_semi").select("_hash", "_key").distinct()
+    enough = texts.groupBy("_hash").agg(F.count(F.lit(1)).alias("_texts")).filter(F.col("_texts") >= min_texts)
+    return spread.join(enough.select("_hash"), "_hash", "left_semi")
 
 
 def mark_boilerplate(docs: DataFrame, site_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
-                     min_sites: int = 10, max_share: float = 0.5) -> DataFrame:
+                     min_sites: int = 10, max_share: float | None = 0.5, min_texts: int = 1) -> DataFrame:
     """One row per row of ``docs``: ``_doc`` (all its columns as a struct), ``_id``, ``_new`` (the text
     without boilerplate; NULL text stays NULL), ``n_lines, n_boilerplate, n_removed``."""
     lines = stage_table(line_table(docs, site_col, id_col, text_col), "lines")
-    flagged, seen = stage_table(spread_lines(lines, min_sites).select("_hash"), "boilerplate",
+    flagged, seen = stage_table(spread_lines(lines, min_sites, min_texts).select("_hash"), "boilerplate",
                                 {"n": F.count(F.lit(1))})
     hits = lines.join(F.broadcast(flagged) if int(seen["n"] or 0) <= BROADCAST_LINES else flagged, "_hash")
     # identical rows of one document repeat the same line numbers: a set keeps each once
@@ -76,7 +85,9 @@ def mark_boilerplate(docs: DataFrame, site_col: str = "source", id_col: str = "d
     both = both.select("_doc", "_id", "_text", "_nos", "_cut",
                        F.split(F.coalesce("_text", F.lit("")), "\n", -1).alias("_parts"))
     n_hit = F.when(F.col("_nos").isNull(), 0).otherwise(F.size("_nos"))
-    drop = F.col("_nos").isNotNull() & (F.col("_cut") <= F.lit(max_share) * F.char_length("_text"))
+    drop = F.col("_nos").isNotNull()
+    if max_share is not None:
+        drop = drop & (F.col("_cut") <= F.lit(max_share) * F.char_length("_text"))
     # the kept lines are the runs between removed line numbers (both lists are sorted: linear work)
     bounds = F.concat(F.array(F.lit(-1)), F.col("_nos"), F.array(F.size("_parts")))
     runs = F.zip_with(F.slice(bounds, F.lit(1), n_hit + 1), F.slice(bounds, F.lit(2), n_hit + 1),
@@ -88,8 +99,8 @@ def mark_boilerplate(docs: DataFrame, site_col: str = "source", id_col: str = "d
 
 
 def remove_boilerplate(docs: DataFrame, site_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
-                       min_sites: int = 10, max_share: float = 0.5) -> DataFrame:
+                       min_sites: int = 10, max_share: float | None = 0.5, min_texts: int = 1) -> DataFrame:
     """All rows and columns of ``docs`` with the boilerplate lines taken out of ``text_col``."""
-    marked = mark_boilerplate(docs, site_col, id_col, text_col, min_sites, max_share)
+    marked = mark_boilerplate(docs, site_col, id_col, text_col, min_sites, max_share, min_texts)
     return marked.select(*[F.col("_new").alias(c) if c == text_col else F.col(f"_doc.`{c}`").alias(c)
                            for c in docs.columns])

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -93,6 +94,16 @@ def test_boilerplate_lines(spark):
     assert line_spread.remove_boilerplate(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_pipeline_removes_boilerplate_of_any_share(spark):
+    rows = [(i, f"all rights reserved\nown {i}", f"site{i}") for i in range(12)]
+    rows += [(50 + i, "one text\non many sites", f"site{i}") for i in range(12)]
+    rows += [(90, "all rights reserved", "site1")]
+    docs = frame(spark, rows).withColumn("n_chars", F.char_length("text"))
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()}
+    want = {i: t.replace("all rights reserved\n", "").replace("all rights reserved", "") for i, t, _ in rows}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
 # ------------------------------------------------------------------ Jaccard join
 def _near_rows():
     rng = random.Random(6)
