@@ -57,7 +57,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens with their places in sequences."""
-    packed = packing_gga.pack(packing_gga.document_pieces(docs, bpe_path()))
+    packed = packing_gga.pack(packing_gga.document_pieces(docs, bpe_path(), added=True))
     return packed.select(F.col("_id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

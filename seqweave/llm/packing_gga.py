@@ -44,13 +44,15 @@ def cut(n_tokens: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def document_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2,
-                    id_col: str = "doc_id", text_col: str = "text", pattern: str = PRE_TOKEN) -> DataFrame:
-    """``_id, _row, piece, start, length, ids_crc32`` (``_row`` tells repeated ids apart by text)."""
+                    id_col: str = "doc_id", text_col: str = "text", pattern: str = PRE_TOKEN,
+                    added: bool = False) -> DataFrame:
+    """``_id, _row, piece, start, length, ids_crc32`` (``_row`` tells repeated ids apart by text;
+    ``added``: see ``bpe``)."""
     ship_package(docs.sparkSession)
     src = id_text(docs, id_col, text_col).select("_id", F.xxhash64("_text").alias("_row"), "_text")
 
     def run(batches):
-        enc = encoding(tokenizer_path, pattern)
+        enc = encoding(tokenizer_path, pattern, added)
         end = np.asarray([end_id], "<u4").tobytes()
         for b in batches:
             texts = b.column(2).to_pylist()

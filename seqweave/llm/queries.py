@@ -22,8 +22,8 @@ def sha256(text) -> F.Column:
 
 def op1_token_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return token_edits.edited_counts(docs, bpe_path(), token_edits.sample_edits(F.col("text"))).withColumnRenamed(
-        "_id", "doc_id")
+    return token_edits.edited_counts(docs, bpe_path(), token_edits.sample_edits(F.col("text")),
+                                     added=True).withColumnRenamed("_id", "doc_id")
 
 
 def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    packed = packing_gga.pack(packing_gga.document_pieces(docs, bpe_path()))
+    packed = packing_gga.pack(packing_gga.document_pieces(docs, bpe_path(), added=True))
     return packed.select(F.col("_id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -10,8 +10,8 @@ behind the edit, replaces the old pre-tokens by the new ones and updates the
 sums on the paths to the root.  Everything else is untouched.
 
 Matching looks at most two characters past the end of a pre-token (a
-contraction, or white space before a word), hence the two characters of
-context.
+contraction, or white space before a word), and a pre-token may end where an
+added token starts, hence two characters and the longest added token of context.
 
 Edits of one document apply in order, each to the text the one before left:
 at ``start`` (code points, clipped to the text) ``removed`` characters go and
@@ -41,7 +41,7 @@ class TokenTree:
     def __init__(self, text: str, counter: PreTokenCounter):
         self.text, self.counter = text, counter
         self.encoded = 0  # pre-tokens encoded by edits
-        pieces = counter.pattern.findall(text)
+        pieces = [p for _, p in counter.pieces(text)]
         self._build(list(map(len, pieces)), [counter[p] for p in pieces])
 
     def _build(self, lens: list[int], counts: list[int]) -> None:
@@ -94,7 +94,7 @@ class TokenTree:
         leaf, at = 0, 0
         within = 0
         if old_n:
-            pos = min(max(start - CONTEXT, 0), old_n - 1)
+            pos = min(max(start - CONTEXT - self.counter.reach, 0), old_n - 1)
             leaf, at = self._leaf_at(pos)
             while at + self.lens[leaf][within] <= pos:
                 at += self.lens[leaf][within]
@@ -104,14 +104,13 @@ class TokenTree:
         new_lens, new_counts = [], []
         old_leaf, old_within, old_at = leaf, within, at
         restart = at
-        for m in self.counter.pattern.finditer(self.text, restart):
-            s = m.start() - shift
+        for s, piece in self.counter.pieces(self.text, restart):
+            s -= shift
             if s >= end:
                 while old_at < s:
                     old_leaf, old_within, old_at = self._next(old_leaf, old_within, old_at)
                 if old_at == s:
                     break
-            piece = m.group()
             new_lens.append(len(piece))
             new_counts.append(self.counter[piece])
         else:
@@ -148,10 +147,11 @@ EDIT_TYPE = "array<struct<start:long,removed:long,inserted:string>>"
 
 
 def edited_counts(docs: DataFrame, tokenizer_path: str, edits: Column, id_col: str = "doc_id",
-                  text_col: str = "text", pattern: str = PRE_TOKEN, with_text: bool = False) -> DataFrame:
+                  text_col: str = "text", pattern: str = PRE_TOKEN, with_text: bool = False,
+                  added: bool = False) -> DataFrame:
     """Per row: ``_id, n_chars, n_pieces, n_tokens`` of the text, ``n_edits``, ``n_encoded`` (pre-tokens
     encoded for the edits), ``n_chars_after, n_pieces_after, n_tokens_after, sha256_after`` and, on
-    request, ``text_after``.  ``edits`` is a column of ``EDIT_TYPE``."""
+    request, ``text_after``.  ``edits`` is a column of ``EDIT_TYPE``; ``added``: see ``bpe``."""
     ship_package(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
                       edits.cast(EDIT_TYPE).alias("_edits"))
@@ -159,7 +159,7 @@ def edited_counts(docs: DataFrame, tokenizer_path: str, edits: Column, id_col: s
                "n_tokens_after"]
 
     def run(batches):
-        counter = PreTokenCounter(tokenizer_path, pattern)
+        counter = PreTokenCounter(tokenizer_path, pattern, added=added)
         for b in batches:
             texts = b.column(1).to_pylist()
             todo = b.column(2).to_pylist()

@@ -3,12 +3,13 @@
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seqweave.llm import packing_gga, token_edits
+from seqweave.llm import packing_gga, queries, token_edits
 from seqweave.llm.bpe import PreTokenCounter, encode, encoding
 from seqweave.llm.queries import bpe_path
 
@@ -66,6 +67,45 @@ def test_edit_rows(spark, library):
     assert empty.count() == 0
 
 
+ADDED = "<|endoftext|>"
+
+
+def test_added_tokens_as_the_library_has_them(spark, tmp_path):
+    library = Tokenizer.from_file(bpe_path())  # settings unchanged
+    rng = random.Random(11)
+    parts = [ADDED, ADDED[:5], ADDED[5:], "<|", "|>", "a", " ", "  ", "\n", "!", "'", "ll", "word ", "é"]
+
+    def some(n):
+        return "".join(rng.choice(parts) for _ in range(n))
+
+    enc, counter = encoding(bpe_path(), added=True), PreTokenCounter(bpe_path(), added=True)
+    for text in [f"a {ADDED} b", ADDED, *[some(rng.randint(0, 30)) for _ in range(300)]]:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(enc, text), "<u4").tolist() == want, text
+        tree = token_edits.TokenTree(text, counter)
+        assert tree.n_tokens == len(want), text
+        for _ in range(6):
+            start, removed, new = rng.randint(0, len(text) + 1), rng.choice([0, 1, 3, 9]), some(rng.choice([0, 1, 3]))
+            tree.edit(start, removed, new)
+            s = min(start, len(text))
+            text = text[:s] + new + text[s + removed:]
+            assert tree.text == text
+            assert tree.n_tokens == len(library.encode(text, add_special_tokens=False).ids), text
+            assert [n for x in tree.lens for n in x] == [len(p) for _, p in counter.pieces(text)]
+    rows = [(i, f"a {ADDED} b{i}" * (200 * i)) for i in range(3)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op1_token_edits(spark, str(tmp_path)).collect():
+        assert r.n_tokens == len(library.encode(rows[r.doc_id][1], add_special_tokens=False).ids)
+    want = []
+    for i, t in rows:
+        ids = library.encode(t, add_special_tokens=False).ids + [2]
+        want += [(i, p, s, n, zlib.crc32(np.array(ids[s:s + n], "<u4").tobytes()))
+                 for p, (s, n) in enumerate(packing_gga.cut(len(ids), 1024))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for got in (queries.op9_packing(spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, docs, str(tmp_path))):
+        assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got.collect()) == want
+
+
 def test_cut():
     assert packing_gga.cut(5, 10) == [(0, 5)]
     assert packing_gga.cut(10, 10) == [(0, 10)]
