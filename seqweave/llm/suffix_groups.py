@@ -17,8 +17,10 @@ corpus needs no suffix array of the corpus; the work is cut by content:
    suffix array and agree in all their symbols are repeated.
 4. The decisions go back to the texts, where covered bytes are removed.
 
-A shard holds whole cores up to ``shard_symbols``; a single core's records differ in at most 2 * (step - 1)
-bytes, so their number is bounded by the distinct short contexts of one string, not by its copies.
+A shard holds whole cores up to ``shard_symbols``.  A passage that many documents hold between other texts
+gives its edges' cores a record for each of them, so cores that may have more symbols are counted first and
+settled by shuffles: their records' windows, named by core, distance and the ``step`` - 1 bytes beside the
+core, are counted, and no such core meets in one task.
 """
 
 from __future__ import annotations
@@ -338,6 +340,29 @@ def _decide(step: int, shard_symbols: int):
     return run
 
 
+def heavy_cores(records: DataFrame, step: int, shard_symbols: int) -> DataFrame:
+    """``h1`` of the cores whose places may make more than ``shard_symbols`` symbols (2 * ``step`` a place)."""
+    places = records.groupBy("h1").agg(F.count(F.lit(1)).alias("n"))
+    return places.filter(F.col("n") * (2 * step) > shard_symbols).select("h1")
+
+
+def counted_masks(distinct: DataFrame, step: int) -> DataFrame:
+    """The masks of ``_decide`` from counts of windows: no core's records meet in one task."""
+    size = F.octet_length("left") + F.octet_length("right") + (2 - step)  # windows of a record
+    record = ["h1", "h2", "left", "right"]
+    each = distinct.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("w"))
+    beside = F.octet_length("left") - F.col("w")  # bytes of the window before the core
+    wins = each.select(*record, "many", "w", beside.alias("beside"), F.concat(
+        F.expr("substring(left, w + 1)"), F.col("right").substr(F.lit(1), F.lit(step - 1) - beside)).alias("bytes"))
+    window = ["h1", "h2", "beside", "bytes"]
+    repeated = wins.groupBy(*window).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select(*window)
+    found = wins.filter(~F.col("many")).join(repeated, window, "left_semi")
+    some = found.groupBy(*record).agg(F.bit_or(F.expr("shiftleft(1L, w)")).alias("mask"))
+    every = distinct.filter("many").select(*record, F.call_function(
+        "shiftrightunsigned", F.lit(-1).cast("long"), F.lit(64) - size).alias("mask"))
+    return some.unionByName(every)
+
+
 def duplicate_windows(rows: DataFrame, length: int = 400, spread: int = 256, step: int = 16,
                       shard_symbols: int = 60_000, broadcast_cores: int = 2_000_000) -> DataFrame:
     """``key, at, mask``: bit ``i`` of ``mask`` says that the window at ``at`` + i of the text ``key`` occurs
@@ -362,9 +387,17 @@ def duplicate_windows(rows: DataFrame, length: int = 400, spread: int = 256, ste
     record = ["h1", "h2", "left", "right"]
     distinct = records.groupBy(*record).agg(F.min(place).alias("a"), F.max(place).alias("b")).select(
         *record, (F.col("a") != F.col("b")).alias("many"))
-    shards = distinct.repartition("h1", "h2").sortWithinPartitions("h1", "h2")
-    masks = stage_table(shards.mapInArrow(_decide(step, shard_symbols),
-                                          "h1 long, h2 long, left binary, right binary, mask long"), "suffix-masks")
+    heavy, seen = stage_table(heavy_cores(records, step, shard_symbols), "suffix-heavy", {"n": F.count(F.lit(1))})
+    light = distinct
+    if n_heavy := int(seen["n"] or 0):
+        heavy = F.broadcast(heavy) if n_heavy <= broadcast_cores else heavy
+        light = distinct.join(heavy, "h1", "left_anti")
+    shards = light.repartition("h1", "h2").sortWithinPartitions("h1", "h2")
+    masks = shards.mapInArrow(_decide(step, shard_symbols), "h1 long, h2 long, left binary, right binary, mask long")
+    if n_heavy:
+        counted = stage_table(distinct.join(heavy, "h1", "left_semi"), "suffix-counted")
+        masks = masks.unionByName(counted_masks(counted, step))
+    masks = stage_table(masks, "suffix-masks")
     return records.join(masks, record).select("key", "at", "mask")
 
 

@@ -64,6 +64,36 @@ def test_removal(spark, monkeypatch, options):
         assert len(r.spans) == sum(x and not (k and f[k - 1]) for k, x in enumerate(f))
 
 
+def test_no_core_above_the_shard_is_held_whole(spark, monkeypatch):
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    texts = ["%05d" % rng.randrange(10**5) * 6 + passage + "%05d" % rng.randrange(10**5) * 6 for _ in range(300)]
+    texts += [texts[0][:110], texts[1][70:], *_texts()]
+    limit, step, decide = 400, 8, sg._decide
+
+    def bounded(step, shard_symbols):
+        run = decide(step, shard_symbols)
+
+        def checked(batches):
+            size = Counter()
+
+            def counted():
+                for b in batches:
+                    for h1, h2, left, right, _ in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                        size[h1, h2] += len(left) + len(right) + 2
+                        assert size[h1, h2] <= limit, "a heavy core meets in one task"
+                    yield b
+            yield from run(counted())
+        return checked
+
+    monkeypatch.setattr(sg, "_decide", bounded)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r._id: r for r in sg.remove_repeats(df, length=60, spread=20, step=step, shard_symbols=limit).collect()}
+    data, flags = brute(texts, 60)
+    for i, (d, f) in enumerate(zip(data, flags)):
+        assert got[i].n_removed == sum(f) and bytes(got[i].kept) == bytes(b for b, x in zip(d, f) if not x), i
+
+
 def test_long_texts_in_segments(monkeypatch):
     monkeypatch.setattr(sg, "SEGMENT", 50)
     texts = _texts()
