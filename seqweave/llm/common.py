@@ -47,6 +47,23 @@ def lower_ascii(text: Column) -> Column:
         F.translate(text, upper, upper.lower()))
 
 
+HEAVY_KEYS = 10_000
+
+
+def join_heads(rows: DataFrame, heads: DataFrame, key: str, n_rows: int) -> DataFrame:
+    """Inner join of ``rows`` with one head per key, where a few keys may hold most rows.
+
+    ``heads`` has ``key``, ``_n`` (its number of rows; dropped) and more columns.  Keys with more than 1 in
+    ``HEAVY_KEYS`` of the ``n_rows`` rows, so at most ``HEAVY_KEYS`` of them, are broadcast and their rows stay where they
+    are; the others meet by shuffle, none of them in bulk.  ``rows`` is read twice: stage it first.
+    """
+    light = max(1000, n_rows // HEAVY_KEYS)
+    few = F.broadcast(heads.filter(F.col("_n") > light))
+    hot = rows.join(few, key).drop("_n")
+    cold = rows.join(few.select(key), key, "left_anti").join(heads.filter(F.col("_n") <= light), key).drop("_n")
+    return hot.unionByName(cold)
+
+
 def chunks(texts: list, limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Consecutive index ranges of about ``limit`` characters (a longer text is alone in its range)."""
     start, size = 0, 0

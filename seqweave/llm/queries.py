@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqweave.llm import decontam, line_spread, lsh_forest, packing_gga, ppm, secrets, suffix_groups, token_edits, toxicity, winnow
+from seqweave.llm import (
+    decontam,
+    filter_audit,
+    importance,
+    line_spread,
+    lsh_forest,
+    packing_gga,
+    ppm,
+    secrets,
+    suffix_groups,
+    token_edits,
+    toxicity,
+    warc,
+    winnow,
+)
 from seqweave.llm.common import crc_fold, table
+from seqweave.plans.stage import stage_root
 
 
 def bpe_path() -> str:
@@ -117,7 +134,30 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_id").alias("doc_id"), "class_id", "n_links", "text_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_edits, op2_ppm_scores, op3_suffix_dedup, op4_decontamination, op5_secret_scan, op6_winnowing, op7_line_spread, op8_toxicity, op9_packing, op10_jaccard_join)}
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    drawn = importance.resample(docs, table(spark, sf_dir, "benchmark", "text"))
+    return drawn.select(F.col("_id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    path = f"{stage_root(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(pages, path)
+    kind = pages.schema["page_id"].dataType
+    records = warc.read_warc(spark, path).filter(F.col("record_type") != "warcinfo")
+    return records.select(F.col("row_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return filter_audit.filter_audit(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_edits, op2_ppm_scores, op3_suffix_dedup, op4_decontamination, op5_secret_scan, op6_winnowing, op7_line_spread,
+    op8_toxicity, op9_packing, op10_jaccard_join, op11_importance, op12_warc, op13_filter_audit)}
 
 ORACLE_SQL = {
     "op7_line_spread": """
@@ -161,4 +201,47 @@ found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY i
 SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered ON doc.doc_id = covered.doc_id LEFT JOIN found ON doc.doc_id = found.doc_id""",
+    "op12_warc": """
+WITH five AS (SELECT list_transform(range(32), lambda i: lpad(bin(i), 5, '0')) AS codes),
+p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (
+  SELECT page_id, n, hex, min(page_id) OVER (PARTITION BY hex) AS head,
+         array_to_string(list_transform(string_split(hex, ''), lambda h: lpad(bin(instr('0123456789abcdef', h) - 1), 4, '0')), '') AS bits
+  FROM p)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         list_position(five.codes, substr(bits, CAST(5 * i + 1 AS BIGINT), 5)), 1)), '') AS payload_digest,
+       CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> head THEN head END AS refers_to
+FROM d, five""",
+    "op13_filter_audit": r"""
+WITH f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+ord AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM f a JOIN f b ON b.x <> a.x JOIN f c ON c.x NOT IN (a.x, b.x)
+  JOIN f d ON d.x NOT IN (a.x, b.x, c.x) JOIN f e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         [w FOR w IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS w FROM documents),
+fails AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 10 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN length(translate(t, '#$%&*|', '')) < length(t) THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS m FROM doc),
+lab AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS g, max(CAST(toxic = 1 AS INTEGER)) AS x FROM labels GROUP BY 1),
+cnt AS (SELECT part, m, count(*) AS n, coalesce(sum(g), 0) AS g, coalesce(sum(x), 0) AS x
+  FROM fails LEFT JOIN lab USING (doc_id) GROUP BY 1, 2),
+step AS (
+  SELECT part, m, n, g, x, o, s, substr(o, s, 1) AS f, contains(m, substr(o, s, 1)) AS bad,
+         length(translate(substr(o, 1, s - 1), m, '')) < s - 1 AS was, length(translate(substr(o, 1, s), m, '')) < s AS out
+  FROM cnt, ord, (SELECT unnest(range(1, 6)) AS s)),
+res AS (
+  SELECT part, o, s, f, coalesce(sum(n) FILTER (NOT out), 0) AS kept, coalesce(sum(n) FILTER (bad AND NOT was), 0) AS removed,
+         coalesce(sum(n) FILTER (bad AND was), 0) AS redundant, coalesce(sum(n) FILTER (m = f), 0) AS unique_fails,
+         coalesce(sum(g) FILTER (bad AND NOT was), 0) AS good_lost, coalesce(sum(x) FILTER (bad AND NOT was), 0) AS toxic_lost
+  FROM step GROUP BY 1, 2, 3, 4)
+SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM res""",
 }
