@@ -8,7 +8,7 @@ task only writes bytes.
 
 A task's rows come sorted by (file stem, bin), so it holds one open file at a
 time, under a name of its own in ``<out>/_temporary/<job>``; the driver's
-``commit`` moves the files of successful tasks (several at a time) and
+``commit`` lists the files of successful tasks, ``sinks.publish`` brings them into place as one step, and
 ``abort`` removes them, so retried, speculative or late tasks never leave
 partial output.  A row whose bin is NULL makes an empty file for its stem.
 
@@ -25,9 +25,9 @@ partition (the reference's one-file-per-input naming).
 
 from __future__ import annotations
 
+import json
 import posixpath
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import groupby
 from urllib.parse import urlsplit
@@ -39,7 +39,7 @@ ARROW_COLUMNS = ("input_ids", "labels", "position_ids")
 FORMATS = ("arrow", "jsonl")
 # Spark's scheme -> the library's, where they differ
 _SCHEMES = {"hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
-COMMIT_THREADS = 16
+TEXT_ROWS = 256  # lines encoded at a time
 
 
 def qualified(spark, path: str) -> str:
@@ -88,12 +88,11 @@ class BinFilesDataSource(DataSource):
         return "seqweave_bins"
 
     def writer(self, schema, overwrite):
-        return _BinFilesWriter(self.options, overwrite)
+        return _BinFilesWriter(self.options)
 
 
 class _BinFilesWriter(DataSourceArrowWriter):
-    def __init__(self, options, overwrite=False):
-        self.overwrite = bool(overwrite)
+    def __init__(self, options):
         self.path = options["path"].rstrip("/")
         self.layout = options.get("layout", "parts")
         self.stem_col = options.get("stem_col", "file_stem")
@@ -149,7 +148,9 @@ class _BinFilesWriter(DataSourceArrowWriter):
                         continue
                     part = batch.slice(rows[0], len(rows))
                     if stream is None:
-                        sink.write(("\n".join(part.column("line").to_pylist()) + "\n").encode("utf-8"))
+                        for at in range(0, len(rows), TEXT_ROWS):
+                            lines = part.column("line").slice(at, TEXT_ROWS).to_pylist()
+                            sink.write(("\n".join(lines) + "\n").encode("utf-8"))
                     else:
                         cols = [part.column(c).cast(schema.field(c).type) for c in ARROW_COLUMNS]
                         stream.write_batch(pa.record_batch(cols, schema=schema))
@@ -158,38 +159,14 @@ class _BinFilesWriter(DataSourceArrowWriter):
         return _Written(moves)
 
     def commit(self, messages):
-        """Driver side, after every task succeeded: publish the staged files.
-
-        With overwrite, the earlier output of each written input file in this
-        format, in either layout, is replaced; other formats and other input
-        files are left alone.
-        """
+        """Driver side, after every task succeeded: list the finished files, for ``publish`` to bring into place."""
         fs, root = file_system(self.path)
-        moves = [m for msg in messages if msg is not None for m in msg.moves]
-        finals = {final for _, _, final in moves}
-        if len(finals) != len(moves):
-            # two tasks wrote the same (file, bucket): the input was not
-            # clustered the way the layout needs; never drop either silently
-            self._drop_temporary(fs, root)
-            raise RuntimeError("several tasks wrote the same output file; cluster the bins by "
-                               "(file_stem, bin // bins_per_part) or use clustered=False")
-        with ThreadPoolExecutor(COMMIT_THREADS) as pool:
-            stems = sorted({stem for _, stem, _ in moves})
-            for folder in {posixpath.dirname(final) for final in finals}:
-                fs.create_dir(folder, recursive=True)
-            list(pool.map(lambda m: fs.move(m[0], m[2]), moves))
-            if self.overwrite:
-                list(pool.map(lambda stem: self._drop_earlier(fs, root, stem, finals), stems))
-        self._drop_temporary(fs, root)
-
-    def _drop_earlier(self, fs, root, stem, finals):
-        import pyarrow.fs as pafs
-
-        parts = pafs.FileSelector(posixpath.join(root, stem), allow_not_found=True)
-        found = [*fs.get_file_info(parts), fs.get_file_info(posixpath.join(root, f"{stem}.{self.format}"))]
-        for info in found:
-            if info.type == pafs.FileType.File and info.path.endswith(f".{self.format}") and info.path not in finals:
-                fs.delete_file(info.path)
+        folder = self._temporary(root)
+        fs.create_dir(folder, recursive=True)
+        inside = [(posixpath.relpath(tmp, root), stem, posixpath.relpath(final, root))
+                  for msg in messages if msg is not None for tmp, stem, final in msg.moves]
+        with fs.open_output_stream(posixpath.join(folder, "manifest.json")) as out:
+            out.write(json.dumps({"files": inside}).encode())
 
     def _drop_temporary(self, fs, root):
         import pyarrow.fs as pafs
@@ -197,10 +174,6 @@ class _BinFilesWriter(DataSourceArrowWriter):
         tmp = self._temporary(root)
         if fs.get_file_info(tmp).type == pafs.FileType.Directory:
             fs.delete_dir(tmp)
-        parent = posixpath.dirname(tmp)
-        info = fs.get_file_info(pafs.FileSelector(parent, allow_not_found=True))
-        if not info and fs.get_file_info(parent).type == pafs.FileType.Directory:
-            fs.delete_dir(parent)
 
     def abort(self, messages):
         fs, root = file_system(self.path)
@@ -227,6 +200,9 @@ def read_bins(spark, path: str, bins_per_part: int, fmt: str = "arrow"):
     """
     from pyspark.sql import functions as F
 
+    from seqweave.sinks.publish import recover
+
+    recover(spark, path)
     arrays = "input_ids array<int>, labels array<int>, position_ids array<int>"
     glob = f"{path.rstrip('/')}/*/*.{fmt}"
     if fmt == "jsonl":

@@ -1,7 +1,6 @@
 """Sinks for packed bins and the format dispatch.
 
-* ``parquet``: Spark's writer, ``partitionBy(file_stem)`` with dynamic
-  overwrite; the column ``bin`` keeps the creation order.
+* ``parquet``: Spark's writer, ``partitionBy(file_stem)``; the column ``bin`` keeps the creation order.
 * ``jsonl``: one bin per line, keys in the order ``input_ids, labels,
   position_ids, length``; lines serialized by ``to_json`` in the JVM and
   written per input file by the bin-files data source (``sinks.arrow_stream``),
@@ -11,7 +10,8 @@
 Rows are clustered by ``(file_stem, bin bucket)`` so that many tasks can
 write one large input file's bins in parallel, and sorted by bin inside each
 task so every output part lists bins in creation order (over-long rows
-first, as the reference writes them).  ``layout="file"`` instead puts every
+first, as the reference writes them).  Whatever the format, a job's output
+replaces the earlier one as one step (``sinks.publish``).  ``layout="file"`` instead puts every
 stem in one task and file, matching the reference's file naming.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from seqweave.session import ship_package
 from seqweave.sinks.arrow_stream import BinFilesDataSource, qualified
+from seqweave.sinks.publish import publish_files, publish_partitions, recover, temporary
 
 JSONL_COLUMNS = ["input_ids", "labels", "position_ids", "length"]
 BINS_PER_PART = 8192
@@ -77,14 +78,14 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
         ready = bins.sortWithinPartitions("file_stem", "bin")
     else:
         ready = _cluster(bins, layout, bins_per_part)
+    spark, job = bins.sparkSession, uuid.uuid4().hex
+    path = qualified(spark, output_path)
+    recover(spark, path)
     if fmt == "parquet":
-        (ready.select("file_stem", "bin", *JSONL_COLUMNS)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("file_stem").parquet(output_path))
-        if empty is not None:
-            _drop_partitions(empty, output_path)
+        (ready.select("file_stem", "bin", *JSONL_COLUMNS).write.partitionBy("file_stem")
+         .parquet(f"{path.rstrip('/')}/{temporary(job)}"))
+        publish_partitions(spark, path, job, [] if empty is None else _partitions(empty))
     elif fmt in ("jsonl", "arrow"):
-        _register(bins.sparkSession)
         if fmt == "jsonl":
             line = F.to_json(F.struct(*JSONL_COLUMNS))
             payload = ready.select("file_stem", "bin", line.alias("line"))
@@ -92,22 +93,22 @@ def write_bins(bins: DataFrame, output_path: str, fmt: str = "arrow", layout: st
             payload = ready.select("file_stem", "bin", "input_ids", "labels", "position_ids")
         if empty is not None:
             payload = payload.unionByName(empty.select("file_stem"), allowMissingColumns=True)
-        (payload.write.format(BinFilesDataSource.name()).mode("overwrite")
-         .option("path", qualified(bins.sparkSession, output_path)).option("layout", layout).option("prefix", part_prefix)
-         .option("bins_per_part", str(bins_per_part)).option("format", fmt)
-         .option("job_id", uuid.uuid4().hex).save())
+        _save(payload, path, job, fmt, layout=layout, prefix=part_prefix, bins_per_part=str(bins_per_part))
     else:
         raise ValueError(f"format not supported: {fmt}")
 
 
-def _drop_partitions(stems: DataFrame, output_path: str) -> None:
-    """Remove the ``file_stem=`` folders of input files that now have no bins."""
-    sc = stems.sparkSession.sparkContext
-    catalog = sc._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for row in stems.select("file_stem").toLocalIterator():
-        folder = f"{output_path.rstrip('/')}/file_stem={catalog.escapePathName(row[0])}"
-        hpath = sc._jvm.org.apache.hadoop.fs.Path(folder)
-        hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
+def _save(payload: DataFrame, path: str, job: str, fmt: str, **options) -> None:
+    _register(payload.sparkSession)
+    (payload.write.format(BinFilesDataSource.name()).mode("append").option("path", path).option("format", fmt)
+     .option("job_id", job).options(**options).save())
+    publish_files(payload.sparkSession, path, job, True, fmt)
+
+
+def _partitions(stems: DataFrame) -> list[str]:
+    """The ``file_stem=`` folders of input files that now have no bins."""
+    catalog = stems.sparkSession.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return [f"file_stem={catalog.escapePathName(row[0])}" for row in stems.select("file_stem").toLocalIterator()]
 
 
 def write_lines(df: DataFrame, output_path: str, stem_col: str = "file_stem", line_col: str = "line",
@@ -117,11 +118,10 @@ def write_lines(df: DataFrame, output_path: str, stem_col: str = "file_stem", li
     Rows are clustered by stem (one writer task per file, like the
     reference's one file per input) and sorted by ``order_col`` if given.
     """
-    _register(df.sparkSession)
     order = F.col(order_col) if order_col else F.lit(0)
     payload = df.select(F.col(stem_col).alias("file_stem"), order.cast("long").alias("bin"),
                         F.col(line_col).alias("line"))
     payload = payload.repartition("file_stem").sortWithinPartitions("file_stem", "bin")
-    (payload.write.format(BinFilesDataSource.name()).mode("overwrite")
-     .option("path", qualified(df.sparkSession, output_path)).option("layout", "file").option("format", "jsonl")
-     .option("job_id", uuid.uuid4().hex).save())
+    path = qualified(df.sparkSession, output_path)
+    recover(df.sparkSession, path)
+    _save(payload, path, uuid.uuid4().hex, "jsonl", layout="file")
