@@ -7,7 +7,8 @@
   alias ``conversations`` (not both), be non-empty, and every message must
   have string ``role`` and ``content``.  Other keys are ignored.  Spark's own
   JSON reader would turn ``"content": 5`` into ``"5"`` and a missing key into
-  NULL, hence the variant route.
+  NULL, hence the variant route.  Long lines and lines with repeated keys go to a
+  typed decoder (``sources.decode``).
 * Provenance comes from the ``_metadata`` column: ``source_file`` (full path)
   and ``file_stem`` (file name without its last extension) name the output.
 * ``row_key`` is a positional id, unique per line; ``pack_job`` stages the
@@ -20,9 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqweave.plans.stage import stage_table
+from seqweave.session import ship_package
+from seqweave.sources.decode import LISTS, LONG_LINE, MAX_LINE, decoded
 
 SENTINEL = "end of line 5f0c1b"
-VARIANT_BYTES = 16 * 1024 * 1024  # a shorter line fits a variant value (Spark 4.1 allows 128 MB)
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 
 
@@ -81,42 +83,54 @@ def folder_stems(spark: SparkSession, path: str) -> DataFrame:
     return plain.select(F.regexp_replace("name", r"(?<=.)\.[^.]*$", "").alias("file_stem"))
 
 
-def _string_field(m: Column, name: str) -> Column:
-    return F.coalesce(F.schema_of_variant(F.try_variant_get(m, f"$.{name}", "variant")) == "STRING",
-                      F.lit(False))
+def _string(field: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(field) == "STRING", F.lit(False))
 
 
 def parse_conversations(lines: DataFrame) -> DataFrame:
-    """Add ``messages`` and ``error`` (NULL when the line is valid)."""
+    """Add ``messages`` and ``error`` (NULL when the line is valid).
+
+    A line is parsed once into a variant and its list extracted once.  Lines above ``LONG_LINE`` bytes and lines the
+    variant parser refuses (bad JSON, or a good line in which an ignored key occurs twice) or reads loosely (surrogate
+    escapes) are judged by the typed decoder (``sources.decode``); the others never leave the JVM.
+    """
+    ship_package(lines.sparkSession)
+    size = F.octet_length("line")
+    blank = F.length(F.trim(F.col("line"))) == 0
     # a line is one document: behind it, inside a list, only the sentinel may follow
-    pair = F.try_parse_json(F.concat(F.lit("["), F.col("line"), F.lit(f',"{SENTINEL}"]')))
-    whole = (F.try_variant_get(pair, "$[1]", "string") == SENTINEL) & F.try_variant_get(pair, "$[2]", "variant").isNull()
-    v = F.when(F.coalesce(whole, F.lit(False)), F.try_variant_get(pair, "$[0]", "variant"))
-    one = F.try_variant_get(v, "$.conversation", "variant")
-    many = F.try_variant_get(v, "$.conversations", "variant")
-    arr = F.coalesce(F.try_variant_get(v, "$.conversation", "array<variant>"),
-                     F.try_variant_get(v, "$.conversations", "array<variant>"))
-    parsed = lines.select("*", v.alias("_v"), one.isNotNull().alias("_one"),
-                          many.isNotNull().alias("_many"), arr.alias("_arr"))
-    all_typed = F.forall("_arr", lambda m: _string_field(m, "role") & _string_field(m, "content"))
+    wrapped = F.concat(F.lit("["), F.col("line"), F.lit(f',"{SENTINEL}"]'))
+    # the parser reads half of a surrogate pair, written as an escape, as a question mark
+    halves = F.contains("line", F.lit("\\ud")) | F.contains("line", F.lit("\\uD"))
+    parsed = lines.withColumn("_v", F.when((size <= LONG_LINE) & ~halves, F.try_parse_json(wrapped)))
+    whole = (F.try_variant_get("_v", "$[1]", "string") == SENTINEL) & F.try_variant_get("_v", "$[2]", "variant").isNull()
+    parsed = parsed.withColumn("_v", F.when(F.coalesce(whole, F.lit(False)), F.col("_v")))
+
+    def under(key: str, kind: str) -> Column:
+        return F.try_variant_get("_v", f"$[0].{key}", kind)
+
+    typed = F.coalesce(*[under(k, "array<struct<role:variant,content:variant>>") for k in LISTS])
+    again = F.when(~blank & F.col("_v").isNull() & (size <= MAX_LINE), F.col("line"))
+    parsed = parsed.select("*", typed.alias("_typed"), decoded(again).alias("_again"))
+    good = F.forall("_typed", lambda m: F.coalesce(_string(m["role"]) & _string(m["content"]), F.lit(False)))
+    one, many = [under(k, "variant").isNotNull() for k in LISTS]
+    lists = F.coalesce(*[under(k, "array<variant>") for k in LISTS])
     error = (
-        F.when(F.length(F.trim(F.col("line"))) == 0, F.lit("blank line"))
-        .when(F.col("_v").isNull() & (F.octet_length("line") > VARIANT_BYTES),
-              F.lit("malformed JSON or a line beyond the variant size limit"))
-        .when(F.col("_v").isNull(), F.lit("malformed JSON"))
-        .when(F.col("_one") & F.col("_many"), F.lit("both conversation and conversations"))
-        .when(~(F.col("_one") | F.col("_many")), F.lit("missing conversation"))
-        .when(F.col("_arr").isNull(), F.lit("conversation is not a list"))
-        .when(F.size("_arr") == 0, F.lit("empty conversation"))
-        .when(~all_typed, F.lit("message without string role and content"))
+        F.when(blank, F.lit("blank line"))
+        .when(size > MAX_LINE, F.concat(F.lit("line of "), size, F.lit(f" bytes, the limit is {MAX_LINE}")))
+        .when(F.col("_v").isNull(), F.col("_again.error"))
+        .when(one & many, F.lit("both conversation and conversations"))
+        .when(F.size("_typed") == 0, F.lit("empty conversation"))
+        .when(F.col("_typed").isNotNull() & good, F.lit(None))
+        .when(~(one | many), F.lit("missing conversation"))
+        .when(lists.isNull(), F.lit("conversation is not a list"))
+        .otherwise(F.lit("message without string role and content"))
     )
-    messages = F.transform("_arr", lambda m: F.struct(
-        F.variant_get(m, "$.role", "string").alias("role"),
-        F.variant_get(m, "$.content", "string").alias("content")))
+    parsed = parsed.withColumn("error", error)
+    messages = F.transform("_typed", lambda m: F.struct(
+        F.variant_get(m["role"], "$", "string").alias("role"), F.variant_get(m["content"], "$", "string").alias("content")))
     keep = [c for c in lines.columns if c != "line"]
-    return parsed.select(*keep, F.col("line"),
-                         F.when(error.isNull(), messages).cast(MESSAGES_TYPE).alias("messages"),
-                         error.alias("error"))
+    return parsed.select(*keep, F.col("line"), F.when(F.col("error").isNull(), F.coalesce("_again.messages", messages)).cast(
+        MESSAGES_TYPE).alias("messages"), "error")
 
 
 def conversations_from_lines(lines: DataFrame, on_error: str = "fail"):
@@ -131,7 +145,9 @@ def conversations_from_lines(lines: DataFrame, on_error: str = "fail"):
         raise ValueError("on_error must be 'fail' or 'quarantine'")
     rows = parse_conversations(lines).withColumn("row_key", F.monotonically_increasing_id())
     if on_error == "quarantine":
-        rows = stage_table(rows, "parsed")  # read and parsed once for both results
+        # read and parsed once for both results; only bad lines are kept as text
+        rows = rows.withColumn("line", F.when(F.col("error").isNotNull(), F.col("line")))
+        rows = stage_table(rows, "parsed")
     cols = ["source_file", "file_stem", "row_key", "messages"]
     if on_error == "fail":
         checked = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(

@@ -52,9 +52,50 @@ def test_long_lines_are_read_and_named(spark, tmp_dir):
     line = json.dumps({"conversation": [{"role": "user", "content": body}]})
     write(f"{tmp_dir}/d.jsonl", [line, line[:-2]])
     good, bad = read_conversations(spark, tmp_dir, on_error="quarantine")
-    assert [len(r["messages"][0]["content"]) for r in good.collect()] == [len(body)]
-    assert [r["error"] for r in bad.select("error").collect()] == [
-        "malformed JSON or a line beyond the variant size limit"]
+    assert [r["n"] for r in good.selectExpr("length(messages[0].content) AS n").collect()] == [len(body)]
+    assert [r["error"] for r in bad.select("error").collect()] == ["malformed JSON"]
+
+
+def test_typed_route_for_long_and_odd_lines(spark, tmp_dir, monkeypatch):
+    """Every line gives the same through the variant parser and through the typed decoder alone."""
+    from seqweave.sources import jsonl
+
+    odd = {
+        '{"id":1,"id":2,"conversation":[{"role":"user","content":"a","x":1,"x":2}]}': None,
+        '{"conversation":[{"role":"user","content":"a"}],"conversation":[]}': "conversation given twice",
+        '{"conversation":[{"role":"user","role":"user","content":"a"}]}': "role or content given twice",
+        '{"conversation":[{"role":"user","content":"\\ud800"}]}': "malformed",
+        '{"conversation":[5]}': "string role and content",
+        '{"conversation":[{"role":"user","content":null}]}': "string role and content",
+        '{"conversation":null}': None,  # the reason is checked below
+        '[]': "missing", '"x"': "missing", '5': "missing", "{} x": "malformed", "{}],[{}": "malformed", '{"a":NaN}': "malformed",
+        '{"conversation":[{"role":"user","content":"é\\u00e9\\n"}]} ': None,
+    }
+    lines = [*GOOD, *BAD, *odd]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    both = []
+    for limit in (jsonl.LONG_LINE, -1):
+        monkeypatch.setattr(jsonl, "LONG_LINE", limit)
+        both.append([(r.messages, r.error) for r in parse_conversations(df).orderBy("i").collect()])
+    assert both[0] == both[1]
+    for line, (messages, error) in zip(lines, both[0], strict=True):
+        want = BAD.get(line, odd.get(line))
+        assert (messages is None) == (error is not None), line
+        if want:
+            assert want in error, (line, error)
+        elif line != '{"conversation":null}':
+            assert error is None and messages, (line, error)
+    assert both[0][lines.index('{"conversation":null}')][1] == "conversation is not a list"
+    assert both[0][-1][0][0].content == "éé\n"
+
+
+def test_line_above_the_limit_is_refused_with_its_size(spark, monkeypatch):
+    from seqweave.sources import jsonl
+
+    monkeypatch.setattr(jsonl, "MAX_LINE", 100)
+    monkeypatch.setattr(jsonl, "LONG_LINE", 50)
+    rows = parse_conversations(spark.createDataFrame([("x" * 101,), ("x" * 100,)], "line string")).collect()
+    assert [r.error for r in rows] == ["line of 101 bytes, the limit is 100", "malformed JSON"]
 
 
 def test_fail_mode_raises(spark, tmp_dir):
