@@ -5,9 +5,7 @@ Three strategies share one interface, ``tokenize(df, text_col, out_col, key_cols
 * ``CodePointTokenizer``: one id per Unicode code point.  Pure column
   expression (``split`` + ``ascii``), exact and vocabulary free.
 * ``WordVocabulary``: a corpus-scale vocabulary job (explode, count, top-N)
-  and an encoder that joins the words against the broadcast vocabulary.
-  The vocabulary has at most ``size`` rows, so the broadcast is bounded by
-  a parameter, not by the data.
+  and an encoder that looks up the distinct words of each block of rows.
 * ``PretrainedTokenizer``: a ``tokenizer.json`` file loaded once per Python
   worker and applied to Arrow batches (pandas UDF).  Optional dependency.
 """
@@ -16,11 +14,11 @@ from __future__ import annotations
 
 import hashlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-from seqweave.operators.ranking import maybe_broadcast
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Fixed value: ASCII whitespace class used to split words.
 WORD_SPLIT = r"[ \t\n\f\r]+"
@@ -67,10 +65,13 @@ class WordVocabulary:
     """Frequency-ranked word vocabulary; id 0 is reserved for unknown words."""
 
     name = "words"
+    LOCAL_WORDS = 1_000_000
+    LOCAL_BYTES = 64 << 20
 
-    def __init__(self, vocab: DataFrame, size: int):
+    def __init__(self, vocab: DataFrame, size: int, local_words: int | None = None):
         self.vocab = vocab
         self.size = size
+        self.local_words = self.LOCAL_WORDS if local_words is None else local_words
 
     @classmethod
     def build(cls, df: DataFrame, text_col: str = "prompt", size: int = 32000,
@@ -119,43 +120,86 @@ class WordVocabulary:
         row = hist.filter(F.col("_cum") >= k).agg(F.max("count").alias("c")).first()
         return int(row["c"]) if row and row["c"] is not None else 0
 
-    def to_tokenizer_json(self) -> str:
-        """The vocabulary as a word-level ``tokenizer.json`` (whitespace split).
+    def tokenize(self, df: DataFrame, text_col: str = "prompt", out_col: str = "input_ids",
+                 key_cols: list[str] | None = None, keep_text: bool = False) -> DataFrame:
+        """All columns of ``df`` but the text (kept with ``keep_text``), with the ids of its words.
 
-        Collects at most ``size`` rows, the vocabulary's bound.
+        A word is looked up once per block of rows, however often it occurs there, and rows stay where they are, so
+        neither a frequent word nor a long text is spread out.  A vocabulary within
+        ``LOCAL_WORDS`` words and ``LOCAL_BYTES`` bytes (counted first) goes to the tasks and a block is an Arrow
+        batch; for a larger one a block is a writing task of the staged rows, and only its distinct words
+        meet the vocabulary by shuffle.
         """
-        import json
+        size = self.vocab.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("token")).alias("b")).first()
+        if int(size["n"]) <= self.local_words and int(size["b"] or 0) <= self.LOCAL_BYTES:
+            return self._tokenize_local(df, text_col, out_col, keep_text)
+        return self._tokenize_joined(df, text_col, out_col, keep_text)
 
-        vocab = {r["token"]: int(r["id"]) for r in self.vocab.select("token", "id").collect()}
-        return json.dumps({
-            "version": "1.0", "truncation": None, "padding": None, "added_tokens": [],
-            "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"},
-            "post_processor": None, "decoder": None,
-            "model": {"type": "WordLevel", "vocab": vocab, "unk_token": UNKNOWN_TOKEN},
-        })
+    @staticmethod
+    def _columns(df, text_col, out_col, keep_text):
+        return [c for c in df.columns if c != out_col and (keep_text or c != text_col)]
 
-    def tokenize(self, df: DataFrame, text_col: str = "prompt", out_col: str = "input_ids",
-                 key_cols: list[str] | None = None, keep_text: bool = False) -> DataFrame:
-        """Encode by a join of the exploded words with the vocabulary (broadcast up to a million words).
-
-        The words of a row are regrouped on ``key_cols`` (which must identify a
-        row).  When the input is already hash-partitioned on those keys, as it
-        is after assembling conversations from turns, the regrouping needs no
-        shuffle because explode and the broadcast join keep the partitioning.
-        Other columns go along as aggregates; only the text, with
-        ``keep_text``, is joined back on the keys.
-        """
-        if not key_cols:
-            raise ValueError("key_cols must identify a row for the word tokenizer")
-        carry = [c for c in df.columns if c not in key_cols and c != text_col]
-        exploded = df.select(*key_cols, *carry, F.posexplode_outer(words(text_col)).alias("_pos", "_tok"))
-        vocab = self.vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
-        joined = exploded.join(maybe_broadcast(vocab, self.size), "_tok", "left")
-        piece = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(0)).alias("_id")))
-        encoded = joined.groupBy(*key_cols).agg(F.array_sort(F.collect_list(piece)).alias("_pieces"),
-                                                *[F.first(c).alias(c) for c in carry])
-        encoded = encoded.select(*key_cols, *carry, F.transform("_pieces", lambda p: p["_id"]).alias(out_col))
-        return df.select(*key_cols, text_col).join(encoded, key_cols) if keep_text else encoded
+    def _tokenize_local(self, df, text_col, out_col, keep_text):
+        from seqweave.session import ship_package
+
+        ship_package(df.sparkSession)
+        rows = self.vocab.select("token", "id").collect()  # bounded, see tokenize
+        shared = df.sparkSession.sparkContext.broadcast(([r["token"] for r in rows], [r["id"] for r in rows]))
+
+        @F.arrow_udf("array<int>")
+        def encode(column: pa.Array) -> pa.Array:
+            return encode_words(column, *_arrays(shared))
+
+        ids = F.coalesce(encode(words(text_col)), F.array().cast("array<int>"))
+        return df.withColumn(out_col, ids).select(*self._columns(df, text_col, out_col, keep_text), out_col)
+
+    def _tokenize_joined(self, df, text_col, out_col, keep_text):
+        from seqweave.plans.stage import stage_parts
+        from seqweave.session import ship_package
+
+        ship_package(df.sparkSession)
+        cols = self._columns(df, text_col, out_col, keep_text)
+        staged = stage_parts(df.select(*cols, F.coalesce(words(text_col), F.array().cast("array<string>")).alias("_words")), "words")
+        # a task's distinct words: a frequent word comes once from each task
+        asked = staged.select(F.col("_part").alias("_block"), F.explode(F.array_distinct("_words")).alias("token")).distinct()
+        known = asked.join(self.vocab.select("token", "id"), "token").select("_block", "token", "id")
+        schema = df.select(*cols).schema.add(out_col, T.ArrayType(T.IntegerType()))
+        arrow = to_arrow_schema(schema)
+
+        def encode(texts: pa.Table, vocab: pa.Table) -> pa.Table:
+            tokens, ids = vocab.column("token").combine_chunks(), vocab.column("id").combine_chunks()
+            lists = encode_words(texts.column("_words").combine_chunks(), tokens, ids)
+            return pa.table([*(texts.column(c) for c in cols), lists], names=[*cols, out_col]).cast(arrow)
+
+        return staged.groupBy("_part").cogroup(known.groupBy("_block")).applyInArrow(encode, schema)
+
+
+def encode_words(lists: pa.Array, tokens: pa.Array, ids: pa.Array) -> pa.Array:
+    """Lists of words to lists of ids (0: not among ``tokens``); each distinct word is looked up once."""
+    import pyarrow.compute as pc
+
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    lists = lists.cast(pa.list_(pa.string()))
+    distinct = lists.flatten().dictionary_encode()
+    found = pc.fill_null(pc.take(ids, pc.index_in(distinct.dictionary, value_set=tokens)), 0).cast(pa.int32())
+    sizes = pc.fill_null(pc.list_value_length(lists), 0)
+    ends = pc.cumulative_sum(sizes)
+    offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
+    return pa.ListArray.from_arrays(offsets, pc.take(found, distinct.indices))
+
+
+_VOCAB_CACHE: dict[int, tuple] = {}
+
+
+def _arrays(shared) -> tuple:
+    """The broadcast vocabulary as Arrow arrays, made once per worker."""
+    key = id(shared.value)
+    if key not in _VOCAB_CACHE:
+        _VOCAB_CACHE.clear()
+        tokens, ids = shared.value
+        _VOCAB_CACHE[key] = shared.value, pa.array(tokens, pa.string()), pa.array(ids, pa.int32())
+    return _VOCAB_CACHE[key][1:]
 
 
 _WORKER_CACHE: dict[str, object] = {}
