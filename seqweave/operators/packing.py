@@ -2,13 +2,16 @@
 
 1. ``_L = least(length, max_length)``; histogram of ``_L`` per group
    (partial + final hash aggregation over narrow columns).
-2. Plan: ``applyInPandas`` walks each group's histogram (at most
-   ``max_length`` rows per group) -> ``(_b0, _k0, _per, _tail)`` per length.
+2. Plan: a walk over each group's histogram (at most ``max_length`` rows),
+   many groups per task -> ``(_b0, _k0, _per, _tail)`` per length.
    The plan is staged in the checkpoint folder so the histogram runs once.
 3. Every row gets its index ``_r`` among rows of equal ``_L`` in its group
    (``number_within``: in ordered ranges when a group is too heavy for one task) and
    then its bin by arithmetic.  Over-long rows need no branch: clamped to
    ``max_length`` they fill a bin each.
+   ``assign_staged`` does all this on the narrow columns of a staged table, and
+   ``with_bins`` puts the result beside the payload where it lies, so text or
+   ids are shuffled once, to their bins.
 4. ``materialize_bins`` concatenates the members of each bin; a bin holds at
    most ``max_length`` tokens (or one over-long row), so no group is unbounded.
 
@@ -22,15 +25,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from seqweave.functions.fields import labels_for, position_ids_for
 from seqweave.operators.ranking import DEFAULT_BROADCAST_ROWS, group_stats, number_within
-from seqweave.plans.nfd import walk_frame
-from seqweave.plans.stage import stage_table
+from seqweave.plans.nfd import walk_batches
+from seqweave.plans.stage import beside_parts, stage_table
 from seqweave.session import ship_package
 
 _PLAN_COLS = ["_n", "_b0", "_k0", "_per", "_tail"]
@@ -83,12 +86,10 @@ def pack_plan(rows: DataFrame, spec: PackSpec, group_cols: list[str]):
         hist.schema.fields
         + [T.StructField(c, T.LongType()) for c in ("_b0", "_k0", "_per", "_tail")]
     )
-    max_length = int(spec.max_length)
-
-    def plan_one_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        return walk_frame(pdf, max_length)
-
-    plan = hist.groupBy(*group_cols).applyInPandas(plan_one_group, schema)
+    # many files a task, each file's lengths in a row
+    order = [F.col(c).asc_nulls_first() for c in group_cols]
+    walked = hist.repartition(*group_cols).sortWithinPartitions(*order, F.col("_L").desc())
+    plan = walked.mapInArrow(walk_batches(to_arrow_schema(schema), group_cols, int(spec.max_length)), schema)
     return stage_table(plan, "pack-plan", group_stats(_weight()))
 
 
@@ -107,7 +108,7 @@ def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key
     rows = df.withColumn("_L", F.least(F.col(length_col), F.lit(m)).cast("int"))
     plan, stats = pack_plan(rows, spec, keys)
     numbered = number_within(
-        rows, plan, [*keys, "_L"], F.struct(-F.col(length_col), F.col(key_col)), key_col,
+        rows, plan, [*keys, "_L"], F.struct(-F.col(length_col), F.col(key_col)),
         _weight(), spec.tokens_per_task, spec.broadcast_rows, stats)
     fresh = F.col("_b0") + 1 + F.expr("(_r - _k0) div _per")
     out = numbered.withColumn(
@@ -119,6 +120,27 @@ def assign_bins(df: DataFrame, spec: PackSpec, group_cols: list[str] | None, key
     return out.drop(_GROUP) if _GROUP in out.columns else out
 
 
+def assign_staged(staged: DataFrame, spec: PackSpec, group_cols: list[str] | None, key_col: str) -> DataFrame:
+    """Bins of a table staged by ``stage_parts``, from its narrow columns only.
+
+    One staged row per input row: ``groups, length, bin, dropped, _r, _part, _pos``; no payload goes through the
+    histogram, the numbering or the joins of the plan.
+    """
+    cols = list(group_cols or [])
+    narrow = staged.select(*cols, key_col, "length", "_part", "_pos")
+    assigned = assign_bins(narrow, spec, group_cols, key_col, mark_dropped=True)
+    if "dropped" not in assigned.columns:
+        assigned = assigned.withColumn("dropped", F.lit(False))
+    return stage_table(assigned.select(*cols, "length", "bin", "dropped", "_r", "_part", "_pos"), "assigned")
+
+
+def with_bins(staged: DataFrame, assigned: DataFrame, spec: PackSpec) -> DataFrame:
+    """The staged rows with ``bin``, ``_r`` and ``_L`` put beside them in place; rows of lost bins left out."""
+    rows = beside_parts(staged, assigned, ["bin", "_r", "dropped"])
+    clamped = F.least(F.col("length"), F.lit(int(spec.max_length))).cast("int")
+    return rows.filter(~F.col("dropped")).drop("dropped").withColumn("_L", clamped)
+
+
 def clip_payload(tokens: DataFrame, spec: PackSpec, ids_col: str = "input_ids",
                  text_col: str = "prompt", head=None) -> DataFrame:
     """In truncate mode, cut each row's payload to ``max_length`` tokens before

@@ -6,12 +6,10 @@ group would put a hot group, e.g. one file holding a third of all rows, into one
 task.  Instead the group weights (already known from a histogram) decide:
 
 * every group fits one task: a window over the group does it;
-* otherwise each heavy group is cut into ordered ranges of the sort key.  The
-  cut points come from the group's own rows: spread over ``ceil(weight /
-  per_task)`` hash salts, every salt names its quantiles.  A narrow aggregation
-  counts the rows per (group, range), a window over those counts turns them
-  into offsets, and the final window runs per (group, range).  The index is
-  ``offset + row_number - 1``.
+* otherwise the rows are range-partitioned by (group, sort key), a binary search among the range
+  borders per row, and sorted inside each range.  A row's place in its range is its position there; the
+  rows that its group has in earlier ranges, a running sum over one count per (group, range), are
+  added.  A range border may fall anywhere inside a heavy group, so none is in one task.
 
 Ranges follow the order, so the index does not depend on the threshold: it is
 the index one window over the whole group would give.  NULL group keys are
@@ -20,6 +18,7 @@ groups like any other (all joins are null-safe).
 The group table is joined with a broadcast only when its row count, checked
 first, is under ``broadcast_rows``; otherwise it is a shuffle join on the
 same keys the window partitions by, so the window adds no second exchange.
+Its rows are narrow: a group's columns and two numbers.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from seqweave.plans.stage import stage_table
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
-QUANTILES = 16  # cut point candidates per salt of a heavy group
+MAX_RANGES = 100_000
 
 
 def maybe_broadcast(df: DataFrame, rows: int, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -40,7 +39,7 @@ def maybe_broadcast(df: DataFrame, rows: int, limit: int = DEFAULT_BROADCAST_ROW
 
 def group_stats(weight: Column) -> dict:
     """Metrics to observe while staging a group table (see ``stage_table``)."""
-    return {"g": F.count(F.lit(1)), "w": F.max(weight)}
+    return {"g": F.count(F.lit(1)), "w": F.max(weight), "t": F.sum(weight)}
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -51,18 +50,18 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], sort_key: Column,
-                  salt_key: str, weight: Column, per_task: int,
+                  weight: Column, per_task: int,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS, stats: dict | None = None) -> DataFrame:
     """Join ``groups`` (one staged row per key, with its columns) onto ``rows``
     and add ``_r``, the 0-based index of each row inside its group by ascending
-    ``sort_key`` (one value, or a struct of several).
+    ``sort_key`` (one value, or a struct of several, that tells the group's rows apart).
 
-    ``stats`` (``g``: groups, ``w``: heaviest weight) may come from observing
+    ``stats`` (``g``: groups, ``w``: heaviest weight, ``t``: their sum) may come from observing
     the staging write; otherwise they are computed from ``groups``.
     """
     if stats is None:
         stats = groups.agg(*[c.alias(k) for k, c in group_stats(weight).items()]).first().asDict()
-    n_groups, heaviest = int(stats["g"] or 0), int(stats["w"] or 0)
+    n_groups, heaviest, total = (int(stats[k] or 0) for k in ("g", "w", "t"))
     per_task = max(1, int(per_task))
     rows = rows.withColumn("_ord", sort_key)
     if heaviest <= per_task:
@@ -70,33 +69,19 @@ def number_within(rows: DataFrame, groups: DataFrame, keys: list[str], sort_key:
         numbered = rows.withColumn("_r", (F.row_number().over(w) - 1).cast("long")).drop("_ord")
         return join_null_safe(numbered, maybe_broadcast(groups, n_groups, broadcast_rows), keys)
 
-    sized = groups.withColumn("_ns", F.greatest(F.lit(1), F.ceil(weight / F.lit(per_task))).cast("int"))
-    joined = join_null_safe(rows, maybe_broadcast(sized, n_groups, broadcast_rows), keys)
-    # quantiles of every salt of the heavy groups: about QUANTILES cut points per salt
-    salt = F.pmod(F.xxhash64(F.col(salt_key)), F.col("_ns"))
-    heavy = joined.filter(F.col("_ns") > 1).select(*keys, "_ord", salt.alias("_salt"))
-    in_salt = Window.partitionBy(*keys, "_salt")
-    ranked = heavy.withColumn("_rn", F.row_number().over(in_salt.orderBy("_ord"))).withColumn(
-        "_sn", F.count(F.lit(1)).over(in_salt))
-    every = F.greatest(F.lit(1), F.floor(F.col("_sn") / QUANTILES))
-    cuts = ranked.filter(F.pmod(F.col("_rn"), every) == 0).groupBy(*keys).agg(
-        F.sort_array(F.collect_list("_ord")).alias("_all"), F.count(F.lit(1)).alias("_k"))
-    # the pooled quantiles, thinned to about two ranges per task
-    thin = F.filter("_all", lambda x, i: F.pmod(i, F.lit(QUANTILES // 2)) == QUANTILES // 4)
-    cuts, seen = stage_table(cuts.select(*keys, thin.alias("_cuts")), "cuts", {"n": F.count(F.lit(1))})
-    ranged = join_null_safe(joined, maybe_broadcast(cuts, int(seen["n"] or 0), broadcast_rows), keys, "left")
-    ranged = ranged.withColumn("_range", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_cuts", lambda c: c <= F.col("_ord"))))).drop("_cuts")
-    counts = ranged.filter(F.col("_ns") > 1).groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_sn"))
+    ranges = min(MAX_RANGES, -(-2 * total // per_task))
+    # sorted ranges, written down: the id numbers the rows of each range
+    placed = rows.repartitionByRange(ranges, *keys, "_ord").sortWithinPartitions(*keys, "_ord").drop("_ord")
+    placed = stage_table(placed.withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    placed = placed.withColumn("_range", F.shiftright("_at", 33))
+    runs = placed.groupBy(*keys, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_len"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_range", F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_off"))
-    offsets, seen = stage_table(offsets, "offsets", {"n": F.count(F.lit(1))})
-    w = Window.partitionBy(*keys, "_range").orderBy("_ord")
-    numbered = ranged.withColumn("_rn", F.row_number().over(w))
-    out = join_null_safe(numbered, maybe_broadcast(offsets, int(seen["n"] or 0), broadcast_rows),
-                         [*keys, "_range"], "left")
-    r = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn") - 1
-    return out.withColumn("_r", r.cast("long")).drop("_off", "_rn", "_range", "_ns", "_ord")
+    runs = runs.select(*keys, "_range", (F.coalesce(F.sum("_len").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    # at most one row per group and one more per range border
+    runs, seen = stage_table(join_null_safe(runs, maybe_broadcast(groups, n_groups, broadcast_rows), keys), "runs",
+                             {"n": F.count(F.lit(1))})
+    out = join_null_safe(placed, maybe_broadcast(runs, int(seen["n"] or 0), broadcast_rows), [*keys, "_range"])
+    return out.withColumn("_r", (F.col("_at") + F.col("_off")).cast("long")).drop("_at", "_off", "_range")
 
 
 def length_histogram(df: DataFrame, group_cols: list[str], length_col: str = "length") -> DataFrame:
@@ -120,6 +105,6 @@ def rank_by_length(df: DataFrame, group_cols: list[str], key_col: str, length_co
     hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(longer), F.lit(0)))
     hist, stats = stage_table(hist, "length-offsets", group_stats(F.col("_n")))
     numbered = number_within(df, hist, [*group_cols, length_col], F.col(key_col),
-                             key_col, F.col("_n"), rows_per_task, broadcast_rows, stats)
+                             F.col("_n"), rows_per_task, broadcast_rows, stats)
     return numbered.withColumn("rank", (F.col("_before") + F.col("_r") + 1).cast("long")).drop(
         "_n", "_before", "_r")

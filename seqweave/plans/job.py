@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from seqweave.functions.fields import length_of
 from seqweave.functions.template import ChatTemplate
 from seqweave.functions.tokenizers import CodePointTokenizer
-from seqweave.operators.packing import PackSpec, assign_bins, clip_payload, materialize_bins
-from seqweave.plans.stage import stage_table, stages_removed
+from seqweave.operators.packing import PackSpec, assign_staged, clip_payload, materialize_bins, with_bins
+from seqweave.plans.stage import stage_parts, stage_table, stages_removed
 from seqweave.sinks.arrow_stream import check_scheme, qualified
 from seqweave.sinks.files import ONE_PART, bins_per_part_for, write_bins
 from seqweave.sources.jsonl import conversations_from_lines
@@ -58,12 +58,19 @@ def tokenize_conversations(conv: DataFrame, template: ChatTemplate, tokenizer=No
 
 def pack_conversations(tokens: DataFrame, spec: PackSpec, group_cols: list[str] | None,
                        key_col: str, tokenizer=None) -> DataFrame:
-    """Tokenized rows -> one row per bin (``input_ids, labels, position_ids, length``)."""
+    """Tokenized rows -> one row per bin (``input_ids, labels, position_ids, length``).
+
+    The rows are staged once; bins are worked out on the narrow columns and the payload is shuffled once."""
     late = _late_ids(tokens, tokenizer)
+    staged = _staged_payload(tokens, spec, tokenizer, late)
+    assigned = assign_staged(staged, spec, group_cols, key_col)
+    return materialize_bins(with_bins(staged, assigned, spec), spec, group_cols, late_ids=late)
+
+
+def _staged_payload(tokens: DataFrame, spec: PackSpec, tokenizer, late, parts: int = 0) -> DataFrame:
+    """Text + length for expression tokenizers, ids otherwise, cut to ``max_length`` in truncate mode."""
     head = getattr(tokenizer or CodePointTokenizer(), "head", None) if late else None
-    tokens = clip_payload(tokens.drop("input_ids") if late else tokens, spec, head=head)
-    assigned = assign_bins(tokens, spec, group_cols, key_col)
-    return materialize_bins(assigned, spec, group_cols, late_ids=late)
+    return stage_parts(clip_payload(tokens.drop("input_ids") if late else tokens, spec, head=head), "tokens", parts)
 
 
 def _late_ids(tokens: DataFrame, tokenizer):
@@ -114,8 +121,8 @@ def pack_job(spark: SparkSession, input_path: str, output_path: str,
     ``fmt`` is ``arrow`` (default; truncates over-long rows), ``jsonl``
     (keeps them whole in their own bin) or ``parquet``; case-insensitive, an
     unknown value raises.  Bins never mix input files.  The tokenized rows are
-    staged once in the checkpoint folder, so the histogram, numbering and
-    materialization passes read a fixed table.
+    staged once in the checkpoint folder; histogram and numbering read its
+    narrow columns, and the text is shuffled once, to its bins.
     """
     from seqweave.sources.jsonl import folder_stems, read_lines
 
@@ -162,21 +169,16 @@ def _pack_staged(lines, output_path, template, tokenizer, spec, fmt, on_error, l
     groups = ["source_file", "file_stem"]
     tokens = tokenize_conversations(conv, template, tokenizer, "row_key", groups, add_generation_prompt)
     late = _late_ids(tokens, tokenizer)
-    # stage once: text + length for expression tokenizers, ids otherwise,
-    # cut to max_length in truncate mode
-    tokens = tokens.drop("input_ids") if late else tokens
-    tokens = clip_payload(tokens, spec, head=getattr(tokenizer, "head", None))
-    tokens = stage_table(tokens, "tokens")
-    assigned = assign_bins(tokens, spec, groups, "row_key", mark_dropped=True)
+    staged = _staged_payload(tokens, spec, tokenizer, late, lines.rdd.getNumPartitions())
+    assigned = assign_staged(staged, spec, groups, "row_key")
     report = stage_table(pack_report(assigned, spec, groups), "report", keep=True)
     empty = report.filter("bins = 0").select("file_stem") if spec.tail == "drop" else None
     if stems is not None:
         # input files without a (good) conversation
         unread = stems.join(report.select("file_stem"), "file_stem", "left_anti")
         empty = unread if empty is None else empty.unionByName(unread)
-    kept = assigned.filter(~F.col("dropped")) if "dropped" in assigned.columns else assigned
     per_part = ONE_PART if layout == "file" else bins_per_part_for(spec.max_length)
-    bins = materialize_bins(kept, spec, groups, late_ids=late, bins_per_part=per_part)
+    bins = materialize_bins(with_bins(staged, assigned, spec), spec, groups, late_ids=late, bins_per_part=per_part)
     write_bins(bins, output_path, fmt, layout=layout, part_prefix=part_prefix, clustered=True,
                bins_per_part=per_part, empty=empty)
     if rejected is not None:

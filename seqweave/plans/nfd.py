@@ -18,7 +18,7 @@ The plain sequential loop lives in the tests as the oracle.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 
 
 def walk(lengths: np.ndarray, counts: np.ndarray, max_length: int):
@@ -52,13 +52,44 @@ def walk(lengths: np.ndarray, counts: np.ndarray, max_length: int):
     return b0, k0, per, tail
 
 
-def walk_frame(pdf: pd.DataFrame, max_length: int, length_col: str = "_L",
-               count_col: str = "_n") -> pd.DataFrame:
-    """``applyInPandas`` body: one file's histogram in, its plan out."""
-    pdf = pdf.sort_values(length_col, ascending=False, kind="stable").reset_index(drop=True)
-    b0, k0, per, tail = walk(pdf[length_col].to_numpy(), pdf[count_col].to_numpy(), max_length)
-    pdf["_b0"] = b0
-    pdf["_k0"] = k0
-    pdf["_per"] = per
-    pdf["_tail"] = pd.array([tail] * len(pdf), dtype="Int64")
-    return pdf
+def walk_batches(schema: pa.Schema, keys: list[str], max_length: int, rows_out: int = 20_000):
+    """``mapInArrow`` function: many files' histograms in, their plans out.
+
+    The rows come sorted by file and descending length, and a file's histogram may span batches; one file's
+    (at most ``max_length`` rows) is held at a time.
+    """
+    names = [*keys, "_L", "_n"]
+
+    def run(batches):
+        out: list[list] = [[] for _ in schema]
+        current, lengths, counts = None, [], []
+
+        def close() -> None:
+            if not lengths:
+                return
+            b0, k0, per, tail = walk(np.array(lengths), np.array(counts), max_length)
+            n = len(lengths)
+            for column, values in zip(out, [*([k] * n for k in current), lengths, counts, b0.tolist(), k0.tolist(),
+                                            per.tolist(), [tail] * n], strict=True):
+                column += values
+
+        def flush() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+            for column in out:
+                column.clear()
+            return batch
+
+        for batch in batches:
+            cols = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
+            for *key, length, n in zip(*cols, strict=True):
+                if key != current:
+                    close()
+                    current, lengths, counts = key, [], []
+                    if len(out[0]) >= rows_out:
+                        yield flush()
+                lengths.append(length)
+                counts.append(n)
+        close()
+        yield flush()
+
+    return run
