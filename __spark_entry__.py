@@ -30,10 +30,10 @@ from seqweave.functions.fields import (
     truncate_ids,
 )
 from seqweave.functions.template import ChatTemplate
-from seqweave.functions.tokenizers import CodePointTokenizer, PretrainedTokenizer, WordVocabulary
-from seqweave.operators.packing import PackSpec, assign_bins, clip_payload, materialize_bins
+from seqweave.functions.tokenizers import WordVocabulary
+from seqweave.operators.packing import PackSpec, assign_bins
 from seqweave.operators.ranking import length_histogram, rank_by_length
-from seqweave.plans.job import pack_job, pack_report, tokenize_conversations
+from seqweave.plans.job import pack_conversations, pack_job, pack_report, tokenize_conversations
 from seqweave.plans.stage import stage_root
 from seqweave.sinks.arrow_stream import read_bins
 from seqweave.sinks.files import bins_per_part_for, write_lines
@@ -74,9 +74,7 @@ def _assignment(spark, sf_dir, sharded, spec):
 
 
 def _bins(spark, sf_dir, sharded, spec, with_length=True):
-    tokens = clip_payload(_tokens(spark, sf_dir, sharded).drop("input_ids"), spec, head=CodePointTokenizer.head)
-    bins = materialize_bins(assign_bins(tokens, spec, ["source_file"], "conv_id"), spec, ["source_file"],
-                            late_ids=CodePointTokenizer.ids)
+    bins = pack_conversations(_tokens(spark, sf_dir, sharded), spec, ["source_file"], "conv_id")
     cols = [
         "source_file", "bin", "n_members",
         array_text("input_ids").alias("input_ids"),
@@ -181,11 +179,10 @@ def q_tokenize_vocab(spark, sf_dir):
 
 
 def q_tokenize_pretrained(spark, sf_dir):
-    """K4: the vocabulary job's result exported as a word-level tokenizer.json
-    (at most VOCAB_SIZE entries) and applied by the tokenizers library."""
-    prompts, vocab = _vocab(spark, sf_dir)
-    tok = PretrainedTokenizer(json_text=vocab.to_tokenizer_json())
-    enc = tok.tokenize(prompts.select("conv_id", "prompt"), "prompt", "input_ids")
+    """A given vocabulary table (token, id) applied by a shuffle join of each task's distinct words."""
+    prompts, built = _vocab(spark, sf_dir)
+    vocab = WordVocabulary(built.vocab, VOCAB_SIZE, local_words=0)
+    enc = vocab.tokenize(prompts.select("conv_id", "prompt"), "prompt", "input_ids", ["conv_id"])
     return enc.select("conv_id", length_of("input_ids").alias("length"), array_text("input_ids").alias("input_ids"))
 
 
@@ -541,6 +538,10 @@ SELECT {_shard_sql(True)} AS source_file, CAST(count(*) AS INTEGER) AS n_message
 FROM conversations GROUP BY conv_id"""
 
 
+#: the queries of the reference's own operators
+CORE = frozenset(QUERIES)
+
+
 # ------------------------------------------------- training-data queries, if present
 try:
     import corpus_pipeline
@@ -561,9 +562,7 @@ def entry(spark: SparkSession) -> DataFrame:
     """Flagship: conversations -> sections template -> code points -> packed
     bins (4 files, 4096 tokens, over-long rows truncated), with arrays."""
     spec = PackSpec(4096, "truncate", "keep")
-    tokens = clip_payload(_tokens(spark, SMOKE_DIR, True).drop("input_ids"), spec, head=CodePointTokenizer.head)
-    return materialize_bins(assign_bins(tokens, spec, ["source_file"], "conv_id"), spec, ["source_file"],
-                            late_ids=CodePointTokenizer.ids)
+    return pack_conversations(_tokens(spark, SMOKE_DIR, True), spec, ["source_file"], "conv_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
