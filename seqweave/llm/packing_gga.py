@@ -3,20 +3,22 @@
 1. Every document is encoded once; ids plus the end id are cut into pieces of
    at most ``capacity`` tokens (only the first piece of a longer document is
    shorter).  The narrow piece table (id, piece, start, length, crc) is staged.
-2. Full pieces are sequences by themselves.  The others are dealt by hash to
-   islands of about ``island_items`` pieces, so each island sees the same mix
-   of lengths.  An island evolves a small population of packings: a parent
-   passes on whole well-filled bins, the other parent's bins that share an item
-   with them are dissolved, and the displaced items go back best-fit.
-3. Elites migrate: an island sends the length patterns of its well-filled bins
-   to the next island of the ring, which may realise them with pieces of its
-   own (pieces of equal length are interchangeable); then it evolves again.
-4. The emptiest bins of ``fan_in`` islands, at most ``spill_items`` pieces from
-   each, meet in one parent island and are packed together, level by level up
-   to one island, so partly filled bins do not remain in every island.
-
-An island is one task's group and is bounded: by the size of hash buckets of
-``island_items`` expected pieces below, by ``fan_in * spill_items`` above.
+2. Pieces of equal length are interchangeable, so a packing of the whole table is a list of patterns (the
+   lengths in a bin) with the number of bins that have each: it is as large as the variety of lengths, at most
+   ``capacity``, whatever the table's size.  The search works on such packings.
+3. Islands, a task each, evolve a population of packings of the whole table, all of it fitted: the first by
+   best-fit decreasing, the others in disturbed orders.  A child takes whole well-filled bins of one parent, then the bins of
+   the other parent as far as their pieces are left, and the displaced pieces go back best-fit, the
+   longest first.  After each epoch an island's best packing migrates to the next island of the ring.
+4. The best packing of all islands is carried out: a piece's number among the pieces of its length picks
+   the bin and the offset by arithmetic.
+
+As best-fit decreasing is in every first population and the best packing is never lost, the result has at most as many
+bins as best-fit decreasing of the whole table, however the table is partitioned.
+
+Defined cases: NULL text is empty (one piece, the end id); rows with equal ids or equal rows are packed one by one; which
+of several pieces of equal length goes where depends on their order in the table, the number of bins does not.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqweave.llm.bpe import PRE_TOKEN, encode, encoding
@@ -76,222 +78,243 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024,
     return src.mapInArrow(run, f"_id {kind}, _row long, piece int, start long, length long, ids_crc32 long")
 
 
-# ------------------------------------------------------------------ one island
-class Packing:
-    """Bins of item indices; best fit through a bit mask of the free spaces that occur."""
-
-    def __init__(self, sizes: list[int], capacity: int):
-        self.sizes, self.capacity = sizes, capacity
-        self.bins: list[list[int]] = []
-        self.free: list[int] = []
+# ------------------------------------------------------------------ packings of a histogram
+Pattern = tuple[int, ...]  # the lengths in a bin, longest first
+WELL_FILLED = 0.985  # share of the capacity
 
-    def add_bin(self, items: list[int]) -> None:
-        self.bins.append(items)
-        self.free.append(self.capacity - sum(self.sizes[i] for i in items))
 
-    def best_fit(self, items: list[int]) -> None:
-        """Each item, in the order given, into the fullest bin that still takes it."""
-        sizes = self.sizes
-        at: list[list[int]] = [[] for _ in range(self.capacity + 1)]
+class Packing:
+    """Bins by pattern: ``bins[pattern]`` of them hold the lengths of the pattern."""
+
+    def __init__(self, capacity: int, bins: dict[Pattern, int] | None = None):
+        self.capacity = capacity
+        self.bins = dict(bins or {})
+
+    def __len__(self) -> int:
+        return sum(self.bins.values())
+
+    def fitness(self) -> tuple[int, int]:
+        """Fewer bins first, then fuller ones (sum of squared fills)."""
+        return -len(self), sum(n * sum(p) ** 2 for p, n in self.bins.items())
+
+    def lengths(self) -> dict[int, int]:
+        """Pieces of each length."""
+        out: dict[int, int] = {}
+        for p, n in self.bins.items():
+            for s in p:
+                out[s] = out.get(s, 0) + n
+        return out
+
+    def best_fit(self, order: list[tuple[int, int]]) -> Packing:
+        """Put ``n`` pieces of length ``s`` for each (s, n) of ``order``, each piece into the fullest bin that takes it."""
+        at: list[list[list]] = [[] for _ in range(self.capacity + 1)]  # by free space: [pattern, bins]
         mask = 0
-        for b, f in enumerate(self.free):
-            at[f].append(b)
-            mask |= 1 << f
-        for i in items:
-            s = sizes[i]
-            fits = mask >> s
-            if fits:
-                f = s + (fits & -fits).bit_length() - 1
-                b = at[f].pop()
-                if not at[f]:
-                    mask ^= 1 << f
-                self.bins[b].append(i)
-            else:
-                b, f = len(self.bins), self.capacity
-                self.bins.append([i])
-                self.free.append(f)
-            f -= s
-            self.free[b] = f
-            at[f].append(b)
-            mask |= 1 << f
-
-    def fitness(self) -> tuple[int, float]:
-        """Fewer bins first, then fuller ones (mean squared fill)."""
-        c = self.capacity
-        return -len(self.bins), sum((c - f) ** 2 for f in self.free) / max(1, len(self.bins))
-
-    def copy_of(self, keep: list[int]) -> Packing:
-        p = Packing(self.sizes, self.capacity)
-        p.bins = [list(self.bins[b]) for b in keep]
-        p.free = [self.free[b] for b in keep]
-        return p
+        for p in sorted(self.bins):
+            free = self.capacity - sum(p)
+            at[free].append([p, self.bins[p]])
+            mask |= 1 << free
+
+        def put(p: Pattern, times: int, bins: int, s: int) -> None:
+            nonlocal mask
+            new = tuple(sorted((*p, *[s] * times), reverse=True))
+            free = self.capacity - sum(new)
+            at[free].append([new, bins])
+            mask |= 1 << free
+
+        for s, n in order:
+            while n:
+                fits = mask >> s
+                free = s + (fits & -fits).bit_length() - 1 if fits else self.capacity
+                # a bin that has taken one piece is the fullest for the next, as long as it takes it
+                each = free // s
+                group = at[free][-1] if fits else [(), -(-n // each)]
+                full = min(group[1], n // each)
+                if full:
+                    put(group[0], each, full, s)
+                rest, n = min(n - full * each, each - 1) if full < group[1] else 0, n - full * each
+                if rest:
+                    put(group[0], rest, 1, s)
+                    n -= rest
+                group[1] -= full + (rest > 0)
+                if fits and not group[1]:
+                    at[free].remove(group)
+                    if not at[free]:
+                        mask &= ~(1 << free)
+        self.bins = {}
+        for groups in at:
+            for p, bins in groups:
+                if p and bins:
+                    self.bins[p] = self.bins.get(p, 0) + bins
+        return self
+
+
+def best_fit_decreasing(lengths: dict[int, int], capacity: int) -> Packing:
+    return Packing(capacity).best_fit(sorted(lengths.items(), reverse=True))
+
+
+def least_bins(lengths: dict[int, int], capacity: int) -> int:
+    """A lower bound: by tokens, and with the pieces that can share no bin counted whole."""
+    total = sum(s * n for s, n in lengths.items())
+    best = -(-total // capacity)
+    for k in sorted({s for s in lengths if 2 * s <= capacity} | {1}):
+        # pieces above capacity - k are alone among pieces of k or more; those above half are one a bin
+        alone = sum(n for s, n in lengths.items() if s > capacity - k)
+        half = {s: n for s, n in lengths.items() if capacity // 2 < s <= capacity - k}
+        small = sum(s * n for s, n in lengths.items() if k <= s <= capacity // 2)
+        space = sum(n * (capacity - s) for s, n in half.items())
+        best = max(best, alone + sum(half.values()) + max(0, -(-(small - space) // capacity)))
+    return best
 
 
 def crossover(a: Packing, b: Packing, rng: random.Random) -> Packing:
     """Child of ``b`` with whole well-filled bins of ``a`` injected."""
-    good = sorted(range(len(a.bins)), key=lambda k: (a.free[k], rng.random()))
-    inject = [k for k in good[:max(1, len(good) // 2)] if rng.random() < 0.6]
-    child = a.copy_of(inject)
-    taken = {i for k in inject for i in a.bins[k]}
-    displaced = []
-    for items, free in zip(b.bins, b.free, strict=True):
-        if taken.isdisjoint(items):
-            child.bins.append(list(items))
-            child.free.append(free)
-        else:
-            displaced += [i for i in items if i not in taken]
-    displaced.sort(key=lambda i: -a.sizes[i])
-    child.best_fit(displaced)
-    return child
-
-
-def from_patterns(sizes: list[int], capacity: int, patterns: list[list[int]]) -> Packing:
-    """A packing that realises migrant bins with own items of the same lengths, the rest best-fit."""
-    have: dict[int, list[int]] = {}
-    for i, s in enumerate(sizes):
-        have.setdefault(s, []).append(i)
-    p = Packing(sizes, capacity)
-    for pattern in patterns:
+    left = b.lengths()
+    child: dict[Pattern, int] = {}
+
+    def take(p: Pattern, wanted: int) -> None:
+        """As many bins of pattern ``p`` as the pieces left allow."""
         need: dict[int, int] = {}
-        for s in pattern:
+        for s in p:
             need[s] = need.get(s, 0) + 1
-        if all(len(have.get(s, ())) >= n for s, n in need.items()):
-            p.add_bin([have[s].pop() for s in pattern])
-    p.best_fit(sorted((i for items in have.values() for i in items), key=lambda i: -sizes[i]))
-    return p
-
-
-def evolve(sizes: list[int], capacity: int, seed: int, start: list[list[int]] | None = None,
-           patterns: list[list[int]] | None = None, population: int = 4, generations: int = 6) -> Packing:
-    """The best packing found; stops at the lower bound ``ceil(total / capacity)``."""
+        n = min([wanted, *(left.get(s, 0) // m for s, m in need.items())])
+        if n > 0:
+            child[p] = child.get(p, 0) + n
+            for s, m in need.items():
+                left[s] -= n * m
+
+    good = sorted(sorted(a.bins), key=lambda p: (-sum(p), rng.random()))
+    well = [p for p in good if sum(p) >= WELL_FILLED * a.capacity] or good[:max(1, len(good) // 4)]
+    share = rng.choice((0.5, 0.8, 1))
+    for p in well:
+        if rng.random() < share:
+            take(p, a.bins[p])
+    # bins of the other parent that share no piece with those stay whole; half-filled ones are often dissolved too
+    for p in sorted(sorted(b.bins), key=lambda p: (-sum(p), rng.random())):
+        if rng.random() < (0.97 if sum(p) >= WELL_FILLED * b.capacity else 0.6):
+            take(p, b.bins[p])
+    noise = rng.choice((0, 0, 0.1, 0.5))
+    displaced = sorted(((s, n) for s, n in sorted(left.items()) if n), key=lambda x: -x[0] * (1 + noise * rng.random()))
+    return Packing(a.capacity, child).best_fit(displaced)
+
+
+def evolve(lengths: dict[int, int], capacity: int, seed: int, people: list[Packing], population: int = 8,
+           generations: int = 100) -> list[Packing]:
+    """The population after some generations, best first; stops at the lower bound."""
     rng = random.Random(seed)
-    bound = -(-sum(sizes) // capacity)
-    people: list[Packing] = []
-    if start:
-        p = Packing(sizes, capacity)
-        for items in start:
-            p.add_bin(list(items))
-        people.append(p)
-    if patterns:
-        people.append(from_patterns(sizes, capacity, patterns))
-    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
-    noise = 0.0
-    while len(people) < population and not any(len(p.bins) <= bound for p in people):
-        p = Packing(sizes, capacity)
-        p.best_fit(sorted(order, key=lambda i: -sizes[i] * (1 + noise * rng.random())))
-        people.append(p)
-        noise += 0.08
+    lengths = dict(sorted(lengths.items()))  # results do not depend on the order in which rows arrive
+    bound = least_bins(lengths, capacity)
+    people = list(people)
+    if not people:
+        people.append(best_fit_decreasing(lengths, capacity))
+    noise = 0.02
+    while len(people) < population and len(max(people, key=Packing.fitness)) > bound:
+        order = sorted(lengths.items(), key=lambda x: -x[0] * (1 + noise * rng.random()))
+        people.append(Packing(capacity).best_fit(order))
+        noise += 0.03
     for _ in range(generations):
         people.sort(key=Packing.fitness, reverse=True)
-        if len(people[0].bins) <= bound or len(people) < 2:
+        if len(people[0]) <= bound or len(people) < 2:
             break
-        child = crossover(rng.choice(people[:2]), rng.choice(people), rng)
-        if child.fitness() > people[-1].fitness():
+        a, b = rng.choice(people[:3]), rng.choice(people)
+        child = crossover(a, b, rng)
+        if child.fitness() > people[-1].fitness() and all(child.bins != p.bins for p in people):
             people[-1] = child
-    return max(people, key=Packing.fitness)
+    return sorted(people, key=Packing.fitness, reverse=True)[:population]
 
 
 # ------------------------------------------------------------------ islands on Spark
-_STATE = "island long, ring int, kind int, key long, length long, bin int, pattern array<int>"
-_SCHEMA = pa.schema([("island", pa.int64()), ("ring", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("length", pa.int64()),
-                     ("bin", pa.int32()), ("pattern", pa.list_(pa.int32()))])
+_STATE = "island int, person int, pattern array<int>, bins long"
+_SCHEMA = pa.schema([("island", pa.int32()), ("person", pa.int32()), ("pattern", pa.list_(pa.int32())), ("bins", pa.int64())])
 
 
-def _island_step(capacity: int, elites: int):
-    """Group function: an island's item rows (kind 0) and migrant patterns (kind 1) in; its packing and
-    the patterns it sends out."""
+def _island_step(capacity: int, islands: int, epoch: int, population: int, generations: int):
+    """Group function: an island's packings in (or, as person -1, the histogram), its next population and a copy
+    of the best for the next island out."""
     def step(table: pa.Table) -> pa.Table:
         island = table.column("island")[0].as_py()
-        kind = table.column("kind").to_numpy()
-        items = table.filter(pa.array(kind == 0)).sort_by([("key", "ascending"), ("length", "ascending")])
-        patterns = sorted(table.filter(pa.array(kind == 1)).column("pattern").to_pylist())
-        if not items.num_rows:
-            return _SCHEMA.empty_table()
-        sizes = items.column("length").to_pylist()
-        bins = items.column("bin").to_pylist()
-        start: dict[int, list[int]] = {}
-        if None not in bins:
-            for i, b in enumerate(bins):
-                start.setdefault(b, []).append(i)
-        best = evolve(sizes, capacity, island, list(start.values()), patterns)
-        place = np.zeros(len(sizes), np.int32)
-        for b, members in enumerate(best.bins):
-            place[members] = b
-        well = sorted(range(len(best.bins)), key=lambda b: (best.free[b], -len(best.bins[b]), b))[:elites]
-        sent = [sorted((sizes[i] for i in best.bins[b]), reverse=True) for b in well if len(best.bins[b]) > 1]
-        n, m = len(sizes), len(sent)
-        return pa.table([
-            pa.array([island] * (n + m), pa.int64()),
-            pa.array(items.column("ring").to_pylist() + [items.column("ring")[0].as_py()] * m, pa.int32()),
-            pa.array([0] * n + [1] * m, pa.int32()),
-            pa.array(items.column("key").to_pylist() + [None] * m, pa.int64()),
-            pa.array(sizes + [None] * m, pa.int64()),
-            pa.array(place.tolist() + [None] * m, pa.int32()),
-            pa.array([None] * n + sent, pa.list_(pa.int32())),
-        ], schema=_SCHEMA)
+        packings: dict[int, dict[Pattern, int]] = {}
+        for who, p, n in zip(*(table.column(c).to_pylist() for c in ("person", "pattern", "bins")), strict=True):
+            packings.setdefault(who, {})[tuple(p)] = n
+        one = Packing(capacity, next(iter(packings.values())))
+        people = [Packing(capacity, bins) for who, bins in sorted(packings.items()) if who >= 0]
+        people = evolve(one.lengths(), capacity, 1000 * epoch + island, people, population, generations)
+        rows = [(island, k, p, n) for k, x in enumerate(people) for p, n in sorted(x.bins.items())]
+        rows += [((island + 1) % islands, population + island, p, n) for p, n in sorted(people[0].bins.items())]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
     return step
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, island_items: int = 4096, elites: int = 64,
-         epochs: int = 2, fan_in: int = 16, spill_items: int = 256) -> DataFrame:
+def search(lengths: DataFrame, capacity: int, islands: int = 8, epochs: int = 3, population: int = 8,
+           generations: int = 100) -> dict[Pattern, int]:
+    """The best packing found of the histogram ``length, n`` (at most ``capacity`` rows)."""
+    spark = lengths.sparkSession
+    state = lengths.select(F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.lit(-1).alias("person"),
+                           F.array(F.col("length").cast("int")).alias("pattern"), F.col("n").alias("bins"))
+    for epoch in range(epochs):
+        step = _island_step(capacity, islands, epoch, population, generations)
+        state = stage_table(state.groupBy("island").applyInArrow(step, _STATE), f"islands-{epoch}")
+    sizes = state.groupBy("island", "person").agg(F.sum("bins").alias("n")).orderBy("n", "island", "person")
+    best = sizes.first()
+    if best is None:
+        return {}
+    chosen = state.filter((F.col("island") == best["island"]) & (F.col("person") == best["person"]))
+    return {tuple(r["pattern"]): r["bins"] for r in chosen.collect()}  # a row per pattern, bounded by the capacity
+
+
+class Places:
+    """Where the pieces of each length go: runs of piece numbers by pattern."""
+
+    def __init__(self, bins: dict[Pattern, int]):
+        runs: dict[int, list[tuple[int, int, int, int]]] = {}
+        used: dict[int, int] = {}
+        base = 0
+        for p, n in sorted(bins.items(), reverse=True):
+            offset = 0
+            for s in sorted(set(p), reverse=True):
+                m = p.count(s)
+                runs.setdefault(s, []).append((used.get(s, 0), m, base, offset))
+                used[s] = used.get(s, 0) + m * n
+                offset += m * s
+            base += n
+        self.runs = {s: np.array(r, np.int64).T for s, r in runs.items()}
+
+    def of(self, length: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bin, offset) of pieces by length and number among the pieces of that length."""
+        bins, offsets = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
+        for s in np.unique(length).tolist():
+            at = np.flatnonzero(length == s)
+            first, m, base, offset = self.runs[s]
+            k = np.searchsorted(first, number[at], "right") - 1
+            place = number[at] - first[k]
+            bins[at] = base[k] + place // m[k]
+            offsets[at] = offset[k] + place % m[k] * s
+        return bins, offsets
+
+
+def pack(pieces: DataFrame, capacity: int = 1024, **options) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to a piece table (``_id, _row, piece, start, length, ids_crc32``).
 
-    Offsets are gapless from 0 in every sequence.  Repeated rows are packed one by one.
+    Offsets are gapless from 0 in every sequence.  ``options`` go to ``search``.
     """
-    spark = pieces.sparkSession
-    ship_package(spark)
-    # a key of its own for every row, fixed by writing it down (repeated rows differ only in it)
-    part = pieces.withColumn("_key", F.monotonically_increasing_id())
-    part, seen = stage_table(part, "pieces", {"n": F.sum((F.col("length") < capacity).cast("long"))})
-    n = int(seen["n"] or 0)
-    islands = max(1, -(-n // island_items))
-    step = _island_step(capacity, elites)
-    state = part.filter(F.col("length") < capacity).select(
-        F.pmod(F.xxhash64("_key"), F.lit(islands)).alias("island"), F.lit(islands).cast("int").alias("ring"),
-        F.lit(0).alias("kind"), F.col("_key").alias("key"), "length", F.lit(None).cast("int").alias("bin"),
-        F.lit(None).cast("array<int>").alias("pattern"))
-    settled, level = None, 0
-    while True:
-        for epoch in range(epochs if islands > 1 else 1):
-            if epoch:
-                moved = F.when(F.col("kind") == 1, F.pmod(F.col("island") + 1, F.col("ring"))).otherwise(F.col("island"))
-                state = state.withColumn("island", moved)
-            state = stage_table(state.groupBy("island").applyInArrow(step, _STATE), f"islands-{level}-{epoch}")
-        items = state.filter(F.col("kind") == 0)
-        if islands == 1:
-            done = items
-        else:
-            load = items.groupBy("island", "bin").agg(F.sum("length").alias("_fill"), F.count(F.lit(1)).alias("_n"))
-            from pyspark.sql import Window
-
-            emptiest = Window.partitionBy("island").orderBy("_fill", "bin").rowsBetween(Window.unboundedPreceding, 0)
-            up = load.filter(F.col("_fill") < capacity).withColumn("_run", F.sum("_n").over(emptiest)).filter(
-                F.col("_run") <= spill_items).select("island", "bin", F.lit(True).alias("_up"))
-            marked = items.join(up, ["island", "bin"], "left")
-            done = marked.filter(F.col("_up").isNull())
-        done = done.select("key", "length", F.struct(F.lit(level).alias("level"), "island", "bin").alias("_bin"))
-        settled = done if settled is None else settled.unionByName(done)
-        if islands == 1:
-            break
-        islands = -(-islands // fan_in)
-        level += 1
-        state = marked.filter(F.col("_up")).select(
-            F.floor(F.col("island") / fan_in).cast("long").alias("island"), F.lit(islands).cast("int").alias("ring"),
-            "kind", "key", "length", F.lit(None).cast("int").alias("bin"), "pattern")
-    return _number(part, settled, capacity)
-
-
-def _number(part: DataFrame, settled: DataFrame, capacity: int) -> DataFrame:
-    """Sequence ids and offsets: a bin's id is the smallest key of its pieces."""
-    from pyspark.sql import Window
-
-    in_bin = Window.partitionBy("_bin").orderBy(F.col("length").desc(), "key")
-    placed = settled.select(
-        "key", F.min("key").over(Window.partitionBy("_bin")).alias("sequence_id"),
-        (F.sum("length").over(in_bin.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")).alias("offset"))
+    ship_package(pieces.sparkSession)
     cols = ["_id", "_row", "piece", "start", "length", "ids_crc32"]
-    shared = part.filter(F.col("length") < capacity).join(placed, F.col("_key") == F.col("key")).select(
-        *cols, "sequence_id", "offset")
-    own = part.filter(F.col("length") >= capacity).select(
-        *cols, F.col("_key").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return own.unionByName(shared)
+    # rows are numbered by writing task and place
+    part = stage_table(pieces.select(*cols, F.monotonically_increasing_id().alias("_at")), "pieces")
+    part = part.withColumn("_task", F.shiftright("_at", 33))
+    counts = stage_table(part.groupBy("_task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    places = Places(search(counts.groupBy("length").agg(F.sum("n").alias("n")), capacity, **options))
+    # a piece's number: those of its length in earlier tasks, then its place in its own
+    before = Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("_task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    own = Window.partitionBy("_task", "length").orderBy("_at")
+    numbered = part.withColumn("_own", F.row_number().over(own)).join(first, ["_task", "length"]).select(
+        *cols, (F.col("_first") + F.col("_own") - 1).alias("_number"))
+
+    def place(batches):
+        for b in batches:
+            seq, off = places.of(b.column("length").to_numpy(), b.column("_number").to_numpy())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in cols), pa.array(seq), pa.array(off)],
+                                             names=[*cols, "sequence_id", "offset"])
+
+    kinds = ", ".join(f"{c} {t}" for c, t in pieces.select(*cols).dtypes)
+    return numbered.mapInArrow(place, f"{kinds}, sequence_id long, offset long")

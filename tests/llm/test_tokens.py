@@ -1,5 +1,6 @@
 """Token counts under edits and packing, against whole re-encoding by the tokenizers library."""
 
+import bisect
 import random
 import zlib
 
@@ -126,7 +127,7 @@ def test_pack_rows(spark, library):
     rows = [(i, t, "x") for i, t in enumerate([*TEXTS, None])] + [(None, "a b", "x"), (1, " ", "y"), (1, " ", "y")]
     df = spark.createDataFrame(rows, "doc_id long, text string, length string")
     pieces = packing_gga.document_pieces(df, bpe_path(), capacity=64)
-    got = packing_gga.pack(pieces, capacity=64, island_items=4, fan_in=2, spill_items=3).collect()
+    got = packing_gga.pack(pieces, capacity=64, islands=3, epochs=2, generations=10).collect()
     want = []
     for i, t, _ in rows:
         ids = library.encode(t or "", add_special_tokens=False).ids + [2]
@@ -137,25 +138,53 @@ def test_pack_rows(spark, library):
     assert packing_gga.pack(packing_gga.document_pieces(df.limit(0), bpe_path())).count() == 0
 
 
+def _plain_best_fit_decreasing(sizes, capacity):
+    free = []
+    for s in sorted(sizes, reverse=True):
+        at = bisect.bisect_left(free, s)
+        bisect.insort(free, (free.pop(at) if at < len(free) else capacity) - s)
+    return len(free)
+
+
+def _pieces(spark, sizes):
+    return spark.createDataFrame([(i, 0, 0, 0, n, 0) for i, n in enumerate(sizes)],
+                                 "_id long, _row long, piece int, start long, length long, ids_crc32 long")
+
+
 def test_packing_is_tight(spark):
     rng = random.Random(5)
     sizes = [rng.randint(1, 99) for _ in range(3000)]
-    df = spark.createDataFrame([(i, 0, 0, 0, n, 0) for i, n in enumerate(sizes)],
-                               "_id long, _row long, piece int, start long, length long, ids_crc32 long")
-    got = packing_gga.pack(df, capacity=100, island_items=300).collect()
-    assert sorted(r._id for r in got) == list(range(3000))
-    bins = _check_packing(got, 100)
-    assert bins <= 1.02 * max(-(-sum(sizes) // 100), sum(n > 50 for n in sizes))
+    for parts in (1, 2, 8):
+        got = packing_gga.pack(_pieces(spark, sizes).repartition(parts), capacity=100).collect()
+        assert sorted(r._id for r in got) == list(range(3000))
+        bins = _check_packing(got, 100)
+        assert bins <= 1.02 * max(-(-sum(sizes) // 100), sum(n > 50 for n in sizes))
+        assert bins <= _plain_best_fit_decreasing(sizes, 100)
+
+
+def test_genetic_steps_save_bins_on_hard_mixes(spark):
+    rng = random.Random(7)
+    for low, high in ((200, 500), (257, 400)):
+        sizes = [rng.randint(low, high) for _ in range(2000)]
+        got = [_check_packing(packing_gga.pack(_pieces(spark, sizes).repartition(p), 1024).collect(), 1024) for p in (1, 5)]
+        assert got[0] == got[1] < 0.99 * _plain_best_fit_decreasing(sizes, 1024)
 
 
-def test_crossover_keeps_items():
+def test_packings_by_pattern():
     rng = random.Random(1)
-    sizes = [rng.randint(1, 60) for _ in range(200)]
-    a, b = packing_gga.Packing(sizes, 100), packing_gga.Packing(sizes, 100)
-    a.best_fit(sorted(range(200), key=lambda i: -sizes[i]))
-    b.best_fit(list(range(200)))
-    child = packing_gga.crossover(a, b, rng)
-    assert sorted(i for x in child.bins for i in x) == list(range(200))
-    assert all(sum(sizes[i] for i in x) + f == 100 for x, f in zip(child.bins, child.free))
-    migrant = packing_gga.from_patterns(sizes, 100, [[60, 40], [50, 50], [sizes[0]]])
-    assert sorted(i for x in migrant.bins for i in x) == list(range(200))
+    for trial in range(60):
+        capacity = rng.choice([7, 60, 100])
+        sizes = [rng.randint(1, capacity) for _ in range(rng.choice([1, 9, 200, 900]))]
+        lengths = {s: sizes.count(s) for s in sizes}
+        best = packing_gga.best_fit_decreasing(lengths, capacity)
+        assert len(best) == _plain_best_fit_decreasing(sizes, capacity) >= packing_gga.least_bins(lengths, capacity)
+        other = packing_gga.Packing(capacity).best_fit(sorted(lengths.items(), key=lambda x: rng.random()))
+        for p in (best, other, packing_gga.crossover(best, other, rng), packing_gga.crossover(other, best, rng),
+                  packing_gga.evolve(lengths, capacity, trial, [best, other], generations=5)[0]):
+            assert p.lengths() == lengths and all(sum(x) <= capacity for x in p.bins)
+        bins, offsets = packing_gga.Places(best.bins).of(np.array(sizes), np.array([sizes[:i].count(s) for i, s in enumerate(sizes)]))
+        fill = {}
+        for b, o, s in sorted(zip(bins.tolist(), offsets.tolist(), sizes)):
+            assert fill.get(b, 0) == o
+            fill[b] = o + s
+        assert len(fill) == len(best) and max(fill.values()) <= capacity
