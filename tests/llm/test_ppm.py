@@ -25,11 +25,12 @@ def _rows():
 SCHEMA = "doc_id long, text string, train boolean, score string"
 
 
-@pytest.mark.parametrize("block_bytes", [200, 10_000_000])
-def test_scores(spark, block_bytes):
+@pytest.mark.parametrize("block_bytes, slice_chars", [(200, 1_000_000), (10_000_000, 1_000_000), (1000, 7)])
+def test_scores(spark, block_bytes, slice_chars):
     rows = _rows()
     df = spark.createDataFrame(rows, SCHEMA)
-    got = ppm.score_texts(df, F.col("train"), order=ORDER, block_bytes=block_bytes).collect()
+    got = ppm.score_texts(df, F.col("train"), order=ORDER, block_bytes=block_bytes, bucket_bytes=300,
+                          slice_chars=slice_chars).collect()
     train = [t or "" for _, t, use, _ in rows if use]
     contexts = ref.train(train, ORDER)
     counts = Counter()
@@ -75,3 +76,21 @@ def test_probabilities_sum_to_one(spark):
     prefix = (ord("a") << 8) | ord("b")
     total = sum(10**r.bits10 for r in lengths.filter(F.shiftright("gram", 8) == prefix).collect())
     assert total == pytest.approx(1.0)
+
+
+def test_block_size_and_long_texts_do_not_change_scores(spark):
+    """Blocks of 1 MB and 32 MB; a text far above a block, one long word, and many short texts."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(500)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=200)), i % 5 != 1) for i in range(300)]
+    rows += [(1000, " ".join(rng.choices(vocabulary, k=500_000)), True), (1001, "Wx" * 1_200_000, True), (1002, "wx" * 1_200_000, False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3)
+    got = []
+    for block, size in ((1_000_000, 1_000_000), (32_000_000, 1_000_000), (32_000_000, 50_000_000)):
+        scored = ppm.score_texts(df, F.col("train"), block_bytes=block, slice_chars=size)
+        got.append(sorted((r._id, r.n_tokens, r.n_known, round(r.base_score, 4), round(r.score, 3)) for r in scored.collect()))
+    assert got[0] == got[1]
+    long = {r[0]: r for r in got[0]}
+    assert long[1002][1:3] == (2, 2)
+    for a, b in zip(got[0], got[2], strict=True):  # another size of slice names very long words otherwise
+        assert a == pytest.approx(b, rel=1e-9)
