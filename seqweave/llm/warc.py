@@ -240,7 +240,8 @@ class _Ahead:
             if not len(piece):
                 raise zlib.error("member ends early")
             out = packer.decompress(piece, STEP)
-            at += len(piece) - len(packer.unconsumed_tail) - len(packer.unused_data)
+            # (at the end of a member both can hold the same bytes)
+            at += len(piece) - len(packer.unused_data if packer.eof else packer.unconsumed_tail)
             yield out, at
 
 

@@ -85,6 +85,18 @@ def test_payload_that_is_an_archive_is_one_record():
         assert [r[3] for r in got] == ["10", "11"] and got[0][-1] == inner
 
 
+def test_well_packed_records_in_a_row():
+    """Heads and bodies that unpack to more than one step, with other members behind them."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdef", k=5)) for _ in range(40)]
+    payloads = [" ".join(rng.choices(words, k=n)).encode() for n in (9_000, 11_000, 12_000, 30_000, 1, 0, 200_000, 50)]
+    rows = [{"id": i, "url": "u", "payload": p, "sha1": hashlib.sha1(p).digest(), "size": len(p), "revisit": False,
+             "refers_to": None} for i, p in enumerate(payloads)]
+    data = b"".join(b"".join(warc.member(warc.record_parts(r, "d", "m"))) for r in rows)
+    for split in (5000, len(data)):
+        assert [r[-1] for r in _records(data, split)] == payloads
+
+
 def test_other_members_and_broken_records():
     good = b"".join(warc.member([warc._head("metadata", 3, "d", []), b"abc", b"\r\n\r\n"]))
     data = gzip.compress(b"not a record") + good + b"junk \x1f\x8b\x08 junk" + good
