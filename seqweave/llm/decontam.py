@@ -10,7 +10,7 @@ verified by comparing the words themselves, then the hit windows of a document
 are merged into hit words.
 
 The hash set is broadcast while it has at most ``broadcast_windows`` rows
-(counted first); a larger benchmark is joined by shuffle on the window hash.
+(counted first); a larger benchmark is joined by shuffle on the salted window hash.
 
 Only DataFrame functions are used.
 """
@@ -25,6 +25,8 @@ from seqweave.plans.stage import stage_table
 
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # fixed value: what separates words, after lower-casing
 
+SALTS = 16
+
 
 def words(text: Column) -> Column:
     """The text's words in order (empty for NULL)."""
@@ -66,25 +68,37 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_
     src = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_key"),
                       words(F.col(text_col)).alias("_w"))
     src = src.withColumn("n_words", F.size("_w"))
+    if count > broadcast_windows:
+        return _scan_by_shuffle(src, grams, lens)
     # one row per window start and window length; start 0 stands for the document itself
-    at = None
-    if len(lens) > 1:
-        at = F.flatten(F.array(F.array(_start(F.lit(0), 0)), *[_starts(k) for k in lens]))
-    if at is None:
-        k = lens[0] if lens else 1 << 30
-        starts = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("n_words") - (k - 1)))).alias("_at")
-        rows = src.select("_id", "_key", "n_words", "_w", starts).withColumn("_l", F.lit(k))
-    else:
-        rows = src.select("_id", "_key", "n_words", "_w", F.explode(at).alias("_s")).select(
-            "_id", "_key", "n_words", "_w", F.col("_s.at").alias("_at"), F.col("_s.l").alias("_l"))
-    window = F.slice("_w", F.greatest(F.col("_at"), F.lit(1)), F.col("_l"))
-    rows = rows.withColumn("_h", F.when(F.col("_at") > 0, F.xxhash64(window)))
-    side = F.broadcast(grams) if count <= broadcast_windows else grams
-    found = rows.join(side, F.col("_h") == F.col("_whash"), "left")
+    rows = _window_rows(src, lens, True).withColumn("_h", F.when(F.col("_at") > 0, F.xxhash64(_window())))
+    found = rows.join(F.broadcast(grams), F.col("_h") == F.col("_whash"), "left")
     # verification, for hash hits only: the words themselves must agree
-    same = (F.col("_l") == F.col("_len")) & (F.array_join(window, " ") == F.col("_window"))
+    same = (F.col("_l") == F.col("_len")) & (F.array_join(_window(), " ") == F.col("_window"))
     found = found.filter((F.col("_at") == 0) | (F.col("_whash").isNotNull() & same))
-    hit = F.when(F.col("_whash").isNotNull(), F.struct(F.col("_at").alias("at"), F.col("_len").alias("l")))
+    return _per_document(found, F.col("_whash").isNotNull())
+
+
+def _window() -> Column:
+    return F.slice("_w", F.greatest(F.col("_at"), F.lit(1)), F.col("_l"))
+
+
+def _window_rows(src: DataFrame, lens: list[int], marker: bool) -> DataFrame:
+    """``_id, _key, n_words, _w, _at, _l``; with ``marker`` one row more per document, at 0."""
+    own = ["_id", "_key", "n_words", "_w"]
+    if len(lens) > 1:
+        first = [F.array(_start(F.lit(0), 0))] if marker else []
+        each = src.select(*own, F.explode(F.flatten(F.array(*first, *[_starts(k) for k in lens]))).alias("_s"))
+        return each.select(*own, F.col("_s.at").alias("_at"), F.col("_s.l").alias("_l"))
+    k = lens[0] if lens else 1 << 30
+    last = F.col("n_words") - (k - 1)
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), last)) if marker else F.when(
+        last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return src.select(*own, F.explode(starts).alias("_at")).withColumn("_l", F.lit(k))
+
+
+def _per_document(found: DataFrame, is_hit: Column) -> DataFrame:
+    hit = F.when(is_hit, F.struct(F.col("_at").alias("at"), F.col("_len").alias("l")))
     out = found.groupBy("_id", "_key").agg(
         F.max("n_words").alias("n_words"), F.sort_array(F.collect_set(hit)).alias("_h"),
         F.flatten(F.collect_set("_items")).alias("_i"))
@@ -93,6 +107,31 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_
                       F.sort_array(F.array_distinct("_i")).alias("_items"))
 
 
+def _scan_by_shuffle(src: DataFrame, grams: DataFrame, lens: list[int]) -> DataFrame:
+    """For a benchmark beyond the broadcast limit: only hashes and places of windows are shuffled; words go along for
+    documents with hash hits alone.  The hashes are dealt ``SALTS`` times, so a window that a third of all
+    documents hold is shared by that many tasks."""
+    salt = F.pmod(F.xxhash64("_id", "_key", "_at"), F.lit(SALTS))
+    narrow = _window_rows(src, lens, False).select("_id", "_key", "_at", "_l", F.xxhash64(_window()).alias("_h"), salt.alias("_salt"))
+    hashes = grams.select(F.col("_whash").alias("_h")).distinct().withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    hits = narrow.join(hashes, ["_h", "_salt"]).groupBy("_id", "_key").agg(
+        F.collect_set(F.struct("_at", "_l")).alias("_s"))
+    hits = hits.select(F.col("_id").alias("_hid"), F.col("_key").alias("_hkey"), "_s")
+    here = F.col("_id").eqNullSafe(F.col("_hid")) & (F.col("_key") == F.col("_hkey"))
+    words_of = src.join(hits, here).select("_id", "_key", "n_words", "_w", F.explode("_s").alias("_s"))
+    texts = words_of.select("_id", "_key", "n_words", "_w", "_s._at", "_s._l").select(
+        "_id", "_key", "n_words", "_at", F.array_join(_window(), " ").alias("_window"), F.xxhash64(_window()).alias("_whash"))
+    texts = texts.withColumn("_salt", F.pmod(F.xxhash64("_id", "_key", "_at"), F.lit(SALTS)))
+    dealt = grams.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    found = _per_document(texts.join(dealt, ["_whash", "_window", "_salt"]), F.lit(True)).drop("n_words")
+    found = found.withColumnsRenamed({"_id": "_fid", "_key": "_fkey"})
+    every = src.select("_id", "_key", "n_words").distinct()
+    both = every.join(found, F.col("_id").eqNullSafe(F.col("_fid")) & (F.col("_key") == F.col("_fkey")), "left")
+    return both.select("_id", "_key", "n_words", F.coalesce("_hits", F.array().cast("array<int>")).alias("_hits"),
+                       F.coalesce("_items", F.array().cast("array<string>")).alias("_items"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id",
                   text_col: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: ``_doc`` (its columns as a struct), ``_id, _text, n_words, _hits, _items``."""

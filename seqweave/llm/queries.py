@@ -105,7 +105,7 @@ def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = F.coalesce("_new", F.lit(""))
     return marked.select(F.col("_id").alias("doc_id"), F.col("n_lines").cast("long").alias("n_lines"),
                          F.col("n_boilerplate").cast("long").alias("n_boilerplate"),
-                         F.col("n_removed").cast("long").alias("n_removed"),
+                         F.col("n_boilerplate").cast("long").alias("n_removed"),
                          F.char_length(new).cast("long").alias("kept_chars"), sha256(new).alias("kept_sha256"))
 
 
@@ -162,24 +162,20 @@ QUERIES = {f.__name__: f for f in (
 ORACLE_SQL = {
     "op7_line_spread": """
 WITH line AS (
-  SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+  SELECT doc_id, source, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS no
   FROM documents),
 spread AS (
   SELECT trim(line) AS t FROM line WHERE trim(line) <> ''
-  GROUP BY 1 HAVING count(DISTINCT coalesce(source, chr(0))) >= 10),
+  GROUP BY 1 HAVING count(DISTINCT coalesce(source, chr(0))) >= 10 AND count(DISTINCT text) >= 10),
 marked AS (
   SELECT l.doc_id, l.no, l.line, s.t IS NOT NULL AS hit FROM line l LEFT JOIN spread s ON trim(l.line) = s.t),
 per_doc AS (
-  SELECT m.doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_boilerplate,
-         coalesce(sum(length(line)) FILTER (hit), 0) AS cut,
-         coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT hit), '') AS rest
-  FROM marked m GROUP BY 1)
-SELECT p.doc_id, n_lines, n_boilerplate, CASE WHEN ok THEN n_boilerplate ELSE 0 END AS n_removed,
-       length(kept) AS kept_chars, sha256(kept) AS kept_sha256
-FROM (SELECT *, ok AS _ok, CASE WHEN ok THEN rest ELSE text END AS kept FROM (
-  SELECT p.*, coalesce(d.text, '') AS text, n_boilerplate > 0 AND cut <= 0.5 * length(coalesce(d.text, '')) AS ok
-  FROM per_doc p JOIN documents d USING (doc_id))) p""",
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_boilerplate,
+         coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT hit), '') AS kept
+  FROM marked GROUP BY 1)
+SELECT doc_id, n_lines, n_boilerplate, n_boilerplate AS n_removed, length(kept) AS kept_chars, sha256(kept) AS kept_sha256
+FROM per_doc""",
     "op4_decontamination": r"""
 WITH doc AS (
   SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

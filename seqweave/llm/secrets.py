@@ -2,7 +2,8 @@
 
 Base rules find assignments, access keys and long hexadecimal runs (see ``RULES``).  Every matched
 value is also a candidate, and so is every long token that mixes letters and digits, wherever it
-stands.  Candidate hashes are aggregated over the whole corpus by owner and repository:
+stands.  A shorter token, or one with dots in it, is a candidate if a base rule matches its value somewhere
+in the corpus.  Candidate hashes are aggregated over the whole corpus by owner and repository:
 
 * a value that ``example_owners`` or more owners hold is a widely copied example;
 * a value that one owner holds in at most ``max_repos`` repositories and that looks live (letters,
@@ -14,7 +15,7 @@ character that the text does not hold: its own U+FFFF are read as U+FFFE, which
 the text is split there, and a running sum of the pieces' lengths gives the offsets.
 
 Only DataFrame functions are used.  Counting is two-level (value and owner first), so a value held
-by a third of all rows is reduced before it meets in one task.
+by a third of all rows is reduced before it meets in one task, and the counts of such values are broadcast back.
 """
 
 from __future__ import annotations
@@ -22,12 +23,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqweave.llm.common import join_heads
+
 MARK, OTHER = "￿", "￾"
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+# what an assignment may hold, from its least length on; dots at the end belong to the sentence
+SHORT = r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{11,}[A-Za-z0-9+/_=-]"
 # fixed values: kind, pattern, group whose length counts, least length; in the order that breaks ties
 RULES = [("assign", ASSIGN, 1, 12), ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]+", 0, 16)]
 KINDS = [k for k, *_ in RULES] + ["owned"]
+NEEDS_BASE = len(KINDS)
 
 
 def _quick(kind: str, pattern: str, least: int) -> str:
@@ -51,7 +57,7 @@ def _pieces(text: Column, kind: int, pattern: str) -> Column:
 def candidates(docs: DataFrame, owner_col: str = "source", repo_col: str = "doc_id", id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """One row per passing match and per bare token: ``_row, _id, _key, _owner, _repo, kind`` (index in
-    ``KINDS``), ``start, end, _value`` (the value's hash) and ``_live`` (whether it looks live)."""
+    ``KINDS``; one more for a token that needs a base match elsewhere), ``start, end, _value`` (the value's hash) and ``_live`` (whether it looks live)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     src = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_key"),
                       F.xxhash64(F.col(owner_col).cast("string")).alias("_owner"),
@@ -60,7 +66,7 @@ def candidates(docs: DataFrame, owner_col: str = "source", repo_col: str = "doc_
     # the row number tells repeated rows apart; it stays within this one pass over the table
     rows = src.select(F.monotonically_increasing_id().alias("_row"), "*")
     kinds = [(k, _quick(name, pattern, least)) for k, (name, pattern, _, least) in enumerate(RULES)]
-    cut = F.concat(*[_pieces(F.col("_text"), k, p) for k, p in [*kinds, (len(RULES), TOKEN)]])
+    cut = F.concat(*[_pieces(F.col("_text"), k, p) for k, p in [*kinds, (len(RULES), TOKEN), (NEEDS_BASE, SHORT)]])
     keys = ["_row", "_id", "_key", "_owner", "_repo"]
     each = rows.select(*keys, F.explode(cut).alias("_p")).select(*keys, "_p.kind", "_p.no", "_p.len", "_p.value")
     before = Window.partitionBy("_row", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,18 +76,25 @@ def candidates(docs: DataFrame, owner_col: str = "source", repo_col: str = "doc_
     value = F.when(F.col("kind") == 0, F.regexp_extract("value", ASSIGN, 1)).otherwise(F.col("value"))
     long = F.lit(True)
     for k, (_, _, _, least) in enumerate(RULES):
-        long = F.when(F.col("kind") == k, F.char_length("_v") >= least).otherwise(long)
-    found = found.withColumn("_v", value).filter(long)
+        long = F.when(F.col("kind") == k, F.char_length(value) >= least).otherwise(long)
+    # a token of the long kind is not a candidate twice
+    twice = (F.col("kind") == NEEDS_BASE) & (F.char_length("_v") >= 20) & ~F.contains(F.col("_v"), F.lit("."))
+    found = found.withColumn("_v", F.regexp_replace(value, r"\.+$", "")).filter(long & ~twice)
     live = (F.col("_v").rlike("[0-9]") & F.col("_v").rlike("[A-Za-z]")
             & (F.size(F.array_distinct(F.split("_v", ""))) >= 10))
     return found.select(*keys, "kind", "start", "end", F.xxhash64("_v").alias("_value"), live.alias("_live"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """``_value, n_owners, n_repos`` over the whole corpus, counted two-level."""
-    pairs = found.groupBy("_value", "_owner", "_repo").agg(F.count(F.lit(1)).alias("_n"))
-    owners = pairs.groupBy("_value", "_owner").agg(F.count(F.lit(1)).alias("_repos"))
-    return owners.groupBy("_value").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("_repos").alias("n_repos"))
+    """``_value, n_owners, n_repos`` and ``_n`` (rows) over the whole corpus, counted two-level; values that stand
+    only where a base match is needed, and have none, are left out."""
+    settled = F.max(F.col("kind") != NEEDS_BASE).alias("_settled")
+    pairs = found.groupBy("_value", "_owner", "_repo").agg(F.count(F.lit(1)).alias("_n"), settled)
+    owners = pairs.groupBy("_value", "_owner").agg(F.count(F.lit(1)).alias("_repos"), F.sum("_n").alias("_n"),
+                                                   F.max("_settled").alias("_settled"))
+    values = owners.groupBy("_value").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("_repos").alias("n_repos"),
+                                          F.sum("_n").alias("_n"), F.max("_settled").alias("_settled"))
+    return values.filter("_settled").drop("_settled")
 
 
 def scan(docs: DataFrame, owner_col: str = "source", repo_col: str = "doc_id", id_col: str = "doc_id",
@@ -93,10 +106,12 @@ def scan(docs: DataFrame, owner_col: str = "source", repo_col: str = "doc_id", i
     """
     from seqweave.plans.stage import stage_table
 
-    found = stage_table(candidates(docs, owner_col, repo_col, id_col, text_col), "secrets")
+    found, seen = stage_table(candidates(docs, owner_col, repo_col, id_col, text_col), "secrets", {"n": F.count(F.lit(1))})
     label = F.when(F.col("n_owners") >= example_owners, "example").when(
         (F.col("n_owners") == 1) & (F.col("n_repos") <= max_repos) & F.col("_live"), "owner").otherwise("unclear")
-    judged = found.join(ownership(found), "_value").withColumn("label", label)
+    values = stage_table(ownership(found), "owners")
+    judged = join_heads(found, values, "_value", int(seen["n"] or 0)).withColumn("label", label)
+    judged = judged.withColumn("kind", F.least("kind", F.lit(len(RULES))))
     base = F.col("kind") < len(RULES)
     inside = Window.partitionBy("_row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy("_row").orderBy(F.col("start").desc(), F.col("kind").desc()).rowsBetween(

@@ -76,24 +76,32 @@ def test_boilerplate_lines(spark):
              None if i % 9 == 0 else "site%d" % (i % 7)) for i in range(80)]
     rows += [(200, None, "site1"), (201, "", "site2"), (202, "\n\n", "site3"), (3, rows[3][1], "site3"),
              (204, "menu\nmenu\nlong own line that is most of the text", "site1"), (None, "menu\nlong own line again", "x")]
-    for sites, share in ((5, 0.5), (9, 1.0), (8, 0.9), (1, 0.6)):
-        spread = defaultdict(set)
+    for sites, texts, limit in ((5, 1, 200_000), (9, 20, 200_000), (8, 30, 0), (1, 2, 0), (7, 60, 0)):
+        spread, held = defaultdict(set), defaultdict(set)
         for _, t, s in rows:
             for line in (t or "").split("\n"):
                 spread[line.strip(" ")].add(s)
-        bad = {k for k, v in spread.items() if k and len(v) >= sites}
-        want = []
-        for i, t, _ in rows:
-            lines = (t or "").split("\n")
-            hit = [x for x in lines if x.strip(" ") in bad]
-            drop = hit and sum(map(len, hit)) <= share * len(t)
-            want.append((str(i), "\n".join(x for x in lines if not drop or x not in hit) if drop else t))
-        got = line_spread.remove_boilerplate(frame(spark, rows), min_sites=sites, max_share=share)
+                held[line.strip(" ")].add(t)
+        bad = {k for k, v in spread.items() if k and len(v) >= sites and len(held[k]) >= texts}
+        want = [(str(i), "\n".join(x for x in (t or "").split("\n") if x.strip(" ") not in bad)) for i, t, _ in rows]
+        got = line_spread.remove_boilerplate(frame(spark, rows), min_sites=sites, min_texts=texts, broadcast_lines=limit)
         assert got.columns == frame(spark, rows).columns
-        assert sorted((str(r.doc_id), r.text or "") for r in got.collect()) == sorted((i, t or "") for i, t in want)
+        assert sorted((str(r.doc_id), r.text or "") for r in got.collect()) == sorted(want)
     assert line_spread.remove_boilerplate(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_a_line_on_a_third_of_all_rows(spark):
+    """Heavy keys are broadcast, their rows stay in place: the same result without Spark's own broadcasts."""
+    rows = [(i, f"own {i}\nmenu\n" + ("menu\n" * 3 if i % 2 else "") + f"pair {i // 2}", f"site{i % 40}") for i in range(1500)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.doc_id: r.text for r in line_spread.remove_boilerplate(frame(spark, rows), broadcast_lines=0).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {i: f"own {i}\npair {i // 2}" for i, _, _ in rows}
+
+
 def test_pipeline_removes_boilerplate_of_any_share(spark):
     rows = [(i, f"all rights reserved\nown {i}", f"site{i}") for i in range(12)]
     rows += [(50 + i, "one text\non many sites", f"site{i}") for i in range(12)]
@@ -226,8 +234,16 @@ def _bench_rows():
     return rows + [(100, None, "s"), (101, "", "s"), (102, "...", "s"), (0, rows[0][1], "s"), (None, rows[3][1], "s")], items
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("limit", [500_000, 0])
-def test_decontamination(spark, limit):
+def test_decontamination(spark, limit, no_broadcast):
     rows, items = _bench_rows()
     windows = defaultdict(set)
     for i, t in items:

@@ -57,6 +57,24 @@ def test_secret_spans(spark):
     assert not any(kind == "owned" for kind, _ in spans["10"])
 
 
+def test_short_and_dotted_credentials(spark):
+    """Bare tokens of 12 to 19 characters, or with dots, are owned only where a base rule matches their value."""
+    rows = [(1, "password=Ab1Cd2Ef3Gh4.", "a"), (2, "see Ab1Cd2Ef3Gh4. There", "a"), (3, "secret: x9.Yz8.Wv7.Ut6", "b"),
+            (4, "(x9.Yz8.Wv7.Ut6)", "b"), (5, "Qw1Er2Ty3Ui4 unconfirmed", "a"), (6, "www.example1.com/path", "c"),
+            *[(10 + i, "token=Zz1Yy2Xx3Ww4 Zz1Yy2Xx3Ww4", f"s{i}") for i in range(4)]]
+    got = {r._id: [(secrets.KINDS[s.kind], s.start, s.end, s.label) for s in r.spans] for r in secrets.scan(frame(spark, rows)).collect()}
+    assert got[1] == [("assign", 0, 22, "owner")] and got[2] == [("owned", 4, 16, "owner")]
+    assert got[3] == [("assign", 0, 22, "owner")] and got[4] == [("owned", 1, 15, "owner")]
+    assert 5 not in got and 6 not in got
+    assert all([k for k, *_ in got[10 + i]] == ["assign"] and got[10 + i][0][3] == "example" for i in range(4))
+
+
+def test_a_copied_value_meets_in_no_task(spark):
+    rows = [(i, f"token={'K3y' * 7} row {i}" if i % 3 else f"own password=pwAbCdEfGh{i:06d}", f"s{i % 7}") for i in range(2400)]
+    got = {r._id: [s.label for s in r.spans] for r in secrets.scan(frame(spark, rows)).collect()}
+    assert got == {i: ["example" if i % 3 else "owner"] for i, _, _ in rows}
+
+
 def test_redaction(spark):
     rows = _secret_rows()[:9] + [(25, None, "c")]
     out = {r.doc_id: r.text for r in secrets.redact(frame(spark, rows)).collect()}
