@@ -7,7 +7,9 @@ command line (input, output, template, tokenizer, max_length, format).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from seqweave.functions.fields import length_of
@@ -108,6 +110,8 @@ def pack_report(assigned: DataFrame, spec: PackSpec, group_cols: list[str]) -> D
         (F.sum("_input") - F.sum("_tokens")).cast("long").alias("truncated_tokens"),
         F.sum(F.when(F.col("_lost"), F.col("_tokens")).otherwise(F.lit(0))).cast("long").alias("dropped_tokens"),
         F.round(F.try_divide(out_tokens, out_bins * F.lit(m)), 6).alias("fill_rate"),
+        # tokens of the fullest and emptiest bins, from a mergeable sketch in the same aggregation
+        F.percentile_approx(F.when(~F.col("_lost"), F.col("_tokens")), [0.1, 0.5, 0.9], 10_000).alias("bin_tokens_p10_p50_p90"),
     )
 
 
@@ -141,6 +145,9 @@ def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None
     ``stems`` (``file_stem``) names all input files, so that files without
     lines get an output too.  Tables staged on the way are removed at the
     end; the report is a small staged table that stays.
+
+    Returns ``report``, ``spec`` and ``quantiles`` of the tokens of conversations and bins and the members of
+    bins, from mergeable sketches observed while the tables are written (rank error ``RANK_ERROR``).
     """
     fmt = fmt.lower()
     if fmt not in ("arrow", "jsonl", "parquet"):
@@ -151,14 +158,31 @@ def pack_lines(lines: DataFrame, output_path: str, template: ChatTemplate | None
     if fmt != "parquet":
         check_scheme(qualified(lines.sparkSession, output_path))
     with stages_removed(lines.sparkSession):
-        report = _pack_staged(lines, output_path, template or ChatTemplate.sections(),
-                              tokenizer or CodePointTokenizer(), spec, fmt, on_error, layout, part_prefix,
-                              add_generation_prompt, stems)
-    return {"report": report, "spec": spec}
+        report, quantiles = _pack_staged(lines, output_path, template or ChatTemplate.sections(),
+                                         tokenizer or CodePointTokenizer(), spec, fmt, on_error, layout, part_prefix,
+                                         add_generation_prompt, stems)
+    return {"report": report, "spec": spec, "quantiles": quantiles}
+
+
+QUANTILES = (0.01, 0.1, 0.5, 0.9, 0.99)
+RANK_ERROR = 1e-4  # of the quantile sketches, as a share of the rows
+
+
+def _observed(df: DataFrame, **columns: str):
+    """``df`` with quantile sketches of its columns observed while it is written, and the observation."""
+    seen = Observation(f"quantiles-{uuid.uuid4().hex[:8]}")
+    return df.observe(seen, *[F.percentile_approx(c, list(QUANTILES), int(1 / RANK_ERROR)).alias(name)
+                              for name, c in columns.items()]), seen
+
+
+def _quantiles(*observations) -> dict:
+    """Name -> quantile -> value (None without rows)."""
+    values = {k: v for seen in observations for k, v in seen.get.items()}
+    return {k: dict(zip(QUANTILES, v or [None] * len(QUANTILES))) for k, v in values.items()}
 
 
 def _pack_staged(lines, output_path, template, tokenizer, spec, fmt, on_error, layout, part_prefix,
-                 add_generation_prompt, stems) -> DataFrame:
+                 add_generation_prompt, stems) -> tuple[DataFrame, dict]:
     conv = conversations_from_lines(lines, on_error)
     rejected = None
     if on_error == "quarantine":
@@ -169,6 +193,7 @@ def _pack_staged(lines, output_path, template, tokenizer, spec, fmt, on_error, l
     groups = ["source_file", "file_stem"]
     tokens = tokenize_conversations(conv, template, tokenizer, "row_key", groups, add_generation_prompt)
     late = _late_ids(tokens, tokenizer)
+    tokens, lengths = _observed(tokens, conversation_tokens="length")
     staged = _staged_payload(tokens, spec, tokenizer, late, lines.rdd.getNumPartitions())
     assigned = assign_staged(staged, spec, groups, "row_key")
     report = stage_table(pack_report(assigned, spec, groups), "report", keep=True)
@@ -179,8 +204,9 @@ def _pack_staged(lines, output_path, template, tokenizer, spec, fmt, on_error, l
         empty = unread if empty is None else empty.unionByName(unread)
     per_part = ONE_PART if layout == "file" else bins_per_part_for(spec.max_length)
     bins = materialize_bins(with_bins(staged, assigned, spec), spec, groups, late_ids=late, bins_per_part=per_part)
+    bins, fills = _observed(bins, bin_tokens="length", bin_members="n_members")
     write_bins(bins, output_path, fmt, layout=layout, part_prefix=part_prefix, clustered=True,
                bins_per_part=per_part, empty=empty)
     if rejected is not None:
         rejected.write.mode("overwrite").json(output_path.rstrip("/") + "/_rejected")
-    return report
+    return report, _quantiles(lengths, fills)

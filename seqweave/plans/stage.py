@@ -90,6 +90,31 @@ def _task_labels(spark, n: int) -> DataFrame:
     return tries.groupBy("_b").agg(F.min("id").alias("_part"))
 
 
+def _bucketed(df: DataFrame, name: str, n: int, keys: list[str]) -> DataFrame:
+    """Write ``df``, whose tasks hold one bucket each, as a bucketed table."""
+    spark = df.sparkSession
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    table = f"seqweave_{uuid.uuid4().hex}"
+    if _open.get():
+        _open.get()[-1].extend([_TABLE + table, path])
+    # one bucket a task: no sort by bucket is needed
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "4")
+    try:
+        df.write.mode("overwrite").format("parquet").bucketBy(n, *keys).option("path", path).saveAsTable(table)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.table(table)
+
+
+def stage_buckets(df: DataFrame, name: str, keys: list[str], n: int) -> DataFrame:
+    """Stage ``df`` dealt into ``n`` buckets by ``keys``: it is shuffled once, and groupings, cogroupings and joins on
+    ``keys`` read it without another shuffle."""
+    n = max(int(n), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return _bucketed(df.repartition(n, *keys), name, n, keys)
+
+
 def stage_parts(df: DataFrame, name: str, parts: int = 0) -> DataFrame:
     """Stage ``df`` in one bucket per writing task, with ``_part`` (names the task) and ``_pos`` (place in it, from 0).
 
@@ -98,24 +123,12 @@ def stage_parts(df: DataFrame, name: str, parts: int = 0) -> DataFrame:
     """
     spark = df.sparkSession
     n = max(int(parts), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
-    table = f"seqweave_{uuid.uuid4().hex}"
-    if _open.get():
-        _open.get()[-1].extend([_TABLE + table, path])
     numbered = df.withColumn("_m", F.monotonically_increasing_id()).withColumn(
         "_b", F.pmod(F.shiftright("_m", 33), F.lit(n)).cast("int"))
     named = numbered.join(F.broadcast(_task_labels(spark, n)), "_b", "left").select(
         *df.columns, F.coalesce("_part", F.col("_b").cast("long")).alias("_part"),
         F.struct(F.shiftright("_m", 33).alias("task"), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("row")).alias("_pos"))
-    # a task writes one bucket only: no sort by bucket is needed
-    setting = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "4")
-    try:
-        named.write.mode("overwrite").format("parquet").bucketBy(n, "_part").option("path", path).saveAsTable(table)
-    finally:
-        spark.conf.set(setting, before)
-    return spark.table(table)
+    return _bucketed(named, name, n, ["_part"])
 
 
 def beside_parts(staged: DataFrame, narrow: DataFrame, cols: list[str]) -> DataFrame:

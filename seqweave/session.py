@@ -53,9 +53,9 @@ def _is_local_master(spark: SparkSession, sc) -> bool:
     if sc is not None:
         return sc.master.startswith("local")
     try:
-        return str(spark.conf.get("spark.master", "local")).startswith("local")
-    except Exception:  # noqa: BLE001
-        return True
+        return str(spark.conf.get("spark.master", "")).startswith("local")
+    except Exception:  # noqa: BLE001 - a session that does not say is a cluster's
+        return False
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

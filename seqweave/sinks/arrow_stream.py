@@ -16,6 +16,10 @@ Paths: the caller passes a path qualified by Spark's file systems
 (``qualified``); ``file:``, ``hdfs:``, ``s3(a|n):``, ``gs:`` and ``abfs(s):``
 can be written, any other scheme is refused before the job starts.
 
+Beside each file stands its index ``<file>.index`` (Parquet: ``bin, at, offset, length, row``): which
+bytes of the file hold a bin and its place among the rows there, so a bin can be read without its
+predecessors (``read_single_bins``).
+
 Layouts: ``parts`` writes ``<out>/<stem>/part-<bucket>.<ext>`` where bucket
 = bin // bins_per_part (many tasks per input file; each bucket is written by
 one task, and reading parts in name order gives the bins in creation order);
@@ -39,7 +43,8 @@ ARROW_COLUMNS = ("input_ids", "labels", "position_ids")
 FORMATS = ("arrow", "jsonl")
 # Spark's scheme -> the library's, where they differ
 _SCHEMES = {"hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
-TEXT_ROWS = 256  # lines encoded at a time
+BLOCK_ROWS = 256  # bins written at a time: what a reader of one bin has to fetch
+INDEX = ".index"
 
 
 def qualified(spark, path: str) -> str:
@@ -49,9 +54,14 @@ def qualified(spark, path: str) -> str:
     return fs.makeQualified(hpath).toString()
 
 
+def can_open(path: str) -> bool:
+    """Whether tasks reach the path through the library's file systems."""
+    return urlsplit(path).scheme in ("", "file", *_SCHEMES)
+
+
 def check_scheme(path: str) -> None:
     scheme = urlsplit(path).scheme
-    if scheme not in ("", "file", *_SCHEMES):
+    if not can_open(path):
         raise ValueError(f"arrow and jsonl output cannot be written to {scheme}: paths; use fmt='parquet'")
 
 
@@ -77,6 +87,32 @@ def arrow_schema():
     return pa.schema([pa.field(c, pa.large_list(item), nullable=False) for c in ARROW_COLUMNS])
 
 
+class _Index:
+    """Places of the bins of one open file."""
+
+    def __init__(self):
+        self.rows: list[tuple[int, int, int, int, int]] = []
+
+    def block(self, bins: list[int], offset: int, length: int) -> None:
+        at = len(self.rows)
+        self.rows += [(b, at + i, offset, length, i) for i, b in enumerate(bins)]
+
+    def lines(self, bins: list[int], offset: int, lines: list[bytes]) -> None:
+        for b, line in zip(bins, lines, strict=True):
+            self.rows.append((b, len(self.rows), offset, len(line), 0))
+            offset += len(line)
+
+    def write(self, fs, path: str) -> None:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        kinds = [("bin", pa.int64()), ("at", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()), ("row", pa.int32())]
+        columns = list(zip(*self.rows, strict=True)) or [[]] * len(kinds)
+        table = pa.table({n: pa.array(c, t) for (n, t), c in zip(kinds, columns, strict=True)})
+        with fs.open_output_stream(path + INDEX) as out:
+            pq.write_table(table, out)
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     moves: list
@@ -119,13 +155,15 @@ class _BinFilesWriter(DataSourceArrowWriter):
         fs, root = file_system(self.path)
         fs.create_dir(self._temporary(root), recursive=True)
         schema = arrow_schema()
-        moves, sink, stream, current = [], None, None, None
+        moves, sink, stream, current, index = [], None, None, None, _Index()
 
         def close():
             if stream is not None:
                 stream.close()
             if sink is not None:
                 sink.close()
+                index.write(fs, moves[-1][0])
+                moves.append((moves[-1][0] + INDEX, moves[-1][1], moves[-1][2] + INDEX))
 
         try:
             for batch in iterator:
@@ -143,17 +181,20 @@ class _BinFilesWriter(DataSourceArrowWriter):
                         sink = fs.open_output_stream(tmp)
                         stream = ipc.new_stream(sink, schema) if self.format == "arrow" else None
                         moves.append((tmp, key[0], self._final(root, *key)))
-                        current = key
+                        current, index = key, _Index()
                     if bins[rows[0]] is None:
                         continue
-                    part = batch.slice(rows[0], len(rows))
-                    if stream is None:
-                        for at in range(0, len(rows), TEXT_ROWS):
-                            lines = part.column("line").slice(at, TEXT_ROWS).to_pylist()
-                            sink.write(("\n".join(lines) + "\n").encode("utf-8"))
-                    else:
-                        cols = [part.column(c).cast(schema.field(c).type) for c in ARROW_COLUMNS]
-                        stream.write_batch(pa.record_batch(cols, schema=schema))
+                    for first in range(rows[0], rows[-1] + 1, BLOCK_ROWS):
+                        n = min(BLOCK_ROWS, rows[-1] + 1 - first)
+                        part, offset = batch.slice(first, n), sink.tell()
+                        if stream is None:
+                            lines = [x.encode() + b"\n" for x in part.column("line").to_pylist()]
+                            sink.write(b"".join(lines))
+                            index.lines(bins[first:first + n], offset, lines)
+                        else:
+                            cols = [part.column(c).cast(schema.field(c).type) for c in ARROW_COLUMNS]
+                            stream.write_batch(pa.record_batch(cols, schema=schema))
+                            index.block(bins[first:first + n], offset, sink.tell() - offset)
         finally:
             close()
         return _Written(moves)
@@ -230,3 +271,72 @@ def read_bins(spark, path: str, bins_per_part: int, fmt: str = "arrow"):
     part = F.regexp_extract("path", r"part-(\d+)\.[^/]*$", 1).cast("long")
     stem = F.url_decode(F.replace(F.regexp_extract("path", r"([^/]*)/[^/]*$", 1), F.lit("+"), F.lit("%2B")))
     return rows.select(stem.alias("file_stem"), (part * bins_per_part + F.col("at")).alias("bin"), *ARROW_COLUMNS)
+
+
+def bin_index(spark, path: str, fmt: str = "arrow"):
+    """Where every bin of an output folder stands: ``file_stem, bin, path, at, offset, length, row``, both layouts."""
+    from pyspark.sql import functions as F
+
+    from seqweave.sinks.publish import recover
+
+    recover(spark, path)
+    schema = "bin long, at long, offset long, length long, row int"
+    rows = spark.read.schema(schema).option("pathGlobFilter", f"*.{fmt}{INDEX}").option("recursiveFileLookup", "true").parquet(path)
+    file = F.regexp_replace(F.col("_metadata.file_path"), r"\.index$", "")
+    plain = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+    inside = F.substring(plain, len(qualified(spark, path).rstrip("/")) + 2, 1 << 30)
+    stem = F.when(inside.contains("/"), F.regexp_extract(inside, r"^([^/]*)/", 1)).otherwise(
+        F.regexp_replace(inside, rf"\.{fmt}$", ""))
+    return rows.select(stem.alias("file_stem"), "bin", plain.alias("path"), "at", "offset", "length", "row")
+
+
+def read_single_bins(spark, path: str, wanted, fmt: str = "arrow"):
+    """The bins that ``wanted`` (``file_stem, bin``) names, with their arrays; only their blocks' bytes are read.
+
+    The index meets ``wanted`` by join; tasks then seek to the blocks, file by file."""
+    found = bin_index(spark, path, fmt).join(wanted.select("file_stem", "bin").distinct(), ["file_stem", "bin"])
+    placed = found.repartition("path", "offset").sortWithinPartitions("path", "offset", "row")
+    arrays = "input_ids array<int>, labels array<int>, position_ids array<int>"
+
+    def read(batches):
+        import json as _json
+
+        import pyarrow as pa
+        import pyarrow.ipc as ipc
+
+        small = pa.list_(pa.int32())
+        schema = pa.schema([("file_stem", pa.string()), ("bin", pa.int64()), *((c, small) for c in ARROW_COLUMNS)])
+        last, block, opened, name = None, None, None, None
+        try:
+            for batch in batches:
+                out = []
+                for stem, number, where, offset, length, row in zip(*(batch.column(c).to_pylist() for c in (
+                        "file_stem", "bin", "path", "offset", "length", "row")), strict=True):
+                    if where != name:
+                        if opened is not None:
+                            opened.close()
+                        fs, inside = file_system(where)
+                        opened, name = fs.open_input_file(inside), where
+                    if (where, offset) != last:
+                        opened.seek(offset)
+                        block, last = opened.read(length), (where, offset)
+                        if fmt == "arrow":
+                            source = pa.BufferReader(block)
+                            message = ipc.read_message(source)
+                            if message.type == "schema":  # a file's first block starts with it
+                                message = ipc.read_message(source)
+                            block = ipc.read_record_batch(message, arrow_schema())
+                        else:
+                            block = _json.loads(block)
+                    if fmt == "arrow":
+                        out.append((stem, number, *(block.column(c)[row].as_py() for c in ARROW_COLUMNS)))
+                    else:
+                        out.append((stem, number, *(block[c] for c in ARROW_COLUMNS)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)],
+                                                     schema=schema)
+        finally:
+            if opened is not None:
+                opened.close()
+
+    return placed.mapInArrow(read, f"file_stem string, bin long, {arrays}")

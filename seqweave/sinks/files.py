@@ -32,8 +32,6 @@ TOKENS_PER_PART = 1 << 26
 # "file" layout: every bin of an input file in one writer task
 ONE_PART = 1 << 62
 
-_registered: set[int] = set()
-
 
 def bins_per_part_for(max_length: int) -> int:
     """Bins of one output part: at most 8192, and at most about 64M tokens whatever the bin size."""
@@ -41,11 +39,9 @@ def bins_per_part_for(max_length: int) -> int:
 
 
 def _register(spark) -> None:
-    key = id(spark)
-    if key not in _registered:
-        ship_package(spark)
-        spark.dataSource.register(BinFilesDataSource)
-        _registered.add(key)
+    """Each session, a micro-batch's too, knows its own data sources only."""
+    ship_package(spark)
+    spark.dataSource.register(BinFilesDataSource)
 
 
 def _cluster(bins: DataFrame, layout: str, bins_per_part: int) -> DataFrame:

@@ -131,10 +131,11 @@ def publish_files(spark, path: str, job: str, overwrite: bool, fmt: str) -> None
                            "(file_stem, bin // bins_per_part) or use clustered=False")
 
     def earlier(stem: str) -> list[str]:
-        found = [posixpath.join(stem, n) for n, is_file in folder.names(stem) if is_file and n.endswith(f".{fmt}")]
-        one = f"{stem}.{fmt}"
-        if folder.exists(one) and folder.fs.getFileStatus(folder.at(one)).isFile():
-            found.append(one)
+        ends = (f".{fmt}", f".{fmt}.index")
+        found = [posixpath.join(stem, n) for n, is_file in folder.names(stem) if is_file and n.endswith(ends)]
+        for one in (stem + e for e in ends):
+            if folder.exists(one) and folder.fs.getFileStatus(folder.at(one)).isFile():
+                found.append(one)
         return [f for f in found if f not in finals]
 
     drops: list[str] = []

@@ -28,26 +28,28 @@ SENTINEL = "end of line 5f0c1b"
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
 
 
-def _listing(spark: SparkSession, path: str) -> list[str] | None:
-    """Names of the ``*.jsonl`` files of a folder, or None for a file.
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) as Spark resolves it (default file system included)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def listing(spark: SparkSession, path: str) -> int | None:
+    """Number of entries ``*.jsonl`` of a folder, or None for a file; names stay in the JVM.
 
-    The path is resolved as Spark resolves it (default file system included).
     A missing path raises ``FileNotFoundError``; a name that starts with ``_``
     or ``.``, which Spark's readers skip, raises ``ValueError``.
     """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _folder(spark, path)
     if not fs.exists(hpath):
         raise FileNotFoundError(path)
     if fs.getFileStatus(hpath).isFile():
         return None
-    files = [f.getPath().getName() for f in fs.listStatus(hpath) if f.isFile()]
-    names = [n for n in files if n.endswith(".jsonl")]
-    hidden = [n for n in names if n[0] in "_."]
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.GlobFilter
+    hidden = [f.getPath().getName() for f in fs.listStatus(hpath, glob("[_.]*.jsonl")) if f.isFile()]
     if hidden:
         raise ValueError(f"files that Spark does not read, rename them: {', '.join(sorted(hidden))}")
-    return names
+    return len(fs.listStatus(hpath, glob("*.jsonl")))
 
 
 def file_stem(name: Column) -> Column:
@@ -59,12 +61,12 @@ def file_stem(name: Column) -> Column:
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines with provenance: ``source_file, file_stem, line_no_key, line``."""
-    names = _listing(spark, path)
-    if names == []:
+    found = listing(spark, path)
+    if found == 0:
         return spark.createDataFrame([], "source_file string, file_stem string, line string")
     # lines end at LF (a CR before it is dropped); brackets and stars in a path are ordinary characters
     reader = spark.read.format("text").option("lineSep", "\n").option("__globPaths__", "false")
-    if names:
+    if found:
         reader = reader.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "false")
     raw = reader.load(path)
     return raw.select(
@@ -75,12 +77,34 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def folder_stems(spark: SparkSession, path: str) -> DataFrame:
-    """``file_stem`` of every input file, those without lines included."""
-    names = _listing(spark, path)
-    if names is None:
-        names = [path.rstrip("/").rsplit("/", 1)[-1]]
-    plain = spark.createDataFrame([(n,) for n in names], "name string")
-    return plain.select(F.regexp_replace("name", r"(?<=.)\.[^.]*$", "").alias("file_stem"))
+    """``file_stem`` of every input file, those without lines included: a table that a task lists, not the driver."""
+    from seqweave.sinks.arrow_stream import can_open, file_system, qualified
+
+    where = qualified(spark, path)
+    if listing(spark, path) is None:
+        names = spark.range(1).select(F.lit(path.rstrip("/").rsplit("/", 1)[-1]).alias("name"))
+    elif not can_open(where):  # a store that only Spark reaches
+        fs, hpath = _folder(spark, path)
+        here = [f.getPath().getName() for f in fs.listStatus(hpath) if f.isFile()]
+        names = spark.createDataFrame([(n,) for n in here if n.endswith(".jsonl")], "name string")
+    else:
+        ship_package(spark)
+
+        def names_of(batches):
+            import pyarrow as pa
+            import pyarrow.fs as pafs
+
+            fs, inside = file_system(where)
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                found = [i.base_name for i in fs.get_file_info(pafs.FileSelector(inside))
+                         if i.type == pafs.FileType.File and i.base_name.endswith(".jsonl")]
+                for at in range(0, len(found), 10_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(found[at:at + 10_000], pa.string())], names=["name"])
+
+        names = spark.range(1).mapInArrow(names_of, "name string")
+    return names.select(F.regexp_replace("name", r"(?<=.)\.[^.]*$", "").alias("file_stem"))
 
 
 def _string(field: Column) -> Column:

@@ -259,3 +259,39 @@ def test_staged_tables_are_removed(spark, tmp_dir):
     res = pack_job(spark, make_input(tmp_dir, FILES), f"{tmp_dir}/out", max_length=40, on_error="quarantine")
     assert all(n.startswith("report-") for n in set(os.listdir(root)) - before)
     assert res["report"].count() == 2
+
+
+def test_quantiles_are_within_their_error(spark, tmp_dir):
+    import random
+
+    from seqweave.plans.job import QUANTILES
+
+    rng = random.Random(3)
+    convs = {"a": ["x" * rng.randint(1, 60) for _ in range(900)]}
+    res = pack_job(spark, make_input(tmp_dir, convs), f"{tmp_dir}/out", max_length=50, fmt="parquet", tail="keep")
+    lengths = sorted(12 + len(c) for c in convs["a"])
+    bins = sorted(r.length for r in spark.read.parquet(f"{tmp_dir}/out").collect())
+    for name, exact in (("conversation_tokens", lengths), ("bin_tokens", bins)):
+        for q in QUANTILES:
+            value = res["quantiles"][name][q]
+            at = [i / len(exact) for i, x in enumerate(exact) if x == value]
+            assert at and at[0] - 2e-3 <= q <= at[-1] + 2e-3, (name, q)
+    row = res["report"].first()
+    assert row["bin_tokens_p10_p50_p90"] == [res["quantiles"]["bin_tokens"][q] for q in (0.1, 0.5, 0.9)]
+
+
+@pytest.mark.parametrize("fmt, layout", [("arrow", "parts"), ("arrow", "file"), ("jsonl", "parts"), ("jsonl", "file")])
+def test_single_bins_are_read_in_place(spark, tmp_dir, fmt, layout):
+    from seqweave.sinks import arrow_stream
+
+    convs = {"alpha": ["a" * (1 + i % 50) for i in range(700)], "b [x] é+": ["e" * 10, "f" * 10]}
+    out = f"{tmp_dir}/out"
+    pack_job(spark, make_input(tmp_dir, convs), out, max_length=64, fmt=fmt, oversize="truncate", layout=layout)
+    index = arrow_stream.bin_index(spark, out, fmt).collect()
+    expect = {s: next_fit_decreasing([12 + len(x) for x in c], 64) for s, c in convs.items()}
+    assert sorted((r.file_stem, r.bin, r["at"]) for r in index) == sorted((s, k, k) for s, b in expect.items() for k in range(len(b)))
+    wanted = [("alpha", 0), ("alpha", 300), ("alpha", 301), ("alpha", 5), ("b [x] é+", 0), ("alpha", 10**6), ("none", 1), ("alpha", 5)]
+    rows = arrow_stream.read_single_bins(spark, out, spark.createDataFrame(wanted, "file_stem string, bin long"), fmt).collect()
+    assert sorted((r.file_stem, r.bin) for r in rows) == [("alpha", 0), ("alpha", 5), ("alpha", 300), ("alpha", 301), ("b [x] é+", 0)]
+    for r in rows:
+        assert _segments(r.asDict()) == sorted(min(64, 12 + len(convs[r.file_stem][i])) for i in expect[r.file_stem][r.bin])

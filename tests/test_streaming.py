@@ -4,6 +4,8 @@ import glob
 import json
 import os
 
+import pytest
+
 from nfd_oracle import next_fit_decreasing
 from seqweave.sinks.arrow_stream import read_arrow_stream
 from seqweave.streaming.continuous import start_continuous_pack
@@ -64,3 +66,48 @@ def test_restart_and_old_files(spark, tmp_dir):
     rows = [r for p in glob.glob(f"{out}/batch=*/*/*.arrow") for r in read_arrow_stream(p).to_pylist()]
     assert sorted(len(r["input_ids"]) for r in rows) == [13, 13, 40]
     assert set(os.listdir(root)) == before
+
+
+def _packed(spark, out):
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch=*").collect()
+    return sorted((r.file_stem, r.length) for r in rows)
+
+
+def _run(spark, src, out, ckpt, **options):
+    q = start_continuous_pack(spark, src, out, max_length=40, fmt="parquet", available_now=True, checkpoint_location=ckpt, **options)
+    q.awaitTermination(300)
+    return q
+
+
+def test_ledger_outlives_the_checkpoint(spark, tmp_dir):
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    os.makedirs(src)
+    _write(f"{src}/f1.jsonl", ["a" * 5, "b" * 30])
+    _write(f"{src}/f2.jsonl", ["c" * 3])
+    _run(spark, src, out, f"{tmp_dir}/ckpt1")
+    first = _packed(spark, out)
+    assert [s for s, _ in first] == ["f1", "f1", "f2"]
+    # another application without the first one's checkpoint lists every file again
+    _write(f"{src}/f3.jsonl", ["d" * 9])
+    _run(spark, src, out, f"{tmp_dir}/ckpt2")
+    assert _packed(spark, out) == sorted([*first, ("f3", 21)])
+    assert len(glob.glob(f"{out}/batch=*")) == 2
+    # a rewritten file is noticed, and replaced when asked
+    _write(f"{src}/f1.jsonl", ["e" * 11])
+    with pytest.raises(Exception, match="has changed since it was packed"):
+        _run(spark, src, out, f"{tmp_dir}/ckpt3")
+    _run(spark, src, out, f"{tmp_dir}/ckpt4", on_rewrite="repack")
+    assert _packed(spark, out) == [("f1", 23), ("f2", 15), ("f3", 21)]
+    ledger = spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/_ledger")
+    assert ledger.count() == 4 and ledger.select("query").distinct().count() == 3
+
+
+def test_hidden_names_and_patterns_are_refused(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in [a]")
+    with pytest.raises(ValueError, match="pattern"):
+        start_continuous_pack(spark, f"{tmp_dir}/in [a]", f"{tmp_dir}/out", available_now=True)
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    _write(f"{src}/_x.jsonl", ["a"])
+    with pytest.raises(ValueError, match="_x.jsonl"):
+        start_continuous_pack(spark, src, f"{tmp_dir}/out", available_now=True)
