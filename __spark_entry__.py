@@ -22,6 +22,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqweave.__main__ import main as job_command
 from seqweave.functions.fields import (
     array_text,
     labels_for,
@@ -35,7 +36,7 @@ from seqweave.operators.packing import PackSpec, assign_bins
 from seqweave.operators.ranking import length_histogram, rank_by_length
 from seqweave.plans.job import pack_conversations, pack_job, pack_report, tokenize_conversations
 from seqweave.plans.stage import stage_root
-from seqweave.sinks.arrow_stream import read_bins
+from seqweave.sinks.arrow_stream import bin_index, read_bins, read_single_bins
 from seqweave.sinks.files import bins_per_part_for, write_lines
 from seqweave.sources.jsonl import line_counts, parse_conversations, read_conversations
 from seqweave.sources.turns import (
@@ -256,6 +257,31 @@ def _sink(fmt: str, tail: str):
     return q
 
 
+def q_sink_overwrite(spark, sf_dir):
+    """The output of another job, of other sizes and with parts that do not come again, is replaced as a whole."""
+    src, out = _written(spark, sf_dir), f"{stage_root(spark)}/bins-{uuid.uuid4().hex}"
+    pack_job(spark, src, out, HEADERS, max_length=300, fmt="arrow", tail="keep")
+    pack_job(spark, src, out, SECTIONS, max_length=4096, fmt="arrow", tail="drop")
+    return _array_texts(read_bins(spark, out, bins_per_part_for(4096)))
+
+
+def q_job_command(spark, sf_dir):
+    """The command line, one output file per input file."""
+    out = f"{stage_root(spark)}/bins-{uuid.uuid4().hex}"
+    job_command(["--input", _written(spark, sf_dir), "--output", out, "--max-length", "4096", "--format", "ARROW", "--tail", "drop",
+                 "--template", "sections", "--bos", "[BOS]", "--eos", "[EOS]", "--layout", "file"])
+    bins = bin_index(spark, out).select("file_stem", "bin")
+    return _array_texts(read_single_bins(spark, out, bins))
+
+
+def q_read_single_bins(spark, sf_dir):
+    """Every seventh bin of each file, read through the index without its predecessors."""
+    out = f"{stage_root(spark)}/bins-{uuid.uuid4().hex}"
+    pack_job(spark, _written(spark, sf_dir), out, SECTIONS, max_length=4096, fmt="jsonl", tail="keep")
+    wanted = bin_index(spark, out, "jsonl").filter("bin % 7 = 3").select("file_stem", "bin")
+    return _array_texts(read_single_bins(spark, out, wanted, "jsonl"), F.size("input_ids").alias("length"))
+
+
 def q_read_jsonl(spark, sf_dir):
     conv = read_conversations(spark, _written(spark, sf_dir))
     flat = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\u0001")
@@ -319,6 +345,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_jsonl": _sink("jsonl", "keep"),
     "sink_parquet": _sink("parquet", "drop"),
     "stream_pack": q_stream_pack,
+    "sink_overwrite": q_sink_overwrite,
+    "job_command": q_job_command,
+    "read_single_bins": q_read_single_bins,
 }
 
 
@@ -527,9 +556,10 @@ FROM per_bin GROUP BY source_file""",
 ORACLE["length_rank_ranges"] = ORACLE["length_rank"]
 ORACLE["pack_whole_ranges"] = ORACLE["pack_whole"]
 # the same bins through files as in memory
-for _name in ("sink_arrow", "sink_parquet", "stream_pack"):
+for _name in ("sink_arrow", "sink_parquet", "stream_pack", "sink_overwrite", "job_command"):
     ORACLE[_name] = ORACLE["packed_arrow"]
 ORACLE["sink_jsonl"] = ORACLE["packed_jsonl"]
+ORACLE["read_single_bins"] = f"SELECT * FROM ({ORACLE['packed_jsonl']}) every_bin WHERE bin % 7 = 3"
 ORACLE["render_headers_odd"] = _headers_sql(ODD_TURNS, gen=True)
 ORACLE["line_counts"] = ORACLE["file_row_counts"]
 ORACLE["read_jsonl"] = f"""
