@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from seqweave.llm.common import join_heads
-from seqweave.plans.stage import stage_table
+from seqweave.plans.stage import beside_parts, stage_parts, stage_table
 from seqweave.session import ship_package
 from seqweave.sinks.arrow_stream import check_scheme, file_system, qualified
 
@@ -59,21 +59,24 @@ def decide(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_by
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"),
                         F.unhex(F.sha1(payload)).alias("sha1"), F.octet_length(payload).alias("size"))
-    # rows get a key of their own, fixed by writing them down: what decides is then narrow, and no key is hot
-    rows = rows.withColumn("_row", F.monotonically_increasing_id())
-    rows, seen = stage_table(rows, "warc-pages", {"n": F.count(F.lit(1))})
-    named = rows.filter(F.col("size") >= min_bytes).select("_row", "id", "sha1")
-    first = F.min(F.struct(F.col("id").isNull(), "id", "_row"))
-    heads = named.groupBy("sha1").agg(first.alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    heads = stage_table(heads.select("sha1", "_n", F.col("_first.id").alias("refers_to"),
-                                     F.col("_first._row").alias("_head")), "warc-heads")
-    copies = join_heads(named.select("_row", "sha1"), heads, "sha1", int(seen["n"] or 0)).filter("_row <> _head")
-    copies = copies.select("_row", "refers_to", F.lit(True).alias("revisit"))
-    both = rows.join(copies, "_row", "left")
-    revisit = F.coalesce("revisit", F.lit(False))
+    # rows are named by the task that writes them down and their place in it; what decides is narrow, no key is
+    # hot, and the decisions go beside the payloads where they lie
+    rows = stage_parts(rows, "warc-pages", pages.rdd.getNumPartitions())
+    name = F.struct("_part", "_pos")
+    named, seen = stage_table(rows.select("_part", "_pos", "id", "sha1", "size"), "warc-rows", {"n": F.count(F.lit(1))})
+    able = named.filter(F.col("size") >= min_bytes)
+    first = F.min(F.struct(F.col("id").isNull(), "id", name.alias("row")))
+    heads = able.groupBy("sha1").agg(first.alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    heads = stage_table(heads.select("sha1", "_n", F.col("_first.id").alias("refers_to"), F.col("_first.row").alias("_head")),
+                        "warc-heads")
+    copies = join_heads(able.select("_part", "_pos", "sha1"), heads, "sha1", int(seen["n"] or 0)).filter(name != F.col("_head"))
+    copies = copies.select("_part", "_pos", "refers_to", F.lit(True).alias("revisit"))
+    decided = named.select("_part", "_pos").join(copies, ["_part", "_pos"], "left").withColumn(
+        "revisit", F.coalesce("revisit", F.lit(False)))
+    both = beside_parts(rows, decided, ["refers_to", "revisit"])
     # a revisit record holds no payload; its length stays known
-    return both.select("id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "sha1", "size",
-                       revisit.alias("revisit"), "refers_to")
+    return both.select("id", "url", F.when(~F.col("revisit"), F.col("payload")).alias("payload"), "sha1", "size",
+                       "revisit", "refers_to")
 
 
 def _name(value) -> str:
