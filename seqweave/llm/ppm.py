@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from seqweave.llm.common import LOWER, SPACES, U64, SpanHasher, chunks
-from seqweave.plans.stage import stage_table
+from seqweave.plans.stage import stage_buckets, stage_table
 from seqweave.session import ship_package
 
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
@@ -132,7 +132,7 @@ def symbol_groups(texts: list[str], order: int, size: int = SUB) -> Iterator[tup
 GRAM, WORD = 0, 1
 END_WORD = 1  # the name of the end among the word hashes
 _VOCAB = "block long, kind int, bucket long, m int, keys binary, counts binary"
-_ANSWER = "block long, kind int, m int, keys binary, vals binary"
+_ANSWER = "block long, kind int, m int, keys binary, vals binary, codes binary"
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
 
 
@@ -159,6 +159,19 @@ def _unpack_keys(data: bytes, m: int) -> np.ndarray:
     return np.cumsum(_unpack(data, m, U64), dtype=U64)
 
 
+def _pack_values(values: np.ndarray) -> tuple[bytes, bytes]:
+    """The distinct values and, per entry, which of them (many grams have the same counts around them)."""
+    distinct, code = np.unique(values, return_inverse=True)
+    planes = np.ascontiguousarray(code.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return _pack(distinct), pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack_values(vals: bytes, codes: bytes, m: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(codes, 4 * m, codec="zstd", asbytes=True), np.uint8).reshape(4, m)
+    code = np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
+    return _unpack(vals, int(code.max()) + 1, np.float64)[code]
+
+
 def _merge(parts: list) -> tuple[np.ndarray, np.ndarray]:
     """Sum the counts of equal keys of several (keys, counts); keys ascending."""
     keys = np.concatenate([g for g, _ in parts])
@@ -172,41 +185,34 @@ def _merge(parts: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _vocabulary(order: int, buckets: int, size: int):
-    """Partition function: texts sorted by block -> each block's distinct grams and words with training counts."""
+    """Group function: a block's texts -> its distinct grams and words with training counts."""
     schema = _arrow(_VOCAB)
 
-    def packed(block: int, parts: dict[int, list]) -> Iterator[pa.RecordBatch]:
-        for kind, some in parts.items():
-            keys, n = _merge(some)
-            bucket = keys.view(np.int64) % buckets
-            order_ = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order_], np.arange(buckets + 1))
-            rows = []
-            for b in np.flatnonzero(np.diff(edges)).tolist():
-                at = order_[edges[b]:edges[b + 1]]
-                rows.append((block, kind, b, len(at), _pack_keys(keys[at]), _pack(n[at])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-    def run(batches):
-        current, parts = None, {}
+    def packed(block: int, kind: int, some: list) -> pa.RecordBatch:
+        keys, n = _merge(some)
+        bucket = keys.view(np.int64) % buckets
+        by_bucket = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
+        rows = []
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            at = by_bucket[edges[b]:edges[b + 1]]
+            rows.append((block, kind, b, len(at), _pack_keys(keys[at]), _pack(n[at])))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts = 0, {GRAM: [], WORD: []}
         for b in batches:
-            blocks, train = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
-            edges = np.concatenate(([0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)]))
-            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if hi > lo and blocks[lo] != current:
-                    if parts:
-                        yield from packed(current, parts)
-                    current, parts = int(blocks[lo]), {GRAM: [], WORD: []}
-                for at in range(lo, hi, ROWS):
-                    texts, wanted = b.column(2).slice(at, min(ROWS, hi - at)).to_pylist(), train[at:min(at + ROWS, hi)]
-                    for use in (True, False):
-                        some = [t for t, w in zip(texts, wanted) if w == use]
-                        ends = {GRAM: np.empty(0, U64), WORD: np.full(len(some), END_WORD, U64)}
-                        _add(parts, ends, use)
-                        for _, _, s in symbol_groups(some, order, size):
-                            _add(parts, {GRAM: s.grams, WORD: s.words}, use)
-        if parts:
-            yield from packed(current, parts)
+            block = b.column(0)[0].as_py()
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
+                texts, train = part.column(2).to_pylist(), part.column(1).to_pylist()
+                for use in (True, False):
+                    some = [t for t, w in zip(texts, train, strict=True) if w == use]
+                    _add(parts, {WORD: np.full(len(some), END_WORD, U64)}, use)
+                    for _, _, s in symbol_groups(some, order, size):
+                        _add(parts, {GRAM: s.grams, WORD: s.words}, use)
+        for kind, some in parts.items():
+            yield packed(block, kind, some)
     return run
 
 
@@ -245,7 +251,8 @@ def _answer(values: pa.Table, asked: pa.Table) -> pa.Table:
     key = values.column("key").to_numpy().view(U64)
     order = np.argsort(key)
     key, value = key[order], values.column("value").to_numpy()[order]
-    rows = [(block, kind, m, keys, _pack(value[np.searchsorted(key, _unpack_keys(keys, m))])) for block, m, keys, _ in _blobs(asked)]
+    rows = [(block, kind, m, keys, *_pack_values(value[np.searchsorted(key, _unpack_keys(keys, m))]))
+            for block, m, keys, _ in _blobs(asked)]
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
@@ -306,10 +313,10 @@ def _sorted(model: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
     """A block's keys of one kind, ascending, and their values."""
     keys, values = [np.empty(0, U64)], [np.empty(0)]
     for b in model.to_batches():
-        for k, m, packed, vals in zip(*(b.column(c).to_pylist() for c in ("kind", "m", "keys", "vals")), strict=True):
+        for k, m, packed, vals, codes in zip(*(b.column(c).to_pylist() for c in ("kind", "m", "keys", "vals", "codes")), strict=True):
             if k == kind:
                 keys.append(_unpack_keys(packed, m))
-                values.append(_unpack(vals, m, np.float64))
+                values.append(_unpack_values(vals, codes, m))
     key, value = np.concatenate(keys), np.concatenate(values)
     order = np.argsort(key)
     return key[order], value[order]
@@ -362,8 +369,9 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     # id and text together spread repeated ids and repeated texts alike
     src = docs.select(F.pmod(F.xxhash64(F.col(id_col).cast("string"), text), F.lit(blocks)).alias("block"),
                       F.coalesce(train, F.lit(False)).alias("_train"), F.col(id_col).alias("_id"), text.alias("_text"))
-    dealt = src.select("block", "_train", "_text").repartition(blocks, "block").sortWithinPartitions("block")
-    vocab = stage_table(dealt.mapInArrow(_vocabulary(order, buckets, slice_chars), _VOCAB), "ppm-vocabulary")
+    src = stage_buckets(src, "ppm-texts", ["block"], blocks)
+    vocab = src.select("block", "_train", "_text").groupBy("block").applyInArrow(_vocabulary(order, buckets, slice_chars), _VOCAB)
+    vocab = stage_buckets(vocab, "ppm-vocabulary", ["kind", "bucket"], buckets)
     totals, seen = stage_table(vocab.groupBy("kind", "bucket").applyInArrow(_total, "kind int, key long, c long"), "ppm-totals", {
         "n": F.sum(F.when(F.col("kind") == WORD, F.col("c"))),
         "v": F.sum(((F.col("kind") == WORD) & (F.col("c") > 0)).cast("long"))})
