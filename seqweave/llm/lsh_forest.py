@@ -2,28 +2,27 @@
 
 * The join works on distinct texts, named by their MD5; the members come back at
   the end by that key.
-* A text's five-word shingles give ``trees * max_depth`` MinHash values, one
-  label of ``max_depth`` values per tree.  In a tree the labels form a prefix
-  trie; texts below one trie node at depth ``d`` are candidates.
-* The matched prefix is shortened from ``max_depth`` until the probability that
-  a pair at the similarity threshold meets in some tree,
-  ``1 - (1 - t^d)^trees``, reaches ``target_recall``.  With the defaults the
-  prefix ends at 3 of 6 values and a pair at 0.8 is missed with probability
-  1e-5 (one at 0.9 with 3e-10).
-* Only nodes with two or more texts go on.  Their members' texts are read again
-  and meet, as shingle sets, in one group per node, where every pair is verified
-  by its exact Jaccard similarity; a pair that meets in several trees is verified in the first only, so
-  pairs are never written out or shuffled: a group returns its members' numbers
-  of links and a spanning forest of the links.
-* A node with more than ``block`` texts is dealt in blocks: each pair of blocks
-  is a group of its own, so no task holds a whole large node.
-
-Classes are the connected components of the verified links, found by
+* A text's five-word shingles give one label per tree: ``DEPTH`` MinHash values of ``BITS`` bits, packed into one number, the
+  first value on top.  Sorted, the labels of a tree are its prefix trie: a node of depth ``d`` is a run of labels that
+  agree in their first ``d`` values.
+* Representatives.  Texts that share a whole label in some tree have the smallest of these texts as their
+  candidate; those at distance 0.1 or less (half of what a link allows) from it join its cluster.  Any two texts of a cluster are linked by
+  the triangle inequality, so a cluster of any size costs one verification per member.
+* Descent.  The matched prefix starts at the whole label and is shortened level by level.  A level's nodes
+  verify, by exact Jaccard similarity, the pairs of different clusters that no longer prefix and no earlier tree of the level has brought together; nodes
+  without such pairs drop out before any text is read.  After each level the links found, each weighted by the
+  inverse of its chance ``1 - (1 - s^d)^trees`` to be found by now, estimate all links; the descent stops when the found ones are
+  ``target_recall`` of them, at the latest at the depth where a pair at the threshold itself reaches that chance.
+* A group returns its members' numbers of links and a spanning forest of the links; pairs are never written out.  A node with more
+  than ``block`` texts is dealt in blocks: each pair of blocks is a group of its own, so no task holds a whole large node.  What
+  is left of quadratic work is that between different clusters under one node.
+
+Classes are the connected components of the verified links between clusters, found by
 min-label steps with pointer jumping on tables written down after each round.
 
 Texts without words have no shingles: they are linked to nothing and are in one
 class with equal texts only.  The smallest id names a class (NULL ids sort
-last).
+last).  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,32 +34,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqweave.llm.common import U64, chunks, id_text, mix, shingles
+from seqweave.llm.common import U64, chunks, id_text, join_heads, mix, shingles
 from seqweave.plans.stage import stage_table
 from seqweave.session import ship_package
 
 BROADCAST_KEYS = 1_000_000  # text keys with ids; more are joined by shuffle
 
 
-def choose_depth(trees: int, max_depth: int, threshold: float, target_recall: float) -> int:
-    """The longest prefix whose recall at the threshold reaches the target (1 if none does)."""
-    for depth in range(max_depth, 1, -1):
-        if 1 - (1 - threshold**depth) ** trees >= target_recall:
-            return depth
-    return 1
+DEPTH, BITS = 5, 12  # values of a label and their bits
 
 
-def labels_of(sh: np.ndarray, trees: int, max_depth: int, depth: int) -> np.ndarray:
-    """Per tree one hash of the first ``depth`` MinHash values of its label."""
-    mult = _multipliers(trees, max_depth)[:, :depth].reshape(-1, 1)
+def found_by(similarity: float, depth: int, trees: int) -> float:
+    """Chance that a pair meets in some tree at ``depth`` or deeper."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
+def last_depth(trees: int, threshold: float, target_recall: float) -> int:
+    """The longest prefix with which a pair at the threshold is found often enough (1 if none is)."""
+    return next((d for d in range(DEPTH, 1, -1) if found_by(threshold, d, trees) >= target_recall), 1)
+
+
+def estimated_recall(similar: dict[int, int], depth: int, trees: int) -> float | None:
+    """Share of all links that the found ones are, from their similarities (in thousandths, rounded down)."""
+    found = sum(similar.values())
+    if not found:
+        return None
+    return found / sum(n / found_by(s / 1000, depth, trees) for s, n in similar.items())
+
+
+def labels_of(sh: np.ndarray, trees: int) -> np.ndarray:
+    """Per tree the packed label."""
+    mult = _multipliers(trees, DEPTH).reshape(-1, 1)
     low = np.full(len(mult), np.iinfo(np.uint64).max, U64)
     for s in range(0, len(sh), 512):
         low = np.minimum(low, (mult * sh[s:s + 512]).min(axis=1))
-    low = low.reshape(trees, depth)
-    h = np.arange(1, trees + 1, dtype=U64)
-    for d in range(depth):
-        h = mix(h * U64(31) + low[:, d])
-    return h
+    low = (mix(low) >> U64(64 - BITS)).reshape(trees, DEPTH)
+    out = np.zeros(trees, U64)
+    for d in range(DEPTH):
+        out = out << U64(BITS) | low[:, d]
+    return out.view(np.int64)
 
 
 @lru_cache(8)
@@ -73,7 +85,7 @@ def text_key(text):
     return F.md5(text.cast("binary"))
 
 
-def _sketch(rows: DataFrame, trees: int, max_depth: int, depth: int, size: int) -> DataFrame:
+def _sketch(rows: DataFrame, trees: int, size: int) -> DataFrame:
     """``_key, labels`` per text with words; a task skips the copies it has met (``rows``: _key, _text)."""
     def run(batches):
         met: set[str] = set()
@@ -87,7 +99,7 @@ def _sketch(rows: DataFrame, trees: int, max_depth: int, depth: int, size: int)
                 sh = shingles(text, size)
                 if len(sh):
                     at.append(k)
-                    labels.append(labels_of(sh, trees, max_depth, depth).view(np.int64))
+                    labels.append(labels_of(sh, trees))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.string()), pa.array(labels, pa.list_(pa.int64()))],
                                              names=["_key", "labels"])
     return rows.mapInArrow(run, "_key string, labels array<long>")
@@ -135,11 +147,63 @@ class _Overlaps:
         return np.bincount(owner[at], minlength=len(self.sets))
 
 
-_FOUND = pa.schema([("_key", pa.string()), ("links", pa.int64()), ("other", pa.string())])
+def _jaccard_at_least(a, b, inter, threshold: float):
+    return inter >= threshold * (a + b - inter) - 1e-9
 
 
-def _verify(threshold: float):
-    """Group function over one pair of blocks of one trie node (``lone``: blocks that differ)."""
+def _attach(threshold: float):
+    """Group function over a candidate representative (``first``) and texts that share a label with it: the texts that
+    join its cluster."""
+    def run(table: pa.Table) -> pa.Table:
+        first = table.column("first").to_pylist()
+        keys = table.column("_key").to_pylist()
+        sets = table.column("shingles")
+        lead = np.frombuffer(sets[first.index(True)].as_py(), U64)
+        joined = []
+        for i, k in enumerate(keys):
+            x = np.frombuffer(sets[i].as_py(), U64)
+            small, large = sorted((x, lead), key=len)
+            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+            if not first[i] and _jaccard_at_least(len(x), len(lead), np.count_nonzero(large[at] == small), threshold):
+                joined.append(k)
+        return pa.table({"_key": pa.array(joined, pa.string()),
+                         "cluster": pa.array([keys[first.index(True)]] * len(joined), pa.string())})
+    return run
+
+
+def clusters_of(sk: DataFrame, payload: DataFrame, threshold: float, block: int) -> DataFrame:
+    """``_key, cluster`` (the representative's key) of the texts that join one; representatives are not listed.
+
+    ``sk``: ``_key, labels`` of the distinct texts, ``payload``: ``_key, shingles`` of those that share a label, both staged.
+    """
+    member = sk.select("_key", F.posexplode("labels").alias("tree", "label")).select(
+        "_key", F.xxhash64("tree", "label").alias("node"))
+    heads, seen = stage_table(member.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.min("_key").alias("lead")).filter("_n > 1"),
+                              "label-heads", {"n": F.sum("_n")})
+    near = join_heads(member, heads, "node", int(seen["n"] or 0)).groupBy("_key").agg(F.min("lead").alias("lead"))
+    near, seen = stage_table(near, "leads", {"n": F.count(F.lit(1))})
+    # a representative is the smallest text of all its nodes
+    roots = near.filter(F.col("lead") == F.col("_key")).select("lead")
+    wanting = near.filter(F.col("lead") != F.col("_key"))
+    leads = stage_table(wanting.groupBy("lead").agg(F.count(F.lit(1)).alias("_n")).join(roots, "lead").withColumn(
+        "parts", F.ceil(F.col("_n") / block).cast("int")), "representatives")
+    texts = join_heads(wanting, leads, "lead", int(seen["n"] or 0)).select(
+        "_key", "lead", F.pmod(F.xxhash64("_key"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("first"))
+    own = leads.select(F.col("lead").alias("_key"), "lead", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                       F.lit(True).alias("first"))
+    rows = stage_table(texts.unionByName(own), "attachments")
+    full = rows.join(payload, "_key")
+    return full.groupBy("lead", "part").applyInArrow(_attach(threshold), "_key string, cluster string")
+
+
+_FOUND = pa.schema([("_key", pa.string()), ("links", pa.int64()), ("other", pa.string()), ("similar", pa.int32())])
+
+
+def _verify(threshold: float, depth: int):
+    """Group function over one pair of blocks of one trie node (``lone``: blocks that differ): per text its links, the
+    edges of a spanning forest, and how many links have which similarity."""
+    shift, deeper = np.int64(BITS * (DEPTH - depth)), np.int64(BITS * (DEPTH - depth - 1))
+
     def run(table: pa.Table) -> pa.Table:
         tree, lone = table.column("tree")[0].as_py(), table.column("lone")[0].as_py()
         once = {k: i for i, k in enumerate(table.column("_key").to_pylist())}  # repeated rows count once
@@ -147,11 +211,13 @@ def _verify(threshold: float):
         key = table.column("_key").to_pylist()
         labels = np.array(table.column("labels").to_pylist(), np.int64)
         sets = [np.frombuffer(x, U64) for x in table.column("shingles").to_pylist()]
+        of = np.unique(np.array(table.column("cluster").to_pylist()), return_inverse=True)[1]
         side = table.column("side").to_numpy()
         rows = np.flatnonzero(side == 0)
         cols = np.flatnonzero(side == 1) if lone else rows
         size = np.array([len(x) for x in sets])
         links = np.zeros(len(key), np.int64)
+        similar: dict[int, int] = {}
         root = list(range(len(key)))
         edges: list[tuple[int, int]] = []
 
@@ -166,13 +232,21 @@ def _verify(threshold: float):
             part = rows[s:s + 64]
             a, b = size[part][:, None], size[cols][None, :]
             ok = np.minimum(a, b) >= threshold * np.maximum(a, b) - 1e-9  # no pair beyond this ratio can reach it
-            for t in range(tree):  # an earlier tree in which the labels agree has verified the pair
-                ok &= labels[part, t][:, None] != labels[cols, t][None, :]
+            ok &= of[part][:, None] != of[cols][None, :]
+            for t in range(labels.shape[1]):
+                x, y = labels[part, t][:, None], labels[cols, t][None, :]
+                if t < tree:  # an earlier tree in which the prefixes agree has verified the pair
+                    ok &= x >> shift != y >> shift
+                elif depth < DEPTH:  # a longer prefix has
+                    ok &= x >> deeper != y >> deeper
             if not lone:
                 ok &= part[:, None] < cols[None, :]
             for i in np.flatnonzero(ok.any(axis=1)).tolist():
                 inter = overlaps.sizes(sets[part[i]], ok[i])
-                ok[i] &= inter >= threshold * (a[i] + b[0] - inter) - 1e-9
+                ok[i] &= _jaccard_at_least(a[i], b[0], inter, threshold)
+                for c in np.flatnonzero(ok[i]).tolist():
+                    level = int(1000 * inter[c] // (a[i, 0] + b[0, c] - inter[c]))
+                    similar[level] = similar.get(level, 0) + 1
             for r, c in zip(*np.nonzero(ok), strict=True):
                 x, y = int(part[r]), int(cols[c])
                 links[x] += 1
@@ -183,49 +257,86 @@ def _verify(threshold: float):
                     edges.append((x, y))
         hit = np.flatnonzero(links).tolist()
         return pa.table([
-            pa.array([key[i] for i in hit] + [key[a] for a, _ in edges], pa.string()),
-            pa.array([int(links[i]) for i in hit] + [0] * len(edges), pa.int64()),
-            pa.array([None] * len(hit) + [key[b] for _, b in edges], pa.string()),
+            pa.array([key[i] for i in hit] + [key[a] for a, _ in edges] + [None] * len(similar), pa.string()),
+            pa.array([int(links[i]) for i in hit] + [0] * len(edges) + list(similar.values()), pa.int64()),
+            pa.array([None] * len(hit) + [key[b] for _, b in edges] + [None] * len(similar), pa.string()),
+            pa.array([None] * (len(hit) + len(edges)) + list(similar), pa.int32()),
         ], schema=_FOUND)
 
     return run
 
 
-def text_links(rows: DataFrame, threshold: float = 0.8, size: int = 5, trees: int = 16, max_depth: int = 6,
-               target_recall: float = 0.9999, block: int = 512) -> tuple[DataFrame, DataFrame]:
-    """``(_key, n_links)`` and edges ``(a, b)`` connecting the linked texts.
+def _level(texts: DataFrame, payload: DataFrame, threshold: float, depth: int, block: int) -> DataFrame:
+    """What the nodes of one depth find (``texts``: ``_key, labels, cluster``, staged)."""
+    each = texts.select("_key", "cluster", F.posexplode("labels").alias("tree", "label"))
+    prefix = F.shiftright("label", BITS * (DEPTH - depth))
+    child = F.shiftright("label", BITS * (DEPTH - depth - 1)) if depth < DEPTH else F.col("_key")
+    member = each.select("_key", "cluster", "tree", F.xxhash64("tree", prefix).alias("node"), child.alias("_child"))
+    nodes = member.groupBy("node").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("cluster").alias("_c0"), F.max("cluster").alias("_c1"),
+        F.min("_child").alias("_k0"), F.max("_child").alias("_k1"))
+    nodes = nodes.filter("_n > 1 AND _c0 <> _c1 AND _k0 <> _k1").select("node", "_n", F.ceil(F.col("_n") / block).cast("int").alias("nb"))
+    nodes, seen = stage_table(nodes, "nodes", {"n": F.sum("_n")})
+    # block numbers by hash: a text of a large node goes with every block of the node once
+    placed = join_heads(member.select("_key", "tree", "node"), nodes, "node", int(seen["n"] or 0)).withColumn(
+        "mine", F.pmod(F.xxhash64("_key"), F.col("nb")).cast("int"))
+    dealt = placed.select("_key", "tree", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
+    dealt = dealt.select("_key", "tree", "node", F.least("mine", "o").alias("x"), F.greatest("mine", "o").alias("y"),
+                         F.when(F.col("mine") <= F.col("o"), 0).otherwise(1).alias("side"))
+    full = dealt.withColumn("lone", F.col("x") != F.col("y")).join(payload.join(texts, "_key"), "_key")
+    found = full.groupBy("node", "x", "y").applyInArrow(
+        _verify(threshold, depth), "_key string, links long, other string, similar int")
+    return stage_table(found, f"links-{depth}")
+
+
+def text_links(rows: DataFrame, threshold: float = 0.8, size: int = 5, trees: int = 16, target_recall: float = 0.9999,
+               block: int = 512) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(_key, cluster)`` of clustered texts, ``(_key, n_links)`` of links outside the own cluster, and edges ``(a, b)`` that
+    connect the clusters of linked texts (a text without a cluster is its own).
 
     ``rows`` has ``_key, _id, _text``; rows may repeat a text.
     """
     ship_package(rows.sparkSession)
-    depth = choose_depth(trees, max_depth, threshold, target_recall)
-    sk = stage_table(_sketch(rows.select("_key", "_text"), trees, max_depth, depth, size), "sketches")
-    sk = sk.dropDuplicates(["_key"])
-    member = sk.select("_key", F.posexplode("labels").alias("tree", "node"))
-    nodes = member.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    nb = F.ceil(F.col("n") / block).cast("int")
-    # block numbers by hash: a text of a large node goes with every block of the node once
-    placed = stage_table(member.join(nodes, ["tree", "node"]).select(
-        "_key", "tree", "node", nb.alias("nb"), F.pmod(F.xxhash64("_key"), nb).cast("int").alias("mine")), "nodes")
-    wanted, seen = stage_table(placed.select(F.col("_key").alias("_want")).distinct(), "wanted",
-                               {"n": F.count(F.lit(1))})
+    sk = stage_table(_sketch(rows.select("_key", "_text"), trees, size).dropDuplicates(["_key"]), "sketches")
+    last = last_depth(trees, threshold, target_recall)
+    payload = _payload(rows, sk, last, size)
+    clusters = stage_table(clusters_of(sk, payload, 1 - (1 - threshold) / 2, block), "clusters")
+    # representatives are in their own cluster too
+    texts = stage_table(sk.join(clusters, "_key", "left").select("_key", "labels", F.coalesce("cluster", "_key").alias("cluster")), "texts")
+    found, similar = None, {}
+    for depth in range(DEPTH, last - 1, -1):
+        level = _level(texts, payload, threshold, depth, block)
+        found = level if found is None else found.unionByName(level)
+        for r in level.filter("similar IS NOT NULL").groupBy("similar").agg(F.sum("links").alias("n")).collect():
+            similar[r["similar"]] = similar.get(r["similar"], 0) + r["n"]  # at most 1001 rows
+        recall = estimated_recall(similar, depth, trees)
+        if recall is not None and recall >= target_recall:
+            break
+    found = found.filter("similar IS NULL")
+    links = found.groupBy("_key").agg(F.sum("links").alias("n_links")).filter("n_links > 0")
+    own = texts.select("_key", "cluster")
+    edges = found.filter(F.col("other").isNotNull()).select("_key", "other")
+    edges = edges.join(own, "_key").select(F.col("cluster").alias("a"), F.col("other").alias("_key")).join(own, "_key").select(
+        "a", F.col("cluster").alias("b"))
+    return clusters, links, edges.distinct()
+
+
+def _payload(rows: DataFrame, sk: DataFrame, depth: int, size: int) -> DataFrame:
+    """``_key, shingles`` of the texts that meet another one at ``depth``, staged."""
+    each = sk.select("_key", F.posexplode("labels").alias("tree", "label"))
+    member = each.select("_key", F.xxhash64("tree", F.shiftright("label", BITS * (DEPTH - depth))).alias("node"))
+    nodes, met = stage_table(member.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "shared-nodes", {"n": F.sum("_n")})
+    wanted, seen = stage_table(join_heads(member, nodes, "node", int(met["n"] or 0)).select(F.col("_key").alias("_want")).distinct(),
+                               "wanted", {"n": F.count(F.lit(1))})
     chosen = rows.groupBy("_key").agg(F.min(F.struct(F.col("_id").isNull(), "_id")).alias("_one")).select(
         F.col("_key").alias("_ckey"), F.col("_one._id").alias("_cid"))
     small = int(seen["n"] or 0) <= BROADCAST_KEYS
     wanted = wanted.join(chosen, F.col("_want") == F.col("_ckey"))
-    # one row of each text (rows that repeat its id too are dropped again where they meet)
+    # one row of each text
     texts = rows.join(F.broadcast(wanted) if small else wanted,
                       (F.col("_key") == F.col("_want")) & F.col("_id").eqNullSafe(F.col("_cid")), "left_semi")
-    payload = _shingle_sets(texts.select("_key", "_text"), size).join(sk, "_key")
-    dealt = placed.select("_key", "tree", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
-    dealt = dealt.select("_key", "tree", "node", F.least("mine", "o").alias("x"), F.greatest("mine", "o").alias("y"),
-                         F.when(F.col("mine") <= F.col("o"), 0).otherwise(1).alias("side"))
-    full = dealt.withColumn("lone", F.col("x") != F.col("y")).join(payload, "_key")
-    found = full.groupBy("tree", "node", "x", "y").applyInArrow(_verify(threshold), "_key string, links long, other string")
-    found = stage_table(found, "links")
-    links = found.groupBy("_key").agg(F.sum("links").alias("n_links"))
-    edges = found.filter(F.col("other").isNotNull()).select(F.col("_key").alias("a"), F.col("other").alias("b"))
-    return links, edges.distinct()
+    # (rows that repeat its id too are dropped where they meet)
+    return stage_table(_shingle_sets(texts.select("_key", "_text"), size).dropDuplicates(["_key"]), "shingles")
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -257,16 +368,27 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``class_id`` (smallest id reachable through links or equal texts), ``n_links`` (different texts linked)."""
     rows = id_text(docs, id_col, text_col)
     rows = rows.select(text_key(F.col("_text")).alias("_key"), "_id", "_text")
-    members = stage_table(rows.select("_key", "_id"), "members")
-    links, edges = text_links(rows, threshold, **options)
-    labels = components(edges).select(F.col("node").alias("_key"), F.col("label").alias("_class"))
-    firsts = members.groupBy("_key").agg(F.min("_id").alias("text_id"))
-    per_text = firsts.join(links, "_key", "left").join(labels, "_key", "left").select(
-        "_key", "text_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    members, all_rows = stage_table(rows.select("_key", "_id"), "members", {"n": F.count(F.lit(1))})
+    n_rows = int(all_rows["n"] or 0)
+    clusters, links, edges = text_links(rows, threshold, **options)
+    # a cluster's label comes to its texts; every two of them are linked
+    joined = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"))
+    found = components(edges).select(F.col("node").alias("cluster"), F.col("label").alias("_found"))
+    labels = stage_table(joined.join(found, "cluster", "full").select(
+        "cluster", F.coalesce("_n", F.lit(0)).alias("_n"), F.coalesce("_found", "cluster").alias("_class")), "cluster-labels")
+    of_leads = labels.select(F.col("cluster").alias("_key"), "_class", F.col("_n").alias("_inside"))
+    heads = labels.filter("_n > 0").select("cluster", "_n", "_class", F.col("_n").alias("_inside"))
+    of_texts = join_heads(clusters, heads, "cluster", n_rows).select("_key", "_class", "_inside")
+    labelled = of_leads.unionByName(of_texts)
+    firsts = members.groupBy("_key").agg(F.min("_id").alias("text_id"), F.count(F.lit(1)).alias("_rows"))
+    per_text = firsts.join(links, "_key", "left").join(labelled, "_key", "left").select(
+        "_key", "text_id", "_rows", (F.coalesce("n_links", F.lit(0)) + F.coalesce("_inside", F.lit(0))).cast("long").alias("n_links"),
         F.coalesce("_class", "_key").alias("_class"))
-    heads = per_text.groupBy("_class").agg(F.min("text_id").alias("class_id"))
-    per_text = per_text.join(heads, "_class").select("_key", "text_id", "class_id", "n_links")
-    return members.join(per_text, "_key").select("_id", "_key", "text_id", "class_id", "n_links")
+    per_text = stage_table(per_text, "per-text")
+    classes = per_text.groupBy("_class").agg(F.min("text_id").alias("class_id"), F.count(F.lit(1)).alias("_n"))
+    per_text = join_heads(per_text, classes, "_class", n_rows).select("_key", "text_id", "class_id", "n_links", F.col("_rows").alias("_n"))
+    return join_heads(members, stage_table(per_text, "text-classes"), "_key", n_rows).select(
+        "_id", "_key", "text_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,

@@ -69,6 +69,40 @@ def test_noisy_or_gradient_matches_definition():
     assert score == pytest.approx(1 - np.prod([1 - x for x in p]))
 
 
+def test_training_follows_the_numeric_gradient():
+    """Three Adam steps with gradients by finite differences of the definition give the trained weights."""
+    rows, labels = _toxic_rows(160)
+    texts, y = [t for _, t, _ in rows], [v for _, v in labels]
+    model = toxicity.fit_noisy_or(texts, y, steps=3)
+    names = [k for k in model if k != toxicity.BIAS]
+    assert names
+    bags = {t: v for t, v in sorted(zip(texts, y))}
+    docs = []
+    for t in bags:
+        sents = []
+        for sentence in toxicity._SENTENCE.findall(t.lower()):
+            feats = {f for w in set(toxicity._WORD.findall(sentence)) for f in toxicity.word_features(w)}
+            sents.append(np.array([n in feats for n in names], float))
+        docs.append(np.array(sents))
+    truth = np.array(list(bags.values()))
+
+    def loss(theta):
+        out = 0.5e-4 * float((theta[:-1] ** 2).sum())
+        for x, v in zip(docs, truth):
+            p = 1 - np.prod(1 - 1 / (1 + np.exp(-(x @ theta[:-1] + theta[-1]))))
+            out -= np.log(p if v else 1 - p)
+        return out / len(docs)
+
+    theta = np.append(np.zeros(len(names)), -5.0)
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    for step in (1, 2, 3):
+        grad = np.array([(loss(theta + e) - loss(theta - e)) / 2e-5 for e in np.eye(len(theta)) * 1e-5])
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
+        theta = theta - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
+    assert [model[n] for n in names] == pytest.approx(theta[:-1].tolist(), abs=2e-3)
+    assert model[toxicity.BIAS] == pytest.approx(theta[-1], abs=2e-3)
+
+
 # ------------------------------------------------------------------ line spread
 def test_boilerplate_lines(spark):
     rng = random.Random(8)
@@ -160,48 +194,126 @@ def _classes(rows, threshold=0.8):
 def test_jaccard_classes(spark, block):
     rows = _near_rows()
     want = _classes(rows)
-    got = lsh_forest.similarity_classes(frame(spark, rows), block=block, trees=24).collect()
+    got = lsh_forest.similarity_classes(frame(spark, rows), block=block).collect()
     assert sorted((str(r._id), r.text_id, r.class_id, r.n_links) for r in got) == sorted(
         (str(i), *want[t or ""]) for i, t, _ in rows)
 
 
-@pytest.mark.parametrize("lone", [False, True])
-@pytest.mark.parametrize("tree", [0, 3])
-def test_verify_counts_each_pair_once(lone, tree):
-    rng = np.random.default_rng(5)
+def _sets(n=60, seed=5):
+    rng = np.random.default_rng(seed)
     base = rng.integers(0, 2**63, 40, dtype=np.uint64)
     sets = []
-    for n in range(60):
+    for k in range(n):
         x = base[:rng.integers(30, 41)].copy()
-        x[:rng.integers(0, 5)] += np.uint64(n + 1)
+        x[:rng.integers(0, 5)] += np.uint64(k + 1)
         sets.append(np.unique(x))
-    labels = np.array([lsh_forest.labels_of(x, 16, 6, 3).view(np.int64) for x in sets])
+    return sets
+
+
+def _jaccard(a, b):
+    return len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+
+
+@pytest.mark.parametrize("lone", [False, True])
+@pytest.mark.parametrize("tree, depth", [(0, 5), (3, 5), (3, 3), (15, 2)])
+def test_verify_counts_each_pair_once(lone, tree, depth):
+    sets = _sets()
+    labels = np.array([lsh_forest.labels_of(x, 16) for x in sets])
     side = [i % 2 if lone else 0 for i in range(60)]
-    got = lsh_forest._verify(0.8)(pa.table({
+    cluster = [i // 3 if i < 12 else i for i in range(60)]
+    got = lsh_forest._verify(0.8, depth)(pa.table({
         "tree": pa.array([tree] * 60), "lone": pa.array([lone] * 60), "side": pa.array(side),
         "_key": pa.array([str(i) for i in range(60)]), "labels": pa.array(labels.tolist(), pa.list_(pa.int64())),
+        "cluster": pa.array([str(c) for c in cluster]),
         "shingles": pa.array([x.tobytes() for x in sets], pa.binary())})).to_pylist()
+
+    def new(i, j):
+        p, q = labels[i] >> 12 * (5 - depth), labels[j] >> 12 * (5 - depth)
+        longer = depth < 5 and (labels[i] >> 12 * (4 - depth) == labels[j] >> 12 * (4 - depth))[tree:].any()
+        return cluster[i] != cluster[j] and not (p == q)[:tree].any() and not longer
+
     pairs = [(i, j) for i in range(60) for j in range(i) if not (lone and side[i] == side[j])
-             and not (labels[i, :tree] == labels[j, :tree]).any()
-             and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+             and new(i, j) and _jaccard(sets[i], sets[j]) >= 0.8]
     want = Counter(str(i) for p in pairs for i in p)
-    assert pairs and {r["_key"]: r["links"] for r in got if r["other"] is None} == want
+    assert {r["_key"]: r["links"] for r in got if r["other"] is None and r["_key"]} == want
     assert {frozenset((int(r["_key"]), int(r["other"]))) for r in got if r["other"]} <= set(map(frozenset, pairs))
+    levels = Counter(int(1000 * len(np.intersect1d(sets[i], sets[j])) // len(np.union1d(sets[i], sets[j]))) for i, j in pairs)
+    assert {r["similar"]: r["links"] for r in got if r["similar"]} == levels
+
+
+def test_every_pair_is_verified_at_one_level():
+    """Over all trees and levels down to the last, each linked pair that shares a prefix is counted exactly once."""
+    sets = _sets(40, 9)
+    labels = np.array([lsh_forest.labels_of(x, 16) for x in sets])
+    counted = Counter()
+    for depth in (5, 4, 3):
+        for tree in range(16):
+            nodes = defaultdict(list)
+            for i, label in enumerate(labels[:, tree] >> 12 * (5 - depth)):
+                nodes[label].append(i)
+            for members in nodes.values():
+                got = lsh_forest._verify(0.8, depth)(pa.table({
+                    "tree": pa.array([tree] * len(members)), "lone": pa.array([False] * len(members)),
+                    "side": pa.array([0] * len(members)), "_key": pa.array([str(i) for i in members]),
+                    "labels": pa.array(labels[members].tolist(), pa.list_(pa.int64())),
+                    "cluster": pa.array([str(i) for i in members]),
+                    "shingles": pa.array([sets[i].tobytes() for i in members], pa.binary())})).to_pylist()
+                counted.update({r["_key"]: r["links"] for r in got if r["other"] is None and r["_key"]})
+    meets = [(i, j) for i in range(40) for j in range(i) if _jaccard(sets[i], sets[j]) >= 0.8
+             and (labels[i] >> 24 == labels[j] >> 24).any()]
+    assert meets and counted == Counter(str(i) for p in meets for i in p)
+
+
+def test_recall_against_an_exact_join(spark):
+    """Links found at the registered parameters, pairs close to the threshold included."""
+    rng = random.Random(31)
+    rows = []
+    for g in range(60):
+        base = [f"w{rng.randrange(4000)}" for _ in range(rng.choice([40, 120, 300]))]
+        for k in range(6):
+            c = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 70))):
+                c[rng.randrange(len(c))] = f"n{rng.randrange(10**6)}"
+            rows.append((100 * g + k, " ".join(c), "s"))
+    want = {i: n for i, _, n in _classes(rows).values()}
+    got = {r._id: r.n_links for r in lsh_forest.similarity_classes(frame(spark, rows)).collect()}
+    assert sum(want.values()) > 500  # both ends of a link
+    assert all(got[i] <= n for i, n in want.items())
+    assert sum(got[i] for i in want) >= 0.999 * sum(want.values())
+
+
+def test_a_large_group_of_near_copies(spark):
+    """All pairs are linked: the cluster counts them without comparing members with each other."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(4000)}" for _ in range(400)]
+    rows = []
+    for k in range(900):
+        c = list(base)
+        c[rng.randrange(len(c))] = f"n{k}"
+        rows.append((k, " ".join(c), "s"))
+    rows += [(5000 + k, rows[0][1], "s") for k in range(1500)]
+    got = lsh_forest.similarity_classes(frame(spark, rows), block=64).collect()
+    assert len(got) == 2400 and {r.n_links for r in got} == {899} and {r.class_id for r in got} == {0}
 
 
 def test_keep_one(spark):
     rows = _near_rows()
     docs = frame(spark, rows)
-    kept = lsh_forest.keep_one(docs, trees=24)
+    kept = lsh_forest.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c, _ in _classes(rows).values()})
     assert lsh_forest.keep_one(docs.limit(0)).count() == 0
 
 
-def test_depth_follows_recall():
-    assert lsh_forest.choose_depth(16, 6, 0.8, 0.9999) == 3
-    assert lsh_forest.choose_depth(16, 6, 0.8, 0.995) == 5
-    assert lsh_forest.choose_depth(2, 6, 0.5, 0.9999) == 1
+def test_descent_follows_recall():
+    assert lsh_forest.last_depth(16, 0.8, 0.9999) == 3
+    assert lsh_forest.last_depth(16, 0.8, 0.995) == 5
+    assert lsh_forest.last_depth(2, 0.5, 0.9999) == 1
+    # links of high similarity stop the descent early, links near the threshold do not
+    assert lsh_forest.estimated_recall({950: 100, 900: 50}, 5, 16) >= 0.9999
+    assert lsh_forest.estimated_recall({950: 100, 800: 50}, 5, 16) < 0.9999
+    assert lsh_forest.estimated_recall({}, 5, 16) is None
+
 
 
 def test_components_of_a_long_chain(spark):
