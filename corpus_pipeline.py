@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from seqweave.llm import decontam, line_spread, lsh_forest, packing_gga, toxicity
 from seqweave.llm.common import table
 from seqweave.llm.queries import bpe_path, toxicity_model
-from seqweave.plans.stage import stage_table
+from seqweave.plans.stage import stage_table, stages_removed
 
 #: Learnt weights and genetic packing have no SQL; tests compare the stages with brute-force versions.
 ORACLE_SQL = None
@@ -73,5 +73,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stage_table(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        with stages_removed(spark):  # a stage's own tables go, its result stays
+            docs = stage_table(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"), keep=True)
     return docs
