@@ -111,10 +111,16 @@ def _bucketed(df: DataFrame, name: str, n: int, keys: list[str]) -> DataFrame:
 def stage_buckets(df: DataFrame, name: str, keys: list[str], n: int) -> DataFrame:
     """Stage ``df`` dealt into ``n`` buckets by ``keys``: it is shuffled once, and groupings, cogroupings and joins on
     ``keys`` read it without another shuffle."""
-    n = max(int(n), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = _bucket_count(df.sparkSession, n)
     return _bucketed(df.repartition(n, *keys), name, n, keys)
 
 
+def _bucket_count(spark, wanted: int) -> int:
+    """At least a shuffle's partitions (so that a join keeps the buckets), at most what Spark allows."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(int(wanted), least), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+
+
 def stage_parts(df: DataFrame, name: str, parts: int = 0) -> DataFrame:
     """Stage ``df`` in one bucket per writing task, with ``_part`` (names the task) and ``_pos`` (place in it, from 0).
 
@@ -122,7 +128,7 @@ def stage_parts(df: DataFrame, name: str, parts: int = 0) -> DataFrame:
     share a bucket.  Joins and groupings on ``_part`` leave the rows where they are.
     """
     spark = df.sparkSession
-    n = max(int(parts), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = _bucket_count(spark, parts)
     numbered = df.withColumn("_m", F.monotonically_increasing_id()).withColumn(
         "_b", F.pmod(F.shiftright("_m", 33), F.lit(n)).cast("int"))
     named = numbered.join(F.broadcast(_task_labels(spark, n)), "_b", "left").select(
