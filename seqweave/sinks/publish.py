@@ -39,11 +39,11 @@ class Folder:
     def exists(self, name: str) -> bool:
         return self.fs.exists(self.at(name))
 
-    def names(self, name: str) -> list[tuple[str, bool]]:
-        """(name, is a file) of a folder's entries; none if it does not exist."""
+    def names(self, name: str) -> list[str]:
+        """Names of a folder's entries; none if it does not exist."""
         if not self.exists(name) or self.fs.getFileStatus(self.at(name)).isFile():
             return []
-        return [(s.getPath().getName(), s.isFile()) for s in self.fs.listStatus(self.at(name))]
+        return [s.getPath().getName() for s in self.fs.listStatus(self.at(name))]
 
     def read(self, name: str) -> dict:
         stream = self.fs.open(self.at(name))
@@ -92,8 +92,8 @@ def publish(spark, path: str, job: str, moves: list[tuple[str, str]], drops: lis
 def recover(spark, path: str) -> None:
     """Finish what a driver that died while publishing into ``path`` has left."""
     folder = Folder(spark, path)
-    for name, is_file in folder.names(""):
-        if is_file and name.startswith(JOURNAL):
+    for name in folder.names(""):
+        if name.startswith(JOURNAL):
             _carry_out(folder, name)
 
 
@@ -132,7 +132,7 @@ def publish_files(spark, path: str, job: str, overwrite: bool, fmt: str) -> None
 
     def earlier(stem: str) -> list[str]:
         ends = (f".{fmt}", f".{fmt}.index")
-        found = [posixpath.join(stem, n) for n, is_file in folder.names(stem) if is_file and n.endswith(ends)]
+        found = [posixpath.join(stem, n) for n in folder.names(stem) if n.endswith(ends)]
         for one in (stem + e for e in ends):
             if folder.exists(one) and folder.fs.getFileStatus(folder.at(one)).isFile():
                 found.append(one)
@@ -147,7 +147,7 @@ def publish_files(spark, path: str, job: str, overwrite: bool, fmt: str) -> None
 
 
 def publish_partitions(spark, path: str, job: str, drops: list[str]) -> None:
-    """Publish the partition folders of a Parquet table written to the job's temporary folder."""
+    """Publish the ``file_stem=`` folders of a Parquet table written to the job's temporary folder."""
     folder = Folder(spark, path)
-    made = [n for n, is_file in folder.names(temporary(job)) if not is_file and not n.startswith(("_", "."))]
+    made = [n for n in folder.names(temporary(job)) if n.startswith("file_stem=")]
     publish(spark, path, job, [(posixpath.join(temporary(job), n), n) for n in made], [d for d in drops if d not in made])
