@@ -82,8 +82,8 @@ def test_block_size_and_long_texts_do_not_change_scores(spark):
     """Blocks of 1 MB and 32 MB; a text far above a block, one long word, and many short texts."""
     rng = random.Random(8)
     vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(500)]
-    rows = [(i, " ".join(rng.choices(vocabulary, k=200)), i % 5 != 1) for i in range(300)]
-    rows += [(1000, " ".join(rng.choices(vocabulary, k=500_000)), True), (1001, "Wx" * 1_200_000, True), (1002, "wx" * 1_200_000, False)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=200)), i % 5 != 1) for i in range(100)]
+    rows += [(1000, " ".join(rng.choices(vocabulary, k=250_000)), True), (1001, "Wx" * 1_200_000, True), (1002, "wx" * 1_200_000, False)]
     df = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3)
     got = []
     for block, size in ((1_000_000, 1_000_000), (32_000_000, 1_000_000), (32_000_000, 50_000_000)):
