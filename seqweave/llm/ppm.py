@@ -340,7 +340,9 @@ def _score(order: int, out: pa.Schema, size: int):
                 n[i:j] += np.bincount(s.of, minlength=j - i)
                 known[i:j] += np.bincount(s.of, c > 0, j - i).astype(np.int64)
                 logs[i:j] += np.bincount(s.of, np.log10(c + 0.5), j - i)
-                score[i:j] += np.add.reduceat(bits[np.searchsorted(gram, s.grams)], s.offsets)
+                # looked up in ascending order: neighbours share the cache lines of the search
+                distinct, place = np.unique(s.grams, return_inverse=True)
+                score[i:j] += np.add.reduceat(bits[np.searchsorted(gram, distinct)][place], s.offsets)
             parts.append((n, known, logs, score))
         columns = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
         return pa.Table.from_arrays([texts.column("_id"), *columns], schema=out)
