@@ -25,6 +25,8 @@ core, are counted, and no such core meets in one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +37,7 @@ from seqweave.plans.stage import stage_table
 from seqweave.session import ship_package
 
 GRAM = 16  # bytes hashed at a place
-SEGMENT = 1_000_000  # bytes scanned at a time; a longer text is scanned in overlapping segments
+SEGMENT = 400_000  # bytes scanned at a time; a longer text is scanned in overlapping segments
 _LOW = (1 << 24) - 1
 
 
@@ -176,7 +178,7 @@ def _segments(texts: list[bytes], length: int) -> list[tuple[int, int, bytes]]:
     return out
 
 
-def _joined(keys: list, texts: list[str], length: int, met: set):
+def _joined(keys: list, texts: Iterable[str], length: int, met: set):
     """Groups of (key, offset, bytes) of about ``SEGMENT`` bytes, texts met before in this task left out."""
     batch, size = [], 0
     for key, text in zip(keys, texts, strict=True):
@@ -198,7 +200,7 @@ def core_table(rows: DataFrame, length: int, spread: int) -> DataFrame:
     def run(batches):
         met: set[int] = set()
         for b in batches:
-            for part in _joined(b.column(0).to_pylist(), b.column(1).to_pylist(), length, met):
+            for part in _joined(b.column(0).to_pylist(), (x.as_py() for x in b.column(1)), length, met):
                 a = Anchors([p for _, _, p in part], length, spread)
                 key = np.array([k for k, _, _ in part], np.int64)[a.text] if len(a.at) else np.empty(0, np.int64)
                 off = np.array([s for _, s, _ in part], np.int64)
@@ -224,7 +226,7 @@ def record_table(rows: DataFrame, length: int, spread: int, step: int, wanted: n
         for b in batches:
             keys = b.column(0).to_pylist()
             cores = dict(zip(keys, b.column(2).to_pylist(), strict=True)) if shared is None else {}
-            for part in _joined(keys, b.column(1).to_pylist(), length, met):
+            for part in _joined(keys, (x.as_py() for x in b.column(1)), length, met):
                 a = Anchors([p for _, _, p in part], length, spread)
                 if shared is None:
                     want = np.sort(np.array([c for k in {k for k, _, _ in part} for c in cores[k] or ()], np.int64))
