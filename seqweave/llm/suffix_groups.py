@@ -387,17 +387,18 @@ def duplicate_windows(rows: DataFrame, length: int = 400, spread: int = 256, ste
         records = record_table(found, length, spread, step, None)
     records = stage_table(records, "suffix-records")
     record = ["h1", "h2", "left", "right"]
-    distinct = records.groupBy(*record).agg(F.min(place).alias("a"), F.max(place).alias("b")).select(
-        *record, (F.col("a") != F.col("b")).alias("many"))
     heavy, seen = stage_table(heavy_cores(records, step, shard_symbols), "suffix-heavy", {"n": F.count(F.lit(1))})
-    light = distinct
-    if n_heavy := int(seen["n"] or 0):
-        heavy = F.broadcast(heavy) if n_heavy <= broadcast_cores else heavy
-        light = distinct.join(heavy, "h1", "left_anti")
-    shards = light.repartition("h1", "h2").sortWithinPartitions("h1", "h2")
+    n_heavy = int(seen["n"] or 0)
+    marked = records.withColumn("_heavy", F.lit(None).cast("boolean"))
+    if n_heavy:
+        heavy = heavy.withColumn("_heavy", F.lit(True))
+        marked = records.join(F.broadcast(heavy) if n_heavy <= broadcast_cores else heavy, "h1", "left")
+    distinct = marked.groupBy(*record).agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("_heavy").alias("_heavy")).select(
+        *record, (F.col("a") != F.col("b")).alias("many"), F.coalesce("_heavy", F.lit(False)).alias("_heavy"))
+    shards = distinct.filter(~F.col("_heavy")).drop("_heavy").repartition("h1", "h2").sortWithinPartitions("h1", "h2")
     masks = shards.mapInArrow(_decide(step, shard_symbols), "h1 long, h2 long, left binary, right binary, mask long")
     if n_heavy:
-        counted = stage_table(distinct.join(heavy, "h1", "left_semi"), "suffix-counted")
+        counted = stage_table(distinct.filter("_heavy").drop("_heavy"), "suffix-counted")
         masks = masks.unionByName(counted_masks(counted, step))
     masks = stage_table(masks, "suffix-masks")
     return records.join(masks, record).select("key", "at", "mask")
