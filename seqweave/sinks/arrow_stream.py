@@ -16,9 +16,9 @@ Paths: the caller passes a path qualified by Spark's file systems
 (``qualified``); ``file:``, ``hdfs:``, ``s3(a|n):``, ``gs:`` and ``abfs(s):``
 can be written, any other scheme is refused before the job starts.
 
-Beside each file stands its index ``<file>.index`` (Parquet: ``bin, at, offset, length, row``): which
+Each file has an index ``<out>/_index/<file>.index`` (Parquet: ``bin, at, offset, length, row``): which
 bytes of the file hold a bin and its place among the rows there, so a bin can be read without its
-predecessors (``read_single_bins``).
+predecessors (``read_single_bins``).  Lines that are no bins (``index=false``) have none.
 
 Layouts: ``parts`` writes ``<out>/<stem>/part-<bucket>.<ext>`` where bucket
 = bin // bins_per_part (many tasks per input file; each bucket is written by
@@ -87,6 +87,11 @@ def arrow_schema():
     return pa.schema([pa.field(c, pa.large_list(item), nullable=False) for c in ARROW_COLUMNS])
 
 
+def index_name(file: str) -> str:
+    """Name of a file's index, both relative to the output folder."""
+    return posixpath.join("_index", file + INDEX)
+
+
 class _Index:
     """Places of the bins of one open file."""
 
@@ -136,6 +141,7 @@ class _BinFilesWriter(DataSourceArrowWriter):
         self.prefix = options.get("prefix", "")
         self.bins_per_part = int(options.get("bins_per_part", "8192"))
         self.format = options.get("format", "arrow")
+        self.index = options.get("index", "true") == "true"
         if self.format not in FORMATS:
             raise ValueError(f"format not supported: {self.format}")
         check_scheme(self.path)
@@ -162,8 +168,10 @@ class _BinFilesWriter(DataSourceArrowWriter):
                 stream.close()
             if sink is not None:
                 sink.close()
-                index.write(fs, moves[-1][0])
-                moves.append((moves[-1][0] + INDEX, moves[-1][1], moves[-1][2] + INDEX))
+                tmp, stem, final = moves[-1]
+                if self.index:
+                    index.write(fs, tmp)
+                    moves.append((tmp + INDEX, stem, posixpath.join(root, index_name(posixpath.relpath(final, root)))))
 
         try:
             for batch in iterator:
@@ -281,13 +289,15 @@ def bin_index(spark, path: str, fmt: str = "arrow"):
 
     recover(spark, path)
     schema = "bin long, at long, offset long, length long, row int"
-    rows = spark.read.schema(schema).option("pathGlobFilter", f"*.{fmt}{INDEX}").option("recursiveFileLookup", "true").parquet(path)
+    rows = spark.read.schema(schema).option("pathGlobFilter", f"*.{fmt}{INDEX}").option("recursiveFileLookup", "true").parquet(f"{path.rstrip('/')}/_index")
     file = F.regexp_replace(F.col("_metadata.file_path"), r"\.index$", "")
     plain = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
-    inside = F.substring(plain, len(qualified(spark, path).rstrip("/")) + 2, 1 << 30)
+    root = qualified(spark, path).rstrip("/")
+    inside = F.substring(plain, len(qualified(spark, f"{root}/_index")) + 2, 1 << 30)
     stem = F.when(inside.contains("/"), F.regexp_extract(inside, r"^([^/]*)/", 1)).otherwise(
         F.regexp_replace(inside, rf"\.{fmt}$", ""))
-    return rows.select(stem.alias("file_stem"), "bin", plain.alias("path"), "at", "offset", "length", "row")
+    return rows.select(stem.alias("file_stem"), "bin", F.concat(F.lit(root + "/"), inside).alias("path"), "at", "offset", "length",
+                       "row")
 
 
 def read_single_bins(spark, path: str, wanted, fmt: str = "arrow"):

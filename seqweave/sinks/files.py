@@ -120,4 +120,4 @@ def write_lines(df: DataFrame, output_path: str, stem_col: str = "file_stem", li
     payload = payload.repartition("file_stem").sortWithinPartitions("file_stem", "bin")
     path = qualified(df.sparkSession, output_path)
     recover(df.sparkSession, path)
-    _save(payload, path, uuid.uuid4().hex, "jsonl", layout="file")
+    _save(payload, path, uuid.uuid4().hex, "jsonl", layout="file", index="false")

@@ -131,11 +131,12 @@ def publish_files(spark, path: str, job: str, overwrite: bool, fmt: str) -> None
                            "(file_stem, bin // bins_per_part) or use clustered=False")
 
     def earlier(stem: str) -> list[str]:
-        ends = (f".{fmt}", f".{fmt}.index")
-        found = [posixpath.join(stem, n) for n in folder.names(stem) if n.endswith(ends)]
-        for one in (stem + e for e in ends):
-            if folder.exists(one) and folder.fs.getFileStatus(folder.at(one)).isFile():
-                found.append(one)
+        found = []
+        for base, end in (("", f".{fmt}"), ("_index", f".{fmt}.index")):
+            inside = posixpath.join(base, stem)
+            found += [posixpath.join(inside, n) for n in folder.names(inside) if n.endswith(end)]
+            if folder.exists(inside + end) and folder.fs.getFileStatus(folder.at(inside + end)).isFile():
+                found.append(inside + end)
         return [f for f in found if f not in finals]
 
     drops: list[str] = []

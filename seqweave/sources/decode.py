@@ -86,16 +86,18 @@ def decode_line(line: str) -> tuple[list[tuple[str, str]] | None, str | None]:
 
 
 def decoded(lines: Column) -> Column:
-    """Column of ``struct<messages, error>`` for a string column; NULL where the line is NULL."""
-    kind = pa.struct([("messages", pa.list_(pa.struct([(f, pa.string()) for f in FIELDS]))), ("error", pa.string())])
+    """Column of ``struct<messages, error, line>`` for a string column (the line itself only if it is bad, so that a good
+    long line is not carried along); NULL where the line is NULL."""
+    kind = pa.struct([("messages", pa.list_(pa.struct([(f, pa.string()) for f in FIELDS]))), ("error", pa.string()),
+                      ("line", pa.string())])
 
-    @F.arrow_udf("messages array<struct<role:string,content:string>>, error string")
+    @F.arrow_udf("messages array<struct<role:string,content:string>>, error string, line string")
     def decode(column: pa.Array) -> pa.Array:
         rows = []
         for line in column:
             messages, error = decode_line(line.as_py()) if line.is_valid else (None, None)
-            rows.append({"messages": messages and [dict(zip(FIELDS, m)) for m in messages], "error": error}
-                        if line.is_valid else None)
+            rows.append({"messages": messages and [dict(zip(FIELDS, m)) for m in messages], "error": error,
+                         "line": line.as_py() if error else None} if line.is_valid else None)
         return pa.array(rows, kind)
 
     return decode(lines)

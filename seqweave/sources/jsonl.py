@@ -59,6 +59,12 @@ def file_stem(name: Column) -> Column:
     return F.regexp_replace(plain, r"(?<=.)\.[^.]*$", "")
 
 
+def without_cr(column: str) -> Column:
+    """The line without a CR at its end; other lines are not copied."""
+    value = F.col(column)
+    return F.when(F.endswith(value, F.lit("\r")), value.substr(F.lit(1), F.char_length(value) - 1)).otherwise(value)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines with provenance: ``source_file, file_stem, line_no_key, line``."""
     found = listing(spark, path)
@@ -72,7 +78,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(
         F.col("_metadata.file_path").alias("source_file"),
         file_stem(F.col("_metadata.file_name")).alias("file_stem"),
-        F.regexp_replace("value", "\r$", "").alias("line"),
+        without_cr("value").alias("line"),
     )
 
 
@@ -112,7 +118,7 @@ def _string(field: Column) -> Column:
 
 
 def parse_conversations(lines: DataFrame) -> DataFrame:
-    """Add ``messages`` and ``error`` (NULL when the line is valid).
+    """Add ``messages`` and ``error`` (NULL when the line is valid; ``line`` is NULL for a good line that the decoder read).
 
     A line is parsed once into a variant and its list extracted once.  Lines above ``LONG_LINE`` bytes and lines the
     variant parser refuses (bad JSON, or a good line in which an ignored key occurs twice) or reads loosely (surrogate
@@ -120,7 +126,7 @@ def parse_conversations(lines: DataFrame) -> DataFrame:
     """
     ship_package(lines.sparkSession)
     size = F.octet_length("line")
-    blank = F.length(F.trim(F.col("line"))) == 0
+    blank = F.when(size <= LONG_LINE, F.length(F.trim(F.col("line"))) == 0).otherwise(F.lit(False))  # (no copy of a long line)
     # a line is one document: behind it, inside a list, only the sentinel may follow
     wrapped = F.concat(F.lit("["), F.col("line"), F.lit(f',"{SENTINEL}"]'))
     # the parser reads half of a surrogate pair, written as an escape, as a question mark
@@ -133,14 +139,18 @@ def parse_conversations(lines: DataFrame) -> DataFrame:
         return F.try_variant_get("_v", f"$[0].{key}", kind)
 
     typed = F.coalesce(*[under(k, "array<struct<role:variant,content:variant>>") for k in LISTS])
-    again = F.when(~blank & F.col("_v").isNull() & (size <= MAX_LINE), F.col("line"))
-    parsed = parsed.select("*", typed.alias("_typed"), decoded(again).alias("_again"))
+    keep = [c for c in lines.columns if c != "line"]
+    again = ~blank & F.col("_v").isNull() & (size <= MAX_LINE)
+    # a line that goes to the decoder is carried once
+    parsed = parsed.select(*keep, "_v", typed.alias("_typed"), blank.alias("_blank"), size.alias("_size"),
+                           F.when(again, F.col("line")).alias("_long"), F.when(~again, F.col("line")).alias("_short"))
+    parsed = parsed.withColumn("_again", decoded(F.col("_long"))).drop("_long")
     good = F.forall("_typed", lambda m: F.coalesce(_string(m["role"]) & _string(m["content"]), F.lit(False)))
     one, many = [under(k, "variant").isNotNull() for k in LISTS]
     lists = F.coalesce(*[under(k, "array<variant>") for k in LISTS])
     error = (
-        F.when(blank, F.lit("blank line"))
-        .when(size > MAX_LINE, F.concat(F.lit("line of "), size, F.lit(f" bytes, the limit is {MAX_LINE}")))
+        F.when(F.col("_blank"), F.lit("blank line"))
+        .when(F.col("_size") > MAX_LINE, F.concat(F.lit("line of "), F.col("_size"), F.lit(f" bytes, the limit is {MAX_LINE}")))
         .when(F.col("_v").isNull(), F.col("_again.error"))
         .when(one & many, F.lit("both conversation and conversations"))
         .when(F.size("_typed") == 0, F.lit("empty conversation"))
@@ -150,10 +160,10 @@ def parse_conversations(lines: DataFrame) -> DataFrame:
         .otherwise(F.lit("message without string role and content"))
     )
     parsed = parsed.withColumn("error", error)
+    line = F.coalesce("_short", "_again.line")
     messages = F.transform("_typed", lambda m: F.struct(
         F.variant_get(m["role"], "$", "string").alias("role"), F.variant_get(m["content"], "$", "string").alias("content")))
-    keep = [c for c in lines.columns if c != "line"]
-    return parsed.select(*keep, F.col("line"), F.when(F.col("error").isNull(), F.coalesce("_again.messages", messages)).cast(
+    return parsed.select(*keep, line.alias("line"), F.when(F.col("error").isNull(), F.coalesce("_again.messages", messages)).cast(
         MESSAGES_TYPE).alias("messages"), "error")
 
 

@@ -31,7 +31,7 @@ from seqweave.plans.job import pack_lines
 from seqweave.plans.stage import stage_table, stages_removed
 from seqweave.sinks.arrow_stream import qualified
 from seqweave.sinks.publish import Folder
-from seqweave.sources.jsonl import file_stem, listing
+from seqweave.sources.jsonl import file_stem, listing, without_cr
 
 LEDGER = "_ledger"
 _LEDGER_SCHEMA = "source_file string, file_stem string, size long, modified timestamp, query string, batch long, folder long"
@@ -49,7 +49,7 @@ def stream_lines(spark: SparkSession, input_dir: str, max_files_per_trigger: int
     return raw.select(
         F.col("_metadata.file_path").alias("source_file"),
         file_stem(F.col("_metadata.file_name")).alias("file_stem"),
-        F.regexp_replace("value", "\r$", "").alias("line"),
+        without_cr("value").alias("line"),
         F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("modified"),
     )
 
@@ -94,7 +94,8 @@ class Ledger:
         at = Folder(self.spark, self.out)
         for row in replaced:
             base, stem = f"batch={row['folder']}", row["file_stem"]
-            for name in (f"{base}/{stem}", f"{base}/file_stem={stem}", f"{base}/{stem}.{fmt}", f"{base}/{stem}.{fmt}.index"):
+            for name in (f"{base}/{stem}", f"{base}/file_stem={stem}", f"{base}/{stem}.{fmt}", f"{base}/_index/{stem}",
+                         f"{base}/_index/{stem}.{fmt}.index"):
                 at.delete(name)
 
 
