@@ -44,6 +44,7 @@ FORMATS = ("arrow", "jsonl")
 # Spark's scheme -> the library's, where they differ
 _SCHEMES = {"hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 BLOCK_ROWS = 256  # bins written at a time: what a reader of one bin has to fetch
+PIECE = 1 << 23  # bytes a reader takes or gives at a time, a longer bin apart
 INDEX = ".index"
 
 
@@ -198,7 +199,8 @@ class _BinFilesWriter(DataSourceArrowWriter):
                         if stream is None:
                             lines = [x.encode() + b"\n" for x in part.column("line").to_pylist()]
                             sink.write(b"".join(lines))
-                            index.lines(bins[first:first + n], offset, lines)
+                            if self.index:
+                                index.lines(bins[first:first + n], offset, lines)
                         else:
                             cols = [part.column(c).cast(schema.field(c).type) for c in ARROW_COLUMNS]
                             stream.write_batch(pa.record_batch(cols, schema=schema))
@@ -241,43 +243,100 @@ def read_arrow_stream(path: str):
         return ipc.open_stream(fh).read_all()
 
 
+def _pieces(batch):
+    """A record batch in slices of about ``PIECE`` bytes."""
+    rows = max(1, batch.num_rows * PIECE // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def _short_lists(batch):
+    """The arrays of a record batch of the sink as Spark's lists."""
+    import pyarrow as pa
+
+    return [batch.column(c).cast(pa.list_(pa.int32())) for c in ARROW_COLUMNS]
+
+
+def _lines(stream):
+    """The lines of an input stream, without their ends."""
+    rest: list[bytes] = []
+    while chunk := stream.read(PIECE):
+        first, *more = chunk.split(b"\n")
+        rest.append(first)
+        if more:
+            yield b"".join(rest)
+            yield from more[:-1]
+            rest = more[-1:]
+    yield b"".join(rest)
+
+
+def _line_pieces(stream):
+    """(place of each, lines) that are not empty, about ``PIECE`` bytes of them at a time."""
+    at, lines, size = [], [], 0
+    for place, line in enumerate(_lines(stream)):
+        if not line:
+            continue
+        if lines and size + len(line) > PIECE:
+            yield at, lines
+            at, lines, size = [], [], 0
+        at.append(place)
+        lines.append(line)
+        size += len(line)
+    if lines:
+        yield at, lines
+
+
+def part_rows(fmt: str):
+    """``mapInArrow`` function: paths of written parts in; their bins' places and arrays (or lines) out, read as a stream."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.ipc as ipc
+
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                fs, inside = file_system(path)
+                with fs.open_input_stream(inside) as stream:
+                    if fmt == "jsonl":
+                        for at, lines in _line_pieces(stream):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([path] * len(at)), pa.array(at, pa.int32()), pa.array(lines, pa.binary()).cast(pa.string())],
+                                names=["path", "at", "line"])
+                        continue
+                    at = 0
+                    for block in ipc.open_stream(stream):
+                        for part in _pieces(block):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([path] * len(part)), pa.array(range(at, at + len(part)), pa.int32()), *_short_lists(part)],
+                                names=["path", "at", *ARROW_COLUMNS])
+                            at += len(part)
+    return run
+
+
 def read_bins(spark, path: str, bins_per_part: int, fmt: str = "arrow"):
     """Written parts as one row per bin: ``file_stem, bin, input_ids, labels, position_ids``.
 
     ``path`` is the output folder of the ``parts`` layout; the bin number
-    comes from the part's name and the place in the part.
+    comes from the part's name and the place in the part.  Tasks read the parts
+    as streams, so no part is held as a whole.
     """
     from pyspark.sql import functions as F
 
+    from seqweave.session import ship_package
     from seqweave.sinks.publish import recover
 
     recover(spark, path)
+    ship_package(spark)
     arrays = "input_ids array<int>, labels array<int>, position_ids array<int>"
-    glob = f"{path.rstrip('/')}/*/*.{fmt}"
+    # only listed by Spark; their content is not read here
+    files = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/*/*.{fmt}").select(
+        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"))
     if fmt == "jsonl":
-        lines = spark.read.format("text").option("wholetext", "true").load(glob).select(
-            F.col("_metadata.file_path").alias("path"), F.posexplode(F.split(F.rtrim("value"), "\n")).alias("at", "line"))
-        rows = lines.filter("line <> ''").select("path", "at", F.from_json("line", arrays).alias("r")).select("path", "at", "r.*")
+        lines = files.mapInArrow(part_rows(fmt), "path string, at int, line string")
+        rows = lines.select("path", "at", F.from_json("line", arrays).alias("r")).select("path", "at", "r.*")
     else:
-        def decode(batches):
-            import pyarrow as pa
-            import pyarrow.ipc as ipc
-
-            small = pa.list_(pa.int32())
-            for batch in batches:
-                for path, content in zip(batch.column("path"), batch.column("content")):
-                    at = 0
-                    for part in ipc.open_stream(content.as_buffer()):
-                        cols = [part.column(c).cast(small) for c in ARROW_COLUMNS]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([path.as_py()] * len(part)), pa.array(range(at, at + len(part)), pa.int32()), *cols],
-                            names=["path", "at", *ARROW_COLUMNS])
-                        at += len(part)
-
-        files = spark.read.format("binaryFile").load(glob).select("path", "content")
-        rows = files.mapInArrow(decode, f"path string, at int, {arrays}")
+        rows = files.mapInArrow(part_rows(fmt), f"path string, at int, {arrays}")
     part = F.regexp_extract("path", r"part-(\d+)\.[^/]*$", 1).cast("long")
-    stem = F.url_decode(F.replace(F.regexp_extract("path", r"([^/]*)/[^/]*$", 1), F.lit("+"), F.lit("%2B")))
+    stem = F.regexp_extract("path", r"([^/]*)/[^/]*$", 1)
     return rows.select(stem.alias("file_stem"), (part * bins_per_part + F.col("at")).alias("bin"), *ARROW_COLUMNS)
 
 

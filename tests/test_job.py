@@ -295,3 +295,71 @@ def test_single_bins_are_read_in_place(spark, tmp_dir, fmt, layout):
     assert sorted((r.file_stem, r.bin) for r in rows) == [("alpha", 0), ("alpha", 5), ("alpha", 300), ("alpha", 301), ("b [x] é+", 0)]
     for r in rows:
         assert _segments(r.asDict()) == sorted(min(64, 12 + len(convs[r.file_stem][i])) for i in expect[r.file_stem][r.bin])
+
+
+@pytest.fixture
+def small_pieces(monkeypatch):
+    from seqweave.sinks import arrow_stream
+
+    monkeypatch.setattr(arrow_stream, "PIECE", 4096)
+    return arrow_stream
+
+
+def _batches(rows, names):
+    import pyarrow as pa
+
+    return iter([pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)])
+
+
+@pytest.mark.parametrize("fmt", ["arrow", "jsonl"])
+def test_parts_are_read_as_streams(spark, tmp_dir, small_pieces, fmt):
+    """No task holds a part: what a reader gives at a time is bounded, and Spark reads no content of a file."""
+    convs, out = ["a" * (1 + i % 50) for i in range(700)], f"{tmp_dir}/out"
+    pack_job(spark, make_input(tmp_dir, {"x": convs}), out, max_length=64, fmt=fmt, oversize="truncate")
+    file = f"{out}/x/part-00000.{fmt}"
+    assert os.path.getsize(file) > 20 * 4096
+    got = list(small_pieces.part_rows(fmt)(_batches([(file,)], ["path"])))
+    assert max(b.nbytes for b in got) < 3 * 4096
+    expect = next_fit_decreasing([12 + len(c) for c in convs], 64)
+    assert [at for b in got for at in b.column("at").to_pylist()] == list(range(len(expect)))
+    if fmt == "arrow":
+        rows = small_pieces.read_bins(spark, out, 8192, fmt)
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+        try:
+            assert rows.count() == len(expect) and rows.filter("size(input_ids) > 64").isEmpty()
+        finally:
+            spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    else:
+        assert "posexplode" not in small_pieces.read_bins(spark, out, 8192, fmt)._jdf.queryExecution().toString()
+
+
+def test_lines_may_be_longer_than_a_piece(small_pieces):
+    import io
+
+    lines = [b"x" * 10_000, b"", b"y" * 3000, b"z" * 3000, b"w" * 4096, b"v"]
+    for end in (b"", b"\n"):
+        got = list(small_pieces._line_pieces(io.BytesIO(b"\n".join(lines) + end)))
+        assert [at for places, _ in got for at in places] == [0, 2, 3, 4, 5]
+        assert [x for _, some in got for x in some] == [x for x in lines if x]
+        assert all(len(some) == 1 or sum(map(len, some)) <= 4096 for _, some in got)
+    assert list(small_pieces._line_pieces(io.BytesIO(b""))) == []
+
+
+def test_lines_without_index_keep_no_places(tmp_dir):
+    import pyarrow as pa
+
+    from seqweave.sinks.arrow_stream import _BinFilesWriter, _Index
+
+    class Counted(_Index):
+        def lines(self, *args):
+            raise AssertionError("an index that nobody writes")
+
+    from seqweave.sinks import arrow_stream
+    arrow_stream._Index, before = Counted, arrow_stream._Index
+    try:
+        writer = _BinFilesWriter({"path": f"{tmp_dir}/out", "format": "jsonl", "layout": "file", "index": "false"})
+        batch = pa.RecordBatch.from_pydict({"file_stem": ["a", "a"], "bin": [0, 1], "line": ["x", "y"]})
+        (tmp, stem, _), = writer.write(iter([batch])).moves
+    finally:
+        arrow_stream._Index = before
+    assert stem == "a" and open(tmp).read() == "x\ny\n"
