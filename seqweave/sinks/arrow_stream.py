@@ -359,53 +359,82 @@ def bin_index(spark, path: str, fmt: str = "arrow"):
                        "row")
 
 
-def read_single_bins(spark, path: str, wanted, fmt: str = "arrow"):
-    """The bins that ``wanted`` (``file_stem, bin``) names, with their arrays; only their blocks' bytes are read.
+def _json_bins(keys: list, lines: list[bytes]):
+    """(file stem, bin) of each line and the line's arrays as one record batch."""
+    import pyarrow as pa
+    import pyarrow.json as pj
+
+    text = b"".join(lines)
+    schema = pa.schema([(c, pa.list_(pa.int32())) for c in ARROW_COLUMNS])
+    table = pj.read_json(pa.BufferReader(text), pj.ReadOptions(use_threads=False, block_size=len(text) + 1),
+                         pj.ParseOptions(explicit_schema=schema, unexpected_field_behavior="ignore")).combine_chunks()
+    return _bin_rows(keys, [table.column(c).combine_chunks() for c in ARROW_COLUMNS])
 
-    The index meets ``wanted`` by join; tasks then seek to the blocks, file by file."""
-    found = bin_index(spark, path, fmt).join(wanted.select("file_stem", "bin").distinct(), ["file_stem", "bin"])
-    placed = found.repartition("path", "offset").sortWithinPartitions("path", "offset", "row")
-    arrays = "input_ids array<int>, labels array<int>, position_ids array<int>"
 
-    def read(batches):
-        import json as _json
+def _bin_rows(keys: list, arrays: list):
+    import pyarrow as pa
+
+    stems, numbers = zip(*keys, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(stems, pa.string()), pa.array(numbers, pa.int64()), *arrays],
+                                      names=["file_stem", "bin", *ARROW_COLUMNS])
+
 
+def single_rows(fmt: str):
+    """``mapInArrow`` function: rows of the index, sorted by place, in; their bins out, about ``PIECE`` bytes at a time."""
+    columns = ("file_stem", "bin", "path", "offset", "length", "row")
+
+    def run(batches):
         import pyarrow as pa
         import pyarrow.ipc as ipc
 
-        small = pa.list_(pa.int32())
-        schema = pa.schema([("file_stem", pa.string()), ("bin", pa.int64()), *((c, small) for c in ARROW_COLUMNS)])
-        last, block, opened, name = None, None, None, None
+        opened, name = None, None
         try:
             for batch in batches:
-                out = []
-                for stem, number, where, offset, length, row in zip(*(batch.column(c).to_pylist() for c in (
-                        "file_stem", "bin", "path", "offset", "length", "row")), strict=True):
+                keys, lines, size = [], [], 0
+                wanted = zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+                for (where, offset, length), run_of in groupby(wanted, key=lambda r: r[2:5]):
                     if where != name:
                         if opened is not None:
                             opened.close()
                         fs, inside = file_system(where)
                         opened, name = fs.open_input_file(inside), where
-                    if (where, offset) != last:
-                        opened.seek(offset)
-                        block, last = opened.read(length), (where, offset)
-                        if fmt == "arrow":
-                            source = pa.BufferReader(block)
-                            message = ipc.read_message(source)
-                            if message.type == "schema":  # a file's first block starts with it
-                                message = ipc.read_message(source)
-                            block = ipc.read_record_batch(message, arrow_schema())
-                        else:
-                            block = _json.loads(block)
-                    if fmt == "arrow":
-                        out.append((stem, number, *(block.column(c)[row].as_py() for c in ARROW_COLUMNS)))
-                    else:
-                        out.append((stem, number, *(block[c] for c in ARROW_COLUMNS)))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)],
-                                                     schema=schema)
+                    if fmt == "jsonl" and lines and size + length > PIECE:
+                        yield _json_bins(keys, lines)
+                        keys, lines, size = [], [], 0
+                    opened.seek(offset)
+                    block, rows = opened.read(length), [(r[0], r[1], r[5]) for r in run_of]
+                    if fmt == "jsonl":
+                        keys += [r[:2] for r in rows]
+                        lines += [block] * len(rows)
+                        size += length
+                        continue
+                    source = pa.BufferReader(block)
+                    message = ipc.read_message(source)
+                    if message.type == "schema":  # a file's first block starts with it
+                        message = ipc.read_message(source)
+                    found = ipc.read_record_batch(message, arrow_schema()).take(pa.array([r[2] for r in rows], pa.int64()))
+                    at = 0
+                    for part in _pieces(found):
+                        yield _bin_rows([r[:2] for r in rows[at:at + len(part)]], _short_lists(part))
+                        at += len(part)
+                if lines:
+                    yield _json_bins(keys, lines)
         finally:
             if opened is not None:
                 opened.close()
+    return run
+
+
+def read_single_bins(spark, path: str, wanted, fmt: str = "arrow"):
+    """The bins that ``wanted`` (``file_stem, bin``) names, with their arrays; only their blocks' bytes are read.
+
+    The index meets ``wanted`` by join; tasks then seek to the blocks, file by file.  The blocks are dealt to as many
+    tasks as a shuffle has: index rows are narrow, so by their size all of them would go to one."""
+    from seqweave.session import ship_package
 
-    return placed.mapInArrow(read, f"file_stem string, bin long, {arrays}")
+    ship_package(spark)
+    found = bin_index(spark, path, fmt).join(wanted.select("file_stem", "bin").distinct(), ["file_stem", "bin"])
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = found.repartition(tasks, "path", "offset").sortWithinPartitions("path", "offset", "row")
+    return placed.mapInArrow(single_rows(fmt),
+                             "file_stem string, bin long, input_ids array<int>, labels array<int>, position_ids array<int>")

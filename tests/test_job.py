@@ -345,6 +345,22 @@ def test_lines_may_be_longer_than_a_piece(small_pieces):
     assert list(small_pieces._line_pieces(io.BytesIO(b""))) == []
 
 
+@pytest.mark.parametrize("fmt", ["arrow", "jsonl"])
+def test_single_bins_come_in_pieces(spark, tmp_dir, small_pieces, fmt):
+    """Every bin through the index: bounded pieces from a task, and as many tasks as a shuffle has."""
+    convs, out = ["a" * (1 + i % 50) for i in range(700)], f"{tmp_dir}/out"
+    pack_job(spark, make_input(tmp_dir, {"x": convs}), out, max_length=64, fmt=fmt, oversize="truncate", layout="file")
+    index = small_pieces.bin_index(spark, out, fmt).orderBy("offset", "row")
+    names = ["file_stem", "bin", "path", "offset", "length", "row"]
+    rows = [tuple(r) for r in index.select(*names).collect()]
+    got = list(small_pieces.single_rows(fmt)(_batches(rows, names)))
+    assert max(b.nbytes for b in got) < 3 * 4096
+    assert [k for b in got for k in b.column("bin").to_pylist()] == [r[1] for r in rows]
+    read = small_pieces.read_single_bins(spark, out, index.select("file_stem", "bin"), fmt)
+    assert read.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert read.count() == len(rows)
+
+
 def test_lines_without_index_keep_no_places(tmp_dir):
     import pyarrow as pa
 
