@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from seqweave.plans.stage import stage_table
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
-MAX_RANGES = 100_000
+# every range is a task whose metrics, and up to 300 sampled sort keys, come to the driver; ranges may be larger than a
+# task's share instead, their rows are narrow and their sort spills
+MAX_RANGES = 2_000
 
 
 def maybe_broadcast(df: DataFrame, rows: int, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -28,3 +28,24 @@ def test_histogram(spark):
     df = spark.createDataFrame([(0, 1, 5), (0, 2, 5), (1, 3, 2)], "g int, k long, length int")
     got = sorted(tuple(r) for r in length_histogram(df, ["g"]).collect())
     assert got == [(0, 5, 2), (1, 2, 1)]
+
+
+def test_ranges_are_bounded(spark):
+    """However small a task's share is said to be, the tasks that report to the driver are bounded."""
+    df = spark.range(20_000).selectExpr("id k", "'a' g", "cast(id % 3 as int) length")
+    seen = []
+
+    def ranges(self, n, *cols):
+        seen.append(n)
+        return by_range(self, 8, *cols)
+
+    frame = type(df)
+    by_range = frame.repartitionByRange
+    frame.repartitionByRange = ranges
+    try:
+        got = rank_by_length(df, ["g"], "k", rows_per_task=1)
+    finally:
+        frame.repartitionByRange = by_range
+    assert seen and max(seen) <= 2_000
+    assert got.filter("rank = 1").collect()[0]["k"] == 2
+    assert [r["rank"] for r in got.select("rank").orderBy("rank").collect()] == list(range(1, 20_001))
